@@ -39,6 +39,16 @@ def max_field(entries: Column, container: str, field: str) -> Column:
     return F.array_max(F.transform(entries, lambda m: m[container][field]))
 
 
+def max_fields(entries: Column, paths, types) -> Column:
+    """Per-path maxima over an array in a single traversal: a struct with one field ``<container>_<field>``
+    per ``(container, field)`` path. Same values as one ``max_field`` per path, but the array (and the JSON
+    it comes from) is evaluated once instead of once per path."""
+    names = [f"{c}_{f}" for c, f in paths]
+    init = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in zip(names, types)])
+    return F.aggregate(entries, init, lambda acc, m: F.struct(
+        *[F.greatest(acc[n], m[c][f]).alias(n) for n, (c, f) in zip(names, paths)]))
+
+
 def parse_metrics(json_text: str | Column, containers=None) -> Column:
     containers = containers or tuple(c for _, c in S.CVSS_VERSIONS)
     return F.from_json(col_of(json_text), S.metrics_schema(containers))

@@ -63,8 +63,10 @@ def score_parts(df: DataFrame, metrics_json: Column, versions=S.CVSS_VERSIONS) -
     """Per-row maxima of score, severity and vector for every CVSS container of a JSON metrics array
     (strings compare lexicographically, so e.g. {CRITICAL, MEDIUM} -> MEDIUM)."""
     containers = [c for _, c in versions]
-    parsed = J.parse_metrics(metrics_json, containers)
-    return df.withColumns({_part(c, f): J.max_field(parsed, c, f) for c in containers for f in _FIELDS})
+    paths = [(c, f) for c in containers for f in _FIELDS]
+    types = ["double" if f == "baseScore" else "string" for _, f in paths]
+    folded = df.withColumn("_parts", J.max_fields(J.parse_metrics(metrics_json, containers), paths, types))
+    return folded.withColumns({_part(c, f): F.col("_parts")[f"{c}_{f}"] for c, f in paths}).drop("_parts")
 
 
 def finalize_scores(df: DataFrame, versions=S.CVSS_VERSIONS) -> DataFrame:

@@ -98,11 +98,11 @@ AFFECTED_SCHEMA = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 META_SCHEMA = T.StructType([T.StructField(f, T.StringType())
                             for f in list(META_FIELDS.values()) + list(TIME_FIELDS.values())])
 
-# The three sub-documents of containers.cna that are parsed further, kept as JSON text.
+# The two sub-documents of containers.cna the core table parses further, kept as JSON text (the rest of the
+# document, e.g. the affected array, is skipped by the parser rather than re-serialised).
 CNA_SCHEMA = T.StructType([T.StructField("cna", T.StructType([
     T.StructField("descriptions", T.StringType()),
     T.StructField("metrics", T.StringType()),
-    T.StructField("affected", T.StringType()),
 ]))])
 
 BRONZE_META_COLUMNS = ("_ingestion_timestamp", "_ingestion_date", "_source_year", "_record_id")
