@@ -1,0 +1,169 @@
+"""Hand-written documents, one per semantic rule of the silver transforms."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import bronze_of, cvss, doc
+from vulnlake import operators as op
+from vulnlake.sources import with_ingest_metadata
+
+EN = [{"lang": "en", "value": "text"}]
+
+
+def core_row(spark, d, **kw):
+    rows = op.build_core(bronze_of(spark, [d]), **kw).collect()
+    assert len(rows) == 1
+    return rows[0]
+
+
+def test_severity_is_lexicographic_max_while_band_follows_score(spark):
+    r = core_row(spark, doc(descriptions=EN, metrics=[{"cvssV3_1": cvss(9.8, "CRITICAL", "CVSS:3.1/A")},
+                                                      {"cvssV3_1": cvss(5.0, "MEDIUM", "CVSS:3.1/B")}]))
+    assert (r.cvss_base_score, r.cvss_severity_rating, r.risk_category) == (9.8, "MEDIUM", "CRITICAL")
+    assert r.cvss_vector == "CVSS:3.1/B" and r.cvss_version_used == "3.1"
+
+
+def test_each_field_falls_back_on_its_own(spark):
+    r = core_row(spark, doc(descriptions=EN, metrics=[{"cvssV3_1": cvss(7.5)},
+                                                      {"cvssV3_0": cvss(6.1, "MEDIUM", "CVSS:3.0/X")}]))
+    assert (r.cvss_base_score, r.cvss_severity_rating, r.cvss_vector, r.cvss_version_used) == \
+        (7.5, "MEDIUM", "CVSS:3.0/X", "3.1")
+
+
+@pytest.mark.parametrize("metrics", [
+    [{"cvssV4_0": cvss(9.0, "CRITICAL")}, {"cvssV2_0": cvss(5.0)}, {"other": {"type": "ssvc"}}],
+    None,
+    [],
+])
+def test_no_v3_score(spark, metrics):
+    r = core_row(spark, doc(descriptions=EN, metrics=metrics))
+    assert r.cvss_base_score is None and r.cvss_severity_rating == "UNKNOWN"
+    assert r.cvss_version_used == "N/A" and r.risk_category == "UNSCORED" and r.has_cvss is False
+
+
+def test_zero_score_is_unscored_but_present(spark):
+    r = core_row(spark, doc(descriptions=EN, metrics=[{"cvssV3_1": cvss(0.0, "NONE")}]))
+    assert r.risk_category == "UNSCORED" and r.has_cvss is True and r.cvss_base_score == 0.0
+
+
+def test_integer_score(spark):
+    r = core_row(spark, doc(descriptions=EN, metrics=[{"cvssV3_1": cvss(9, "CRITICAL")}]))
+    assert r.cvss_base_score == 9.0 and r.risk_category == "CRITICAL"
+
+
+def test_string_score_is_null_but_rest_kept(spark):
+    r = core_row(spark, doc(descriptions=EN, metrics=[{"cvssV3_1": {"baseScore": "9.8", "baseSeverity": "HIGH"}}]))
+    assert r.cvss_base_score is None and r.cvss_severity_rating == "HIGH" and r.cvss_version_used == "N/A"
+
+
+def test_language_choice(spark):
+    r = core_row(spark, doc(descriptions=[{"lang": "es", "value": "hola"}, {"lang": "en", "value": "hello"}]))
+    assert r.cve_description == "hello" and r.has_description is True
+    r = core_row(spark, doc(descriptions=[{"lang": "en-US", "value": "hi"}]))
+    assert r.cve_description == "[No description provided]" and r.has_description is False
+    r = core_row(spark, doc(descriptions=[{"lang": "en", "value": None}, {"lang": "en", "value": "later"}]))
+    assert r.cve_description == "later"
+
+
+def test_empty_description_counts_as_present(spark):
+    r = core_row(spark, doc(descriptions=[{"lang": "en", "value": ""}]))
+    assert r.cve_description == "" and r.has_description is True
+
+
+def test_timestamps(spark):
+    for text, expect in [("2024-03-01T10:00:00.000Z", dt.datetime(2024, 3, 1, 10)),
+                         ("2024-03-01T10:00:00", dt.datetime(2024, 3, 1, 10)),
+                         ("2024-03-01", dt.datetime(2024, 3, 1)),
+                         ("garbage", None)]:
+        r = core_row(spark, doc(descriptions=EN, published=text))
+        got = r.published_timestamp
+        assert (got.replace(tzinfo=None) if got else None) == expect, text
+
+
+def test_strict_timestamps_raise(spark):
+    with pytest.raises(PySparkException):
+        op.build_core(bronze_of(spark, [doc(published="garbage")]), strict_timestamps=True).collect()
+
+
+def test_malformed_metadata_kept_with_null_id_and_orphaned(spark):
+    containers = '{"cna": {"descriptions": [{"lang": "en", "value": "t"}], "affected": [{"vendor": "v"}]}}'
+    raw = spark.createDataFrame([("{not json", containers)], "cveMetadata string, containers string")
+    br = with_ingest_metadata(raw, 2024, "2024-06-01 00:00:00")
+    core = op.build_core(br)
+    rows = core.collect()
+    assert len(rows) == 1 and rows[0].cve_id is None
+    aff = op.build_affected(br)
+    assert aff.count() == 1
+    assert op.orphan_count(aff, core).first().orphaned_count == 1
+
+
+def test_duplicates(spark):
+    same = doc(descriptions=EN, metrics=[{"cvssV3_1": cvss(5.0, "MEDIUM")}])
+    assert op.build_core(bronze_of(spark, [same, same])).count() == 1
+    updated = doc(descriptions=EN, extra_meta={"dateUpdated": "2024-05-01T00:00:00Z"})
+    core = op.build_core(bronze_of(spark, [same, updated]))
+    assert core.count() == 2
+    dup = op.duplicate_keys(core).collect()
+    assert [(r.cve_id, r.occurrence_count) for r in dup] == [("CVE-2024-0001", 2)]
+
+
+def test_merge_takes_max_across_copies(spark):
+    a = doc(descriptions=EN, metrics=[{"cvssV3_0": cvss(9.1, "CRITICAL")}])
+    b = doc(descriptions=EN, metrics=[{"cvssV3_1": cvss(4.2, "MEDIUM")}])
+    r = op.build_core(bronze_of(spark, [a, b])).collect()
+    assert len(r) == 1 and r[0].cvss_base_score == 4.2 and r[0].cvss_version_used == "3.1"
+
+
+def test_affected_rows(spark):
+    docs = [doc(cve="CVE-2024-0001", affected=[]),
+            doc(cve="CVE-2024-0002", affected={"vendor": "v", "product": "p"}),
+            doc(cve="CVE-2024-0003", affected=[{"product": "no vendor"}, {"vendor": "v3"}]),
+            doc(cve="CVE-2024-0004", affected=[{"vendor": "v4", "product": "p4", "defaultStatus": "affected",
+                                                "versions": [{"version": "1.0", "changes": [{"at": "1.1"}]}],
+                                                "platforms": ["linux"], "packageName": "pkg"}])]
+    rows = {r.cve_id: r for r in op.build_affected(bronze_of(spark, docs)).collect()}
+    assert set(rows) == {"CVE-2024-0003", "CVE-2024-0004"}
+    assert rows["CVE-2024-0003"].product_name == "[Product name unavailable]"
+    assert rows["CVE-2024-0003"].vulnerability_status == "unknown"
+    r4 = rows["CVE-2024-0004"]
+    assert r4.affected_versions_json == '[{"version":"1.0","changes":[{"at":"1.1"}]}]'
+    assert r4.affected_platforms_json == '["linux"]' and r4.package_identifier == "pkg"
+
+
+def test_explode_keeps_outer_rows_before_vendor_filter(spark):
+    items = op.explode_json_objects(bronze_of(spark, [doc(affected=[])]), "containers", "$.cna.affected",
+                                    keep=["_source_year"])
+    assert items.count() == 1 and items.first().item is None
+
+
+def test_core_schema(spark):
+    core = op.build_core(bronze_of(spark, [doc(descriptions=EN)]))
+    assert core.columns == list(__import__("vulnlake.schemas", fromlist=["x"]).CORE_COLUMNS)
+    types = dict(core.dtypes)
+    assert types["cvss_base_score"] == "double" and types["data_year"] == "int"
+    assert types["published_timestamp"] == "timestamp" and types["has_cvss"] == "boolean"
+
+
+def test_extract_json_columns_and_pick_language(spark):
+    br = bronze_of(spark, [doc(descriptions=[{"lang": "fr", "value": "x"}, {"lang": "de", "value": "y"}])])
+    out = op.extract_json_columns(br, "cveMetadata", {"id": "$.cveId", "nested": "$"}, keep={"yr": "_source_year"})
+    r = out.first()
+    assert r.id == "CVE-2024-0001" and r.yr == 2024 and r.nested.startswith("{")
+    assert op.pick_language(br, "containers", lang="de").first().cve_description == "y"
+
+
+def test_processing_time_literal(spark):
+    r = op.with_processing_time(spark.range(1), at="2020-01-02 03:04:05").first()
+    assert r.silver_transform_timestamp.replace(tzinfo=None) == dt.datetime(2020, 1, 2, 3, 4, 5)
+
+
+def test_band_and_fill(spark):
+    df = spark.createDataFrame([(9.0,), (8.99,), (4.0,), (0.1,), (0.0,), (None,)], "s double")
+    got = [r.b for r in op.with_band(df, "s", out="b").collect()]
+    assert got == ["CRITICAL", "HIGH", "MEDIUM", "LOW", "UNSCORED", "UNSCORED"]
+    assert op.fill_defaults(df, {"s": -1.0}).filter(F.col("s") == -1.0).count() == 1

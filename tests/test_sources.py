@@ -1,0 +1,92 @@
+"""Sources and sinks: document tree scan, key discovery, ingest metadata, table round trips, CSV export,
+profile and preview."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import doc
+from vulnlake.sources import (discover_keys, export_csv, preview, read_table, scan_documents, table_profile,
+                              to_bronze_columns, with_ingest_metadata, write_table)
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def make_tree(root):
+    _write(f"{root}/2024/0xxx/CVE-2024-0001.json", doc(cve="CVE-2024-0001"))
+    _write(f"{root}/2024/1xxx/CVE-2024-1002.json", doc(cve="CVE-2024-1002"))
+    _write(f"{root}/2024/1xxx/CVE-2024-1003.json", '{"cveMetadata": {"cveId": "CVE-2024-1003"')  # truncated
+    _write(f"{root}/2023/0xxx/CVE-2023-0004.json", doc(cve="CVE-2023-0004"))  # other year
+    _write(f"{root}/2024/notes.json", doc(cve="CVE-2024-9999"))  # name does not match
+    _write(f"{root}/2024/CVE-2024-0005.txt", doc(cve="CVE-2024-0005"))  # not .json
+
+
+def test_scan_file_tree(spark, tmp_dir):
+    make_tree(tmp_dir)
+    good, rejected = scan_documents(spark, tmp_dir, year=2024)
+    ids = sorted(r.id for r in good.select(F.get_json_object("value", "$.cveMetadata.cveId").alias("id")).collect())
+    assert ids == ["CVE-2024-0001", "CVE-2024-1002"]
+    bad = rejected.collect()
+    assert len(bad) == 1 and bad[0].source_file.endswith("CVE-2024-1003.json")
+
+
+def test_scan_cap_counts_only_good_documents(spark, tmp_dir):
+    make_tree(tmp_dir)
+    good, _ = scan_documents(spark, tmp_dir, year=2024, max_records=1)
+    assert good.count() == 1
+
+
+def test_scan_all_years_and_lines_layout(spark, tmp_dir):
+    make_tree(tmp_dir)
+    good, _ = scan_documents(spark, tmp_dir)
+    assert good.count() == 4  # every *.json that parses, any year or name
+    lines = os.path.join(tmp_dir, "lines")
+    _write(f"{lines}/part-0.jsonl", "\n".join([doc(cve="CVE-2024-0001"), "", "[1, 2", doc(cve="CVE-2024-0002")]))
+    good, rejected = scan_documents(spark, lines, layout="lines")
+    assert good.count() == 2 and rejected.count() == 1
+
+
+def test_bronze_columns_discovery_and_metadata(spark):
+    docs = spark.createDataFrame([(doc(extra_key={"a": [1, 2]}),), (doc(cve="CVE-2024-0002"),)], "value string")
+    assert discover_keys(docs) == ["containers", "cveMetadata", "dataType", "extra_key"]
+    cols = to_bronze_columns(docs)
+    first = cols.filter(F.col("extra_key").isNotNull()).first()
+    assert first.extra_key == '{"a":[1,2]}' and first.dataType == "CVE_RECORD"
+    assert cols.filter(F.col("extra_key").isNull()).count() == 1
+    meta = with_ingest_metadata(cols, 2024, "2024-06-01 12:00:00")
+    r = meta.first()
+    assert r._source_year == 2024 and str(r._ingestion_date) == "2024-06-01"
+    assert meta.select("_record_id").distinct().count() == 2
+
+
+def test_write_read_path_and_table(spark, tmp_dir):
+    df = spark.range(5).withColumn("y", F.col("id") % 2)
+    path = os.path.join(tmp_dir, "t")
+    write_table(df, path, partition_by="y")
+    assert read_table(spark, path).count() == 5
+    write_table(df.withColumn("z", F.lit(1)), path)  # overwrite replaces the schema
+    assert "z" in read_table(spark, path).columns
+    write_table(df, "vulnlake_test.bucketed", bucket_by=(4, "id"))
+    assert read_table(spark, "vulnlake_test.bucketed").count() == 5
+
+
+def test_export_csv(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "csv")
+    export_csv(spark.createDataFrame([("a", 1)], "k string, n int"), out, single_file=True)
+    files = glob.glob(f"{out}/*.csv")
+    assert len(files) == 1 and open(files[0]).read().splitlines() == ["k,n", "a,1"]
+
+
+def test_profile_and_preview(spark):
+    df = spark.createDataFrame([("x" * 300, i) for i in range(8)], "s string, i int")
+    p = table_profile(df).first()
+    assert (p.n_rows, p.n_columns) == (8, 2) and "s:string" in p.schema_ddl
+    rows = preview(df, n=5, max_cols=1, truncate=200).collect()
+    assert len(rows) == 5 and len(rows[0].s) == 200 and rows[0].__fields__ == ["s"]
