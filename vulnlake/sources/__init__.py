@@ -1,7 +1,7 @@
 """Sources and sinks: JSON document trees, managed/path tables, CSV export."""
 
-from .documents import discover_keys, scan_documents, to_bronze_columns, with_ingest_metadata
+from .documents import discover_keys, scan_documents, split_documents, to_bronze_columns, with_ingest_metadata
 from .tables import export_csv, preview, read_table, table_profile, write_table
 
-__all__ = ["discover_keys", "export_csv", "preview", "read_table", "scan_documents", "table_profile",
+__all__ = ["discover_keys", "export_csv", "preview", "read_table", "scan_documents", "split_documents", "table_profile",
            "to_bronze_columns", "with_ingest_metadata", "write_table"]

@@ -30,27 +30,36 @@ def scan_documents(spark: SparkSession, path: str, year: int | None = None, max_
     ``error_text`` (first 200 characters). Only good documents count toward ``max_records``; the cap is a
     plain ``limit`` (which documents survive it is up to the scan order, as with any directory walk).
     """
+    reader = _with_scan_options(spark.read, layout, year, name_glob)
+    good, rejected = split_documents(reader.text(path), layout)
+    if max_records is not None:
+        good = good.limit(int(max_records))
+    return good, rejected
+
+
+def _with_scan_options(reader, layout: str, year: int | None, name_glob: str | None):
+    """Shared by the batch and the streaming scan: recursive listing, name filter, whole-file rows."""
     if layout not in ("file", "lines"):
         raise ValueError(f"layout must be 'file' or 'lines', not {layout!r}")
     glob = name_glob or (f"*CVE-{year}-*.json" if (layout == "file" and year is not None)
                          else ("*.json" if layout == "file" else None))
-    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if layout == "file":
         reader = reader.option("wholetext", "true")
-    raw = reader.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return reader
+
+
+def split_documents(text: DataFrame, layout: str = "file") -> tuple[DataFrame, DataFrame]:
+    """Rows of a text scan -> ``(good, rejected)``: good rows hold one JSON object that parses."""
+    raw = text.select("value", F.col("_metadata.file_path").alias("source_file"))
     if layout == "lines":
         raw = raw.filter(F.length(F.trim("value")) > 0)
-
     probe = F.from_json("value", _PROBE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    is_object = F.startswith(F.ltrim("value"), F.lit("{"))
-    flagged = raw.withColumn("_ok", probe[CORRUPT].isNull() & is_object)
-    good = flagged.filter("_ok").drop("_ok")
-    if max_records is not None:
-        good = good.limit(int(max_records))
-    rejected = flagged.filter(~F.col("_ok")).select(
-        "source_file", F.substring("value", 1, 200).alias("error_text"))
+    ok = probe[CORRUPT].isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
+    good = raw.filter(ok)
+    rejected = raw.filter(~ok).select("source_file", F.substring("value", 1, 200).alias("error_text"))
     return good, rejected
 
 
@@ -70,11 +79,13 @@ def to_bronze_columns(docs: DataFrame, keys=None, value_col: str = "value", keep
     return docs.select(*[F.col(c) for c in keep], *[parsed[k].alias(k) for k in keys])
 
 
-def with_ingest_metadata(df: DataFrame, year: int | Column, ingested_at=None) -> DataFrame:
+def with_ingest_metadata(df: DataFrame, year: int | Column, ingested_at=None, record_id: Column | None = None
+                         ) -> DataFrame:
     """Add ``_ingestion_timestamp``, ``_ingestion_date``, ``_source_year`` and ``_record_id``.
 
     ``ingested_at`` (datetime or ISO text) pins the timestamp for reproducible loads; default is the
-    query's ``current_timestamp()``. ``_record_id`` is unique but neither dense nor stable across runs.
+    query's ``current_timestamp()``. The default ``_record_id`` is unique within one load but neither dense
+    nor stable across runs; pass ``record_id`` (e.g. a content hash) where loads are appended.
     """
     if ingested_at is None:
         ts, day = F.current_timestamp(), F.current_date()
@@ -87,4 +98,4 @@ def with_ingest_metadata(df: DataFrame, year: int | Column, ingested_at=None) ->
     return (df.withColumn("_ingestion_timestamp", ts)
               .withColumn("_ingestion_date", day)
               .withColumn("_source_year", year_col)
-              .withColumn("_record_id", F.monotonically_increasing_id()))
+              .withColumn("_record_id", F.monotonically_increasing_id() if record_id is None else record_id))

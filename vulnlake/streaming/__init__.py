@@ -1 +1,5 @@
 """Incremental (Structured Streaming) ingestion of document folders into bronze."""
+
+from .ingest import run_available, start_bronze_stream, stream_documents
+
+__all__ = ["run_available", "start_bronze_stream", "stream_documents"]
