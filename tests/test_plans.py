@@ -76,7 +76,9 @@ def test_no_join_where_aggregates_suffice(spark, silver_paths):
         assert "Join" not in plan(df)
 
 
-def test_critical_detail_never_shuffles_on_description(spark, silver_paths):
+def test_fan_out_is_aggregated_before_the_join(spark, silver_paths):
     core, aff = (spark.read.parquet(p) for p in silver_paths)
     text = plan(op.critical_detail(core, aff))
-    assert all("cve_description" not in e for e in exchanges(text) if "cve_id" in e and e.count(",") < 3)
+    # the per-record distinct counts are grouped on (id, value) pairs first: a hot id spreads over tasks
+    assert any("vendor_name" in e and "cve_id" in e for e in exchanges(text))
+    assert "LeftOuter" in text and not any(f in text for f in FORBIDDEN)

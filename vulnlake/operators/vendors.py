@@ -59,15 +59,15 @@ def critical_detail(core: DataFrame, aff: DataFrame, n: int = 25, band_value: st
                     excerpt: int = 80) -> DataFrame:
     """Records of one risk band with their distinct affected vendor/product counts (0 when none).
 
-    Same result as ``core LEFT JOIN aff GROUP BY (id, score, band, time, description)``, planned so that
-    the description never becomes a shuffle key and a record with huge fan-out cannot pin one task:
-    (1) the band's records, distinct on the five columns; (2) affected rows semi-joined to their ids and
-    aggregated per id (distinct counts spread per value); (3) a left join of one row per id.
+    Same result as ``core LEFT JOIN aff GROUP BY (id, score, band, time, description)``, planned so that a
+    record with a huge fan-out cannot pin one task: (1) the band's records, distinct on the five columns;
+    (2) affected rows aggregated per id *before* any join (the distinct counts are first grouped on
+    (id, value), which spreads a hot id over many tasks, and partial aggregation shrinks it map-side);
+    (3) a left join that matches at most one count row per record.
     """
     five = ["cve_id", "cvss_base_score", "risk_category", "published_timestamp", "cve_description"]
     chosen = core.filter(F.col("risk_category") == band_value).select(*five).distinct()
-    ids = chosen.select("cve_id")
-    counts = (aff.join(ids, "cve_id", "left_semi").groupBy("cve_id")
+    counts = (aff.groupBy("cve_id")
                  .agg(F.count_distinct("vendor_name").alias("affected_vendor_count"),
                       F.count_distinct("product_name").alias("affected_product_count")))
     joined = chosen.join(counts, "cve_id", "left").fillna(0, ["affected_vendor_count", "affected_product_count"])
