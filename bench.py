@@ -59,7 +59,7 @@ def main() -> None:
     gold_total = sum(v for k, v in timings.items() if k[0] in "geq")
     pipeline = timings["bronze_ingest"] + timings["silver_transform"] + gold_total
     print(json.dumps({
-        "metric": "pipeline_total_sec",
+        "metric": "medallion_total_sec",
         "value": round(pipeline, 3),
         "unit": "sec",
         "queries": timings,

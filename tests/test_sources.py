@@ -90,3 +90,11 @@ def test_profile_and_preview(spark):
     assert (p.n_rows, p.n_columns) == (8, 2) and "s:string" in p.schema_ddl
     rows = preview(df, n=5, max_cols=1, truncate=200).collect()
     assert len(rows) == 5 and len(rows[0].s) == 200 and rows[0].__fields__ == ["s"]
+
+
+def test_scan_with_keys_flattens_in_the_same_pass(spark, tmp_dir):
+    make_tree(tmp_dir)
+    cols, rejected = scan_documents(spark, tmp_dir, year=2024, keys=["cveMetadata", "dataType"])
+    rows = cols.collect()
+    assert sorted(r.dataType for r in rows) == ["CVE_RECORD", "CVE_RECORD"] and rejected.count() == 1
+    assert set(cols.columns) == {"source_file", "cveMetadata", "dataType"}

@@ -30,8 +30,13 @@ def ingest_bronze(spark: SparkSession, source_dir: str, layout: Layout, year=Non
                   max_records=None, ingested_at=None, source_year=None) -> None:
     """Scan documents, flatten them to text columns, stamp metadata, write bronze (partitioned by source
     year) and, if configured, the rejected files."""
-    good, rejected = scan_documents(spark, source_dir, year=year, max_records=max_records, layout=doc_layout)
-    cols = to_bronze_columns(good, keys=keys)
+    if keys is None:  # discover the key union first (one pass over the good documents)
+        good, rejected = scan_documents(spark, source_dir, year=year, max_records=max_records, layout=doc_layout)
+        cols = to_bronze_columns(good)
+    else:  # one parse both validates and flattens
+        cols, rejected = scan_documents(spark, source_dir, year=year, max_records=max_records, layout=doc_layout,
+                                        keys=keys)
+        cols = cols.drop("source_file")
     if source_year is None:
         source_year = year if year is not None else F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
     bronze = with_ingest_metadata(cols, source_year, ingested_at)

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
-_PROBE_SCHEMA = T.StructType([T.StructField(CORRUPT, T.StringType())])
 
 
 def scan_documents(spark: SparkSession, path: str, year: int | None = None, max_records: int | None = None,
-                   layout: str = "file", name_glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+                   layout: str = "file", name_glob: str | None = None, keys=None) -> tuple[DataFrame, DataFrame]:
     """Read JSON documents below ``path`` recursively; return ``(good, rejected)``.
 
     ``layout="file"``: one document per file; with ``year`` only names matching ``*CVE-{year}-*.json`` are
@@ -29,9 +28,11 @@ def scan_documents(spark: SparkSession, path: str, year: int | None = None, max_
     ``good`` has ``value`` (document text) and ``source_file``; ``rejected`` has ``source_file`` and
     ``error_text`` (first 200 characters). Only good documents count toward ``max_records``; the cap is a
     plain ``limit`` (which documents survive it is up to the scan order, as with any directory walk).
+    With ``keys``, good rows come back already flattened to those top-level keys (as ``to_bronze_columns``
+    would), from the same single parse that detects corrupt documents.
     """
     reader = _with_scan_options(spark.read, layout, year, name_glob)
-    good, rejected = split_documents(reader.text(path), layout)
+    good, rejected = split_documents(reader.text(path), layout, keys)
     if max_records is not None:
         good = good.limit(int(max_records))
     return good, rejected
@@ -51,15 +52,21 @@ def _with_scan_options(reader, layout: str, year: int | None, name_glob: str | N
     return reader
 
 
-def split_documents(text: DataFrame, layout: str = "file") -> tuple[DataFrame, DataFrame]:
-    """Rows of a text scan -> ``(good, rejected)``: good rows hold one JSON object that parses."""
+def split_documents(text: DataFrame, layout: str = "file", keys=None) -> tuple[DataFrame, DataFrame]:
+    """Rows of a text scan -> ``(good, rejected)``: good rows hold one JSON object that parses. With
+    ``keys`` the parse that checks the document also extracts those top-level keys as text columns."""
     raw = text.select("value", F.col("_metadata.file_path").alias("source_file"))
     if layout == "lines":
         raw = raw.filter(F.length(F.trim("value")) > 0)
-    probe = F.from_json("value", _PROBE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-    ok = probe[CORRUPT].isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
-    good = raw.filter(ok)
-    rejected = raw.filter(~ok).select("source_file", F.substring("value", 1, 200).alias("error_text"))
+    fields = [T.StructField(k, T.StringType()) for k in (keys or ())]
+    schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+    parsed = raw.withColumn("_doc", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT,
+                                                                  "mode": "PERMISSIVE"}))
+    ok = F.col("_doc")[CORRUPT].isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
+    good = parsed.filter(ok)
+    good = (good.select("source_file", *[F.col("_doc")[k].alias(k) for k in keys]) if keys
+            else good.drop("_doc"))
+    rejected = parsed.filter(~ok).select("source_file", F.substring("value", 1, 200).alias("error_text"))
     return good, rejected
 
 

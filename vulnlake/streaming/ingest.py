@@ -16,19 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
-from ..sources import to_bronze_columns, with_ingest_metadata
+from ..sources import with_ingest_metadata
 from ..sources.documents import _with_scan_options, split_documents
 
 DEFAULT_KEYS = ("containers", "cveMetadata", "dataType", "dataVersion")
 
 
 def stream_documents(spark: SparkSession, source_dir: str, layout: str = "file", year: int | None = None,
-                     max_files_per_trigger: int | None = None):
+                     max_files_per_trigger: int | None = None, keys=None):
     """Streaming counterpart of ``scan_documents``: ``(good, rejected)`` streaming DataFrames."""
     reader = _with_scan_options(spark.readStream.format("text"), layout, year, None)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return split_documents(reader.load(source_dir), layout)
+    return split_documents(reader.load(source_dir), layout, keys)
 
 
 def start_bronze_stream(spark: SparkSession, source_dir: str, bronze_path: str, rejected_path: str | None = None,
@@ -38,8 +38,7 @@ def start_bronze_stream(spark: SparkSession, source_dir: str, bronze_path: str,
     """Start the ingest queries (``availableNow``: process everything new, then stop; otherwise run
     continuously). Checkpoints default to the session's shared ``spark.checkpoint.dir``."""
     checkpoint_root = checkpoint_root or os.path.join(shared_dir(spark), "bronze-stream")
-    good, rejected = stream_documents(spark, source_dir, layout, year, max_files_per_trigger)
-    cols = to_bronze_columns(good, keys=keys, keep=["source_file"])
+    cols, rejected = stream_documents(spark, source_dir, layout, year, max_files_per_trigger, keys=keys)
     source_year = year if year is not None else F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
     # ids must stay unique across micro-batches, so derive them from the document's file and text
     bronze = with_ingest_metadata(cols, source_year, record_id=F.xxhash64("source_file", *keys)).drop("source_file")
