@@ -1,11 +1,13 @@
 """Benchmark: the whole batch flow at one scale factor, one JSON line on stdout.
 
-Stages (each timed): render the test tables as a folder of JSON documents (fixture preparation, reported
-but not part of the metric) -> bronze ingest (scan + flatten + metadata + partitioned write) -> silver
-(core + affected, written) -> every gold report over the written silver tables (executed in full through
-the ``noop`` sink). The metric is ingest + silver + all reports.
+Stages (each timed): render the test tables as a folder of JSON-lines documents (fixture preparation,
+reported but not part of the metric) -> bronze ingest (scan + flatten + metadata + partitioned write) ->
+silver (core + affected, written) -> every gold report over the written silver tables (executed in full
+through the ``noop`` sink). The metric is ingest + silver + all reports. Then, reported separately, the
+same documents as one small file each (the analysed job's input shape) and their bronze ingest.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all cores).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all cores),
+BENCH_FILE_LAYOUT (default 1; 0 skips the one-file-per-document stage).
 """
 
 from __future__ import annotations
@@ -30,6 +32,24 @@ def _timed(fn):
     return out, round(time.perf_counter() - t0, 3)
 
 
+def _write_document_files(spark, sf_dir: str, root: str) -> None:
+    """Fixture only: each executor task writes its documents as ``<root>/<year>/<NNNxxx>/<cveId>.json``."""
+    from pyspark.sql import functions as F
+
+    def write_partition(rows):
+        for r in rows:
+            folder = os.path.join(root, str(r.doc_year), r.bucket)
+            os.makedirs(folder, exist_ok=True)
+            with open(os.path.join(folder, r.name), "w", encoding="utf-8") as f:
+                f.write(r.value)
+
+    cve = F.get_json_object("value", "$.cveMetadata.cveId")
+    docs = B.documents(spark, sf_dir).select(
+        "doc_year", "value", F.concat(F.substring(F.element_at(F.split(cve, "-"), 3), 1, 3), F.lit("xxx")).alias("bucket"),
+        F.concat(cve, F.lit(".json")).alias("name"))
+    docs.foreachPartition(write_partition)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 4)
@@ -56,6 +76,17 @@ def main() -> None:
     for name, df in gold_reports(core, aff, as_of=B.AS_OF).items():
         _, timings[name] = _timed(lambda df=df: df.write.format("noop").mode("overwrite").save())
 
+    files_per_sec = None
+    if os.environ.get("BENCH_FILE_LAYOUT", "1") == "1":
+        # the analysed job's input shape: one small JSON file per document in per-year folders
+        tree = os.path.join(scratch, "document_files")
+        _, timings["render_document_files"] = _timed(lambda: _write_document_files(spark, sf_dir, tree))
+        file_layout = Layout(bronze=os.path.join(scratch, "bronze_files"), core="", affected="",
+                             rejected=os.path.join(scratch, "rejected_files"))
+        _, timings["bronze_ingest_files"] = _timed(
+            lambda: ingest_bronze(spark, tree, file_layout, doc_layout="file", keys=B.DOC_KEYS))
+        files_per_sec = round(n_records / timings["bronze_ingest_files"], 1)
+
     gold_total = sum(v for k, v in timings.items() if k[0] in "geq")
     pipeline = timings["bronze_ingest"] + timings["silver_transform"] + gold_total
     print(json.dumps({
@@ -67,6 +98,7 @@ def main() -> None:
         "records": n_records,
         "ingest_plus_silver_records_per_sec": round(n_records / (timings["bronze_ingest"] + timings["silver_transform"]), 1),
         "gold_total_sec": round(gold_total, 3),
+        "file_layout_ingest_docs_per_sec": files_per_sec,
         "cpus": int(cpus),
     }))
     spark.stop()

