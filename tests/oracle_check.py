@@ -72,7 +72,6 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
-    from pyspark.sql import SparkSession  # noqa: F401
     from vulnlake.session import build_session
     import __spark_entry__ as E
 

@@ -19,6 +19,7 @@ from .. import operators as op
 from ..functions import documents as J
 from ..session import apply_defaults, scratch_path
 from ..sources import read_table, scan_documents, table_profile, to_bronze_columns, write_table
+from ..streaming import run_available, start_bronze_stream
 from . import bindings as B
 
 DIGITS = 6
@@ -82,6 +83,19 @@ def _s01(spark, d):
                        J.json_path("value", "$.dataType").alias("data_type"))
 
 
+@query("s01_scan_documents_stream")
+def _s01s(spark, d):
+    """The same documents ingested incrementally (Structured Streaming, availableNow) into bronze."""
+    root = scratch_path(spark, "stream-documents")
+    B.documents(spark, d).write.mode("overwrite").partitionBy("doc_year").text(f"{root}/src")
+    run_available(start_bronze_stream(spark, f"{root}/src", f"{root}/bronze", checkpoint_root=f"{root}/ckpt",
+                                      keys=B.DOC_KEYS, layout="lines"))
+    bronze = spark.read.parquet(f"{root}/bronze")
+    return bronze.select(J.json_path("cveMetadata", "$.cveId").alias("cve_id"),
+                         J.json_path("cveMetadata", "$.state").alias("publication_state"),
+                         F.col("dataType").alias("data_type"))
+
+
 @query("s02_bronze_columns")
 def _s02(spark, d):
     """Top-level keys discovered from the documents (no fixed key list)."""
