@@ -51,3 +51,17 @@ def test_bucketed_silver_joins_without_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
     assert core_t.filter(F.col("cve_id").isNotNull()).count() == core.count()
+
+
+def test_oversized_orders_split_into_documents_merge_back(spark):
+    """Orders above the per-document line limit become several documents; the silver merge folds them back."""
+    docs = B.documents(spark, SF_SMALL, max_lines=2)
+    assert docs.count() > B.table(spark, SF_SMALL, "orders").count()
+    bronze = B.bronze(spark, SF_SMALL, docs)
+    core = op.build_core(bronze, at=B.INGESTED_AT)
+    cols = [c for c in core.columns if c != "silver_transform_timestamp"]
+    twin = B.core_twin(spark, SF_SMALL).select(cols)
+    assert core.select(cols).exceptAll(twin).count() == 0 and twin.exceptAll(core.select(cols)).count() == 0
+    aff = op.build_affected(bronze, at=B.INGESTED_AT).drop("silver_transform_timestamp")
+    aff_twin = B.affected_twin(spark, SF_SMALL).drop("silver_transform_timestamp")
+    assert aff.exceptAll(aff_twin).count() == 0 and aff_twin.exceptAll(aff).count() == 0
