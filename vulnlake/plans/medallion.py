@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from .. import schemas as S
 from ..sources import read_table, scan_documents, to_bronze_columns, with_ingest_metadata, write_table
 
 
@@ -132,7 +133,7 @@ def gold_reports(core: DataFrame, aff: DataFrame, as_of=None, digits: int = 2) -
         "e3_2_version_usage_rating": op.version_usage(core, band="cvss_severity_rating", levels=("CRITICAL", "HIGH"),
                                                       drop_null=True, digits=d),
         "e3_4_top_records_assigner": op.top_records(core, rating_alias="severity_rating", with_assigner=True),
-        "e4_3_portfolio_risk": op.portfolio_density(aff, risk_bounds=(100, 50), digits=d),
+        "e4_3_portfolio_risk": op.portfolio_density(aff, risk_bounds=S.VENDOR_RISK_BOUNDS, digits=d),
         "e5_1_kpi_summary_rating": op.kpi_summary(core, aff, band="cvss_severity_rating", report_time="now", digits=d),
         "q1_coverage": op.coverage(core, ["cve_description", "cvss_base_score", "published_timestamp"]),
         "q2_distribution": op.distribution(core, "risk_category"),

@@ -105,7 +105,6 @@ CNA_SCHEMA = T.StructType([T.StructField("cna", T.StructType([
     T.StructField("metrics", T.StringType()),
 ]))])
 
-BRONZE_META_COLUMNS = ("_ingestion_timestamp", "_ingestion_date", "_source_year", "_record_id")
 
 CORE_COLUMNS = (
     "cve_id", "publication_state", "assigning_org_id", "assigning_org_name",
