@@ -65,3 +65,22 @@ def test_oversized_orders_split_into_documents_merge_back(spark):
     aff = op.build_affected(bronze, at=B.INGESTED_AT).drop("silver_transform_timestamp")
     aff_twin = B.affected_twin(spark, SF_SMALL).drop("silver_transform_timestamp")
     assert aff.exceptAll(aff_twin).count() == 0 and aff_twin.exceptAll(aff).count() == 0
+
+
+def test_core_files_cover_narrow_time_slices(spark, tmp_dir):
+    """With a small rows-per-file limit every core file holds a contiguous, sorted publication-time range."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    src = os.path.join(tmp_dir, "docs")
+    B.documents(spark, SF_SMALL).write.partitionBy("doc_year").text(src)
+    layout = Layout(bronze=os.path.join(tmp_dir, "bronze"), core=os.path.join(tmp_dir, "core"),
+                    affected=os.path.join(tmp_dir, "aff"))
+    ingest_bronze(spark, src, layout, doc_layout="lines", keys=B.DOC_KEYS)
+    build_silver(spark, layout, core_rows_per_file=100)
+    files = glob.glob(f"{layout.core}/*.parquet")
+    assert len(files) >= 15  # 1,500 records at <= 100 rows per file
+    for f in files:
+        ts = [t for t in pq.read_table(f, columns=["published_timestamp"]).column(0).to_pylist() if t is not None]
+        assert ts == sorted(ts) and len(pq.read_table(f)) <= 100

@@ -82,14 +82,22 @@ def _ingest(spark, source_dir, layout, year, keys, doc_layout, max_records, inge
         write_table(rejected, layout.rejected, fmt=layout.fmt)
 
 
-def build_silver(spark: SparkSession, layout: Layout, at=None) -> None:
-    """bronze -> core_cves and affected_products. Core rows are sorted by publication time within each
-    file, so time-range filters skip row groups through parquet min/max statistics."""
+CORE_ROWS_PER_FILE = 2_000_000
+
+
+def build_silver(spark: SparkSession, layout: Layout, at=None, core_rows_per_file: int = CORE_ROWS_PER_FILE) -> None:
+    """bronze -> core_cves and affected_products.
+
+    Core rows are sorted by publication time within each task and written in files of at most
+    ``core_rows_per_file`` rows, so every file (and row group) covers a contiguous time slice and time-range
+    reports skip the rest through parquet min/max statistics. This needs no extra shuffle: the sort is local
+    to the merge's output partitions.
+    """
     bronze = read_table(spark, layout.bronze, layout.fmt)
     core = op.build_core(bronze, at=at).sortWithinPartitions("published_timestamp")
     affected = op.build_affected(bronze, at=at)
     bucket = (layout.buckets, ["cve_id"]) if layout.buckets else None
-    write_table(core, layout.core, fmt=layout.fmt, bucket_by=bucket)
+    write_table(core, layout.core, fmt=layout.fmt, bucket_by=bucket, max_records_per_file=core_rows_per_file)
     write_table(affected, layout.affected, fmt=layout.fmt, bucket_by=bucket)
 
 
