@@ -84,3 +84,23 @@ def test_core_files_cover_narrow_time_slices(spark, tmp_dir):
     for f in files:
         ts = [t for t in pq.read_table(f, columns=["published_timestamp"]).column(0).to_pylist() if t is not None]
         assert ts == sorted(ts) and len(pq.read_table(f)) <= 100
+
+
+def test_command_line_flow(spark, tmp_dir, capsys):
+    import glob
+
+    from vulnlake.__main__ import main
+
+    src = os.path.join(tmp_dir, "docs")
+    B.documents(spark, SF_SMALL).write.partitionBy("doc_year").text(src)
+    bronze, core, aff, out = (os.path.join(tmp_dir, x) for x in ("bronze", "core", "aff", "out"))
+    assert main(["ingest", "--source", src, "--bronze", bronze, "--layout", "lines"]) == 0
+    assert main(["silver", "--bronze", bronze, "--core", core, "--affected", aff]) == 0
+    assert main(["report", "--core", core, "--affected", aff, "--name", "g3_1_band_profile",
+                 "--name", "g9_1_kpi_summary", "--export", out, "--show", "5"]) == 0
+    printed = capsys.readouterr().out
+    assert "== g3_1_band_profile" in printed and "CRITICAL" in printed
+    rows = spark.read.option("header", "true").csv(os.path.join(out, "g9_1_kpi_summary")).collect()
+    assert len(rows) == 1 and int(rows[0].total_unique_cves) == 1500
+    assert glob.glob(os.path.join(out, "g3_1_band_profile", "*.csv"))
+    assert main(["report", "--core", core, "--affected", aff, "--name", "nope"]) == 2
