@@ -123,19 +123,25 @@ def _description() -> Column:
 # JSON documents
 # ---------------------------------------------------------------------------------------------------
 
-def _chunked(lines: DataFrame, limit: int) -> DataFrame:
-    """Add ``_chunk``: 0 for every order with at most ``limit`` lines (the normal case, one document per
-    order). Orders above it are split into several documents of bounded size, which the silver merge
-    folds back into one record, so no single document (or task) has to hold an unbounded order."""
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+def _per_document(spark: SparkSession, sf_dir: str, lines: DataFrame, limit: int) -> DataFrame:
+    """Per-document arrays of metric and affected entries, keyed by ``l_orderkey``.
+
+    Normally one document per order: group on the order key alone, so the later join with orders reuses
+    this partitioning. Only if some order has more than ``limit`` lines (one scalar, checked on the order-key
+    column of lineitem) are such orders split into several documents of bounded size, which the silver
+    merge folds back into one record, so no single document (or task) has to hold an unbounded order.
+    """
+    arrays = [F.collect_list("m").alias("metrics"), F.collect_list("a").alias("affected")]
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
     largest = counts.agg(F.max("_n")).first()[0] or 0
     if largest <= limit:
-        return lines.withColumn("_chunk", F.lit(0))
+        return lines.groupBy("l_orderkey").agg(*arrays)
     n_chunks = F.ceil(F.col("_n") / F.lit(limit))
     chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity"), n_chunks)
-    return (lines.join(counts, "l_orderkey")
-                 .withColumn("_chunk", F.when(F.col("_n") > limit, chunk).otherwise(F.lit(0)))
-                 .drop("_n").repartition("l_orderkey", "_chunk"))
+    split = (lines.join(counts, "l_orderkey")
+                  .withColumn("_chunk", F.when(F.col("_n") > limit, chunk).otherwise(F.lit(0)))
+                  .repartition("l_orderkey", "_chunk"))
+    return split.groupBy("l_orderkey", "_chunk").agg(*arrays).drop("_chunk")
 
 
 def documents(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DOCUMENT) -> DataFrame:
@@ -158,11 +164,9 @@ def documents(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_D
         F.array(F.struct(ln.alias("version"))).alias("versions"),
         F.array(F.col("l_linestatus")).alias("platforms"),
         _vendor_url().alias("collectionURL"), F.col("p_brand").alias("packageName"))
-    lines = _chunked(_lines(spark, sf_dir).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                                  "l_quantity", metric.alias("m"), affected.alias("a")),
-                     max_lines)
-    per_doc = lines.groupBy("l_orderkey", "_chunk").agg(F.collect_list("m").alias("metrics"),
-                                                        F.collect_list("a").alias("affected"))
+    lines = _lines(spark, sf_dir).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                         metric.alias("m"), affected.alias("a"))
+    per_doc = _per_document(spark, sf_dir, lines, max_lines)
 
     pub = _published_ntz()
     meta = F.struct(
