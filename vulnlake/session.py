@@ -58,11 +58,19 @@ def shared_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) is a fresh local folder created and registered, both as the conf
     and as the SparkContext checkpoint directory.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    else:
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="vulnlake-ckpt-")
+    if sc is None:
+        return local
     sc.setCheckpointDir(local)
     # the context appends a random sub-folder; use what it reports so every path lives under one root
     return (sc.getCheckpointDir() or local).rstrip("/")
