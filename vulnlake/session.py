@@ -55,8 +55,8 @@ def build_session(master: str | None = None, app: str = "vulnlake", shuffle_part
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root: ``spark.checkpoint.dir`` as configured on the session.
 
-    Only when it is unset (local tests) is a fresh local folder created and registered, both as the conf
-    and as the SparkContext checkpoint directory.
+    Only when it is unset (local tests) is a fresh local folder created and registered as the SparkContext
+    checkpoint directory.
     """
     try:
         sc = spark.sparkContext
