@@ -304,23 +304,22 @@ _reg("q7_layer_counts",
 
 # ---- gold ----------------------------------------------------------------------------------------
 _reg("g1_1_dataset_summary",
-     "SELECT 'Dataset Overview' AS metric_category, COUNT(*) AS total_cve_records, "
-     "COUNT(DISTINCT cve_id) AS unique_cve_identifiers, MIN(published_timestamp) AS earliest_publication, "
-     "MAX(published_timestamp) AS latest_publication, CAST(date_diff('day', CAST(MIN(published_timestamp) AS DATE), "
-     "CAST(MAX(published_timestamp) AS DATE)) AS INTEGER) AS coverage_days, "
-     "COUNT(CASE WHEN publication_state = 'PUBLISHED' THEN 1 END) AS published_cves, "
-     "COUNT(CASE WHEN publication_state = 'REJECTED' THEN 1 END) AS rejected_cves, "
-     f"{pct('COUNT(CASE WHEN ' + eq('publication_state', 'PUBLISHED') + ' THEN 1 END)', 'COUNT(*)')}"
-     " AS publish_rate_percent FROM core_cves")
+     ", s AS (SELECT count(*) AS n, count(DISTINCT cve_id) AS u, min(published_timestamp) AS lo, "
+     "max(published_timestamp) AS hi, count(*) FILTER (WHERE publication_state = 'PUBLISHED') AS pub, "
+     "count(*) FILTER (WHERE publication_state = 'REJECTED') AS rej FROM core_cves) "
+     "SELECT 'Dataset Overview' AS metric_category, n AS total_cve_records, u AS unique_cve_identifiers, "
+     "lo AS earliest_publication, hi AS latest_publication, "
+     "CAST(CAST(hi AS DATE) - CAST(lo AS DATE) AS INTEGER) AS coverage_days, pub AS published_cves, "
+     f"rej AS rejected_cves, {pct('pub', 'n')} AS publish_rate_percent FROM s")
 
 
 def _completeness(with_avg: bool) -> str:
-    extra = f", {avg('cvss_base_score')} AS overall_avg_cvss_score" if with_avg else ""
-    return ("SELECT 'Data Quality Metrics' AS category, COUNT(*) AS total_records, "
-            f"{count_if('cve_id IS NOT NULL')} AS cve_id_present, {count_if('has_cvss')} AS cvss_scores_available, "
-            f"{count_if('has_description')} AS descriptions_available, "
-            f"{pct(count_if('has_cvss'), 'COUNT(*)')} AS cvss_coverage_percent, "
-            f"{pct(count_if('has_description'), 'COUNT(*)')} AS description_coverage_percent{extra} FROM core_cves")
+    extra = ", a AS overall_avg_cvss_score" if with_avg else ""
+    return (f", q AS (SELECT count(*) AS n, count(cve_id) AS ids, count(*) FILTER (WHERE has_cvss) AS sc, "
+            f"count(*) FILTER (WHERE has_description) AS ds, {avg('cvss_base_score')} AS a FROM core_cves) "
+            "SELECT 'Data Quality Metrics' AS category, n AS total_records, ids AS cve_id_present, "
+            "sc AS cvss_scores_available, ds AS descriptions_available, "
+            f"{pct('sc', 'n')} AS cvss_coverage_percent, {pct('ds', 'n')} AS description_coverage_percent{extra} FROM q")
 
 
 def _category_share(where: str) -> str:
