@@ -60,6 +60,8 @@ def main() -> None:
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         "spark.driver.memory": "8g",
+        # keep every report's generated code cached, so the warm pass measures steady-state query time
+        "spark.sql.codegen.cache.maxEntries": "1000",
     })
     src = os.path.join(scratch, "documents")
     layout = Layout(bronze=os.path.join(scratch, "bronze"), core=os.path.join(scratch, "core_cves"),
