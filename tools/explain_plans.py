@@ -8,6 +8,7 @@ from __future__ import annotations
 import contextlib
 import io
 import os
+import re
 import sys
 import tempfile
 
@@ -16,7 +17,7 @@ sys.path.insert(0, ROOT)
 
 from vulnlake import operators as op  # noqa: E402
 from vulnlake.plans import bindings as B  # noqa: E402
-from vulnlake.plans.medallion import Layout, build_silver, ingest_bronze, silver_tables  # noqa: E402
+from vulnlake.plans.medallion import Layout, build_silver, gold_reports, ingest_bronze, silver_tables  # noqa: E402
 from vulnlake.session import build_session  # noqa: E402
 from vulnlake.sources import read_table  # noqa: E402
 
@@ -62,11 +63,29 @@ def main() -> None:
         "recent_activity (G7.2)": op.recent_activity(core, as_of=B.AS_OF),
         "top_records (G3.4)": op.top_records(core),
     }
+    summary = ["| report | shuffles (hash) | joins | top-k | single-partition window | pushed filters |",
+               "| --- | --- | --- | --- | --- | --- |"]
+    for name, df in gold_reports(core, aff, as_of=B.AS_OF).items():
+        df.collect()  # the final adaptive plan is shown after one execution
+        text = plan_text(df)
+        final = text.split("== Initial Plan ==")[0]
+        joins = sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)[^\n]*?(LeftOuter|LeftAnti|"
+                                      r"LeftSemi|Inner|FullOuter)", final)))
+        summary.append("| {} | {} | {} | {} | {} | {} |".format(
+            name, len(re.findall(r"Exchange hashpartitioning", final)),
+            ", ".join(f"{j} {t}" for j, t in joins) or "none",
+            "yes" if "TakeOrderedAndProject" in final else "",
+            "over aggregated rows" if "Exchange SinglePartition" in final and "Window" in final else "",
+            "yes" if re.search(r"PushedFilters: \[[^\]]", final) else ""))
     out = ["# Physical plans of the key operators",
            "",
            f"Generated by `tools/explain_plans.py` over silver tables built from `{sf_dir}` (local[8]). "
            "Reports show the final adaptive plan after one execution; the two silver builds show the plan "
            "before execution (they are written, not collected).",
+           "",
+           "## Every report at a glance (final plans)",
+           "",
+           *summary,
            ""]
     for name, df in frames.items():
         df.write.format("noop").mode("overwrite").save() if name.startswith("build") else df.collect()
