@@ -98,3 +98,11 @@ def test_scan_with_keys_flattens_in_the_same_pass(spark, tmp_dir):
     rows = cols.collect()
     assert sorted(r.dataType for r in rows) == ["CVE_RECORD", "CVE_RECORD"] and rejected.count() == 1
     assert set(cols.columns) == {"source_file", "cveMetadata", "dataType"}
+
+
+def test_year_from_a_malformed_id_is_null_not_an_error(spark):
+    docs = spark.createDataFrame([(doc(cve="garbage"),), (doc(cve="CVE-2023-0001"),)], "value string")
+    cols = to_bronze_columns(docs, keys=["cveMetadata"])
+    year = F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
+    got = sorted((r._source_year for r in with_ingest_metadata(cols, year).collect()), key=str)
+    assert got == [2023, None]

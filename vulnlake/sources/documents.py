@@ -101,7 +101,8 @@ def with_ingest_metadata(df: DataFrame, year: int | Column, ingested_at=None, re
             ingested_at = ingested_at.strftime("%Y-%m-%d %H:%M:%S")
         ts = F.to_timestamp(F.lit(str(ingested_at)))
         day = F.to_date(ts)
-    year_col = year.cast("int") if isinstance(year, Column) else F.lit(int(year))
+    # a year derived from document text may be garbage: NULL it rather than fail the load (ANSI cast)
+    year_col = year.try_cast("int") if isinstance(year, Column) else F.lit(int(year))
     return (df.withColumn("_ingestion_timestamp", ts)
               .withColumn("_ingestion_date", day)
               .withColumn("_source_year", year_col)
