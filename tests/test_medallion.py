@@ -28,6 +28,11 @@ def test_flow_matches_the_relational_twin(spark, tmp_dir):
     twin = B.core_twin(spark, SF_SMALL).select(cols)
     assert core.select(cols).exceptAll(twin).count() == 0 and twin.exceptAll(core.select(cols)).count() == 0
     assert aff.count() == B.affected_twin(spark, SF_SMALL).count()
+    import glob
+
+    import pyarrow.parquet as pq
+    some_file = glob.glob(f"{layout.core}/*.parquet")[0]
+    assert pq.ParquetFile(some_file).metadata.row_group(0).column(0).compression == "ZSTD"
     reports = gold_reports(core, aff, as_of=B.AS_OF)
     assert reports["g9_1_kpi_summary"].first().total_unique_cves == core.count()
     assert reports["g8_2_orphan_count"].first().orphaned_count == 0
