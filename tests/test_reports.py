@@ -116,3 +116,20 @@ def test_vendor_reports_fan_out(spark):
     assert [(x.cve_id, x.affected_vendor_count, x.affected_product_count) for x in d] == [("CVE-2024-0001", 1, 2)]
     lone = core_frame(spark, [_r(7, 9.9, "CRITICAL")])
     assert op.critical_detail(lone, aff).first().affected_vendor_count == 0
+
+
+def test_severity_share_counts_only_remaining_rows(spark):
+    rows = [_r(1, 9.5, "CRITICAL", rating="CRITICAL"), _r(2, 7.0, "HIGH", rating="HIGH"),
+            _r(3, None, "UNSCORED", rating="UNKNOWN"), _r(4, None, "UNSCORED", rating=None)]
+    prof = {r.cvss_severity_rating: float(r.percentage) for r in op.severity_profile(core_frame(spark, rows)).collect()}
+    assert prof == {"CRITICAL": 50.0, "HIGH": 50.0}  # UNKNOWN and NULL are outside the denominator
+
+
+def test_product_placeholder_counts_as_a_product(spark):
+    from vulnlake import schemas as S
+    aff = spark.createDataFrame([("CVE-1", "v", None), ("CVE-2", "w", "p")],
+                                "cve_id string, vendor_name string, product_name string")
+    filled = op.fill_defaults(aff, S.AFFECTED_DEFAULTS)
+    core = core_frame(spark, [_r(1, 5.0, "MEDIUM")])
+    assert op.kpi_summary(core, filled).first().total_products == 2
+    assert op.kpi_summary(core, aff).first().total_products == 1
