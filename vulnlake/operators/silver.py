@@ -110,7 +110,9 @@ def with_band(df: DataFrame, col: str = "cvss_base_score", out: str = "risk_cate
 
 
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
-    return df.fillna(defaults)
+    """``{column: value}`` for NULLs; defaults for columns the frame does not have are skipped."""
+    present = {c: v for c, v in defaults.items() if c in df.columns}
+    return df.fillna(present) if present else df
 
 
 def with_processing_time(df: DataFrame, at=None, out: str = "silver_transform_timestamp") -> DataFrame:
