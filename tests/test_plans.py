@@ -82,3 +82,14 @@ def test_fan_out_is_aggregated_before_the_join(spark, silver_paths):
     # the per-record distinct counts are grouped on (id, value) pairs first: a hot id spreads over tasks
     assert any("vendor_name" in e and "cve_id" in e for e in exchanges(text))
     assert "LeftOuter" in text and not any(f in text for f in FORBIDDEN)
+
+
+def test_critical_detail_broadcast_only_below_the_checked_bound(spark, silver_paths):
+    core, aff = (spark.read.parquet(p) for p in silver_paths)
+    small = op.critical_detail(core, aff, n=1000)
+    text = plan(small)
+    assert re.search(r"BroadcastHashJoin[^\n]*LeftSemi", text)
+    assert any("vendor_name" in e and "cve_id" in e for e in exchanges(text))  # hot ids still spread
+    unbounded = op.critical_detail(core, aff, n=1000, max_broadcast_ids=0)
+    assert "LeftSemi" not in plan(unbounded)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, unbounded.collect()))
