@@ -24,8 +24,9 @@ from vulnlake.sources import read_table  # noqa: E402
 NOTES = {
     "build_core": "silver core: one exchange (the ten-key merge); JSON parsing and CVSS folds are one projection.",
     "build_affected": "silver affected: projection + generator, no exchange.",
-    "critical_detail (G5.1)": "affected aggregated per record before the left join; distinct counts grouped on "
-                              "(record, value) pairs first.",
+    "critical_detail (G5.1)": "the band's ids (count-checked) are broadcast-semi-joined into the affected scan, "
+                              "which is then aggregated per record before the left join; the distinct counts "
+                              "are grouped on (record, value) pairs first.",
     "vendor_risk_profile (G5.2)": "inner join left to AQE (broadcast here because core's pruned side is small).",
     "key_coverage (G8.1)": "no join: tagged key union, per-key aggregate, global sum.",
     "kpi_summary (G9.1)": "one aggregate per table, stacked and collapsed: two scans, no join.",
