@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_defaults
+from .decontaminate import op6_decontamination
+from .extract import op2_main_text
+from .fingerprint import op5_fingerprint
 from .packing import op3_packing
+from .quality import op1_quality
 from .secret_ledger import op7_secret_ledger
 from .warc import op9_warc
 
@@ -21,7 +25,11 @@ def _bound(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 QUERIES = {fn.__name__: _bound(fn) for fn in (
+    op1_quality,
+    op2_main_text,
     op3_packing,
+    op5_fingerprint,
+    op6_decontamination,
     op7_secret_ledger,
     op9_warc,
 )}

@@ -87,7 +87,8 @@ def update_ledger(versions: DataFrame, ledger_path: str, text_col: str = "text",
     spark = versions.sparkSession
     blobs = versions.select(address(text_col).alias("blob"), text_or_empty(text_col).alias("text"))
     seen = read_ledger(spark, ledger_path).where(F.col("rule_version") == rule_version).select("blob")
-    unseen = blobs.join(seen, "blob", "left_anti").groupBy("blob").agg(F.first("text").alias("text"))
+    # copies collapse map-side before anything else is joined
+    unseen = blobs.groupBy("blob").agg(F.first("text").alias("text")).join(seen, "blob", "left_anti")
     scan_blobs(unseen, rules, rule_version).write.mode("append").parquet(ledger_path)
     return read_ledger(spark, ledger_path)
 
