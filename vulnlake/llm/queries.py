@@ -10,6 +10,7 @@ from ..session import apply_defaults
 from .decontaminate import op6_decontamination
 from .extract import op2_main_text
 from .fingerprint import op5_fingerprint
+from .near_dedup import op4_near_dedup
 from .packing import op3_packing
 from .quality import op1_quality
 from .secret_ledger import op7_secret_ledger
@@ -28,6 +29,7 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op1_quality,
     op2_main_text,
     op3_packing,
+    op4_near_dedup,
     op5_fingerprint,
     op6_decontamination,
     op7_secret_ledger,
