@@ -10,6 +10,7 @@ from ..session import apply_defaults
 from .decontaminate import op6_decontamination
 from .extract import op2_main_text
 from .fingerprint import op5_fingerprint
+from .lm_score import op10_lm_score
 from .near_dedup import op4_near_dedup
 from .packing import op3_packing
 from .quality import op1_quality
@@ -34,6 +35,7 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op6_decontamination,
     op7_secret_ledger,
     op9_warc,
+    op10_lm_score,
 )}
 
 ORACLES: dict[str, str] = {}
