@@ -15,6 +15,7 @@ from .near_dedup import op4_near_dedup
 from .packing import op3_packing
 from .quality import op1_quality
 from .secret_ledger import op7_secret_ledger
+from .suffix_dedup import op8_suffix_dedup
 from .warc import op9_warc
 
 
@@ -34,6 +35,7 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op5_fingerprint,
     op6_decontamination,
     op7_secret_ledger,
+    op8_suffix_dedup,
     op9_warc,
     op10_lm_score,
 )}
