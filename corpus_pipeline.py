@@ -1,27 +1,49 @@
-"""A training-data pipeline over ``documents``: each stage is one operator of ``vulnlake.llm``."""
+"""A training-data pipeline over ``documents``: every stage is one operator of ``vulnlake.llm``, works on what
+its predecessor kept, and its decisions take effect. All stages but the last return the columns of documents."""
 
 from __future__ import annotations
 
 import os
 import sys
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 _HERE = os.path.dirname(os.path.abspath(__file__))
-if _HERE not in sys.path:
+if _HERE not in sys.path:  # importable however this file is loaded
     sys.path.insert(0, _HERE)
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-
 from vulnlake.llm.common import scratch_path, stored, table  # noqa: E402
+from vulnlake.llm.decontaminate import contamination  # noqa: E402
+from vulnlake.llm.near_dedup import keep_one_each  # noqa: E402
 from vulnlake.llm.packing import pack  # noqa: E402
+from vulnlake.llm.quality import keep_good  # noqa: E402
 from vulnlake.llm.secret_ledger import redact  # noqa: E402
+from vulnlake.session import apply_defaults  # noqa: E402
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the trees score below 0.5 go."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one with the smallest id."""
+    return keep_one_each(docs)
+
 
-from pyspark.sql import functions as F  # noqa: E402
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go; they are known by id and text, so rows without an id go as well."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = stored(found.where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(),
+                 "contaminated")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_hash")), "left_anti")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; the documents stay."""
-    out = redact(docs, scratch_path(spark, "pipeline-ledger"))
-    return out.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
+    """Every secret is replaced by a mark; the documents stay."""
+    clean = redact(docs, scratch_path(spark, "pipeline-ledger"))
+    return clean.withColumn("n_chars", F.char_length("text").cast(clean.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +52,20 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
+    ("near-dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
     ("secret scans", secret_scans),
     ("best-fit packing", best_fit_packing),
 ]
 
-# Classification, connected components and packing have no SQL form; tests hold the stages to brute force.
+# Trained trees, components and packing have no SQL form; tests hold every stage to brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order; each stage's result is written to the shared folder and read again."""
+    apply_defaults(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))

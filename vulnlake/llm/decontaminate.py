@@ -36,9 +36,9 @@ def words_of(text: str) -> Column:
 
 
 def stored_words(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` -> stored ``(row, doc_id, n_words, words)``."""
-    words = docs.select("doc_id", words_of("text").alias("words"))
-    return stored(words.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+    """``(doc_id, text)`` -> stored ``(row, doc_id, text_hash, n_words, words)``."""
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of("text").alias("words"))
+    return stored(words.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash",
                                F.size("words").cast("bigint").alias("n_words"), "words"), "words")
 
 
@@ -112,7 +112,7 @@ def proximity_matches(words: DataFrame, windows: DataFrame, slop: int) -> DataFr
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: row, doc_id, n_words, n_hit, items (sorted item ids), contaminated."""
+    """One row per document: row, doc_id, text_hash, n_words, n_hit, items (sorted item ids), contaminated."""
     words = stored_words(docs)
     windows = stored(test_windows(benchmark, window), "test-windows")
     found = stored(phrase_matches(words, windows), "phrase-matches")
@@ -126,9 +126,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     hit = runs.select("row", covered["n"].cast("bigint").alias("n_hit"))
     items = (found.select("row", "win").distinct().join(windows, "win").groupBy("row")
              .agg(F.sort_array(F.collect_set("item_id")).alias("items")))
-    out = words.select("row", "doc_id", "n_words").join(hit.join(items, "row"), "row", "left")
+    out = words.select("row", "doc_id", "text_hash", "n_words").join(hit.join(items, "row"), "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
-    return out.select("row", "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    return out.select("row", "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                       ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 

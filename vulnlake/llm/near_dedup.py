@@ -252,5 +252,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` less near-duplicates: of every component the document with the smallest id stays,
+    and of several rows with that id the one with the smallest text. Rows without an id stay."""
+    found = near_duplicates(docs)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    dropped = found.where("not kept").select("doc_id")
+    leave = stored(dropped.unionByName(repeated).distinct(), "near-dropped")
+    several = stored(repeated.join(dropped, "doc_id", "left_anti"), "near-repeated")
+    once = (docs.join(several, "doc_id", "left_semi")
+            .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("r")).select("r.*"))
+    return docs.join(leave, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -192,5 +193,22 @@ def classify(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **options
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **options) -> DataFrame:
+    """The rows of ``docs`` that the classifier, fitted on ``docs`` and ``labels``, does not reject."""
+    @F.pandas_udf("array<float>")
+    def measure(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(statistics(t), np.float32) for t in texts])
+
+    measured = stored(docs.withColumn("__x", measure(text_or_empty())), "measured-documents")
+    model = docs.sparkSession.sparkContext.broadcast(
+        fit_on_labels(measured.select("doc_id", F.col("__x").alias("x")), labels, rows, **options))
+
+    @F.pandas_udf("boolean")
+    def good(x: pd.Series) -> pd.Series:
+        return pd.Series(model.value.score(np.stack(x.to_list()).astype(np.float64)) >= 0.5) if len(x) else pd.Series([], dtype=bool)
+
+    return measured.where(good("__x")).select(*docs.columns)
+
+
 def op1_quality(spark, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
