@@ -1,13 +1,14 @@
-"""The operators planned differently from their literal SQL (G5.1, G8.1, G9.1) return the same rows as that
-SQL run by Spark itself, on random tables with NULL keys, duplicate records and orphans."""
+"""The reports that are planned differently from how they read (G5.1, G8.1, G8.2, G9.1) against brute force in
+Python, on random tables with NULL keys, duplicate records and orphans, and on empty ones."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
+from conftest import SF_SMALL
 from vulnlake import operators as op
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
@@ -19,15 +20,11 @@ aff_row = st.tuples(ids, st.sampled_from(["v1", "v2", None]), st.sampled_from(["
 
 
 def _frames(spark, core_rows, aff_rows):
+    records = [(c, s, "CRITICAL" if s is not None and s >= 9 else "HIGH" if s else "UNSCORED", d, t) for c, s, d, t in core_rows]
     core = spark.createDataFrame(
-        [(c, s, "CRITICAL" if s is not None and s >= 9 else "HIGH" if s else "UNSCORED", d, t)
-         for c, s, d, t in core_rows],
-        "cve_id string, cvss_base_score double, risk_category string, cve_description string, "
-        "published_timestamp timestamp")
+        records, "cve_id string, cvss_base_score double, risk_category string, cve_description string, published_timestamp timestamp")
     aff = spark.createDataFrame(aff_rows, "cve_id string, vendor_name string, product_name string")
-    core.createOrReplaceTempView("rw_core")
-    aff.createOrReplaceTempView("rw_aff")
-    return core, aff
+    return records, core, aff
 
 
 def _rows(df):
@@ -35,44 +32,52 @@ def _rows(df):
 
 
 @SETTINGS
-@given(st.lists(core_row, min_size=1, max_size=12), st.lists(aff_row, max_size=20))
-def test_rewrites_equal_literal_sql(spark, core_rows, aff_rows):
-    core, aff = _frames(spark, core_rows, aff_rows)
-
-    # join first, then group on the five record columns (the fan-out form)
-    literal_g51 = spark.sql("""
-        with pairs as (
-            select k.cve_id, k.cvss_base_score, k.risk_category, k.published_timestamp, k.cve_description,
-                   x.vendor_name, x.product_name
-            from rw_core k left join rw_aff x on x.cve_id = k.cve_id
-            where k.risk_category = 'CRITICAL')
-        select cve_id, cvss_base_score, risk_category, to_date(published_timestamp) as published_date,
-               count(distinct vendor_name) as affected_vendor_count,
-               count(distinct product_name) as affected_product_count,
-               substring(cve_description, 1, 80) as description_excerpt
-        from pairs
-        group by cve_description, published_timestamp, risk_category, cvss_base_score, cve_id""")
-    assert _rows(op.critical_detail(core, aff, n=1000)) == _rows(literal_g51)
-
-    # distinct keys counted over the full outer join
-    literal_g81 = spark.sql("""
-        with fo as (select x.cve_id as a_id, y.cve_id as c_id from rw_aff x full join rw_core y on y.cve_id = x.cve_id)
-        select 'Referential Integrity' as check_type, count(distinct a_id) as cves_in_affected_products,
-               count(distinct c_id) as cves_in_core_table, count(distinct a_id) - count(distinct c_id) as difference
-        from fo""")
-    assert _rows(op.key_coverage(aff, core)) == _rows(literal_g81)
-
-    # one scalar subquery per value
-    literal_g91 = spark.sql("""
-        select 'CVE Lakehouse Executive Summary' as report_title,
-               (select count(distinct k.cve_id) from rw_core k) as total_unique_cves,
-               (select count(distinct x.vendor_name) from rw_aff x) as total_vendors,
-               (select count(distinct x.product_name) from rw_aff x) as total_products,
-               (select round(avg(k.cvss_base_score), 2) from rw_core k) as overall_avg_cvss,
-               (select count(1) from rw_core k where k.risk_category = 'CRITICAL') as critical_cves,
-               (select count(1) from rw_core k where k.risk_category = 'HIGH') as high_risk_cves,
-               (select max(k.published_timestamp) from rw_core k) as most_recent_publication""")
-    assert _rows(op.kpi_summary(core, aff)) == _rows(literal_g91)
-
-    literal_g82 = spark.sql("select count(1) as n from rw_aff x left anti join rw_core y on y.cve_id = x.cve_id")
-    assert op.orphan_count(aff, core).first().orphaned_count == literal_g82.first().n
+@given(st.lists(core_row, max_size=12), st.lists(aff_row, max_size=20))
+@example([], [])
+@example([("CVE-1", 9.1, "d1", None)], [])
+@example([], [("CVE-1", "v1", "p1")])
+def test_planned_forms_equal_brute_force(spark, core_rows, aff_rows):
+    records, core, aff = _frames(spark, core_rows, aff_rows)
+
+    detail = []
+    for cve, score, band, text, ts in set(records):
+        if band == "CRITICAL":
+            mine = [r for r in aff_rows if cve is not None and r[0] == cve]
+            detail.append((cve, score, band, ts.date() if ts else None, len({v for _, v, _ in mine if v is not None}),
+                           len({p for _, _, p in mine}), text[:80]))
+    assert _rows(op.critical_detail(core, aff, n=1000)) == sorted(detail, key=repr)
+
+    in_aff, in_core = {r[0] for r in aff_rows} - {None}, {r[0] for r in records} - {None}
+    coverage = [("Referential Integrity", len(in_aff), len(in_core), len(in_aff) - len(in_core))]
+    assert _rows(op.key_coverage(aff, core)) == coverage
+    assert _rows(op.key_coverage(aff, core, method="join")) == coverage
+
+    assert op.orphan_count(aff, core).first().orphaned_count == sum(r[0] not in in_core for r in aff_rows)
+
+    scores = [r[1] for r in records if r[1] is not None]
+    times = [r[4] for r in records if r[4] is not None]
+    kpi = tuple(op.kpi_summary(core, aff).first())
+    assert kpi[:4] == ("CVE Lakehouse Executive Summary", len(in_core), len({r[1] for r in aff_rows} - {None}), len({r[2] for r in aff_rows}))
+    assert kpi[4] is None if not scores else abs(kpi[4] - sum(scores) / len(scores)) <= 0.005 + 1e-9
+    assert kpi[5:] == (sum(r[2] == "CRITICAL" for r in records), sum(r[2] == "HIGH" for r in records), max(times, default=None))
+
+
+def test_reports_on_empty_tables(spark):
+    """Every report runs without rows: grouped ones are empty, totals are one row whose counts are 0 or NULL."""
+    from vulnlake.plans import bindings as B
+    from vulnlake.plans.medallion import gold_reports
+
+    core, aff = B.core_twin(spark, SF_SMALL).limit(0), B.affected_twin(spark, SF_SMALL).limit(0)
+    one_row = {"g1_1_dataset_summary", "g1_2_completeness", "g8_1_key_coverage", "g8_2_orphan_count", "g9_1_kpi_summary",
+               "e1_2_completeness_avg", "e5_1_kpi_summary_rating", "q1_coverage", "q4_table_stats", "q5_integrity_status"}
+    for name, report in gold_reports(core, aff, as_of=B.AS_OF).items():
+        rows = report().collect()
+        assert len(rows) == (name in one_row), name
+        if name in ("g9_1_kpi_summary", "e5_1_kpi_summary_rating"):
+            r = rows[0]
+            assert (r.total_unique_cves, r.total_vendors, r.total_products, r.overall_avg_cvss, r.critical_cves,
+                    r.high_risk_cves, r.most_recent_publication) == (0, 0, 0, None, 0, 0, None)
+        if name == "g8_1_key_coverage":
+            assert tuple(rows[0])[1:] == (0, 0, 0)
+        if name == "g8_2_orphan_count":
+            assert rows[0].orphaned_count == 0

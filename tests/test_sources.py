@@ -4,8 +4,11 @@ profile and preview."""
 from __future__ import annotations
 
 import glob
+import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import doc
@@ -19,34 +22,48 @@ def _write(path, text):
         f.write(text)
 
 
+def indented(text):
+    return json.dumps(json.loads(text), indent=4, ensure_ascii=False)
+
+
 def make_tree(root):
-    _write(f"{root}/2024/0xxx/CVE-2024-0001.json", doc(cve="CVE-2024-0001"))
-    _write(f"{root}/2024/1xxx/CVE-2024-1002.json", doc(cve="CVE-2024-1002"))
-    _write(f"{root}/2024/1xxx/CVE-2024-1003.json", '{"cveMetadata": {"cveId": "CVE-2024-1003"')  # truncated
-    _write(f"{root}/2023/0xxx/CVE-2023-0004.json", doc(cve="CVE-2023-0004"))  # other year
-    _write(f"{root}/2024/notes.json", doc(cve="CVE-2024-9999"))  # name does not match
-    _write(f"{root}/2024/CVE-2024-0005.txt", doc(cve="CVE-2024-0005"))  # not .json
+    """Files as the archive has them: one indented document each."""
+    _write(f"{root}/2024/0xxx/CVE-2024-0001.json", indented(doc(cve="CVE-2024-0001")))
+    _write(f"{root}/2024/1xxx/CVE-2024-1002.json", indented(doc(cve="CVE-2024-1002")))
+    _write(f"{root}/2024/1xxx/CVE-2024-1003.json", '{\n    "cveMetadata": {\n        "cveId": "CVE-2024-1003"\n')  # truncated
+    _write(f"{root}/2024/1xxx/CVE-2024-1004.json", indented(doc(cve="CVE-2024-1004")) + " trailing garbage")
+    _write(f"{root}/2024/1xxx/CVE-2024-1005.json", "\n\t" + indented(doc(cve="CVE-2024-1005")) + "\r\n")
+    _write(f"{root}/2023/0xxx/CVE-2023-0004.json", indented(doc(cve="CVE-2023-0004")))  # other year
+    _write(f"{root}/2024/notes.json", indented(doc(cve="CVE-2024-9999")))  # name does not match
+    _write(f"{root}/2024/CVE-2024-0005.txt", indented(doc(cve="CVE-2024-0005")))  # not .json
 
 
 def test_scan_file_tree(spark, tmp_dir):
     make_tree(tmp_dir)
     good, rejected = scan_documents(spark, tmp_dir, year=2024)
     ids = sorted(r.id for r in good.select(F.get_json_object("value", "$.cveMetadata.cveId").alias("id")).collect())
-    assert ids == ["CVE-2024-0001", "CVE-2024-1002"]
-    bad = rejected.collect()
-    assert len(bad) == 1 and bad[0].source_file.endswith("CVE-2024-1003.json")
+    assert ids == ["CVE-2024-0001", "CVE-2024-1002", "CVE-2024-1005"]
+    bad = {os.path.basename(r.source_file): r for r in rejected.collect()}
+    assert sorted(bad) == ["CVE-2024-1003.json", "CVE-2024-1004.json"]
+    assert bad["CVE-2024-1004.json"].value.endswith("} trailing garbage")  # the whole text is kept
 
 
-def test_scan_cap_counts_only_good_documents(spark, tmp_dir):
-    make_tree(tmp_dir)
-    good, _ = scan_documents(spark, tmp_dir, year=2024, max_records=1)
-    assert good.count() == 1
+@pytest.mark.parametrize("text, good", [
+    ('{"a": 1}', True), (' \t\r\n{"a": 1}\n', True), ('{"a": {"b": [1, "x"]}, "c": null}', True), ("{}", True),
+    (" \n", False), ("null", False), ("1", False), ('"x"', False), ("[]", False), ('[{"a": 1}]', False), ('{"a": 1', False),
+    ('{"a": 1} x', False), ('{"a": 1}, {"a": 2}', False), ('{"a": 1}{"a": 2}', False), ('{"a": 1}], [{"a": 2}', False),
+    ('{"a": 1}]] x', False), ("{a", False)])
+def test_a_document_is_exactly_one_object(spark, tmp_dir, text, good):
+    _write(f"{tmp_dir}/CVE-2024-0001.json", text)
+    for keys in (None, ["a"]):
+        ok, bad = scan_documents(spark, tmp_dir, year=2024, keys=keys)
+        assert (ok.count(), bad.count()) == ((1, 0) if good else (0, 1))
 
 
 def test_scan_all_years_and_lines_layout(spark, tmp_dir):
     make_tree(tmp_dir)
     good, _ = scan_documents(spark, tmp_dir)
-    assert good.count() == 4  # every *.json that parses, any year or name
+    assert good.count() == 5  # every *.json that parses, any year or name
     lines = os.path.join(tmp_dir, "lines")
     _write(f"{lines}/part-0.jsonl", "\n".join([doc(cve="CVE-2024-0001"), "", "[1, 2", doc(cve="CVE-2024-0002")]))
     good, rejected = scan_documents(spark, lines, layout="lines")
@@ -96,7 +113,7 @@ def test_scan_with_keys_flattens_in_the_same_pass(spark, tmp_dir):
     make_tree(tmp_dir)
     cols, rejected = scan_documents(spark, tmp_dir, year=2024, keys=["cveMetadata", "dataType"])
     rows = cols.collect()
-    assert sorted(r.dataType for r in rows) == ["CVE_RECORD", "CVE_RECORD"] and rejected.count() == 1
+    assert [r.dataType for r in rows] == ["CVE_RECORD"] * 3 and rejected.count() == 2
     assert set(cols.columns) == {"source_file", "cveMetadata", "dataType"}
 
 

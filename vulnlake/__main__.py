@@ -1,6 +1,6 @@
 """Command line for the batch flow (run with spark-submit or ``python -m vulnlake``).
 
-    python -m vulnlake ingest  --source DIR --bronze PATH [--year 2024] [--layout file|lines] [--rejected PATH]
+    python -m vulnlake ingest  --source DIR --bronze PATH [--year 2024] [--layout file|lines] [--rejected PATH] [--keys K ...]
     python -m vulnlake silver  --bronze PATH --core PATH --affected PATH
     python -m vulnlake report  --core PATH --affected PATH [--name g3_1_band_profile ...] [--export DIR]
                                [--as-of 2025-11-17] [--show 20]
@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--rejected")
     ing.add_argument("--year", type=int)
     ing.add_argument("--layout", choices=("file", "lines"), default="file")
-    ing.add_argument("--max-records", type=int)
+    ing.add_argument("--keys", nargs="*", help="top-level keys to keep (default: all that occur)")
     sil = sub.add_parser("silver", help="bronze -> core_cves + affected_products")
     sil.add_argument("--bronze", required=True)
     for name in ("core", "affected"):
@@ -49,8 +49,8 @@ def main(argv=None) -> int:
     spark = build_session()
     if args.command == "ingest":
         layout = Layout(bronze=args.bronze, core="", affected="", rejected=args.rejected)
-        ingest_bronze(spark, args.source, layout, year=args.year, doc_layout=args.layout,
-                      max_records=args.max_records)
+        counts = ingest_bronze(spark, args.source, layout, year=args.year, doc_layout=args.layout, keys=args.keys or None)
+        print(f"{counts['documents']} documents, {counts['rejected']} rejected")
     elif args.command == "silver":
         build_silver(spark, Layout(bronze=args.bronze, core=args.core, affected=args.affected, buckets=args.buckets))
     else:
@@ -62,11 +62,12 @@ def main(argv=None) -> int:
             print(f"unknown report(s): {', '.join(unknown)}; available: {', '.join(reports)}", file=sys.stderr)
             return 2
         for name in names:
+            report = reports[name]()
             if args.export:
-                export_csv(reports[name], os.path.join(args.export, name))
+                export_csv(report, os.path.join(args.export, name))
             if args.show:
                 print(f"== {name}")
-                reports[name].show(args.show, truncate=False)
+                report.show(args.show, truncate=False)
     return 0
 
 

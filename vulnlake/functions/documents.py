@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -17,6 +17,12 @@ def json_path(src: str | Column, path: str) -> Column:
     return F.get_json_object(col_of(src), path)
 
 
+def with_parsed(df: DataFrame, parsed: Column, out: str) -> DataFrame:
+    """``df`` with ``parsed`` as column ``out``, evaluated once per row: a one-element generator keeps the
+    optimizer from copying the parse into every place that reads one of its fields."""
+    return df.select("*", F.explode(F.array(parsed)).alias(out))
+
+
 def parse_timestamp(text: str | Column, strict: bool = False) -> Column:
     """ISO-8601 text (zone optional, date-only allowed) to a timestamp; unparsable text is NULL unless strict."""
     c = col_of(text)

@@ -26,7 +26,8 @@ def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
 
 
 def share_of_total(count_col: str | Column, digits: int = 2) -> Column:
-    """Percent of the column total over all rows of an (already aggregated) frame: ``SUM(c) OVER ()``."""
+    """Percent of the column total over all rows of an (already aggregated) frame: ``SUM(c) OVER ()``. The
+    window holds one row per group in one task, so it is for columns of few values (bands, states, days)."""
     c = F.col(count_col) if isinstance(count_col, str) else count_col
     return percent(c, F.sum(c).over(Window.partitionBy()), digits)
 
@@ -41,7 +42,7 @@ def avg_rounded(col: str | Column, digits: int = 2) -> Column:
 
 
 def count_when(cond: Column) -> Column:
-    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)``: 0 (not NULL) when no row matches."""
+    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)``: 0 when no row matches, NULL when there are no rows."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 

@@ -12,15 +12,16 @@ from .. import schemas as S
 def key_coverage(aff: DataFrame, core: DataFrame, key: str = "cve_id", method: str = "union") -> DataFrame:
     """Distinct non-NULL keys on each side and their difference (affected minus core).
 
-    ``method="join"`` is the literal ``FULL OUTER JOIN`` form. The default ``"union"`` gives the same numbers
+    ``method="join"`` is the ``FULL OUTER JOIN`` form, over the distinct keys of each side (a hot key is one
+    row before the join, which could not split it). The default ``"union"`` gives the same numbers
     (every non-NULL key of either side survives a full outer join) with no join at all: tag each side's keys,
     aggregate per key (partial aggregation collapses a hot key map-side), then sum the flags.
     """
     if method == "join":
-        a = aff.select(F.col(key).alias("_a"))
-        c = core.select(F.col(key).alias("_c"))
+        a = aff.select(F.col(key).alias("_a")).distinct()
+        c = core.select(F.col(key).alias("_c")).distinct()
         j = a.join(c, F.col("_a") == F.col("_c"), "full")
-        na, nc = F.count_distinct("_a"), F.count_distinct("_c")
+        na, nc = F.count("_a"), F.count("_c")
         return j.agg(F.lit(S.INTEGRITY_LABEL).alias("check_type"), na.alias("cves_in_affected_products"),
                      nc.alias("cves_in_core_table"), (na - nc).alias("difference"))
     tagged = (aff.select(F.col(key).alias("_k"), F.lit(1).alias("_in_a"), F.lit(0).alias("_in_c"))

@@ -73,8 +73,8 @@ def kpi_summary(core: DataFrame, affected: DataFrame, key: str = "cve_id", score
     core_row = core.agg(
         F.count_distinct(key).alias("total_unique_cves"),
         avg_rounded(score, digits).alias("overall_avg_cvss"),
-        count_when(F.col(band) == "CRITICAL").alias("critical_cves"),
-        count_when(F.col(band) == "HIGH").alias("high_risk_cves"),
+        F.count(F.when(F.col(band) == "CRITICAL", 1)).alias("critical_cves"),  # 0, not NULL, without rows
+        F.count(F.when(F.col(band) == "HIGH", 1)).alias("high_risk_cves"),
         F.max(ts).alias("most_recent_publication"),
     )
     affected_row = affected.agg(F.count_distinct(vendor).alias("total_vendors"),

@@ -92,7 +92,8 @@ def consolidate_scores(df: DataFrame, json_col: str, path: str = "$.cna.metrics"
 
 def merge_duplicates(df: DataFrame, keys=MERGE_KEYS, versions=S.CVSS_VERSIONS) -> DataFrame:
     """Collapse rows equal on ``keys`` taking the max of every score part (one exchange; partial
-    aggregation map-side, so even a hot key ships at most one row per map task)."""
+    aggregation map-side, so even a hot key ships at most one row per map task). ``max`` of text has no hash
+    buffer, so both sides of the exchange are sorted aggregations over the keys; they spill when they must."""
     parts = [_part(c, f) for _, c in versions for f in _FIELDS]
     return df.groupBy(*keys).agg(*[F.max(p).alias(p) for p in parts])
 
@@ -127,7 +128,8 @@ def explode_json_objects(df: DataFrame, json_col: str, path: str | None = None,
     empty array or a non-array value yields one NULL item)."""
     text = J.json_path(json_col, path) if path else F.col(json_col)
     keep_cols = [F.col(k) if isinstance(k, str) else k for k in keep]
-    staged = df.select(*keep_cols, text.alias("_json_text")).filter(F.col("_json_text").isNotNull())
+    # a generator over the texts that exist: the path is read once and NULLs make no row
+    staged = df.select(*keep_cols, F.explode(F.filter(F.array(text), lambda t: t.isNotNull())).alias("_json_text"))
     kept = [c for c in staged.columns if c != "_json_text"]
     return staged.select(*kept, F.explode_outer(J.parse_objects("_json_text")).alias(out))
 
@@ -147,9 +149,10 @@ def affected_products(bronze: DataFrame, at=None, meta_col: str = "cveMetadata",
 def core_rows(bronze: DataFrame, lang: str = "en", versions=S.CVSS_VERSIONS, strict_timestamps: bool = False,
               meta_col: str = "cveMetadata", containers_col: str = "containers") -> DataFrame:
     """Per-document core fields and per-version score parts, before the merge (no shuffle)."""
-    meta = F.from_json(F.col(meta_col), S.META_SCHEMA)
-    cna = F.from_json(F.col(containers_col), S.CNA_SCHEMA)["cna"]
-    rows = bronze.select(
+    parsed = J.with_parsed(bronze, F.from_json(F.col(meta_col), S.META_SCHEMA), "_meta")
+    parsed = J.with_parsed(parsed, F.from_json(F.col(containers_col), S.CNA_SCHEMA)["cna"], "_cna")
+    meta, cna = F.col("_meta"), F.col("_cna")
+    rows = parsed.select(
         *[meta[field].alias(name) for name, field in S.META_FIELDS.items()],
         *[J.parse_timestamp(meta[field], strict_timestamps).alias(name) for name, field in S.TIME_FIELDS.items()],
         J.language_from_json(cna["descriptions"], lang).alias("cve_description"),

@@ -55,33 +55,25 @@ def portfolio_density(aff: DataFrame, vendor: str = "vendor_name", product: str
     return out.orderBy(F.desc("total_vulnerabilities"), F.asc(vendor)).limit(n)
 
 
-MAX_BROADCAST_IDS = 500_000  # ~50 MB as a hashed broadcast relation of record ids
-
-
 def critical_detail(core: DataFrame, aff: DataFrame, n: int = 25, band_value: str = "CRITICAL",
-                    excerpt: int = 80, max_broadcast_ids: int = MAX_BROADCAST_IDS) -> DataFrame:
+                    excerpt: int = 80) -> DataFrame:
     """Records of one risk band with their distinct affected vendor/product counts (0 when none).
 
     Same result as ``core LEFT JOIN aff GROUP BY (id, score, band, time, description)``, planned so that a
-    record with a huge fan-out cannot pin one task: (1) the band's records, distinct on the five columns;
-    (2) affected rows aggregated per id *before* any join (the distinct counts are first grouped on
-    (id, value), which spreads a hot id over many tasks, and partial aggregation shrinks it map-side);
-    (3) a left join that matches at most one count row per record.
-
-    Step (2) only needs the band's ids. Their number is checked first (one scalar); when it is at most
-    ``max_broadcast_ids``, the affected scan is semi-joined to a broadcast of them, which drops the other
-    rows before any shuffle and keeps the scan's own partitioning (so the hot-id spreading still holds).
-    Above the bound, all affected rows are aggregated instead: no broadcast of unchecked size.
+    record with a huge fan-out cannot pin one task: (1) the affected rows become distinct (id, vendor) and
+    (id, product) pairs, which spreads a hot id over many tasks and shrinks it map-side; (2) the pairs are
+    semi-joined to the band's distinct ids and counted per id; (3) a left join matches at most one count row
+    per record. Join strategies are left to adaptive execution.
     """
     five = ["cve_id", "cvss_base_score", "risk_category", "published_timestamp", "cve_description"]
-    in_band = core.filter(F.col("risk_category") == band_value)
-    chosen = in_band.select(*five).distinct()
-    relevant = aff
-    if max_broadcast_ids > 0 and in_band.count() <= max_broadcast_ids:
-        relevant = aff.join(F.broadcast(in_band.select("cve_id")), "cve_id", "left_semi")
-    counts = (relevant.groupBy("cve_id")
-                      .agg(F.count_distinct("vendor_name").alias("affected_vendor_count"),
-                           F.count_distinct("product_name").alias("affected_product_count")))
+    chosen = core.filter(F.col("risk_category") == band_value).select(*five).distinct()
+    tagged = aff.select("cve_id", F.explode(F.array(
+        F.struct(F.lit("v").alias("kind"), F.col("vendor_name").alias("name")),
+        F.struct(F.lit("p").alias("kind"), F.col("product_name").alias("name")))).alias("x"))
+    pairs = tagged.select("cve_id", "x.kind", "x.name").where("cve_id is not null and name is not null").distinct()
+    counts = (pairs.join(chosen.select("cve_id").distinct(), "cve_id", "left_semi").groupBy("cve_id")
+              .agg(F.count(F.when(F.col("kind") == "v", 1)).alias("affected_vendor_count"),
+                   F.count(F.when(F.col("kind") == "p", 1)).alias("affected_product_count")))
     joined = chosen.join(counts, "cve_id", "left").fillna(0, ["affected_vendor_count", "affected_product_count"])
     return (joined.orderBy(F.desc_nulls_last("cvss_base_score"), F.desc("affected_vendor_count"),
                            F.asc_nulls_first("cve_id"))

@@ -29,7 +29,9 @@ affected[] (per line)       vendor s_name (absent when s_acctbal < 0), product p
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +51,6 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 SEVERITY_BANDS = S.RISK_BANDS
 SEVERITY_NONE = "NONE"
 VENDOR_URL_PREFIX = "https://vendors.test/"
-MAX_LINES_PER_DOCUMENT = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,29 +124,9 @@ def _description() -> Column:
 # JSON documents
 # ---------------------------------------------------------------------------------------------------
 
-def _per_document(spark: SparkSession, sf_dir: str, lines: DataFrame, limit: int) -> DataFrame:
-    """Per-document arrays of metric and affected entries, keyed by ``l_orderkey``.
-
-    Normally one document per order: group on the order key alone, so the later join with orders reuses
-    this partitioning. Only if some order has more than ``limit`` lines (one scalar, checked on the order-key
-    column of lineitem) are such orders split into several documents of bounded size, which the silver
-    merge folds back into one record, so no single document (or task) has to hold an unbounded order.
-    """
-    arrays = [F.collect_list("m").alias("metrics"), F.collect_list("a").alias("affected")]
-    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    largest = counts.agg(F.max("_n")).first()[0] or 0
-    if largest <= limit:
-        return lines.groupBy("l_orderkey").agg(*arrays)
-    n_chunks = F.ceil(F.col("_n") / F.lit(limit))
-    chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity"), n_chunks)
-    split = (lines.join(counts, "l_orderkey")
-                  .withColumn("_chunk", F.when(F.col("_n") > limit, chunk).otherwise(F.lit(0)))
-                  .repartition("l_orderkey", "_chunk"))
-    return split.groupBy("l_orderkey", "_chunk").agg(*arrays).drop("_chunk")
-
-
-def documents(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_DOCUMENT) -> DataFrame:
-    """One JSON document per order: columns ``doc_year`` (int) and ``value`` (the document text)."""
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per order: columns ``doc_year`` (int) and ``value`` (the document text). Lines are
+    grouped on the order key alone, so the join with orders reuses that partitioning."""
     score = _line_score()
     sev = SC.band(score, SEVERITY_BANDS, SEVERITY_NONE)
     ln = F.col("l_linenumber").cast("string")
@@ -166,7 +147,7 @@ def documents(spark: SparkSession, sf_dir: str, max_lines: int = MAX_LINES_PER_D
         _vendor_url().alias("collectionURL"), F.col("p_brand").alias("packageName"))
     lines = _lines(spark, sf_dir).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                          metric.alias("m"), affected.alias("a"))
-    per_doc = _per_document(spark, sf_dir, lines, max_lines)
+    per_doc = lines.groupBy("l_orderkey").agg(F.collect_list("m").alias("metrics"), F.collect_list("a").alias("affected"))
 
     pub = _published_ntz()
     meta = F.struct(
@@ -193,6 +174,31 @@ def bronze(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, inge
     return with_ingest_metadata(cols, F.col("doc_year"), ingested_at).drop("doc_year")
 
 
+def write_document_files(docs: DataFrame, root: str) -> None:
+    """Render ``docs`` (as ``documents`` makes them) as the archive has them: one indented JSON file each,
+    ``<root>/<year>/<NNN>xxx/<cveId>.json``, written by the tasks.
+
+    Ids ending in 5 begin with white space. Beside each id ending in 00 there are a truncated file, one with
+    text behind the object, and one whose name is no record's.
+    """
+    def write(rows) -> None:
+        fs, base = pafs.FileSystem.from_uri(root)
+        for r in rows:
+            doc = json.loads(r.value)
+            cve = doc["cveMetadata"]["cveId"]
+            folder = f"{base}/{r.doc_year}/{cve.split('-')[2][:3]}xxx"
+            fs.create_dir(folder, recursive=True)
+            text = json.dumps(doc, indent=4, ensure_ascii=False)
+            files = {cve: ("\n\t" if cve.endswith("5") else "") + text}
+            if cve.endswith("00"):
+                files |= {f"{cve}-cut": text[:len(text) // 2], f"{cve}-more": text + " more", f"notes-{cve[-7:]}": text}
+            for name, content in files.items():
+                with fs.open_output_stream(f"{folder}/{name}.json") as f:
+                    f.write(content.encode())
+
+    docs.foreachPartition(write)
+
+
 def bronze_with_redeliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze where every urgent record's document arrives twice in the same load (exact copies)."""
     docs = documents(spark, sf_dir)
@@ -256,6 +262,17 @@ def with_revisions(core: DataFrame) -> DataFrame:
     return core.unionByName(revised)
 
 
-def published_only(core: DataFrame) -> DataFrame:
-    """The published catalogue: affected entries of rejected records become orphans against it."""
-    return core.filter(F.col("publication_state") == "PUBLISHED")
+def with_strays(aff: DataFrame) -> DataFrame:
+    """Affected rows plus, for every product of vendors with a name ending in 7, one entry of a record that
+    core does not have: orphans against the whole core table."""
+    strays = aff.filter(F.col("vendor_name").endswith("7")).withColumn("cve_id", F.concat(F.lit("LOST-"), F.col("cve_id")))
+    return aff.unionByName(strays)
+
+
+def unfilled_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Affected rows before defaults: the vendor always, the product only where the supplier's balance is at
+    least 5000."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    rows = _lines(spark, sf_dir).join(o, F.col("l_orderkey") == F.col("o_orderkey")).where(F.col("s_name").isNotNull())
+    return rows.select(_cve_id().alias("cve_id"), F.col("s_name").alias("vendor_name"),
+                       F.when(F.col("s_acctbal") >= 5000, F.col("p_name")).alias("product_name"))

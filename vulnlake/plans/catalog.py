@@ -9,6 +9,7 @@ Oracle-checked reports round shares and averages to ``DIGITS`` places (see READM
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from pyspark.sql import types as T
 from .. import operators as op
 from ..functions import documents as J
 from ..session import apply_defaults, scratch_path
-from ..sources import read_table, scan_documents, table_profile, to_bronze_columns, write_table
+from .. import schemas as S
+from ..sources import export_csv, preview, read_table, scan_documents, table_profile, to_bronze_columns, write_table
 from ..streaming import run_available, start_bronze_stream
 from . import bindings as B
 
@@ -83,6 +85,24 @@ def _s01(spark, d):
                        J.json_path("value", "$.dataType").alias("data_type"))
 
 
+@query("s01_scan_documents_files")
+def _s01f(spark, d):
+    """One indented file per document, read year by year: good documents by id and state, rejected ones by file
+    name and whether their text was kept to its end."""
+    root = scratch_path(spark, "document-files")
+    docs = B.documents(spark, d)
+    B.write_document_files(docs, root)
+    out = None
+    for row in docs.select("doc_year").distinct().collect():  # one row per year
+        good, rejected = scan_documents(spark, root, year=row["doc_year"])
+        name = F.regexp_extract("source_file", r"([^/]+)\.json$", 1)
+        both = good.select(J.json_path("value", "$.cveMetadata.cveId").alias("name"), F.lit(True).alias("good"),
+                           J.json_path("value", "$.cveMetadata.state").alias("detail")).unionByName(
+            rejected.select(name.alias("name"), F.lit(False).alias("good"), F.col("value").endswith(" more").cast("string").alias("detail")))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 @query("s01_scan_documents_stream")
 def _s01s(spark, d):
     """The same documents ingested incrementally (Structured Streaming, availableNow) into bronze."""
@@ -118,9 +138,31 @@ def _s04(spark, d):
     return read_table(spark, path).select("cve_id", "risk_category", "cvss_base_score", "published_timestamp")
 
 
+@query("s04_table_catalog")
+def _s04c(spark, d):
+    """The same table by name, in a database of the catalog."""
+    name = f"vulnlake_queries.core_{uuid.uuid4().hex[:12]}"
+    write_table(_core(spark, d), name)
+    return read_table(spark, name).select("cve_id", "risk_category", "cvss_base_score", "published_timestamp")
+
+
+@query("s05_export_csv")
+def _s05(spark, d):
+    """A report exported as CSV with a header and read back by its column names."""
+    path = scratch_path(spark, "export")
+    report = op.band_profile(_core(spark, d), digits=2)
+    export_csv(report, path)
+    return spark.read.option("header", "true").schema(report.schema).csv(path)
+
+
+@query("s06_preview")
+def _s06p(spark, d):
+    return preview(_core(spark, d).orderBy("cve_id"), n=5, max_cols=10, truncate=12)
+
+
 @query("s06_table_profile")
 def _s06(spark, d):
-    return table_profile(_core(spark, d)).select("n_rows", "n_columns")
+    return table_profile(_core(spark, d).select("cve_id", "data_year", "has_cvss"))
 
 
 # ---- silver --------------------------------------------------------------------------------------
@@ -181,6 +223,11 @@ def _t08(spark, d):
     return _json_core(spark, d).select("cve_id", "cve_description", "cvss_severity_rating", "cvss_version_used")
 
 
+@query("t09_processing_time")
+def _t09(spark, d):
+    return op.with_processing_time(_core(spark, d).select("cve_id"), at=REPORT_AT)
+
+
 @query("t10_explode_json")
 def _t10(spark, d):
     items = op.explode_json_objects(B.bronze(spark, d), "containers", "$.cna.affected",
@@ -225,7 +272,7 @@ def _q4(spark, d):
 
 @query("q5_integrity_status")
 def _q5(spark, d):
-    return op.integrity_status(_aff(spark, d), B.published_only(_core(spark, d)))
+    return op.integrity_status(B.with_strays(_aff(spark, d)), _core(spark, d))
 
 
 @query("q6_leaderboard")
@@ -244,17 +291,17 @@ def _q7(spark, d):
 
 @query("g1_1_dataset_summary")
 def _g11(spark, d):
-    return op.dataset_summary(_core(spark, d), digits=DIGITS)
+    return op.dataset_summary(_core(spark, d), digits=2)
 
 
 @query("g1_2_completeness")
 def _g12(spark, d):
-    return op.completeness(_core(spark, d), digits=DIGITS)
+    return op.completeness(_core(spark, d), digits=2)
 
 
 @query("g1_3_category_share")
 def _g13(spark, d):
-    return op.category_share(_core(spark, d), digits=DIGITS)
+    return op.category_share(_core(spark, d), digits=2)
 
 
 @query("g2_1_daily_trend")
@@ -269,22 +316,22 @@ def _g22(spark, d):
 
 @query("g2_3_weekday_pattern")
 def _g23(spark, d):
-    return op.weekday_pattern(_core(spark, d), digits=DIGITS)
+    return op.weekday_pattern(_core(spark, d), digits=2)
 
 
 @query("g3_1_band_profile")
 def _g31(spark, d):
-    return op.band_profile(_core(spark, d), digits=DIGITS)
+    return op.band_profile(_core(spark, d), digits=2)
 
 
 @query("g3_2_version_usage")
 def _g32(spark, d):
-    return op.version_usage(_core(spark, d), digits=DIGITS)
+    return op.version_usage(_core(spark, d), digits=2)
 
 
 @query("g3_3_severity_profile")
 def _g33(spark, d):
-    return op.severity_profile(_core(spark, d), digits=DIGITS)
+    return op.severity_profile(_core(spark, d), digits=2)
 
 
 @query("g3_4_top_records")
@@ -294,7 +341,7 @@ def _g34(spark, d):
 
 @query("g4_1_vendor_leaderboard")
 def _g41(spark, d):
-    return op.vendor_leaderboard(_aff(spark, d), digits=DIGITS)
+    return op.vendor_leaderboard(_aff(spark, d), digits=2)
 
 
 @query("g4_2_product_priority")
@@ -304,7 +351,7 @@ def _g42(spark, d):
 
 @query("g4_3_portfolio_density")
 def _g43(spark, d):
-    return op.portfolio_density(_aff(spark, d), digits=DIGITS)
+    return op.portfolio_density(_aff(spark, d), digits=2)
 
 
 @query("g5_1_critical_detail")
@@ -319,7 +366,15 @@ def _g52(spark, d):
 
 @query("g6_1_batch_days")
 def _g61(spark, d):
-    return op.batch_days(_core(spark, d), bounds=(10, 7, 5, 2), digits=DIGITS)
+    return op.batch_days(_core(spark, d), digits=DIGITS)
+
+
+@query("g6_1_batch_days_lines")
+def _g61l(spark, d):
+    """Order lines by ship date: groups large enough for every label."""
+    lines = B.table(spark, d, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag", "l_quantity")
+    return op.batch_days(lines, ts="l_shipdate", key="l_orderkey", band="l_returnflag", high=("R", "A"), score="l_quantity",
+                         digits=DIGITS)
 
 
 @query("g6_2_org_activity")
@@ -339,17 +394,17 @@ def _g72(spark, d):
 
 @query("g8_1_key_coverage")
 def _g81(spark, d):
-    return op.key_coverage(_aff(spark, d), B.published_only(_core(spark, d)))
+    return op.key_coverage(B.with_strays(_aff(spark, d)), _core(spark, d))
 
 
 @query("g8_1_key_coverage_join")
 def _g81j(spark, d):
-    return op.key_coverage(_aff(spark, d), B.published_only(_core(spark, d)), method="join")
+    return op.key_coverage(B.with_strays(_aff(spark, d)), _core(spark, d), method="join")
 
 
 @query("g8_2_orphan_count")
 def _g82(spark, d):
-    return op.orphan_count(_aff(spark, d), B.published_only(_core(spark, d)))
+    return op.orphan_count(B.with_strays(_aff(spark, d)), _core(spark, d))
 
 
 @query("g8_3_duplicate_keys")
@@ -366,12 +421,12 @@ def _g91(spark, d):
 
 @query("e1_2_completeness_avg")
 def _e12(spark, d):
-    return op.completeness(_core(spark, d), score="cvss_base_score", digits=DIGITS)
+    return op.completeness(_core(spark, d), score="cvss_base_score", digits=2)
 
 
 @query("e1_3_category_share_nonnull")
 def _e13(spark, d):
-    return op.category_share(_core(spark, d), drop_null=True, digits=DIGITS)
+    return op.category_share(_core(spark, d), by="assigning_org_name", drop_null=True, digits=2)
 
 
 @query("e2_1_daily_trend_rating")
@@ -387,13 +442,13 @@ def _e22(spark, d):
 
 @query("e3_1_rating_profile")
 def _e31(spark, d):
-    return op.band_profile(_core(spark, d), band="cvss_severity_rating", drop_null=True, digits=DIGITS)
+    return op.band_profile(_core(spark, d), band="cvss_severity_rating", drop_null=True, digits=2)
 
 
 @query("e3_2_version_usage_rating")
 def _e32(spark, d):
     return op.version_usage(_core(spark, d), band="cvss_severity_rating", levels=("CRITICAL", "HIGH"),
-                            drop_null=True, digits=DIGITS)
+                            drop_null=True, digits=2)
 
 
 @query("e3_4_top_records_assigner")
@@ -403,12 +458,20 @@ def _e34(spark, d):
 
 @query("e4_1_vendor_leaderboard_guarded")
 def _e41(spark, d):
-    return op.vendor_leaderboard(_aff(spark, d), digits=DIGITS)
+    """Products before defaults are filled, known only for vendors in credit: the others divide by zero."""
+    return op.vendor_leaderboard(B.unfilled_products(spark, d), n=200, digits=2)
 
 
 @query("e4_3_portfolio_risk")
 def _e43(spark, d):
-    return op.portfolio_density(_aff(spark, d), risk_bounds=(620, 580), digits=DIGITS)
+    return op.portfolio_density(_aff(spark, d), risk_bounds=S.VENDOR_RISK_BOUNDS, digits=2)
+
+
+@query("e4_3_portfolio_risk_by_year")
+def _e43y(spark, d):
+    """A vendor's records of one year: groups on both sides of the bounds."""
+    yearly = _aff(spark, d).withColumn("vendor_name", F.concat("vendor_name", F.lit("/"), F.substring("cve_id", 5, 4)))
+    return op.portfolio_density(yearly, risk_bounds=S.VENDOR_RISK_BOUNDS, n=200, digits=2)
 
 
 @query("e5_1_kpi_summary_rating")
@@ -427,7 +490,7 @@ def _g21e(spark, d):
 
 @query("g2_3_weekday_pattern_events")
 def _g23e(spark, d):
-    return op.weekday_pattern(_events(spark, d), ts="ts", score="value", digits=DIGITS)
+    return op.weekday_pattern(_events(spark, d), ts="ts", score="value", digits=2)
 
 
 @query("g6_1_batch_days_events")

@@ -7,6 +7,7 @@ bucketing is requested.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import schemas as S
-from ..sources import read_table, scan_documents, to_bronze_columns, with_ingest_metadata, write_table
+from ..session import scratch_path
+from ..sources import read_table, to_bronze_columns, with_ingest_metadata, write_table
+from ..sources.documents import _with_scan_options, parse_documents, rejected_documents
 
 
 @dataclass
@@ -50,10 +53,12 @@ def _session_conf(spark: SparkSession, key: str, value: str | None):
 
 
 def ingest_bronze(spark: SparkSession, source_dir: str, layout: Layout, year=None, keys=None, doc_layout="file",
-                  max_records=None, ingested_at=None, source_year=None,
-                  open_cost_bytes: int | None = SMALL_FILE_OPEN_COST) -> None:
+                  ingested_at=None, source_year=None, open_cost_bytes: int | None = SMALL_FILE_OPEN_COST) -> dict[str, int]:
     """Scan documents, flatten them to text columns, stamp metadata, write bronze (partitioned by source
-    year) and, if configured, the rejected files.
+    year) and, if configured, the rejected documents. Returns ``{"documents": n, "rejected": n}``.
+
+    The source is read once: what the scan finds is staged in the shared folder, and the keys, bronze and the
+    rejected documents come from there.
 
     One document per file means many tiny files: Spark charges ``spark.sql.files.openCostInBytes`` (4 MB by
     default) per file when packing splits, which would put only ~32 documents in a task. For the file layout
@@ -64,42 +69,35 @@ def ingest_bronze(spark: SparkSession, source_dir: str, layout: Layout, year=Non
         open_cost_bytes = None
     with _session_conf(spark, "spark.sql.files.openCostInBytes",
                        None if open_cost_bytes is None else str(open_cost_bytes)):
-        _ingest(spark, source_dir, layout, year, keys, doc_layout, max_records, ingested_at, source_year)
-
-
-def _ingest(spark, source_dir, layout, year, keys, doc_layout, max_records, ingested_at, source_year) -> None:
-    if keys is None:  # discover the key union first (one pass over the good documents)
-        good, rejected = scan_documents(spark, source_dir, year=year, max_records=max_records, layout=doc_layout)
-        cols = to_bronze_columns(good)
-    else:  # one parse both validates and flattens
-        cols, rejected = scan_documents(spark, source_dir, year=year, max_records=max_records, layout=doc_layout,
-                                        keys=keys)
-        cols = cols.drop("source_file")
+        reader = _with_scan_options(spark.read.format("text"), doc_layout, year, None)
+        parsed = parse_documents(reader.load(source_dir), doc_layout, keys)
+        if keys is not None:  # good documents are kept as their columns, rejected ones as their text
+            parsed = parsed.withColumn("value", F.when(~F.col("is_document"), F.col("value")))
+        staged_at = scratch_path(spark, "documents")
+        parsed.write.option("compression", "zstd").parquet(staged_at)
+    staged = spark.read.schema(parsed.schema).parquet(staged_at)
+    counts = staged.agg(F.count(F.when(F.col("is_document"), 1)).alias("documents"),
+                        F.count(F.when(~F.col("is_document"), 1)).alias("rejected")).first().asDict()
+    good = staged.filter("is_document")
+    cols = to_bronze_columns(good) if keys is None else good.select(*keys)
     if source_year is None:
         source_year = year if year is not None else F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
-    bronze = with_ingest_metadata(cols, source_year, ingested_at)
+    # rows of a year go to few tasks, so each writes to few folders; a year of any size is split
+    bronze = with_ingest_metadata(cols, source_year, ingested_at).hint("rebalance", "_source_year")
     write_table(bronze, layout.bronze, fmt=layout.fmt, partition_by="_source_year", compression=layout.compression)
     if layout.rejected:
-        write_table(rejected, layout.rejected, fmt=layout.fmt, compression=layout.compression)
-
+        write_table(rejected_documents(staged), layout.rejected, fmt=layout.fmt, compression=layout.compression)
+    return counts
 
-CORE_ROWS_PER_FILE = 2_000_000
 
-
-def build_silver(spark: SparkSession, layout: Layout, at=None, core_rows_per_file: int = CORE_ROWS_PER_FILE) -> None:
-    """bronze -> core_cves and affected_products.
-
-    Core rows are sorted by publication time within each task and written in files of at most
-    ``core_rows_per_file`` rows, so every file (and row group) covers a contiguous time slice and time-range
-    reports skip the rest through parquet min/max statistics. This needs no extra shuffle: the sort is local
-    to the merge's output partitions.
-    """
+def build_silver(spark: SparkSession, layout: Layout, at=None) -> None:
+    """bronze -> core_cves and affected_products. Core rows are sorted by publication time within each task, so
+    the row groups of a file cover time slices that time-range reports can skip."""
     bronze = read_table(spark, layout.bronze, layout.fmt)
     core = op.build_core(bronze, at=at).sortWithinPartitions("published_timestamp")
     affected = op.build_affected(bronze, at=at)
     bucket = (layout.buckets, ["cve_id"]) if layout.buckets else None
-    write_table(core, layout.core, fmt=layout.fmt, bucket_by=bucket, max_records_per_file=core_rows_per_file,
-                compression=layout.compression)
+    write_table(core, layout.core, fmt=layout.fmt, bucket_by=bucket, compression=layout.compression)
     write_table(affected, layout.affected, fmt=layout.fmt, bucket_by=bucket, compression=layout.compression)
 
 
@@ -107,47 +105,48 @@ def silver_tables(spark: SparkSession, layout: Layout) -> tuple[DataFrame, DataF
     return read_table(spark, layout.core, layout.fmt), read_table(spark, layout.affected, layout.fmt)
 
 
-def gold_reports(core: DataFrame, aff: DataFrame, as_of=None, digits: int = 2) -> dict[str, DataFrame]:
-    """Every gold report (and exploratory variant) with the analysed pipeline's default parameters."""
+def gold_reports(core: DataFrame, aff: DataFrame, as_of=None, digits: int = 2) -> dict[str, Callable[[], DataFrame]]:
+    """Every gold report (and exploratory variant) with the analysed pipeline's default parameters, by name: call
+    one to plan it."""
     d = digits
     return {
-        "g1_1_dataset_summary": op.dataset_summary(core, digits=d),
-        "g1_2_completeness": op.completeness(core, digits=d),
-        "g1_3_category_share": op.category_share(core, digits=d),
-        "g2_1_daily_trend": op.daily_trend(core, digits=d),
-        "g2_2_monthly_rollup": op.monthly_rollup(core, digits=d),
-        "g2_3_weekday_pattern": op.weekday_pattern(core, digits=d),
-        "g3_1_band_profile": op.band_profile(core, digits=d),
-        "g3_2_version_usage": op.version_usage(core, digits=d),
-        "g3_3_severity_profile": op.severity_profile(core, digits=d),
-        "g3_4_top_records": op.top_records(core),
-        "g4_1_vendor_leaderboard": op.vendor_leaderboard(aff, digits=d),
-        "g4_2_product_priority": op.product_priority(aff),
-        "g4_3_portfolio_density": op.portfolio_density(aff, digits=d),
-        "g5_1_critical_detail": op.critical_detail(core, aff),
-        "g5_2_vendor_risk_profile": op.vendor_risk_profile(aff, core, digits=d),
-        "g6_1_batch_days": op.batch_days(core, digits=d),
-        "g6_2_org_activity": op.org_activity(core, digits=d),
-        "g7_1_cumulative_series": op.cumulative_series(core, as_of=as_of),
-        "g7_2_recent_activity": op.recent_activity(core, as_of=as_of, digits=d),
-        "g8_1_key_coverage": op.key_coverage(aff, core),
-        "g8_2_orphan_count": op.orphan_count(aff, core),
-        "g8_3_duplicate_keys": op.duplicate_keys(core),
-        "g9_1_kpi_summary": op.kpi_summary(core, aff, digits=d),
-        "e1_2_completeness_avg": op.completeness(core, score="cvss_base_score", digits=d),
-        "e1_3_category_share_nonnull": op.category_share(core, drop_null=True, digits=d),
-        "e2_1_daily_trend_rating": op.daily_trend(core, band="cvss_severity_rating", score="cvss_base_score",
+        "g1_1_dataset_summary": lambda: op.dataset_summary(core, digits=d),
+        "g1_2_completeness": lambda: op.completeness(core, digits=d),
+        "g1_3_category_share": lambda: op.category_share(core, digits=d),
+        "g2_1_daily_trend": lambda: op.daily_trend(core, digits=d),
+        "g2_2_monthly_rollup": lambda: op.monthly_rollup(core, digits=d),
+        "g2_3_weekday_pattern": lambda: op.weekday_pattern(core, digits=d),
+        "g3_1_band_profile": lambda: op.band_profile(core, digits=d),
+        "g3_2_version_usage": lambda: op.version_usage(core, digits=d),
+        "g3_3_severity_profile": lambda: op.severity_profile(core, digits=d),
+        "g3_4_top_records": lambda: op.top_records(core),
+        "g4_1_vendor_leaderboard": lambda: op.vendor_leaderboard(aff, digits=d),
+        "g4_2_product_priority": lambda: op.product_priority(aff),
+        "g4_3_portfolio_density": lambda: op.portfolio_density(aff, digits=d),
+        "g5_1_critical_detail": lambda: op.critical_detail(core, aff),
+        "g5_2_vendor_risk_profile": lambda: op.vendor_risk_profile(aff, core, digits=d),
+        "g6_1_batch_days": lambda: op.batch_days(core, digits=d),
+        "g6_2_org_activity": lambda: op.org_activity(core, digits=d),
+        "g7_1_cumulative_series": lambda: op.cumulative_series(core, as_of=as_of),
+        "g7_2_recent_activity": lambda: op.recent_activity(core, as_of=as_of, digits=d),
+        "g8_1_key_coverage": lambda: op.key_coverage(aff, core),
+        "g8_2_orphan_count": lambda: op.orphan_count(aff, core),
+        "g8_3_duplicate_keys": lambda: op.duplicate_keys(core),
+        "g9_1_kpi_summary": lambda: op.kpi_summary(core, aff, digits=d),
+        "e1_2_completeness_avg": lambda: op.completeness(core, score="cvss_base_score", digits=d),
+        "e1_3_category_share_nonnull": lambda: op.category_share(core, drop_null=True, digits=d),
+        "e2_1_daily_trend_rating": lambda: op.daily_trend(core, band="cvss_severity_rating", score="cvss_base_score",
                                                   limit=60, digits=d),
-        "e2_2_monthly_rollup_min": op.monthly_rollup(core, with_min=True, digits=d),
-        "e3_1_rating_profile": op.band_profile(core, band="cvss_severity_rating", drop_null=True, digits=d),
-        "e3_2_version_usage_rating": op.version_usage(core, band="cvss_severity_rating", levels=("CRITICAL", "HIGH"),
+        "e2_2_monthly_rollup_min": lambda: op.monthly_rollup(core, with_min=True, digits=d),
+        "e3_1_rating_profile": lambda: op.band_profile(core, band="cvss_severity_rating", drop_null=True, digits=d),
+        "e3_2_version_usage_rating": lambda: op.version_usage(core, band="cvss_severity_rating", levels=("CRITICAL", "HIGH"),
                                                       drop_null=True, digits=d),
-        "e3_4_top_records_assigner": op.top_records(core, rating_alias="severity_rating", with_assigner=True),
-        "e4_3_portfolio_risk": op.portfolio_density(aff, risk_bounds=S.VENDOR_RISK_BOUNDS, digits=d),
-        "e5_1_kpi_summary_rating": op.kpi_summary(core, aff, band="cvss_severity_rating", report_time="now", digits=d),
-        "q1_coverage": op.coverage(core, ["cve_description", "cvss_base_score", "published_timestamp"]),
-        "q2_distribution": op.distribution(core, "risk_category"),
-        "q4_table_stats": op.table_stats(aff),
-        "q5_integrity_status": op.integrity_status(aff, core),
-        "q6_leaderboard": op.leaderboard(aff),
+        "e3_4_top_records_assigner": lambda: op.top_records(core, rating_alias="severity_rating", with_assigner=True),
+        "e4_3_portfolio_risk": lambda: op.portfolio_density(aff, risk_bounds=S.VENDOR_RISK_BOUNDS, digits=d),
+        "e5_1_kpi_summary_rating": lambda: op.kpi_summary(core, aff, band="cvss_severity_rating", report_time="now", digits=d),
+        "q1_coverage": lambda: op.coverage(core, ["cve_description", "cvss_base_score", "published_timestamp"]),
+        "q2_distribution": lambda: op.distribution(core, "risk_category"),
+        "q4_table_stats": lambda: op.table_stats(aff),
+        "q5_integrity_status": lambda: op.integrity_status(aff, core),
+        "q6_leaderboard": lambda: op.leaderboard(aff),
     }

@@ -7,19 +7,20 @@ integer arithmetic (DuckDB's ``round`` on doubles misses decimal ties), averages
 
 from __future__ import annotations
 
-DIGITS = 6  # rounding digits used by the oracle-checked queries (see README, "Rounding")
+DIGITS = 6  # averages over small groups (see README, "Rounding")
+USER_DIGITS = 2  # shares, ratios and averages over large groups, as users see them
 AS_OF = "DATE '2001-08-01'"
 EVENTS_AS_OF = "DATE '2024-01-31'"
 REPORT_AT = "TIMESTAMP '2001-08-02 00:00:00'"
 
 
-def pct(a: str, b: str, d: int = DIGITS) -> str:
+def pct(a: str, b: str, d: int = USER_DIGITS) -> str:
     """``ROUND(100.0 * a / b, d)`` HALF_UP, exactly, as DOUBLE; NULL when b = 0."""
     return (f"(CASE WHEN ({b}) = 0 THEN NULL ELSE CAST((CAST({a} AS HUGEINT) * {2 * 100 * 10 ** d} + ({b})) "
             f"// (2 * CAST({b} AS HUGEINT)) AS DOUBLE) / {10 ** d} END)")
 
 
-def ratio(a: str, b: str, d: int = DIGITS) -> str:
+def ratio(a: str, b: str, d: int = USER_DIGITS) -> str:
     """``ROUND(a * 1.0 / NULLIF(b, 0), d)`` HALF_UP, exactly, as DOUBLE."""
     return (f"(CASE WHEN ({b}) = 0 THEN NULL ELSE CAST((CAST({a} AS HUGEINT) * {2 * 10 ** d} + ({b})) "
             f"// (2 * CAST({b} AS HUGEINT)) AS DOUBLE) / {10 ** d} END)")
@@ -111,12 +112,18 @@ line_items AS (
     p.p_brand AS brand
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+vendor_lines AS (
+  SELECT {cve_id('o.o_orderkey', 'o.o_orderdate')} AS cve_id, l.l_orderkey AS orderkey, s.s_name AS vendor, s.s_acctbal >= 0 AS named,
+    CASE WHEN p.p_size <= 48 THEN p.p_name ELSE '[Product name unavailable]' END AS product,
+    CASE WHEN s.s_acctbal >= 5000 THEN p.p_name END AS known_product
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey),
 affected_products AS (
   SELECT cve_id, vendor AS vendor_name, coalesce(product, '[Product name unavailable]') AS product_name,
     coalesce(status, 'unknown') AS vulnerability_status, versions AS affected_versions_json,
     platforms AS affected_platforms_json, url AS vendor_url, brand AS package_identifier
   FROM line_items WHERE vendor IS NOT NULL),
-published_core AS (SELECT * FROM core_cves WHERE publication_state = 'PUBLISHED'),
+strays AS (SELECT 'LOST-' || cve_id AS cve_id FROM line_items WHERE vendor LIKE '%7'),
 revised_core AS (
   SELECT * FROM core_cves
   UNION ALL
@@ -154,7 +161,7 @@ def _daily_trend(src: str, ts: str, key: str, band_col: str, levels, score: str
 def _weekday(src: str, ts: str, score: str) -> str:
     names = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(
         ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"), start=1))
-    return (f", wd AS (SELECT CAST(dayofweek({ts}) + 1 AS INTEGER) AS day_number, COUNT(*) AS n, {avg(score)} AS a "
+    return (f", wd AS (SELECT CAST(dayofweek({ts}) + 1 AS INTEGER) AS day_number, COUNT(*) AS n, {avg(score, USER_DIGITS)} AS a "
             f"FROM {src} WHERE {ts} IS NOT NULL GROUP BY 1) "
             f"SELECT day_number, CASE day_number {names} END AS day_of_week, n AS total_publications, "
             f"a AS avg_cvss_score, {pct('n', 'SUM(n) OVER ()')} AS percentage_of_total FROM wd")
@@ -178,20 +185,28 @@ def _cumulative(src: str, ts: str, score: str, as_of: str) -> str:
 
 
 def _kpi(band_col: str, report: bool) -> str:
+    """All distinct things as one set of tagged values, all scores as one group per band, each read once."""
     extra = f", {REPORT_AT} AS report_generated_at" if report else ""
-    return (f", kc AS (SELECT count(DISTINCT cve_id) AS total_unique_cves, {avg('cvss_base_score')} AS overall_avg_cvss, "
-            f"count(*) FILTER (WHERE {eq(band_col, 'CRITICAL')}) AS critical_cves, "
-            f"count(*) FILTER (WHERE {eq(band_col, 'HIGH')}) AS high_risk_cves, "
-            f"max(published_timestamp) AS most_recent_publication FROM core_cves), "
-            f"ka AS (SELECT count(DISTINCT vendor_name) AS total_vendors, count(DISTINCT product_name) AS total_products "
-            f"FROM affected_products) "
-            f"SELECT 'CVE Lakehouse Executive Summary' AS report_title, kc.total_unique_cves, ka.total_vendors, "
-            f"ka.total_products, kc.overall_avg_cvss, kc.critical_cves, kc.high_risk_cves, "
-            f"kc.most_recent_publication{extra} FROM kc CROSS JOIN ka")
+    return (f""", things AS (
+  SELECT 'record' AS kind, CAST(o_orderkey AS VARCHAR) AS thing FROM orders
+  UNION SELECT 'vendor', vendor FROM line_items WHERE vendor IS NOT NULL
+  UNION SELECT 'product', coalesce(product, '[Product name unavailable]') FROM line_items WHERE vendor IS NOT NULL),
+kinds AS (SELECT map_from_entries(list((kind, n))) AS m FROM (SELECT kind, count(*) AS n FROM things GROUP BY kind)),
+bands AS (
+  SELECT {band_col} AS band, count(*) AS n, count(cvss_base_score) AS scored, sum(cvss_base_score) AS total,
+         max(published_timestamp) AS latest
+  FROM core_cves GROUP BY {band_col})
+SELECT 'CVE Lakehouse Executive Summary' AS report_title,
+  coalesce(any_value(m['record']), 0) AS total_unique_cves, coalesce(any_value(m['vendor']), 0) AS total_vendors,
+  coalesce(any_value(m['product']), 0) AS total_products, round(sum(total) / sum(scored), {DIGITS}) AS overall_avg_cvss,
+  CAST(coalesce(sum(n) FILTER (WHERE band = 'CRITICAL'), 0) AS BIGINT) AS critical_cves,
+  CAST(coalesce(sum(n) FILTER (WHERE band = 'HIGH'), 0) AS BIGINT) AS high_risk_cves,
+  max(latest) AS most_recent_publication{extra}
+FROM bands CROSS JOIN kinds""")
 
 
 def _band_profile(band_col: str, where: str) -> str:
-    return (f", g AS (SELECT {band_col} AS risk_category, COUNT(*) AS n, {avg('cvss_base_score')} AS a, "
+    return (f", g AS (SELECT {band_col} AS risk_category, COUNT(*) AS n, {avg('cvss_base_score', USER_DIGITS)} AS a, "
             f"MIN(cvss_base_score) AS lo, MAX(cvss_base_score) AS hi FROM core_cves {where} GROUP BY 1) "
             f"SELECT risk_category, n AS cve_count, {pct('n', 'SUM(n) OVER ()')} AS percentage, "
             f"a AS avg_cvss_in_category, lo AS min_score, hi AS max_score FROM g")
@@ -200,7 +215,7 @@ def _band_profile(band_col: str, where: str) -> str:
 def _version_usage(band_col: str, levels, where: str) -> str:
     lv = "".join(f", {count_if(eq(band_col, x))} AS {x.lower()}_vulnerabilities" for x in levels)
     names = "".join(f", {x.lower()}_vulnerabilities" for x in levels)
-    return (f", g AS (SELECT cvss_version_used, COUNT(*) AS n, {avg('cvss_base_score')} AS a{lv} "
+    return (f", g AS (SELECT cvss_version_used, COUNT(*) AS n, {avg('cvss_base_score', USER_DIGITS)} AS a{lv} "
             f"FROM core_cves {where} GROUP BY 1) "
             f"SELECT cvss_version_used, n AS usage_count, {pct('n', 'SUM(n) OVER ()')} AS usage_percentage, "
             f"a AS average_score{names} FROM g")
@@ -216,24 +231,24 @@ def _top_records(assigner: bool, rating_alias: str) -> str:
             "substring(cve_description, 1, 100) AS description_preview FROM ranked WHERE rk <= 20")
 
 
-def _vendor_leaderboard() -> str:
-    return (f", g AS (SELECT vendor_name, COUNT(DISTINCT cve_id) AS tv, COUNT(*) AS tpi, "
-            f"COUNT(DISTINCT product_name) AS upa FROM affected_products WHERE vendor_name IS NOT NULL GROUP BY 1) "
-            f"SELECT vendor_name, tv AS total_vulnerabilities, tpi AS total_product_instances, "
+def _vendor_leaderboard(product: str, known: str, n: int) -> str:
+    return (f", g AS (SELECT vendor, COUNT(DISTINCT cve_id) AS tv, COUNT(*) AS tpi, COUNT(DISTINCT {product}) AS upa "
+            f"FROM vendor_lines WHERE {known} GROUP BY vendor) "
+            f"SELECT vendor AS vendor_name, tv AS total_vulnerabilities, tpi AS total_product_instances, "
             f"upa AS unique_products_affected, {ratio('tv', 'upa')} AS avg_cves_per_product FROM g "
-            f"ORDER BY tv DESC, vendor_name ASC LIMIT 25")
+            f"ORDER BY tv DESC, vendor ASC LIMIT {n}")
 
 
-def _portfolio(bounds) -> str:
+def _portfolio(bounds, vendor: str = "vendor_name", n: int = 20) -> str:
     risk = ""
     if bounds:
         risk = (f", CASE WHEN tv > {bounds[0]} THEN 'HIGH RISK' WHEN tv > {bounds[1]} THEN 'MEDIUM RISK' "
                 f"ELSE 'LOW RISK' END AS vendor_risk_level")
-    return (f", g AS (SELECT vendor_name, COUNT(DISTINCT product_name) AS pps, COUNT(DISTINCT cve_id) AS tv "
+    return (f", g AS (SELECT {vendor} AS vendor_name, COUNT(DISTINCT product_name) AS pps, COUNT(DISTINCT cve_id) AS tv "
             f"FROM affected_products WHERE vendor_name IS NOT NULL AND product_name IS NOT NULL GROUP BY 1 "
             f"HAVING COUNT(DISTINCT product_name) >= 3) "
             f"SELECT vendor_name, pps AS product_portfolio_size, tv AS total_vulnerabilities, "
-            f"{ratio('tv', 'pps')} AS vulnerability_density{risk} FROM g ORDER BY tv DESC, vendor_name ASC LIMIT 20")
+            f"{ratio('tv', 'pps')} AS vulnerability_density{risk} FROM g ORDER BY tv DESC, vendor_name ASC LIMIT {n}")
 
 
 ORACLES: dict[str, str] = {}
@@ -253,7 +268,26 @@ _reg("s03_ingest_metadata",
      "TIMESTAMP '2001-08-02 00:00:00' AS _ingestion_timestamp FROM core_cves")
 _reg("s04_table_roundtrip",
      "SELECT cve_id, risk_category, cvss_base_score, published_timestamp FROM core_cves")
-_reg("s06_table_profile", "SELECT COUNT(*) AS n_rows, 18 AS n_columns FROM core_cves")
+ORACLES["s04_table_catalog"] = ORACLES["s04_table_roundtrip"]
+_reg("s01_scan_documents_files",
+     ", rejected AS (SELECT cve_id FROM core_cves WHERE cve_id LIKE '%00') "
+     "SELECT cve_id AS name, TRUE AS good, publication_state AS detail FROM core_cves "
+     "UNION ALL SELECT cve_id || '-cut', FALSE, 'false' FROM rejected "
+     "UNION ALL SELECT cve_id || '-more', FALSE, 'true' FROM rejected")
+_reg("s05_export_csv", _band_profile("risk_category", ""))
+_reg("s06_preview",
+     "SELECT " + ", ".join(f"substring({c}, 1, 12) AS {c}" for c in (
+         "cve_id", "publication_state", "assigning_org_id", "assigning_org_name",
+         "strftime(published_timestamp, '%Y-%m-%d %H:%M:%S')", "strftime(reserved_timestamp, '%Y-%m-%d %H:%M:%S')",
+         "strftime(updated_timestamp, '%Y-%m-%d %H:%M:%S')", "cve_description",
+         "strftime(bronze_ingestion_ts, '%Y-%m-%d %H:%M:%S')", "CAST(data_year AS VARCHAR)"))
+     .replace("AS strftime(published_timestamp, '%Y-%m-%d %H:%M:%S')", "AS published_timestamp")
+     .replace("AS strftime(reserved_timestamp, '%Y-%m-%d %H:%M:%S')", "AS reserved_timestamp")
+     .replace("AS strftime(updated_timestamp, '%Y-%m-%d %H:%M:%S')", "AS updated_timestamp")
+     .replace("AS strftime(bronze_ingestion_ts, '%Y-%m-%d %H:%M:%S')", "AS bronze_ingestion_ts")
+     .replace("AS CAST(data_year AS VARCHAR)", "AS data_year") + " FROM core_cves ORDER BY core_cves.cve_id LIMIT 5")
+_reg("s06_table_profile",
+     "SELECT COUNT(*) AS n_rows, 3 AS n_columns, 'struct<cve_id:string,data_year:int,has_cvss:boolean>' AS schema_ddl FROM orders")
 
 # ---- silver --------------------------------------------------------------------------------------
 _reg("t01_extract_json",
@@ -269,6 +303,7 @@ _reg("t06_presence_flags", "SELECT cve_id, has_description, has_cvss FROM core_c
 _reg("t07_risk_band", "SELECT cve_id, cvss_base_score, risk_category FROM core_cves")
 _reg("t08_fill_defaults",
      "SELECT cve_id, cve_description, cvss_severity_rating, cvss_version_used FROM core_cves")
+_reg("t09_processing_time", f"SELECT cve_id, {REPORT_AT} AS silver_transform_timestamp FROM core_cves")
 _reg("t10_explode_json", "SELECT cve_id, vendor, product, status FROM line_items")
 _reg("t11_affected_products", f"SELECT {AFF_COLS} FROM affected_products")
 _reg("t12_build_core", f"SELECT {CORE_COLS} FROM core_cves")
@@ -291,9 +326,8 @@ _reg("q4_table_stats",
      "COUNT(DISTINCT product_name) + MAX(CASE WHEN product_name IS NULL THEN 1 ELSE 0 END) AS distinct_product_name "
      "FROM affected_products")
 _reg("q5_integrity_status",
-     ", orphans AS (SELECT DISTINCT cve_id FROM affected_products a WHERE NOT EXISTS "
-     "(SELECT 1 FROM published_core c WHERE c.cve_id = a.cve_id)) "
-     "SELECT COUNT(*) AS orphan_keys, CASE WHEN COUNT(*) = 0 THEN 'PASSED' ELSE 'WARNING' END AS status FROM orphans")
+     "SELECT COUNT(*) AS orphan_keys, CASE WHEN COUNT(*) > 0 THEN 'WARNING' ELSE 'PASSED' END AS status "
+     "FROM (SELECT cve_id FROM strays EXCEPT SELECT cve_id FROM core_cves)")
 _reg("q6_leaderboard",
      "SELECT vendor_name, COUNT(DISTINCT cve_id) AS unique_vulnerabilities, COUNT(*) AS total_entries "
      "FROM affected_products GROUP BY 1 ORDER BY 2 DESC, 1 ASC LIMIT 15")
@@ -303,29 +337,29 @@ _reg("q7_layer_counts",
      "UNION ALL SELECT 'Silver - Products', COUNT(*) FROM affected_products")
 
 # ---- gold ----------------------------------------------------------------------------------------
-_reg("g1_1_dataset_summary",
-     ", s AS (SELECT count(*) AS n, count(DISTINCT cve_id) AS u, min(published_timestamp) AS lo, "
-     "max(published_timestamp) AS hi, count(*) FILTER (WHERE publication_state = 'PUBLISHED') AS pub, "
-     "count(*) FILTER (WHERE publication_state = 'REJECTED') AS rej FROM core_cves) "
-     "SELECT 'Dataset Overview' AS metric_category, n AS total_cve_records, u AS unique_cve_identifiers, "
+_reg("g1_1_dataset_summary",  # orders are unique by key, so records are counted by status alone
+     ", by_status AS (SELECT o_orderstatus, count(*) AS n, min(pub) AS first_pub, max(pub) AS last_pub FROM ord GROUP BY o_orderstatus), "
+     "t AS (SELECT CAST(sum(n) AS BIGINT) AS n, min(first_pub) AS lo, max(last_pub) AS hi, "
+     "CAST(coalesce(sum(n) FILTER (WHERE o_orderstatus = 'F'), 0) AS BIGINT) AS rejected FROM by_status) "
+     "SELECT 'Dataset Overview' AS metric_category, n AS total_cve_records, n AS unique_cve_identifiers, "
      "lo AS earliest_publication, hi AS latest_publication, "
-     "CAST(CAST(hi AS DATE) - CAST(lo AS DATE) AS INTEGER) AS coverage_days, pub AS published_cves, "
-     f"rej AS rejected_cves, {pct('pub', 'n')} AS publish_rate_percent FROM s")
+     "CAST(date_diff('day', CAST(lo AS DATE), CAST(hi AS DATE)) AS INTEGER) AS coverage_days, "
+     f"n - rejected AS published_cves, rejected AS rejected_cves, {pct('(n - rejected)', 'n')} AS publish_rate_percent FROM t")
 
 
 def _completeness(with_avg: bool) -> str:
     extra = ", a AS overall_avg_cvss_score" if with_avg else ""
     return (f", q AS (SELECT count(*) AS n, count(cve_id) AS ids, count(*) FILTER (WHERE has_cvss) AS sc, "
-            f"count(*) FILTER (WHERE has_description) AS ds, {avg('cvss_base_score')} AS a FROM core_cves) "
+            f"count(*) FILTER (WHERE has_description) AS ds, {avg('cvss_base_score', USER_DIGITS)} AS a FROM core_cves) "
             "SELECT 'Data Quality Metrics' AS category, n AS total_records, ids AS cve_id_present, "
             "sc AS cvss_scores_available, ds AS descriptions_available, "
             f"{pct('sc', 'n')} AS cvss_coverage_percent, {pct('ds', 'n')} AS description_coverage_percent{extra} FROM q")
 
 
-def _category_share(where: str) -> str:
-    return (f", g AS (SELECT publication_state, COUNT(*) AS n, MIN(published_timestamp) AS f, "
+def _category_share(by: str, where: str) -> str:
+    return (f", g AS (SELECT {by}, COUNT(*) AS n, MIN(published_timestamp) AS f, "
             f"MAX(published_timestamp) AS l FROM core_cves {where} GROUP BY 1) "
-            f"SELECT publication_state, n AS cve_count, {pct('n', 'SUM(n) OVER ()')} AS percentage, "
+            f"SELECT {by}, n AS cve_count, {pct('n', 'SUM(n) OVER ()')} AS percentage, "
             f"f AS first_occurrence, l AS last_occurrence FROM g")
 
 
@@ -339,7 +373,7 @@ def _monthly(with_min: bool) -> str:
 
 
 _reg("g1_2_completeness", _completeness(False))
-_reg("g1_3_category_share", _category_share(""))
+_reg("g1_3_category_share", _category_share("publication_state", ""))
 _reg("g2_1_daily_trend", _daily_trend("core_cves", "published_timestamp", "cve_id", "risk_category",
                                       ("CRITICAL", "HIGH", "MEDIUM"), None, None))
 _reg("g2_2_monthly_rollup", _monthly(False))
@@ -347,46 +381,53 @@ _reg("g2_3_weekday_pattern", _weekday("core_cves", "published_timestamp", "cvss_
 _reg("g3_1_band_profile", _band_profile("risk_category", ""))
 _reg("g3_2_version_usage", _version_usage("risk_category", ("CRITICAL",), ""))
 _reg("g3_3_severity_profile",
-     f", g AS (SELECT cvss_severity_rating, COUNT(*) AS n, {avg('cvss_base_score')} AS a, MIN(cvss_base_score) AS lo, "
+     f", g AS (SELECT cvss_severity_rating, COUNT(*) AS n, {avg('cvss_base_score', USER_DIGITS)} AS a, MIN(cvss_base_score) AS lo, "
      "MAX(cvss_base_score) AS hi FROM core_cves WHERE cvss_severity_rating != 'UNKNOWN' GROUP BY 1) "
      f"SELECT cvss_severity_rating, n AS count, a AS avg_score, lo AS min_score, hi AS max_score, "
      f"{pct('n', 'SUM(n) OVER ()')} AS percentage FROM g")
 _reg("g3_4_top_records", _top_records(False, "cvss_severity_rating"))
-_reg("g4_1_vendor_leaderboard", _vendor_leaderboard())
+_reg("g4_1_vendor_leaderboard", _vendor_leaderboard("product", "named", 25))
 _reg("g4_2_product_priority",
-     ", vp AS (SELECT vendor_name, product_name, count(DISTINCT cve_id) AS k, count(*) AS r FROM affected_products "
-     "WHERE vendor_name IS NOT NULL AND product_name IS NOT NULL GROUP BY ALL) "
-     "SELECT vendor_name, product_name, k AS vulnerability_count, r AS total_records, "
+     ", per_order AS (SELECT vendor, product, orderkey, count(*) AS r FROM vendor_lines WHERE named GROUP BY vendor, product, orderkey), "
+     "per_pair AS (SELECT vendor, product, count(*) AS k, CAST(sum(r) AS BIGINT) AS r FROM per_order GROUP BY vendor, product), "
+     "ranked AS (SELECT *, row_number() OVER (ORDER BY k DESC, vendor, product) AS place FROM per_pair) "
+     "SELECT vendor AS vendor_name, product AS product_name, k AS vulnerability_count, r AS total_records, "
      + label_case("k", (20, 10, 5), ("CRITICAL PRIORITY", "HIGH PRIORITY", "MEDIUM PRIORITY", "LOW PRIORITY"))
-     + " AS priority_level FROM vp ORDER BY k DESC, vendor_name, product_name LIMIT 30")
+     + " AS priority_level FROM ranked WHERE place <= 30")
 _reg("g4_3_portfolio_density", _portfolio(None))
-_reg("g5_1_critical_detail",
-     ", pairs AS (SELECT k.cve_id, k.cvss_base_score, k.risk_category, k.published_timestamp, k.cve_description, "
-     "x.vendor_name, x.product_name FROM core_cves k LEFT JOIN affected_products x ON x.cve_id = k.cve_id "
-     "WHERE k.risk_category = 'CRITICAL'), "
-     "per_record AS (SELECT cve_id, cvss_base_score, risk_category, published_timestamp, cve_description, "
-     "count(DISTINCT vendor_name) AS nv, count(DISTINCT product_name) AS np FROM pairs "
-     "GROUP BY cve_description, published_timestamp, risk_category, cvss_base_score, cve_id) "
-     "SELECT cve_id, cvss_base_score, risk_category, CAST(published_timestamp AS DATE) AS published_date, "
-     "nv AS affected_vendor_count, np AS affected_product_count, substring(cve_description, 1, 80) AS description_excerpt "
-     "FROM per_record ORDER BY cvss_base_score DESC NULLS LAST, nv DESC, cve_id ASC NULLS FIRST LIMIT 25")
-_reg("g5_2_vendor_risk_profile",
-     ", joined_rows AS (SELECT x.vendor_name AS v, x.product_name AS p, k.cve_id AS id, k.cvss_base_score AS s, "
-     "k.risk_category AS b FROM affected_products x JOIN core_cves k ON k.cve_id = x.cve_id "
-     "WHERE x.vendor_name IS NOT NULL AND k.cvss_base_score IS NOT NULL) "
-     f"SELECT v AS vendor_name, count(DISTINCT id) AS total_cves, {avg('s')} AS avg_cvss_score, max(s) AS max_cvss_score, "
-     "count(*) FILTER (WHERE b = 'CRITICAL') AS critical_vulns, count(*) FILTER (WHERE b = 'HIGH') AS high_vulns, "
-     "count(*) FILTER (WHERE b = 'MEDIUM') AS medium_vulns, count(DISTINCT p) AS products_affected "
-     "FROM joined_rows GROUP BY v ORDER BY total_cves DESC, vendor_name LIMIT 20")
+_reg("g5_1_critical_detail",  # one order is one record: count the distinct names in each order's list of lines
+     ", lists AS (SELECT orderkey, list_distinct(list(vendor)) AS vendors, list_distinct(list(product)) AS products "
+     "FROM vendor_lines WHERE named GROUP BY orderkey), "
+     "critical AS (SELECT cve_id, orderkey, cvss_base_score, published_timestamp, descr FROM core_raw WHERE cvss_base_score >= 9), "
+     "counted AS (SELECT c.*, coalesce(len(vendors), 0) AS nv, coalesce(len(products), 0) AS np "
+     "FROM critical c LEFT JOIN lists USING (orderkey)), "
+     "ranked AS (SELECT *, row_number() OVER (ORDER BY cvss_base_score DESC, nv DESC, cve_id) AS place FROM counted) "
+     "SELECT cve_id, cvss_base_score, 'CRITICAL' AS risk_category, CAST(published_timestamp AS DATE) AS published_date, "
+     "nv AS affected_vendor_count, np AS affected_product_count, "
+     "substring(coalesce(descr, '[No description provided]'), 1, 80) AS description_excerpt FROM ranked WHERE place <= 25")
+_reg("g5_2_vendor_risk_profile",  # lines first counted per vendor and order, which has one score
+     ", per_order AS (SELECT vendor, orderkey, count(*) AS r FROM vendor_lines WHERE named GROUP BY vendor, orderkey), "
+     "weighted AS (SELECT vendor, r, cvss_base_score AS s FROM per_order JOIN core_raw USING (orderkey) WHERE cvss_base_score IS NOT NULL), "
+     "names AS (SELECT vendor, count(*) AS products FROM (SELECT DISTINCT vendor, product FROM vendor_lines "
+     "JOIN core_raw USING (orderkey) WHERE named AND cvss_base_score IS NOT NULL) GROUP BY vendor), "
+     f"profile AS (SELECT vendor, count(*) AS n, round(sum(s * r) / sum(r), {D}) AS a, max(s) AS hi, "
+     "CAST(coalesce(sum(r) FILTER (WHERE s >= 9), 0) AS BIGINT) AS c, "
+     "CAST(coalesce(sum(r) FILTER (WHERE s >= 7 AND s < 9), 0) AS BIGINT) AS h, "
+     "CAST(coalesce(sum(r) FILTER (WHERE s >= 4 AND s < 7), 0) AS BIGINT) AS m FROM weighted GROUP BY vendor) "
+     "SELECT vendor AS vendor_name, n AS total_cves, a AS avg_cvss_score, hi AS max_cvss_score, c AS critical_vulns, "
+     "h AS high_vulns, m AS medium_vulns, products AS products_affected FROM profile JOIN names USING (vendor) "
+     "ORDER BY n DESC, vendor LIMIT 20")
 _reg("g6_1_batch_days", _batch_days("core_cves", "published_timestamp", "cve_id", "risk_category",
-                                    ("CRITICAL", "HIGH"), "cvss_base_score", (10, 7, 5, 2)))
-_reg("g6_2_org_activity",
-     f", o AS (SELECT assigning_org_name AS org, count(*) AS n, count(DISTINCT cve_id) AS u, {avg('cvss_base_score')} AS a, "
-     "min(published_timestamp) AS f, max(published_timestamp) AS l FROM core_cves "
-     "WHERE assigning_org_name IS NOT NULL GROUP BY org) "
-     "SELECT org AS assigning_org_name, n AS total_assigned, u AS unique_cves, a AS avg_cvss, f AS first_assignment, "
-     "l AS last_assignment, CAST(CAST(l AS DATE) - CAST(f AS DATE) AS INTEGER) AS activity_span_days "
-     "FROM o ORDER BY n DESC, org LIMIT 20")
+                                    ("CRITICAL", "HIGH"), "cvss_base_score", (20, 10, 5, 2)))
+_reg("g6_1_batch_days_lines", _batch_days("lineitem", "l_shipdate", "l_orderkey", "l_returnflag", ("R", "A"), "l_quantity",
+                                          (20, 10, 5, 2)), twin=False)
+_reg("g6_2_org_activity",  # per nation key, where the customer is in credit; names are joined to the totals
+     ", per_nation AS (SELECT o.c_nationkey AS nk, count(*) AS n, count(c.cvss_base_score) AS scored, sum(c.cvss_base_score) AS total, "
+     "min(o.pub) AS f, max(o.pub) AS l FROM ord o JOIN core_raw c ON c.orderkey = o.o_orderkey WHERE o.c_acctbal >= 0 GROUP BY o.c_nationkey) "
+     "SELECT n_name AS assigning_org_name, n AS total_assigned, n AS unique_cves, "
+     f"round(total / scored, {D}) AS avg_cvss, f AS first_assignment, l AS last_assignment, "
+     "CAST(date_diff('day', CAST(f AS DATE), CAST(l AS DATE)) AS INTEGER) AS activity_span_days "
+     "FROM per_nation JOIN nation ON n_nationkey = nk ORDER BY n DESC, n_name LIMIT 20")
 _reg("g7_1_cumulative_series", _cumulative("core_cves", "published_timestamp", "cvss_base_score", AS_OF))
 _reg("g7_2_recent_activity",
      f"SELECT CAST(published_timestamp AS DATE) AS date, COUNT(*) AS cve_count, "
@@ -396,14 +437,15 @@ _reg("g7_2_recent_activity",
      f"{avg('cvss_base_score')} AS avg_cvss FROM core_cves "
      f"WHERE published_timestamp >= CAST({AS_OF} - INTERVAL 30 DAY AS TIMESTAMP) GROUP BY 1")
 _reg("g8_1_key_coverage",
-     ", fo AS (SELECT x.cve_id AS a_id, y.cve_id AS c_id FROM affected_products x FULL JOIN published_core y "
-     "ON y.cve_id = x.cve_id) "
-     "SELECT 'Referential Integrity' AS check_type, count(DISTINCT a_id) AS cves_in_affected_products, "
-     "count(DISTINCT c_id) AS cves_in_core_table, count(DISTINCT a_id) - count(DISTINCT c_id) AS difference FROM fo")
+     ", a_keys AS (SELECT cve_id FROM line_items WHERE vendor IS NOT NULL UNION SELECT cve_id FROM strays), "
+     "c_keys AS (SELECT DISTINCT o_orderkey FROM orders) "
+     "SELECT 'Referential Integrity' AS check_type, (SELECT count(*) FROM a_keys) AS cves_in_affected_products, "
+     "(SELECT count(*) FROM c_keys) AS cves_in_core_table, (SELECT count(*) FROM a_keys) - (SELECT count(*) FROM c_keys) AS difference")
 ORACLES["g8_1_key_coverage_join"] = ORACLES["g8_1_key_coverage"]
-_reg("g8_2_orphan_count",
-     "SELECT 'Orphaned Products Check' AS validation_check, COUNT(*) AS orphaned_count FROM affected_products ap "
-     "WHERE NOT EXISTS (SELECT 1 FROM published_core cc WHERE cc.cve_id = ap.cve_id)")
+_reg("g8_2_orphan_count",  # every stray, and nothing else, lacks a record
+     "SELECT 'Orphaned Products Check' AS validation_check, count(*) AS orphaned_count FROM lineitem "
+     "JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal >= 0 AND s_name LIKE '%7' "
+     "AND l_orderkey IN (SELECT o_orderkey FROM orders)", twin=False)
 _reg("g8_3_duplicate_keys",
      ", per_key AS (SELECT cve_id, count(*) AS occurrence_count FROM revised_core GROUP BY cve_id) "
      "SELECT cve_id, occurrence_count FROM per_key WHERE occurrence_count > 1")
@@ -411,7 +453,7 @@ _reg("g9_1_kpi_summary", _kpi("risk_category", False))
 
 # ---- exploratory variants ------------------------------------------------------------------------
 _reg("e1_2_completeness_avg", _completeness(True))
-_reg("e1_3_category_share_nonnull", _category_share("WHERE publication_state IS NOT NULL"))
+_reg("e1_3_category_share_nonnull", _category_share("assigning_org_name", "WHERE assigning_org_name IS NOT NULL"))
 _reg("e2_1_daily_trend_rating", _daily_trend("core_cves", "published_timestamp", "cve_id", "cvss_severity_rating",
                                              ("CRITICAL", "HIGH", "MEDIUM"), "cvss_base_score", 60))
 _reg("e2_2_monthly_rollup_min", _monthly(True))
@@ -419,8 +461,9 @@ _reg("e3_1_rating_profile", _band_profile("cvss_severity_rating", "WHERE cvss_se
 _reg("e3_2_version_usage_rating",
      _version_usage("cvss_severity_rating", ("CRITICAL", "HIGH"), "WHERE cvss_version_used IS NOT NULL"))
 _reg("e3_4_top_records_assigner", _top_records(True, "severity_rating"))
-_reg("e4_1_vendor_leaderboard_guarded", _vendor_leaderboard())
-_reg("e4_3_portfolio_risk", _portfolio((620, 580)))
+_reg("e4_1_vendor_leaderboard_guarded", _vendor_leaderboard("known_product", "TRUE", 200))
+_reg("e4_3_portfolio_risk", _portfolio((100, 50)))
+_reg("e4_3_portfolio_risk_by_year", _portfolio((100, 50), "vendor_name || '/' || substring(cve_id, 5, 4)", 200))
 _reg("e5_1_kpi_summary_rating", _kpi("cvss_severity_rating", True))
 
 # ---- second binding: the events table ------------------------------------------------------------

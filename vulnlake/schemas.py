@@ -77,7 +77,6 @@ AFFECTED_FIELDS = {
 DESCRIPTION_SCHEMA = T.ArrayType(T.StructType([
     T.StructField("lang", T.StringType()),
     T.StructField("value", T.StringType()),
-    T.StructField("supportingMedia", T.ArrayType(T.StringType())),
 ]))
 
 _CVSS = T.StructType([
@@ -88,8 +87,7 @@ _CVSS = T.StructType([
 
 
 def metrics_schema(containers=tuple(c for _, c in CVSS_VERSIONS)) -> T.ArrayType:
-    return T.ArrayType(T.StructType([T.StructField(c, _CVSS) for c in containers]
-                                    + [T.StructField("other", T.StringType())]))
+    return T.ArrayType(T.StructType([T.StructField(c, _CVSS) for c in containers]))
 
 
 AFFECTED_SCHEMA = T.ArrayType(T.MapType(T.StringType(), T.StringType()))

@@ -55,8 +55,8 @@ def build_session(master: str | None = None, app: str = "vulnlake", shuffle_part
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root: ``spark.checkpoint.dir`` as configured on the session.
 
-    Only when it is unset (local tests) is a fresh local folder created and registered as the SparkContext
-    checkpoint directory.
+    Only when it is unset on a ``local`` master (tests) is a fresh local folder created and registered as the
+    SparkContext checkpoint directory. A cluster's executors would not see such a folder: there it is an error.
     """
     try:
         sc = spark.sparkContext
@@ -68,12 +68,11 @@ def shared_dir(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="vulnlake-ckpt-")
-    if sc is None:
-        return local
-    sc.setCheckpointDir(local)
+    if sc is None or sc.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="vulnlake-ckpt-"))
     # the context appends a random sub-folder; use what it reports so every path lives under one root
-    return (sc.getCheckpointDir() or local).rstrip("/")
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -14,28 +14,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
+from ..functions import documents as J
 
+MAX_KEYS = 10_000  # more top-level keys than this are refused (they would be columns), never cut
+NOT_A_DOCUMENT = "not exactly one JSON object"
 
-def scan_documents(spark: SparkSession, path: str, year: int | None = None, max_records: int | None = None,
-                   layout: str = "file", name_glob: str | None = None, keys=None) -> tuple[DataFrame, DataFrame]:
+
+def scan_documents(spark: SparkSession, path: str, year: int | None = None, layout: str = "file",
+                   name_glob: str | None = None, keys=None) -> tuple[DataFrame, DataFrame]:
     """Read JSON documents below ``path`` recursively; return ``(good, rejected)``.
 
-    ``layout="file"``: one document per file; with ``year`` only names matching ``*CVE-{year}-*.json`` are
-    read, otherwise every ``*.json``. ``layout="lines"``: one document per line (splittable input, e.g.
-    compacted archives); ``name_glob`` filters file names in both layouts.
+    ``layout="file"``: one document per file, which may span lines; with ``year`` only names matching
+    ``*CVE-{year}-*.json`` are read, otherwise every ``*.json``. ``layout="lines"``: one document per line
+    (splittable input, e.g. compacted archives); ``name_glob`` filters file names in both layouts.
 
-    ``good`` has ``value`` (document text) and ``source_file``; ``rejected`` has ``source_file`` and
-    ``error_text`` (first 200 characters). Only good documents count toward ``max_records``; the cap is a
-    plain ``limit`` (which documents survive it is up to the scan order, as with any directory walk).
-    With ``keys``, good rows come back already flattened to those top-level keys (as ``to_bronze_columns``
-    would), from the same single parse that detects corrupt documents.
+    ``good`` has ``value`` (document text) and ``source_file``; with ``keys`` its rows come back already
+    flattened to those top-level keys (as ``to_bronze_columns`` would), from the parse that checks the
+    document. ``rejected`` has ``source_file``, ``value`` (the whole text) and ``error_text``. Spark's file
+    sources skip files of zero bytes: those are in neither.
     """
-    reader = _with_scan_options(spark.read, layout, year, name_glob)
-    good, rejected = split_documents(reader.text(path), layout, keys)
-    if max_records is not None:
-        good = good.limit(int(max_records))
-    return good, rejected
+    reader = _with_scan_options(spark.read.format("text"), layout, year, name_glob)
+    return split_documents(reader.load(path), layout, keys)
 
 
 def _with_scan_options(reader, layout: str, year: int | None, name_glob: str | None):
@@ -52,28 +51,44 @@ def _with_scan_options(reader, layout: str, year: int | None, name_glob: str | N
     return reader
 
 
-def split_documents(text: DataFrame, layout: str = "file", keys=None) -> tuple[DataFrame, DataFrame]:
-    """Rows of a text scan -> ``(good, rejected)``: good rows hold one JSON object that parses. With
-    ``keys`` the parse that checks the document also extracts those top-level keys as text columns."""
+def parse_documents(text: DataFrame, layout: str = "file", keys=None) -> DataFrame:
+    """Rows of a text scan -> ``source_file``, ``value``, ``is_document`` and the top-level ``keys`` as text.
+
+    A document is exactly one JSON object, with any JSON white space around it. The text is parsed once, as
+    the only element of an array inside an array: text behind the object either breaks the parse or adds an
+    element.
+    """
     raw = text.select("value", F.col("_metadata.file_path").alias("source_file"))
     if layout == "lines":
         raw = raw.filter(F.length(F.trim("value")) > 0)
-    fields = [T.StructField(k, T.StringType()) for k in (keys or ())]
-    schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = raw.withColumn("_doc", F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT,
-                                                                  "mode": "PERMISSIVE"}))
-    ok = F.col("_doc")[CORRUPT].isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
-    good = parsed.filter(ok)
-    good = (good.select("source_file", *[F.col("_doc")[k].alias(k) for k in keys]) if keys
-            else good.drop("_doc"))
-    rejected = parsed.filter(~ok).select("source_file", F.substring("value", 1, 200).alias("error_text"))
-    return good, rejected
-
-
-def discover_keys(docs: DataFrame, value_col: str = "value") -> list[str]:
-    """Union of top-level keys over all documents (a bounded, small set), sorted."""
-    rows = (docs.select(F.explode(F.json_object_keys(value_col)).alias("k"))
-            .distinct().orderBy("k").collect())
+    schema = T.ArrayType(T.ArrayType(T.StructType([T.StructField(k, T.StringType()) for k in (keys or ())]
+                                                  or [T.StructField("_", T.StringType())])))
+    wrapped = F.from_json(F.concat(F.lit("[["), F.col("value"), F.lit("],[]]")), schema)
+    parsed = J.with_parsed(raw, wrapped, "_doc")
+    first = F.get(F.col("_doc"), 0)
+    ok = ((F.size("_doc") == 2) & (F.size(first) == 1) & F.get(first, 0).isNotNull()
+          & F.rtrim("value", F.lit(" \t\r\n")).endswith("}"))
+    return parsed.select("source_file", "value", F.coalesce(ok, F.lit(False)).alias("is_document"),
+                         *[F.get(first, 0)[k].alias(k) for k in (keys or ())])
+
+
+def split_documents(text: DataFrame, layout: str = "file", keys=None) -> tuple[DataFrame, DataFrame]:
+    """``parse_documents`` as ``(good, rejected)``; see ``scan_documents`` for their columns."""
+    parsed = parse_documents(text, layout, keys)
+    good = parsed.filter("is_document").select("source_file", *(keys or ["value"]))
+    return good, rejected_documents(parsed)
+
+
+def rejected_documents(parsed: DataFrame) -> DataFrame:
+    return parsed.filter("not is_document").select("source_file", "value", F.lit(NOT_A_DOCUMENT).alias("error_text"))
+
+
+def discover_keys(docs: DataFrame, value_col: str = "value", max_keys: int = MAX_KEYS) -> list[str]:
+    """Union of top-level keys over all documents, sorted. More than ``max_keys`` is an error: they would
+    become columns."""
+    rows = (docs.select(F.explode(F.json_object_keys(value_col)).alias("k")).distinct().orderBy("k").limit(max_keys + 1).collect())
+    if len(rows) > max_keys:
+        raise ValueError(f"more than {max_keys} distinct top-level keys; pass keys=")
     return [r["k"] for r in rows]
 
 
@@ -82,8 +97,8 @@ def to_bronze_columns(docs: DataFrame, keys=None, value_col: str = "value", keep
     scalars their text, JSON null and absent keys NULL. ``keys=None`` discovers the key union first."""
     keys = list(keys) if keys is not None else discover_keys(docs, value_col)
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys])
-    parsed = F.from_json(F.col(value_col), schema)
-    return docs.select(*[F.col(c) for c in keep], *[parsed[k].alias(k) for k in keys])
+    parsed = J.with_parsed(docs, F.from_json(F.col(value_col), schema), "_doc")
+    return parsed.select(*[F.col(c) for c in keep], *[F.col("_doc")[k].alias(k) for k in keys])
 
 
 def with_ingest_metadata(df: DataFrame, year: int | Column, ingested_at=None, record_id: Column | None = None

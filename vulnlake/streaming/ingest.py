@@ -15,7 +15,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import shared_dir
 from ..sources import with_ingest_metadata
 from ..sources.documents import _with_scan_options, split_documents
 
@@ -36,8 +35,9 @@ def start_bronze_stream(spark: SparkSession, source_dir: str, bronze_path: str,
                         year: int | None = None, max_files_per_trigger: int | None = None,
                         available_now: bool = True) -> list[StreamingQuery]:
     """Start the ingest queries (``availableNow``: process everything new, then stop; otherwise run
-    continuously). Checkpoints default to the session's shared ``spark.checkpoint.dir``."""
-    checkpoint_root = checkpoint_root or os.path.join(shared_dir(spark), "bronze-stream")
+    continuously). Every sink has its own checkpoint, by default beside the bronze table
+    (``<bronze_path>-checkpoint``); rejected documents have one there too."""
+    checkpoint_root = checkpoint_root or bronze_path.rstrip("/") + "-checkpoint"
     cols, rejected = stream_documents(spark, source_dir, layout, year, max_files_per_trigger, keys=keys)
     source_year = year if year is not None else F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
     # ids must stay unique across micro-batches, so derive them from the document's file and text
