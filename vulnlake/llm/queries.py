@@ -12,6 +12,7 @@ from .extract import op2_main_text
 from .fingerprint import op5_fingerprint
 from .lm_score import op10_lm_score
 from .near_dedup import op4_near_dedup
+from .oracles import ORACLES
 from .packing import op3_packing
 from .quality import op1_quality
 from .secret_ledger import op7_secret_ledger
@@ -40,4 +41,4 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op10_lm_score,
 )}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
