@@ -43,7 +43,6 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         return directed.join(low, "u")
 
     cur = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
-    before = None
     while True:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = with_min(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -52,13 +51,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         small = joined.select("u", F.col("m").alias("v")).unionByName(
             joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
         cur = stored(small, label)
-        row = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        state = (row["n"], row["h"])
-        if state == before:
+        # done when all that is left are stars: every node but the roots has one edge, to a root
+        ends = cur.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(cur.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+        nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("low"))
+        if not nodes.agg(F.sum(F.when((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("low") == 0)), 1))).first()[0]:
             break
-        before = state
-    leaves = cur.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
-    roots = cur.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
-    return leaves.unionByName(roots.join(leaves.select("id"), "id", "left_anti"))
-
-
+    leaves = cur.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    return leaves.unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

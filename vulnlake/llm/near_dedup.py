@@ -193,61 +193,71 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(odd <= most_odd_bits()).select("a", "b").distinct()
 
 
-def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(sketch rows, components (id, component))`` of ``docs(doc_id, text)``."""
+def _centre_pairs(still: DataFrame, step: int) -> DataFrame:
+    """One centre per bucket, another one in each round, with every member of another component."""
+    order = F.xxhash64("id", F.lit(step)) if step else F.col("id")
+    centres = still.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "component")).alias("c"))
+    return still.join(centres, "key").where(F.col("component") != F.col("c")["component"]).select(
+        F.col("c")["id"].alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _open_pairs(still: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every pair of one bucket and two components: one member lies outside the bucket's largest component."""
+    largest = groups.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"))
+    outside = still.join(largest, "key").where(F.col("component") != F.col("top")["component"]).select(
+        "key", F.col("id").alias("x"), F.col("component").alias("cx"))
+    return still.join(outside, "key").where(F.col("component") != F.col("cx")).select(
+        F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
+
+
+def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(sketch rows, sets (digest, id), components (id, component))`` of ``docs(doc_id, text)``; ids without
+    links have no component."""
     rows = stored(sketches(docs), "near-sketches")
     named = rows.where("doc_id is not null and digest is not null")
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    same = (named.select("digest", "doc_id").distinct().join(first, "digest").where("doc_id <> id")
-            .select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    # a set is stood for by the row of its smallest id; an id with several texts is one node with several sketches
-    nodes = stored(named.join(first, "digest").where("doc_id = id").select("id", "bands", "sketch"), "near-nodes")
+    first = stored(named.groupBy("digest").agg(F.min("doc_id").alias("id")), "near-first")
+    # the sets of an id with several texts are linked by the id
+    nodes_of = named.select("digest", "doc_id").distinct().join(first, "digest").select("doc_id", "id")
+    several = nodes_of.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("doc_id", "a")
+    links = stored(nodes_of.join(several, "doc_id").where("a < id").select("a", F.col("id").alias("b")).distinct(), "near-same-id")
+    # a set is stood for by the row of its smallest id; an id may stand for several sets, with several sketches
+    nodes = named.join(first, "digest").where("doc_id = id")
     members = nodes.select("id", F.explode("bands").alias("key")).distinct()
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(members.join(crowded, "key"), "near-buckets")
-    wanted = members.select("id").distinct()
+    wanted = stored(members.select("id").distinct(), "near-wanted")
     texts = docs.select(F.col("doc_id").alias("id"), text_or_empty().cast("binary").alias("text"))
     sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi")).where("n > 0").distinct(), "near-sets")
     marks = stored(nodes.select("id", "sketch").join(wanted, "id", "left_semi"), "near-marks")
-
     n_nodes = wanted.count()
-    links, found = None, wanted.select("id", F.col("id").alias("component"))
-    for step in range(ROUNDS + 1):
+    if not n_nodes:
+        return rows, first, components(links, "near-components")
+
+    pairs, last, step = _centre_pairs(members.withColumn("component", F.col("id")), 0), False, 0
+    while True:
+        links = links.unionByName(stored(verified(_likely(pairs, marks), sets), "near-links"))
+        found = components(links, "near-components")
+        step += 1
+        if last:
+            return rows, first, found
         placed = stored(members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "near-placed")
         groups = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
         open_keys = stored(groups.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
                            .where("parts > 1"), "near-open")
-        left = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2)).first()[0] or 0
-        if left == 0:
-            break
+        left = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2)).first()[0]
+        if not left:
+            return rows, first, found
         still = placed.join(open_keys.select("key"), "key")
-        last = step > 0 and left <= max(OPEN_PAIRS, n_nodes) or step == ROUNDS
-        if last:  # every open pair: one member lies outside the bucket's largest component
-            largest = groups.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"))
-            outside = still.join(largest, "key").where(F.col("component") != F.col("top")["component"]).select(
-                "key", F.col("id").alias("x"), F.col("component").alias("cx"))
-            pairs = still.join(outside, "key").where(F.col("component") != F.col("cx")).select(
-                F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
-        else:  # a centre per bucket, another one in each round
-            order = F.xxhash64("id", F.lit(step)) if step else F.col("id")
-            centres = still.groupBy("key").agg(F.min(F.struct(order.alias("o"), "id", "component")).alias("c"))
-            pairs = still.join(centres, "key").where(F.col("component") != F.col("c")["component"]).select(
-                F.col("c")["id"].alias("a"), F.col("id").alias("b")).distinct()
-        good = stored(verified(_likely(pairs, marks), sets), "near-links")
-        links = good if links is None else links.unionByName(good)
-        found = components(links, "near-components")
-        if last:
-            break
-    # copies and rows that share an id join last: they are links as well
-    every = same.unionByName(links) if links is not None else same
-    return rows, components(every, "near-components")
+        last = left <= max(OPEN_PAIRS, n_nodes) or step >= ROUNDS
+        pairs = _open_pairs(still, groups.join(open_keys.select("key"), "key")) if last else _centre_pairs(still, step)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    rows, found = link(docs)
-    out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left")
-    component = F.coalesce("component", "doc_id")
+    rows, first, found = link(docs)
+    named = first.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
