@@ -73,5 +73,5 @@ def test_wrapper_keeps_slots_and_drops_what_stays_the_same(spark):
         assert "the same article" in out[100 + k] and "on every page" in out[100 + k]
     assert (out[200], out[201], out[202]) == ("x", "", "")
     assert x.main_text(pages.limit(0)).count() == 0
-    wrappers = {r.host: r.template for r in x.induce(pages.selectExpr("page_id", "split(url, '/')[2] as host", "coalesce(html, '') as html")).collect()}
+    wrappers = {r.host: r.template for r in x.induce(pages.selectExpr("page_id", "coalesce(get(split(url, '/'), 2), '') as host", "coalesce(html, '') as html")).collect()}
     assert wrappers["one"] == ["/body/div.box"]

@@ -28,9 +28,11 @@ def test_nulls_empty_texts_copies_and_no_labels(spark, docs_of):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     rows = q.classify(docs, none).collect()
     assert len(rows) == 6 and {r.score for r in rows} == {0.5} and all(r.held_out is False for r in rows if r.doc_id is None)
-    one_sided = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (2, 1, 0), (None, 1, 0), (4, None, 0)], none.schema)
-    scores = {r.doc_id: r.score for r in q.classify(docs, one_sided).collect()}
-    assert scores[1] == scores[2] == scores[3] > 0.5  # several labels of an id count as the larger
+    learned = [i for i in range(10, 40) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    docs = docs.unionByName(docs_of([(i, "x") for i in learned]))
+    one_sided = spark.createDataFrame([x for i in learned for x in ((i, 1, 0), (i, 0, 0))] + [(None, 0, 0), (4, None, 0)], none.schema)
+    scores = {r.score for r in q.classify(docs, one_sided).collect()}
+    assert len(scores) == 1 and scores.pop() > 0.99  # several labels of an id count as the larger: all are good
     assert q.classify(docs.limit(0), one_sided).count() == 0
     assert all(np.isfinite(q.statistics(t)).all() and len(q.statistics(t)) == len(q.FEATURES) for t in ("", " ", "\n\n", "é", "a" * 10_000))
 
@@ -38,7 +40,7 @@ def test_nulls_empty_texts_copies_and_no_labels(spark, docs_of):
 def test_traversal_equals_walking_each_tree():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 4))
-    y = ((x[:, 0] > 0.2) ^ (x[:, 1] * x[:, 2] > 0)).astype(float)
+    y = ((x[:, 0] > 0.2) & (x[:, 1] < 0.5) | (x[:, 2] > 1)).astype(float)
     trees = q.fit(x, y, trees=12, depth=3, bins=16)
     for k in rng.choice(500, 40):
         total = trees.base
