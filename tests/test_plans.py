@@ -79,7 +79,7 @@ def test_no_join_where_aggregates_suffice(spark, silver_paths):
 def test_fan_out_is_aggregated_before_the_join(spark, silver_paths):
     core, aff = (spark.read.parquet(p) for p in silver_paths)
     text = plan(op.critical_detail(core, aff))
-    # distinct (id, kind, name) pairs come first: a hot id spreads over tasks
+    # distinct (id, kind, name) pairs come before the counts: a hot id spreads over tasks
     assert any("cve_id" in e and "kind" in e and "name" in e for e in exchanges(text))
     assert "LeftOuter" in text and "LeftSemi" in text and not any(f in text for f in FORBIDDEN)
 

@@ -56,8 +56,9 @@ def test_reports_equal_brute_force_under_skew(spark, skewed):
     assert (kc.cves_in_affected_products, kc.cves_in_core_table) == (300, 300)
 
 
-def test_skewed_join_is_split(spark, skewed):
-    core, aff, _, _ = skewed
+@contextlib.contextmanager
+def small_skewed_partitions(spark):
+    """No broadcasts, and partitions of a kilobyte count as skewed."""
     confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -67,13 +68,43 @@ def test_skewed_join_is_split(spark, skewed):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        df = op.orphan_rows(aff, core)
-        assert df.collect() == []  # executes this DataFrame's own plan, so explain() shows the final one
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        text = buf.getvalue()
-        assert "isFinalPlan=true" in text and "skew=true" in text
+        yield
     finally:
         for k, v in previous.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    text = buf.getvalue()
+    assert "isFinalPlan=true" in text
+    return text.split("== Initial Plan ==")[0]
+
+
+def test_skewed_join_is_split(spark, skewed):
+    core, aff, _, _ = skewed
+    with small_skewed_partitions(spark):
+        df = op.orphan_rows(aff, core)
+        assert df.collect() == []  # executes this DataFrame's own plan, so explain() shows the final one
+        assert "skew=true" in final_plan(df)
+
+
+def test_critical_detail_splits_a_hot_record(spark, skewed):
+    core, aff, core_rows, aff_rows = skewed
+    with small_skewed_partitions(spark):
+        df = op.critical_detail(core, aff, n=1000)
+        got = {r.cve_id: (r.affected_vendor_count, r.affected_product_count) for r in df.collect()}
+        text = final_plan(df)
+    hot = [r for r in aff_rows if r[0] == "CVE-00000"]
+    assert got["CVE-00000"] == (len({v for _, v, _ in hot}), len({p for _, _, p in hot}))
+    assert "skew=true" in text and "BroadcastHashJoin" not in text
+
+
+def test_key_coverage_of_a_hot_key_without_broadcasts(spark, skewed):
+    core, aff, _, _ = skewed
+    with small_skewed_partitions(spark):
+        for method in ("union", "join"):
+            r = op.key_coverage(aff, core, method=method).first()
+            assert (r.cves_in_affected_products, r.cves_in_core_table, r.difference) == (300, 300, 0)

@@ -25,7 +25,7 @@ NOTES = {
     "build_core": "silver core: one exchange (the ten-key merge, sorted aggregation on both sides because max over text "
                   "has no hash buffer); each text is parsed once, behind one-element generators.",
     "build_affected": "silver affected: projection + generator, no exchange.",
-    "critical_detail (G5.1)": "distinct (record, kind, name) pairs first, semi-joined to the band's distinct ids and "
+    "critical_detail (G5.1)": "affected rows semi-joined to the band's ids, then distinct (record, kind, name) pairs, "
                               "counted per record before the left join; join strategies are adaptive execution's.",
     "vendor_risk_profile (G5.2)": "inner join left to AQE (broadcast here because core's pruned side is small).",
     "key_coverage (G8.1)": "no join: tagged key union, per-key aggregate, global sum.",

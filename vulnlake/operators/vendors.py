@@ -60,18 +60,22 @@ def critical_detail(core: DataFrame, aff: DataFrame, n: int = 25, band_value: st
     """Records of one risk band with their distinct affected vendor/product counts (0 when none).
 
     Same result as ``core LEFT JOIN aff GROUP BY (id, score, band, time, description)``, planned so that a
-    record with a huge fan-out cannot pin one task: (1) the affected rows become distinct (id, vendor) and
-    (id, product) pairs, which spreads a hot id over many tasks and shrinks it map-side; (2) the pairs are
-    semi-joined to the band's distinct ids and counted per id; (3) a left join matches at most one count row
-    per record. Join strategies are left to adaptive execution.
+    record with a huge fan-out cannot pin one task: (1) the affected rows of the band's ids (a semi-join
+    that adaptive execution broadcasts or, as an exchange follows, splits where an id is hot); (2) their distinct
+    (id, vendor) and (id, product) pairs, dealt by all of id and name, so a hot id spreads over many tasks; (3)
+    counts per id, summed up map-side first; (4) a left join that matches at most one count row per record.
     """
     five = ["cve_id", "cvss_base_score", "risk_category", "published_timestamp", "cve_description"]
-    chosen = core.filter(F.col("risk_category") == band_value).select(*five).distinct()
-    tagged = aff.select("cve_id", F.explode(F.array(
+    in_band = core.filter(F.col("risk_category") == band_value)
+    chosen = in_band.select(*five).distinct()
+    # ids straight from the scan: an aggregation on this side would keep adaptive execution from splitting the join
+    relevant = aff.select("cve_id", "vendor_name", "product_name").join(in_band.select("cve_id"), "cve_id", "left_semi")
+    tagged = relevant.select("cve_id", F.explode(F.array(
         F.struct(F.lit("v").alias("kind"), F.col("vendor_name").alias("name")),
         F.struct(F.lit("p").alias("kind"), F.col("product_name").alias("name")))).alias("x"))
-    pairs = tagged.select("cve_id", "x.kind", "x.name").where("cve_id is not null and name is not null").distinct()
-    counts = (pairs.join(chosen.select("cve_id").distinct(), "cve_id", "left_semi").groupBy("cve_id")
+    # dealt anew: the join's partitioning by id would satisfy the distinct and keep a hot id together
+    pairs = (tagged.select("cve_id", "x.kind", "x.name").where("name is not null").repartition("cve_id", "kind", "name").distinct())
+    counts = (pairs.groupBy("cve_id")
               .agg(F.count(F.when(F.col("kind") == "v", 1)).alias("affected_vendor_count"),
                    F.count(F.when(F.col("kind") == "p", 1)).alias("affected_product_count")))
     joined = chosen.join(counts, "cve_id", "left").fillna(0, ["affected_vendor_count", "affected_product_count"])
