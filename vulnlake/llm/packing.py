@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored, table, text_or_empty
 
 CAPACITY = 2048
-CACHE_WORDS = 300_000  # entries of a worker's word cache; it is emptied when full
+CACHE_WORDS = 700_000  # entries of each of a worker's two caches; one that grows beyond this is emptied
 CACHED_WORD = 64  # longer words are not cached
+TAIL = b".,!?;:*#$%&|"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, idx bigint"
 
 
@@ -46,8 +47,10 @@ def default_tokenizer() -> str:
 class WordCache:
     """Token ids of a text as little-endian uint32 bytes.
 
-    The tokenizer splits at white space before it merges, so a text's ids are those of its words in turn;
-    words (cut at ASCII white space only) are looked up and each unseen one is encoded once.
+    The tokenizer splits at white space and between letters and punctuation before it merges, and lower-cases;
+    so a text's ids are those of its words in turn (cut at ASCII white space only), and a word's are those of
+    its lower-case core and of the punctuation behind it. Words and cores are looked up; each unseen core is
+    encoded once, many to a call.
     """
 
     def __init__(self, path: str):
@@ -55,24 +58,70 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)  # ids that end a word
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+
+    def _encode(self, parts: list[bytes]) -> None:
+        """Put the ids of ``parts`` into the core cache."""
+        cores, plain, other = self.cores, [], []
+        for w in parts:
+            if w.isalpha():
+                plain.append((w, w.decode()))
+            else:
+                t = w.decode("utf-8", "replace")
+                (plain if t.isalpha() else other).append((w, t))
+        for i in range(0, len(plain), 512):  # letters only: one word to the tokenizer, and one closing id
+            chunk = plain[i:i + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([t for _, t in chunk])], add_special_tokens=False)[0].ids, "<u4")
+            data, cut = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cut) != len(chunk) or cut[-1] != len(data):
+                other.extend(chunk)
+                continue
+            for (w, _), a, z in zip(chunk, [0, *cut], cut):
+                cores[w] = data[a:z]
+        for w, t in other:
+            cores[w] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, unseen: set[bytes]) -> None:
+        """Put the ids of ``unseen`` words into the word cache."""
+        if len(self.cores) > CACHE_WORDS:
+            self.cores.clear()
+        cores, split, wanted = self.cores, [], set()
+        for w in unseen:
+            core, tail = w.rstrip(TAIL), b""
+            if len(core) == len(w) or not core or not (core[-1:].isalpha() or core[-1:].isdigit() or (
+                    core[-1] >= 128 and core.decode("utf-8", "replace")[-1].isalpha())):
+                core = w
+            else:
+                tail = w[len(core):]
+                if tail not in cores:
+                    wanted.add(tail)
+            if b"<" not in w:  # not a special token
+                core = core.lower()
+            else:
+                core, tail = w, b""
+            if core not in cores:
+                wanted.add(core)
+            split.append((w, core, tail))
+        self._encode(list(wanted))
+        words = self.words
+        for w, core, tail in split:
+            words[w] = cores[core] + cores[tail] if tail else cores[core]
+        for w in [x for x in wanted if len(x) > CACHED_WORD]:
+            del cores[w]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        unseen = list(set().union(*split).difference(self.words)) if split else []
-        if len(self.words) + len(unseen) > CACHE_WORDS:
+        every = set().union(*split)
+        if len(self.words) > CACHE_WORDS:
             self.words.clear()
-            unseen = list(set().union(*split))
-        found = self.words
-        fresh: dict[bytes, bytes] = {}
-        for i in range(0, len(unseen), 4096):
-            chunk = unseen[i:i + 4096]
-            for w, e in zip(chunk, self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunk], add_special_tokens=False)):
-                fresh[w] = np.array(e.ids, "<u4").tobytes()
-        out = []
-        for words in split:
-            out.append(b"".join([found[w] if w in found else fresh[w] for w in words]))
-        self.words.update((w, v) for w, v in fresh.items() if len(w) <= CACHED_WORD)
+        self._learn(every.difference(self.words))
+        get = self.words.__getitem__
+        out = [b"".join(map(get, words)) for words in split]
+        for w in [x for x in every if len(x) > CACHED_WORD]:
+            del self.words[w]
         return out
 
 
