@@ -263,10 +263,11 @@ def induce(pages: DataFrame) -> DataFrame:
     rows_type = "array<struct<parent: int, path: string, hash: bigint, chars: int>>"
     trees = map_batches(pages.select("page_id", "host", "html"), skeletons, f"page_id bigint, host string, rows {rows_type}")
     trees = stored(trees.withColumn("key", F.xxhash64("rows")), "page-skeletons")
-    sizes = trees.groupBy("host").agg(F.count("*").alias("n"))
-    grouped = (trees.join(sizes, "host").withColumn(
-        "part", F.pmod(F.xxhash64("page_id", "key"), F.ceil(F.col("n") / GROUP).cast("bigint")))
-        .select("host", "part", "page_id", "key", "rows"))
+    large = trees.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > GROUP)
+    parts = F.ceil(F.coalesce("n", F.lit(1)) / GROUP).cast("bigint")
+    grouped = (trees.join(large, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "key"), parts))
+               .select("host", "part", "page_id", "key", "rows")
+               .repartition("host", "part"))  # else a host's groups stay together where the join put them
 
     def pair_votes(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("key").sort_values(["page_id", "key"])
