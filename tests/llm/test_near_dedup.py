@@ -75,13 +75,15 @@ def test_hot_group_short_texts_nulls_and_ties(spark, docs_of):
     assert nd.near_duplicates(docs_of([])).count() == 0
 
 
-def test_open_pairs_are_all_compared_whatever_the_rounds(spark, docs_of, monkeypatch):
+def test_open_buckets_are_compared_whatever_the_rounds_and_blocks(spark, docs_of, monkeypatch):
     rows = list(enumerate(near_copies(40, words=60, seed=8)))
     want = brute_force(rows)
-    for rounds, pairs in ((0, 0), (1, 0), (6, 0), (1, 10**6)):
+    assert len({r[2] for r in want}) > 1 and max(sum(r[2] == c for r in want) for c in range(40)) > 3
+    for rounds, docs, size in ((0, 512, 8 << 20), (0, 7, 8 << 20), (1, 512, 2000)):
         monkeypatch.setattr(nd, "ROUNDS", rounds)
-        monkeypatch.setattr(nd, "OPEN_PAIRS", pairs)
-        assert got(nd.near_duplicates(docs_of(rows))) == want, (rounds, pairs)
+        monkeypatch.setattr(nd, "BLOCK_DOCS", docs)
+        monkeypatch.setattr(nd, "BLOCK_BYTES", size)
+        assert got(nd.near_duplicates(docs_of(rows))) == want, (rounds, docs, size)
 
 
 def test_one_row_of_each_group_stays(spark, docs_of):

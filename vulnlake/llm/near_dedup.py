@@ -8,9 +8,9 @@
 3. In every band bucket all members are linked to one centre (never to each other): the XOR population count
    of two odd sketches estimates the similarity, and only pairs far below the threshold are dropped (six
    standard errors); the rest are compared on their full sets.
-4. Connected components are taken. While a bucket still holds several components, another centre is chosen in
-   it; once the open pairs are few, or after ``ROUNDS`` rounds, all open pairs are compared. No pair that
-   could join two components is left out, and nothing caps a bucket.
+4. Connected components are taken. Where a bucket still holds several components, another centre is chosen;
+   after ``ROUNDS`` rounds all documents of the open buckets are compared, in blocks. No pair that could join
+   two components is left out, and nothing caps a bucket.
 
 Bucket centres come from a map-side combined minimum that is joined back, so a bucket that holds a third of
 all nodes is spread over tasks and adaptive execution can split it.
@@ -35,8 +35,8 @@ from .common import components, map_batches, stored, table, text_or_empty
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 48, 6
 SKETCH_BITS = 1024
-ROUNDS = 5
-OPEN_PAIRS = 200_000  # so many unresolved pairs, or one for every node, are compared at once
+ROUNDS = 2  # rounds of centres before what is open is compared in blocks
+BLOCK_DOCS, BLOCK_BYTES = 512, 8 << 20  # documents and bytes of shingle hashes of a block
 _SEED = 20240117
 
 _rng = np.random.default_rng(_SEED)
@@ -201,13 +201,67 @@ def _centre_pairs(still: DataFrame, step: int) -> DataFrame:
         F.col("c")["id"].alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _open_pairs(still: DataFrame, groups: DataFrame) -> DataFrame:
-    """Every pair of one bucket and two components: one member lies outside the bucket's largest component."""
-    largest = groups.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"))
-    outside = still.join(largest, "key").where(F.col("component") != F.col("top")["component"]).select(
-        "key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    return still.join(outside, "key").where(F.col("component") != F.col("cx")).select(
-        F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
+def _block_links(still: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links between the components of buckets that hold several, ``still(key, id, component)``.
+
+    Documents that buckets connect are a family. A family is dealt into blocks of bounded size, every two blocks
+    meet in one group, and there an inverted index of the second block's shingles counts what each document of
+    the first has in common with all of it. A group returns one link for any two components it finds linked.
+    """
+    stars = still.join(still.groupBy("key").agg(F.min("id").alias("a")), "key").select("a", F.col("id").alias("b")).distinct()
+    family = components(stars, "near-families").withColumnRenamed("component", "family")
+    nodes = stored(still.select("id", "component").distinct().join(family, "id").join(sets, "id"), "near-open-nodes")
+    sizes = nodes.groupBy("family").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_DOCS, F.sum(F.octet_length("shingles")) / BLOCK_BYTES)).cast("bigint").alias("blocks"))
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = (nodes.join(sizes, "family").withColumn("block", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+             .select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "shingles")
+             .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def links() -> list[tuple[int, int]]:
+            first = [x for x in held if x[3] == x[1]]
+            second = [x for x in held if x[3] == x[2]]
+            if not first or not second:
+                return []
+            arrays = [np.frombuffer(x[6], np.uint64) for x in second]
+            size = np.array([len(x) for x in arrays])
+            shingle = np.concatenate(arrays)
+            order = np.argsort(shingle, kind="stable")
+            owner = np.repeat(np.arange(len(arrays)), size)[order]
+            shingle, begin = np.unique(shingle[order], return_index=True)
+            end = np.append(begin[1:], len(owner))
+            found: dict[tuple[int, int], tuple[int, int]] = {}
+            for x in first:
+                own = np.frombuffer(x[6], np.uint64)
+                at = np.searchsorted(shingle, own)
+                at = at[(at < len(shingle)) & (shingle[np.minimum(at, len(shingle) - 1)] == own)]
+                lengths = end[at] - begin[at]
+                places = np.repeat(begin[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+                both_n = np.bincount(owner[places], minlength=len(arrays))
+                for k in np.flatnonzero(100 * both_n >= percent * (len(own) + size - both_n)):
+                    y = second[k]
+                    if x[5] != y[5]:
+                        found.setdefault((min(x[5], y[5]), max(x[5], y[5])), (min(x[4], y[4]), max(x[4], y[4])))
+            return list(found.values())
+
+        def batch(pairs) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+        for b in batches:
+            for x in zip(*(b.column(k).to_pylist() for k in range(7))):
+                if x[:3] != current:
+                    if held:
+                        yield batch(links())
+                    current, held = x[:3], []
+                held.append(x)
+        if held:
+            yield batch(links())
+
+    return map_batches(dealt, run, "a bigint, b bigint").distinct()
 
 
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -229,27 +283,25 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     texts = docs.select(F.col("doc_id").alias("id"), text_or_empty().cast("binary").alias("text"))
     sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi")).where("n > 0").distinct(), "near-sets")
     marks = stored(nodes.select("id", "sketch").join(wanted, "id", "left_semi"), "near-marks")
-    n_nodes = wanted.count()
-    if not n_nodes:
+    if wanted.isEmpty():
         return rows, first, components(links, "near-components")
 
-    pairs, last, step = _centre_pairs(members.withColumn("component", F.col("id")), 0), False, 0
-    while True:
-        links = links.unionByName(stored(verified(_likely(pairs, marks), sets), "near-links"))
+    still = members.withColumn("component", F.col("id"))
+    for step in range(ROUNDS + 1):
+        if step < ROUNDS:
+            new = verified(_likely(_centre_pairs(still, step), marks), sets)
+        else:
+            new = _block_links(still, sets)
+        links = links.unionByName(stored(new, "near-links"))
         found = components(links, "near-components")
-        step += 1
-        if last:
-            return rows, first, found
+        if step == ROUNDS:
+            break
         placed = stored(members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "near-placed")
-        groups = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-        open_keys = stored(groups.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
-                           .where("parts > 1"), "near-open")
-        left = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2)).first()[0]
-        if not left:
-            return rows, first, found
-        still = placed.join(open_keys.select("key"), "key")
-        last = left <= max(OPEN_PAIRS, n_nodes) or step >= ROUNDS
-        pairs = _open_pairs(still, groups.join(open_keys.select("key"), "key")) if last else _centre_pairs(still, step)
+        parts = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        still = stored(placed.join(parts.where("low < high").select("key"), "key"), "near-open")
+        if still.isEmpty():
+            break
+    return rows, first, found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
