@@ -42,18 +42,16 @@ def _codes(text: str) -> np.ndarray:
 
 
 class Tally:
-    """Counts of 64-bit keys with a second, weighted count; kept as sorted arrays, merged when they double."""
+    """Counts of 64-bit keys, in all and in marked texts; kept as sorted arrays, merged when they double."""
 
     def __init__(self):
         self.keys, self.n, self.m = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, marked: bool | np.ndarray) -> None:
-        u, inverse = np.unique(keys, return_inverse=True)
-        n = np.bincount(inverse, minlength=len(u))
-        m = np.bincount(inverse, np.broadcast_to(marked, keys.shape), len(u)).astype(np.int64)
-        self.held.append((u, n, m))
+    def add(self, keys: np.ndarray, marked: bool) -> None:
+        u, n = np.unique(keys, return_counts=True)
+        self.held.append((u, n, n if marked else np.zeros(len(n), np.int64)))
         self.size += len(u)
         if self.size > max(1 << 20, 2 * len(self.keys)):
             self.merge()
@@ -66,23 +64,38 @@ class Tally:
         self.held, self.size = [], 0
 
 
+def _pieces(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts of a column, in lists of about ``PIECE`` characters; longer texts are cut."""
+    held, size = [], 0
+    for t in texts:
+        t = t.as_py()
+        for i in range(0, len(t), PIECE):
+            held.append(t[i:i + PIECE])
+            size += len(held[-1])
+            if size >= PIECE:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def store_blocks(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """Stored ``(block, row, doc_id, target, text)``; ``targets(doc_id)`` are marked."""
     marked = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(marked, "doc_id", "left")
+    # dealt by id first: blocks are of even size whatever the input's files, and the join adds no shuffle of texts
+    rows = docs.select("doc_id", text_or_empty().alias("text")).repartition("doc_id").join(marked, "doc_id", "left")
     ids = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
     return stored(ids.select(F.shiftright("row", 33).cast("int").alias("block"), "row", "doc_id", "target", "text"), "lm-blocks")
 
 
 def character_counts(blocks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Tally()
+        total = np.zeros(0x110000, np.int64)
         for b in batches:
-            for t in b.column(0).to_pylist():
-                for i in range(0, len(t), PIECE):
-                    total.add(_codes(t[i:i + PIECE]).astype(np.int64), False)
-        total.merge()
-        yield pa.RecordBatch.from_arrays([pa.array(total.keys), pa.array(total.n)], ["code", "n"])
+            for texts in _pieces(b.column(0)):
+                total += np.bincount(_codes("".join(texts)), minlength=len(total))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["code", "n"])
 
     return map_batches(blocks.select("text"), run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -111,13 +124,26 @@ def count_ngrams(blocks: DataFrame, ids, order: int = ORDER) -> DataFrame:
     """Stored ``(block, key, n, m)``: the n-grams of each block, in all documents and in target documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_block: dict[int, Tally] = {}
-        for b in batches:
-            buffer: dict[tuple[int, bool], list[np.ndarray]] = {}
-            for block, target, text in zip(*(b.column(k).to_pylist() for k in range(3))):
-                if text:
-                    buffer.setdefault((block, target), []).append(ngram_keys(text, ids.value, order))
+        buffer: dict[tuple[int, bool], list[np.ndarray]] = {}
+        size = 0
+
+        def count() -> None:
+            nonlocal size
             for (block, target), keys in buffer.items():
                 by_block.setdefault(block, Tally()).add(np.concatenate(keys), target)
+            buffer.clear()
+            size = 0
+
+        for b in batches:
+            for block, target, text in zip(*(b.column(k) for k in range(3))):
+                block, target, text = block.as_py(), target.as_py(), text.as_py()
+                for i in range(0, len(text), PIECE):  # n-grams that reach over a cut need the characters before it
+                    keys = ngram_keys(text[max(0, i - order + 1):i + PIECE], ids.value, order)[min(i, order - 1):]
+                    buffer.setdefault((block, target), []).append(keys)
+                    size += len(keys)
+                    if size >= PIECE:
+                        count()
+        count()
         for block, tally in by_block.items():
             tally.merge()
             for i in range(0, len(tally.keys), 1 << 16):
