@@ -59,7 +59,8 @@ def test_short_items_overlaps_nulls_and_repeats(spark, docs_of, monkeypatch, mos
     monkeypatch.setattr(dc, "BROADCAST_TERMS", most)
     filler = " ".join(f"w{k}" for k in range(400))
     docs = [(1, ITEM), (2, "x " + ITEM.upper() + " y"), (3, filler + " " + ITEM), (4, filler + " " + " ".join(words(ITEM)[:12])), (5, None),
-            (6, ""), (7, "the the the the"), (8, "É é ÉÉ"), (8, "É é ÉÉ"), (None, ITEM + " " + ITEM), (9, "one " * 13), (10, "short item"), (11, filler * 30)]
+            (6, ""), (7, "the the the the"), (8, "É é ÉÉ"), (8, "É é ÉÉ"), (None, ITEM + " " + ITEM), (9, "one " * 13), (10, "short item"), (11, filler * 30),
+            (12, " ".join(words(ITEM)[5:]) + " " + " ".join(words(ITEM)[::-1]))]  # terms too near the beginning for their place
     items = [(1, ITEM), (10, ITEM + " and more words"), (2, "Short item!"), (3, None), (4, " -- "), (None, "the the"), (5, "one " * 13), (6, "Éé"), (1, ITEM)]
     bench = spark.createDataFrame(items, "item_id bigint, text string").withColumn("win", F.lit("clash"))
     assert got(dc.contamination(docs_of(docs), bench)) == brute_force(docs, items)

@@ -6,7 +6,7 @@
    different places) and only anchor terms are stored as postings.
 3. A window's postings, shifted back by the term's offset in the window, all name the same start where the
    window occurs: the lists are intersected by an equi-join on (window, row, start), rarest term first.
-4. What is left is compared word by word with the stored words, so the matches are exact.
+4. What is left is compared word by word with the words around the posting, so the matches are exact.
 
 The terms that filter postings are the distinct terms of the test items: they are broadcast while they stay
 under ``BROADCAST_TERMS`` (checked), and joined by a shuffle beyond that.
@@ -56,10 +56,20 @@ def _only_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     return postings.join(F.broadcast(terms) if small else terms, "term", "left_semi")
 
 
-def index_postings(words: DataFrame, terms: DataFrame) -> DataFrame:
-    """The positional index of ``terms``: stored ``(term, row, pos)``, positions from 1."""
-    all_postings = words.select("row", F.posexplode("words").alias("pos", "term"))
-    return stored(_only_terms(all_postings, terms).select("term", "row", (F.col("pos") + 1).alias("pos")), "postings")
+def index_postings(words: DataFrame, terms: DataFrame, reach: int = 0) -> DataFrame:
+    """The positional index of ``terms``: stored ``(term, row, pos, first, around)``, positions from 1. ``around``
+    holds the words from ``first`` = ``pos - reach`` (1 at least) to ``pos + reach``, separated by spaces."""
+    small = terms.count() <= BROADCAST_TERMS
+    if small:  # the text's words are at hand where its postings are made
+        found = words.select("row", "words", F.posexplode("words").alias("p", "term")).join(F.broadcast(terms), "term", "left_semi")
+    else:
+        found = _only_terms(words.select("row", F.posexplode("words").alias("p", "term")), terms).join(words.select("row", "words"), "row")
+    found = found.withColumn("pos", F.col("p") + 1)
+    if reach:
+        found = found.withColumn("first", F.greatest(F.col("pos") - reach, F.lit(1)))
+        return stored(found.select("term", "row", "pos", "first", F.array_join(
+            F.slice("words", F.col("first"), F.col("pos") + reach + 1 - F.col("first")), " ").alias("around")), "postings")
+    return stored(found.select("term", "row", "pos"), "postings")
 
 
 def term_counts(words: DataFrame, terms: DataFrame) -> DataFrame:
@@ -67,8 +77,9 @@ def term_counts(words: DataFrame, terms: DataFrame) -> DataFrame:
     return _only_terms(words.select(F.explode("words").alias("term")), terms).groupBy("term").agg(F.count("*").alias("tf"))
 
 
-def phrase_matches(words: DataFrame, windows: DataFrame) -> DataFrame:
-    """Every occurrence of a distinct ``win`` array of ``windows``: ``(row, start, win)``, starts from 1."""
+def phrase_matches(words: DataFrame, windows: DataFrame, longest: int = WINDOW) -> DataFrame:
+    """Every occurrence of a distinct ``win`` array of ``windows``: ``(row, start, win)``, starts from 1. No
+    window has more than ``longest`` words."""
     wins = windows.select("win").distinct().select(F.xxhash64("win").alias("w"), "win")
     wins = stored(wins, "windows")
     places = wins.select("w", "win", F.posexplode("win").alias("at", "term"))
@@ -78,19 +89,21 @@ def phrase_matches(words: DataFrame, windows: DataFrame) -> DataFrame:
     rank = Window.partitionBy("w", "win").orderBy("tf", "at")
     anchors = stored(known.withColumn("rank", F.row_number().over(rank)).withColumn("least", F.min("tf").over(Window.partitionBy("w", "win")))
                      .where((F.col("least") > 0) & (F.col("rank") <= ANCHORS)).select("w", "win", "at", "term", "rank"), "anchors")
-    index = index_postings(words, anchors.select("term").distinct())
+    index = index_postings(words, anchors.select("term").distinct(), longest)
 
-    def shifted(rank_no: int) -> DataFrame:
+    def shifted(rank_no: int, *more: str) -> DataFrame:
         chosen = anchors.where(F.col("rank") == rank_no).select("w", "win", "at", "term")
-        return index.join(chosen, "term").select("w", "win", "row", (F.col("pos") - F.col("at")).alias("start")).where("start >= 1")
+        return index.join(chosen, "term").select("w", "win", "row", (F.col("pos") - F.col("at")).alias("start"), *more).where("start >= 1")
 
-    hits = shifted(1)
+    hits = shifted(1, "first", "around")
     for k in range(2, ANCHORS + 1):
         one_word = F.size("win") < k  # windows too short to have this anchor pass
         listed = shifted(k).select("w", "row", "start", "win")
         hits = hits.where(~one_word).join(listed, ["w", "row", "start", "win"], "left_semi").unionByName(hits.where(one_word))
-    same = F.slice("words", F.col("start"), F.size("win")) == F.col("win")
-    return hits.join(words.select("row", "words"), "row").where(same).select("row", "start", "win")
+    # at least 1: the optimizer may look at starts before the text, which the filter above takes out
+    offset = F.greatest(F.col("start") - F.col("first") + 1, F.lit(1)).cast("int")
+    same = F.slice(F.split("around", " "), offset, F.size("win")) == F.col("win")
+    return hits.where(same).select("row", "start", "win")
 
 
 def proximity_matches(words: DataFrame, windows: DataFrame, slop: int) -> DataFrame:
@@ -115,7 +128,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """One row per document: row, doc_id, text_hash, n_words, n_hit, items (sorted item ids), contaminated."""
     words = stored_words(docs)
     windows = stored(test_windows(benchmark, window), "test-windows")
-    found = stored(phrase_matches(words, windows), "phrase-matches")
+    found = stored(phrase_matches(words, windows, window), "phrase-matches")
     # hit words: the union of the intervals [start, start + length), per row; a row has at most its words in starts
     runs = found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", F.size("win").alias("n")))).alias("runs"))
     covered = F.aggregate(
