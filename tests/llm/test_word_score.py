@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from test_lm_score import brute_force as spelling
+from test_lm_score import result, same
+from tests_llm_tools import docs_of  # noqa: F401
+from vulnlake.llm import word_score as ws
+
+
+def brute_force(rows, targets):
+    """Both word models with dictionaries, straight from the definition; the lowest order spells the words."""
+    texts = [(i, ws.TOKEN.findall(t or "")) for i, t in rows]
+    n, m = (Counter(w for i, t in texts for w in t if every or i in targets) for every in (True, False))
+    low = {w: (2 ** (-b * k), 2 ** (-g * k)) for (_, k, g, b, _), w in zip(spelling([(w, w + " ") for w in n], set(m)), n)}
+
+    def model(kept, alone, side):
+        count, around, kinds = Counter(), Counter(), Counter()
+        for t in kept:
+            s = [0, 0, *t]
+            for k in range(2, len(s)):
+                for size in (2, 3):
+                    count[(*s[k - size + 1:k + 1],)] += 1
+        for g, c in count.items():
+            around[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        total = sum(alone.values())
+
+        def p(gram):
+            if len(gram) == 1:
+                w = gram[0]
+                return (alone[w] + len(alone) * low[w][side]) / (total + len(alone)) if total else low[w][side]
+            h, lower = gram[:-1], p(gram[1:])
+            return (count[gram] + kinds[h] * lower) / (around[h] + kinds[h]) if around[h] else lower
+
+        return p
+
+    bg, tg = model([t for _, t in texts], n, 0), model([t for i, t in texts if i in targets], m, 1)
+    out = []
+    for i, t in texts:
+        s = [0, 0, *t]
+        grams = [(*s[k - 2:k + 1],) for k in range(2, len(s))]
+        b, g = (-sum(np.log2(p(x)) for x in grams) / len(grams) if grams else None for p in (bg, tg))
+        out.append((i, len(grams), g, b, b - g if grams else 0.0))
+    return out
+
+
+@pytest.mark.parametrize("block, bucket, heavy", [(ws.BLOCK, ws.PER_BUCKET, ws.HEAVY), (20, 8, 2)])
+def test_scores_equal_the_definition(spark, docs_of, monkeypatch, block, bucket, heavy):
+    monkeypatch.setattr(ws, "BLOCK", block)
+    monkeypatch.setattr(ws, "PER_BUCKET", bucket)
+    monkeypatch.setattr(ws, "HEAVY", heavy)
+    rows = [(1, "the cat sat on the mat, the cat sat."), (2, "the dog sat"), (3, None), (4, " \n"), (5, "zzzz é ∑ 😀 你好 zz"), (5, "again the cat ran"),
+            (None, "the cat"), (7, "a"), (8, "the cat sat on the mat"), (8, "the cat sat on the mat"), (9, "the bird the cow the cat the end")]
+    targets = spark.createDataFrame([(1,), (2,), (2,), (None,), (99,)], "doc_id bigint")
+    same(result(ws.word_cross_entropy_difference(docs_of(rows).repartition(3), targets)), brute_force(rows, {1, 2}))
+
+
+def test_without_targets_and_empty(spark, docs_of):
+    none = spark.createDataFrame([], "doc_id bigint")
+    rows = [(1, "abc abc d"), (2, "")]
+    same(result(ws.word_cross_entropy_difference(docs_of(rows), none)), brute_force(rows, set()))
+    assert ws.word_cross_entropy_difference(docs_of([]), none).count() == 0
+
+
+def test_word_order_tells_target_from_background(spark, docs_of):
+    """The same words in another order: beyond the reach of four characters."""
+    good, bad = "international organisation considered representation", "representation considered organisation international"
+    rows = [*((k, good) for k in range(5)), *((10 + k, bad) for k in range(5)), (20, good), (21, bad)]
+    targets = spark.createDataFrame([(k,) for k in range(5)], "doc_id bigint")
+    score = {r.doc_id: r.score for r in ws.word_cross_entropy_difference(docs_of(rows), targets).collect()}
+    assert score[20] > score[21] + 0.5

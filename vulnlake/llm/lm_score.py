@@ -1,4 +1,5 @@
-"""LM scoring by cross-entropy difference.
+"""LM scoring by cross-entropy difference over characters; ``word_score`` has the words of op10 and uses this as its
+lowest back-off.
 
 Two character n-gram models of the same order, the same smoothing and one shared vocabulary: the target model
 counts the documents marked as target, the background model counts all documents. The vocabulary is every
@@ -28,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, table, text_or_empty
-from .quality import held_out
+from .common import map_batches, stored, text_or_empty
 
 ORDER = 4
 BITS = 15  # per symbol: four symbols fit a non-negative 64-bit integer
@@ -79,12 +79,17 @@ def _pieces(texts: pa.Array) -> Iterator[list[str]]:
         yield held
 
 
-def store_blocks(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Stored ``(block, row, doc_id, target, text)``; ``targets(doc_id)`` are marked."""
+def marked_rows(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(doc_id, target, text)``; ``targets(doc_id)`` are marked."""
     marked = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
     # dealt by id first: blocks are of even size whatever the input's files, and the join adds no shuffle of texts
     rows = docs.select("doc_id", text_or_empty().alias("text")).repartition("doc_id").join(marked, "doc_id", "left")
-    ids = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
+    return rows.select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
+
+
+def store_blocks(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """Stored ``(block, row, doc_id, target, text)``; ``targets(doc_id)`` are marked."""
+    ids = marked_rows(docs, targets).select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "text")
     return stored(ids.select(F.shiftright("row", 33).cast("int").alias("block"), "row", "doc_id", "target", "text"), "lm-blocks")
 
 
@@ -237,10 +242,3 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, order: int = O
     counts = count_ngrams(blocks, ids, order)
     losses = loss_table(counts, int(ids.value.max()) + 1, order)
     return score(blocks, counts, losses, ids, order)
-
-
-def op10_lm_score(spark, sf_dir: str) -> DataFrame:
-    """Target: documents labelled as good, outside the held-out fold (see ``quality.held_out``)."""
-    labels = table(spark, sf_dir, "labels")
-    targets = labels.where((F.col("quality") == 1) & ~held_out()).select("doc_id")
-    return cross_entropy_difference(table(spark, sf_dir, "documents"), targets)

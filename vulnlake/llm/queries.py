@@ -10,7 +10,6 @@ from ..session import apply_defaults
 from .decontaminate import op6_decontamination
 from .extract import op2_main_text
 from .fingerprint import op5_fingerprint
-from .lm_score import op10_lm_score
 from .near_dedup import op4_near_dedup
 from .oracles import ORACLES
 from .packing import op3_packing
@@ -18,6 +17,7 @@ from .quality import op1_quality
 from .secret_ledger import op7_secret_ledger
 from .suffix_dedup import op8_suffix_dedup
 from .warc import op9_warc
+from .word_score import op10_lm_score
 
 
 def _bound(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

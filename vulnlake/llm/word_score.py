@@ -1,0 +1,352 @@
+"""LM scoring by cross-entropy difference over words.
+
+Two word trigram models of the same smoothing: the target model counts the documents marked as target, the
+background model counts all documents. Tokens are runs of word characters, single characters of scripts written
+without spaces, and single marks; white space only separates. A document's score is the mean, over its tokens, of
+background loss minus target loss, in bits: above zero, it reads more like the target.
+
+1. Documents are stored in blocks of about ``BLOCK`` characters, in a table bucketed by block.
+2. Each block counts its distinct words and its distinct n-grams of two and three words, and deals them to buckets, the
+   n-grams by their context; a context with more than ``heavy`` occurrences is dealt in parts. One shuffle brings
+   together what all blocks have in a bucket. Nothing is pruned: what is counted grows with the corpus.
+3. A bucket sums its counts and answers every block, in the order in which the block asked, with the counts of its
+   n-grams and contexts in the whole corpus; for words, with their chances in both models.
+4. The distinct words are spelled by the character models of ``lm_score``, the lowest back-off.
+5. A block scores its documents with the answers. No model is broadcast or held by one process.
+
+Interpolated Witten-Bell smoothing: P_k(w|h) = (count(hw) + kinds(h) P_{k-1}(w|h')) / (count(h) + kinds(h)), where a
+context that a model lacks leaves the order below, and P_0(w) is the chance that the model's characters spell w and
+a space. Words and n-grams are known by 64-bit hashes.
+
+Defined cases: null and empty texts, and those of white space only, have no tokens, losses of null and a score of 0;
+without target documents the target's words fall back to uniform characters; repeated rows count as often as they
+occur; an empty table gives an empty result; extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import uuid
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from .common import map_batches, stored, table
+from .lm_score import cross_entropy_difference, marked_rows
+from .quality import held_out
+
+ORDERS = (2, 3)  # beside single words
+BLOCK = 1 << 24  # characters; a longer text is a block of its own
+PER_BUCKET = 1 << 23  # characters of the corpus for each bucket
+HEAVY = 1 << 21  # occurrences of a context, at least, before it is dealt in parts
+MOST_HEAVY = 1 << 16  # so many contexts of an order have more than this share of the corpus, at most
+_ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
+TOKEN = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+|[^\w\s]")
+
+
+class Words:
+    """64-bit hashes of words, never 0; the cache is emptied when full."""
+
+    def __init__(self, most: int = 300_000):
+        self.cache: dict[str, int] = {}
+        self.most = most
+
+    def of(self, words: list[str]) -> np.ndarray:
+        cache = self.cache
+        if len(cache) > self.most:
+            cache.clear()
+        for w in set(words).difference(cache):
+            cache[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) or 1
+        return np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
+
+    def __call__(self, text: str) -> np.ndarray:
+        return self.of(TOKEN.findall(text))
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(29))) + b.astype(np.uint64)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return (h ^ (h >> np.uint64(32))).astype(np.int64)
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """Non-negative integers in as few bytes each as the largest needs."""
+    most = int(a.max()) if len(a) else 0
+    size = next(s for s in (1, 2, 4, 8) if most < 1 << (8 * s))
+    return bytes([size]) + a.astype(f"<u{size}").tobytes()
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64)
+
+
+def _contexts(order: int, texts: list[np.ndarray]) -> np.ndarray:
+    """The hash of the words before every token; the start of a text is padded with 0."""
+    none = np.zeros(0, np.int64)
+    context = np.concatenate([none, *(np.concatenate([np.zeros(1, np.int64), x[:-1]]) for x in texts if len(x))])
+    if order == 3:
+        before = np.concatenate([none, *(np.concatenate([np.zeros(2, np.int64), x[:-2]])[:len(x)] for x in texts if len(x))])
+        context = _mix(before, context)
+    return _mix(context, np.full(len(context), order))
+
+
+class Block:
+    """The distinct n-grams of one order in one block and their contexts, by bucket; ``heavy`` contexts come in parts,
+    all of which are asked for. ``of`` has the place of every token's n-gram, ``parent`` the context of every part."""
+
+    def __init__(self, order: int, texts: list[np.ndarray], buckets: int, heavy: tuple[np.ndarray, np.ndarray]):
+        context = _contexts(order, texts)
+        u, first, inverse = np.unique(_mix(context, np.concatenate([np.zeros(0, np.int64), *texts])), return_index=True, return_inverse=True)
+        part = parent = context[first]
+        if len(heavy[0]):
+            at = np.minimum(np.searchsorted(heavy[0], parent), len(heavy[0]) - 1)
+            hit = heavy[0][at] == parent
+            part = np.where(hit, _mix(parent, (u.astype(np.uint64) % heavy[1][at].astype(np.uint64)).astype(np.int64)), parent)
+            held = np.unique(at[hit])
+            every = np.repeat(heavy[0][held], heavy[1][held])
+            salts = np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in heavy[1][held].tolist())])
+            part, parent = np.concatenate([part, _mix(every, salts)]), np.concatenate([parent, every])
+        parts, begin, of_part = np.unique(part, return_index=True, return_inverse=True)
+        bucket = (parts.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        by = np.lexsort((parts, bucket))
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        self.parts, self.bucket = parts[by], bucket[by]
+        self.parent = np.unique(parent[begin][by], return_inverse=True)[1]
+        of_part = rank[of_part[:len(u)]]
+        self.kinds = np.bincount(of_part, minlength=len(by))
+        by = np.lexsort((u, of_part))
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        self.of, self.keys, self.of_part = place[inverse], u[by], of_part[by]
+
+    def cuts(self) -> Iterator[tuple[int, slice, slice]]:
+        """(bucket, n-grams, parts) of every bucket that the block asks."""
+        ends = np.cumsum(self.kinds)
+        starts = np.flatnonzero(np.diff(self.bucket, prepend=-1)).tolist()
+        for c, d in zip(starts, [*starts[1:], len(self.bucket)]):
+            yield int(self.bucket[c]), slice(int(ends[c - 1]) if c else 0, int(ends[d - 1])), slice(c, d)
+
+
+def store_blocks(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(block, doc_id, target, text)`` in a table bucketed by block; ``targets(doc_id)`` are marked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, size, block = TaskContext.get().partitionId() << 32, 0, 0
+        for b in batches:
+            numbers = []
+            for text in b.column(2):
+                n = len(text.as_py())
+                if size and size + n > BLOCK:
+                    size, block = 0, block + 1
+                size += n
+                numbers.append(part + block)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *b.columns], ["block", "doc_id", "target", "text"])
+
+    spark, name = docs.sparkSession, f"lm_blocks_{uuid.uuid4().hex[:12]}"
+    rows = map_batches(marked_rows(docs, targets).select("doc_id", "target", "text"), run, "block bigint, doc_id bigint, target boolean, text string")
+    (rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", scratch_path(spark, name))
+     .format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+
+
+def _fields(schema: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
+    return pa.schema([(n, kinds[t]) for n, t in (c.split() for c in schema.split(", "))])
+
+
+WORDS = "place int, order int, block bigint, spellings binary, keys binary, n binary, m binary"
+
+
+def asked_words(blocks: DataFrame, buckets: int, heavy_at: float) -> DataFrame:
+    """Stored: of order 1, every block's distinct words by bucket with their counts; of the other orders, the contexts that
+    may occur ``heavy_at`` times as often as the corpus has characters (one that does has this share of some block)."""
+    def run(rows: pa.Table) -> pa.Table:
+        words, number = Words(), rows.column("block")[0].as_py()
+        texts = rows.column("text").to_pylist()
+        n, m = Counter(), Counter()
+        for target, text in zip(rows.column("target").to_pylist(), texts):
+            found = TOKEN.findall(text)
+            n.update(found)
+            if target:
+                m.update(found)
+        spelled = np.array(list(n), object)
+        keys = words.of(spelled.tolist())
+        bucket = (keys.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        by = np.lexsort((keys, bucket))
+        n, m = (np.fromiter(map(c.__getitem__, spelled), np.int64, len(spelled))[by] for c in (n, m))
+        spelled, keys, bucket = spelled[by], keys[by], bucket[by]
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        out = [(int(bucket[a]), 1, number, "\n".join(spelled[a:z]).encode("utf-8", "replace"), keys[a:z].tobytes(), _pack(n[a:z]), _pack(m[a:z]))
+               for a, z in zip(starts, [*starts[1:], len(keys)])]
+        least, hashed = max(1, int(heavy_at * sum(map(len, texts)))), [words(t) for t in texts]
+        for order in ORDERS:
+            u, count = np.unique(_contexts(order, hashed), return_counts=True)
+            u, count = u[count >= least], count[count >= least]
+            out.append((None, order, number, None, u.tobytes(), _pack(count), None))
+        return _table(out, _fields(WORDS))
+
+    return stored(blocks.select("block", "target", "text").groupBy("block").applyInArrow(run, WORDS), "lm-word-counts")
+
+
+def heavy_contexts(asked: DataFrame, heavy: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Of every order, the contexts with ``heavy`` occurrences and more, and the number of their parts: at most the
+    number of n-grams of the corpus over ``heavy``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for order, keys, n in zip(*(b.column(k).to_pylist() for k in range(3))):
+                keys = np.frombuffer(keys, "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([order] * len(keys), pa.int32()), pa.array(keys, pa.int64()), pa.array(_unpack(n), pa.int64())],
+                                                 ["order", "context", "n"])
+
+    found = map_batches(asked.where("order > 1").select("order", "keys", "n"), run, "order int, context bigint, n bigint")
+    rows = found.groupBy("order", "context").agg(F.sum("n").alias("n")).where(F.col("n") >= heavy).orderBy("order", "context").collect()
+    return {k: tuple(np.array([r[c] for r in rows if r["order"] == k], np.int64) // d + a for c, d, a in (("context", 1, 0), ("n", heavy, 1))) for k in ORDERS}
+
+
+def _counts(sent: list[dict]) -> tuple[np.ndarray, ...]:
+    """Distinct keys, the place of each first and of all among them, and their counts."""
+    u, first, inverse = np.unique(np.concatenate([np.frombuffer(r["keys"], "<i8") for r in sent]), return_index=True, return_inverse=True)
+    return u, first, inverse, *(np.bincount(inverse, np.concatenate([_unpack(r[c]) for r in sent]), len(u)).astype(np.int64) for c in ("n", "m"))
+
+
+def word_chances(asked: DataFrame) -> DataFrame:
+    """``(place, word, pn, pm)``: the chance of every word alone in both models."""
+    schema = "place int, word bigint, spelling string, n bigint, m bigint"
+
+    def run(rows: pa.Table) -> pa.Table:
+        sent = rows.to_pylist()
+        u, first, _, n, m = _counts(sent)
+        spelled = [w for r in sent for w in r["spellings"].decode().split("\n")]
+        return pa.table([pa.array(np.full(len(u), sent[0]["place"]), pa.int32()), pa.array(u, pa.int64()), pa.array([spelled[k] for k in first.tolist()], pa.string()),
+                         pa.array(n, pa.int64()), pa.array(m, pa.int64())], schema=_fields(schema))
+
+    words = stored(asked.where("order = 1").select("place", "spellings", "keys", "n", "m").groupBy("place").applyInArrow(run, schema), "lm-words")
+    spelled = cross_entropy_difference(words.select(F.col("word").alias("doc_id"), F.concat("spelling", F.lit(" ")).alias("text")),
+                                       words.where("m > 0").select(F.col("word").alias("doc_id")))
+    low = spelled.select(F.col("doc_id").alias("word"), F.pow(F.lit(2.0), -F.col("loss_background") * F.col("n_tokens")).alias("qn"),
+                         F.pow(F.lit(2.0), -F.col("loss_target") * F.col("n_tokens")).alias("qm"))
+    around = words.agg(F.sum("n").alias("cn"), F.sum("m").alias("cm"), F.count("*").alias("kn"), F.count(F.when(F.col("m") > 0, 1)).alias("km")).first()
+    cn, cm, kn, km = (F.lit(int(around[c] or 0)) for c in ("cn", "cm", "kn", "km"))
+    least = F.lit(5e-324)  # a very long word's chance is below what a double holds
+    pn = (F.col("n") + kn * F.col("qn")) / (cn + kn)
+    pm = (F.col("m") + km * F.col("qm")) / (cm + km) if around["cm"] else F.col("qm")
+    return words.join(low, "word").select("place", "word", F.greatest(pn, least).alias("pn"), F.greatest(pm, least).alias("pm"))
+
+
+ASKED = "place int, order int, block bigint, kinds binary, parts binary, keys binary, n binary, m binary"
+ANSWERS = "block bigint, order int, place int, n binary, m binary, cn binary, cm binary, kn binary, km binary"
+
+
+def answered_words(asked: DataFrame, chances: DataFrame) -> DataFrame:
+    """The chances of the words that were asked for, as doubles in ``n`` and ``m``."""
+    def run(questions: pa.Table, known: pa.Table) -> pa.Table:
+        word = known.column("word").to_numpy()
+        by, out = np.argsort(word), []
+        chance = [known.column(c).to_numpy()[by] for c in ("pn", "pm")]
+        for r in questions.to_pylist():
+            at = np.searchsorted(word[by], np.frombuffer(r["keys"], "<i8"))
+            out.append((r["block"], 1, r["place"], *(c[at].tobytes() for c in chance), None, None, None, None))
+        return _table(out, _fields(ANSWERS))
+
+    return (asked.where("order = 1").select("place", "block", "keys").groupBy("place")
+            .cogroup(chances.groupBy("place")).applyInArrow(run, ANSWERS))
+
+
+def asked_ngrams(blocks: DataFrame, buckets: int, heavy: dict) -> DataFrame:
+    """What every block asks of every bucket: its n-grams there, with their counts in all and in target documents."""
+    def run(rows: pa.Table) -> pa.Table:
+        words, number, out = Words(), rows.column("block")[0].as_py(), []
+        texts = [words(t) for t in rows.column("text").to_pylist()]
+        marks = np.repeat(np.array(rows.column("target").to_pylist(), bool), [len(t) for t in texts])
+        for order in ORDERS:
+            own = Block(order, texts, buckets, heavy[order])
+            n, m = (np.bincount(of, minlength=len(own.keys)) for of in (own.of, own.of[marks]))
+            out.extend((bucket, order, number, _pack(own.kinds[c]), own.parts[c].tobytes(), own.keys[k].tobytes(), _pack(n[k]), _pack(m[k]))
+                       for bucket, k, c in own.cuts())
+        return _table(out, _fields(ASKED))
+
+    return blocks.select("block", "target", "text").groupBy("block").applyInArrow(run, ASKED)
+
+
+def answered_ngrams(questions: DataFrame) -> DataFrame:
+    """The counts of the whole corpus for what was asked, in the order of the question."""
+    def run(rows: pa.Table) -> pa.Table:
+        sent = rows.to_pylist()
+        _, first, inverse, n, m = _counts(sent)
+        kinds = [_unpack(r["kinds"]) for r in sent]
+        parts, part = np.unique(np.concatenate([np.frombuffer(r["parts"], "<i8") for r in sent]), return_inverse=True)
+        of = np.repeat(part, np.concatenate(kinds))[first]
+        cn, cm = (np.bincount(of, w, len(parts)).astype(np.int64) for w in (n, m))
+        kn, km = (np.bincount(x, minlength=len(parts)) for x in (of, of[m > 0]))
+        a = c = 0
+        out = []
+        for r, k in zip(sent, kinds):
+            size = len(r["keys"]) // 8
+            i, j = inverse[a:a + size], part[c:c + len(k)]
+            a, c = a + size, c + len(k)
+            out.append((r["block"], r["order"], r["place"], _pack(n[i]), _pack(m[i]), *(_pack(x[j]) for x in (cn, cm, kn, km))))
+        return _table(out, _fields(ANSWERS))
+
+    return questions.groupBy("place", "order").applyInArrow(run, ANSWERS)
+
+
+def score(blocks: DataFrame, answers: DataFrame, buckets: int, heavy: dict) -> DataFrame:
+    """doc_id, target, n_tokens, loss_target, loss_background, score per stored row of ``blocks``."""
+    schema = "doc_id bigint, target boolean, n_tokens bigint, loss_target double, loss_background double, score double"
+
+    def run(rows: pa.Table, said: pa.Table) -> pa.Table:
+        words = Words()
+        texts = [words(t) for t in rows.column("text").to_pylist()]
+        x = np.concatenate([np.zeros(0, np.int64), *texts])
+        u, of = np.unique(x, return_inverse=True)
+        by = np.lexsort((u, (u.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)))
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        said = sorted(said.to_pylist(), key=lambda r: (r["order"], r["place"]))
+        p = [np.concatenate([np.zeros(0), *(np.frombuffer(r[c], "<f8") for r in said if r["order"] == 1)])[place[of]] for c in ("n", "m")]
+        for order in ORDERS:
+            own = Block(order, texts, buckets, heavy[order])
+            col = {c: np.concatenate([np.zeros(0, np.int64), *(_unpack(r[c]) for r in said if r["order"] == order)]) for c in ("n", "m", "cn", "cm", "kn", "km")}
+            context = own.parent[own.of_part[own.of]]
+            for i, (n, c, k) in enumerate((("n", "cn", "kn"), ("m", "cm", "km"))):
+                total, kinds = (np.bincount(own.parent, col[name])[context] if len(context) else np.zeros(0) for name in (c, k))
+                p[i] = np.where(total > 0, (col[n][own.of] + kinds * p[i]) / np.maximum(total + kinds, 1), p[i])
+        ends, loss, out = np.cumsum([0, *(len(t) for t in texts)]).tolist(), [-np.log2(q) for q in p], []
+        for doc_id, target, a, z in zip(rows.column("doc_id").to_pylist(), rows.column("target").to_pylist(), ends, ends[1:]):
+            n, (bg, tg) = z - a, (float(v[a:z].sum()) for v in loss)
+            out.append((doc_id, target, n, tg / n if n else None, bg / n if n else None, (bg - tg) / n if n else 0.0))
+        return _table(out, _fields(schema))
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+
+
+def word_cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """Score every row of ``docs(doc_id, text)`` against the documents listed in ``targets(doc_id)``."""
+    blocks = store_blocks(docs, targets)
+    size = blocks.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    buckets, least = size // PER_BUCKET + 1, max(HEAVY, size // MOST_HEAVY)
+    words = asked_words(blocks, buckets, least / max(1, size))
+    heavy = heavy_contexts(words, least)
+    answers = answered_words(words, word_chances(words)).unionByName(answered_ngrams(asked_ngrams(blocks, buckets, heavy)))
+    return score(blocks, answers, buckets, heavy)
+
+
+def op10_lm_score(spark, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as good, outside the held-out fold (see ``quality.held_out``)."""
+    labels = table(spark, sf_dir, "labels")
+    targets = labels.where((F.col("quality") == 1) & ~held_out()).select("doc_id")
+    return word_cross_entropy_difference(table(spark, sf_dir, "documents"), targets)
