@@ -75,3 +75,15 @@ def test_wrapper_keeps_slots_and_drops_what_stays_the_same(spark):
     assert x.main_text(pages.limit(0)).count() == 0
     wrappers = {r.host: r.template for r in x.induce(pages.selectExpr("page_id", "coalesce(get(split(url, '/'), 2), '') as host", "coalesce(html, '') as html")).collect()}
     assert wrappers["one"] == ["/body/div.box"]
+
+
+def test_constant_blocks_may_be_most_of_a_page(spark):
+    """Notices of more than half of every page are template all the same, also after they changed once; copies among
+    the pages are not."""
+    fixed = "".join(f"<div class=box{k}>constant block number {k} says the same at great length on every page of this host</div>" for k in range(4))
+    page = "<body>" + fixed + "<div class=note>{n}</div><div class=c><p>{a}</div>"
+    rows = [(k, f"http://one/{k}", page.format(a=f"short article {k * 31}", n="note of the year " * (3 + (k > 20)))) for k in range(30)]
+    rows += [(100 + k, f"http://one/c{k}", page.format(a=f"copied article everywhere {k}"[:-len(str(k))], n="note of the year " * 3 + str(k))) for k in range(6)]
+    out = {r.page_id: r.text for r in x.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all("constant block" not in t for t in out.values())
+    assert all(f"short article {k * 31}" in out[k] for k in range(30)) and all("copied article everywhere" in out[100 + k] for k in range(6))

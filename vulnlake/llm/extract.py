@@ -5,7 +5,7 @@
 2. Pages of one host are dealt into groups of about ``GROUP`` pages (a host of any size makes many groups), and
    inside a group every page's skeleton is aligned with its predecessor's by simple tree matching. An aligned
    pair of nodes votes "constant" when both hold the same text and "varying" otherwise. Pairs of pages that
-   share paragraphs (copies of one article) do not vote.
+   share most of the text that changes on the host (copies of one article) do not vote.
 3. The votes are summed per (host, path), map-side first: a path whose text stays the same is template, any
    other is a slot. The wrapper of a host is the set of its template paths.
 4. Every page is joined with its host's wrapper and read again: of the slots, the content is what lies under
@@ -239,15 +239,33 @@ def align(a: list[list], b: list[list]) -> list[tuple[int, int]]:
     return pairs
 
 
-def votes(a: list[list], b: list[list]) -> list[tuple[str, int]]:
-    """(path, 1 constant or 0 varying) of the aligned rows that hold text; nothing from copies of one article."""
-    pairs = [(x, y) for x, y in align(a, b) if a[x][3] or b[y][3]]
-    leaf = {i for rows in (a,) for i, k in enumerate(_children(rows)) if not k}
-    same = sum(a[x][3] for x, y in pairs if x in leaf and a[x][2] == b[y][2])
-    total = max(1, sum(a[x][3] for x in leaf))
-    if same > 0.5 * total:
-        return []
-    return [(a[x][1], int(a[x][2] == b[y][2])) for x, y in pairs if x]
+def votes(a: list[list], b: list[list]) -> list[tuple[str, int, int]]:
+    """(path, 1 constant or 0 varying, characters of a leaf) of the aligned rows that hold text."""
+    below = _children(a)
+    return [(a[x][1], int(a[x][2] == b[y][2]), 0 if below[x] else a[x][3]) for x, y in align(a, b) if x and (a[x][3] or b[y][3])]
+
+
+def group_votes(pages: list[list[list]]) -> dict[str, list[int]]:
+    """``path -> [votes, votes for constant]`` of pages aligned with their predecessors. Copies of one article do not
+    vote: a pair with most of its text equal in paths whose text changes through the group. What never changes
+    tells nothing of copies, however much of the page it is, nor does a path with two texts in all, such as an old
+    and a new notice, unless the group is small."""
+    pairs = [votes(a, b) for a, b in zip(pages, pages[1:])]
+    texts: dict[str, set[int]] = {}
+    for rows in pages:
+        for _, path, digest, _ in rows:
+            texts.setdefault(path, set()).add(digest)
+    most = 1 if len(pages) < 8 else 2
+    tally: dict[str, list[int]] = {}
+    for pair in pairs:
+        slots = [(chars, constant) for path, constant, chars in pair if len(texts[path]) > most]
+        if sum(chars for chars, constant in slots if constant) > 0.5 * sum(chars for chars, _ in slots):
+            continue
+        for path, constant, _ in pair:
+            t = tally.setdefault(path, [0, 0])
+            t[0] += 1
+            t[1] += constant
+    return tally
 
 
 def induce(pages: DataFrame) -> DataFrame:
@@ -271,16 +289,7 @@ def induce(pages: DataFrame) -> DataFrame:
 
     def pair_votes(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("key").sort_values(["page_id", "key"])
-        tally: dict[str, list[int]] = {}
-        before = None
-        for rows in pdf["rows"]:
-            cur = [[r["parent"], r["path"], r["hash"], r["chars"]] for r in rows]
-            if before is not None:
-                for path, constant in votes(before, cur):
-                    t = tally.setdefault(path, [0, 0])
-                    t[0] += 1
-                    t[1] += constant
-            before = cur
+        tally = group_votes([[[r["parent"], r["path"], r["hash"], r["chars"]] for r in rows] for rows in pdf["rows"]])
         host = pdf["host"].iloc[0]
         return pd.DataFrame([(host, p, n, c) for p, (n, c) in tally.items()], columns=["host", "path", "n", "same"])
 
