@@ -87,3 +87,9 @@ def test_constant_blocks_may_be_most_of_a_page(spark):
     out = {r.page_id: r.text for r in x.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert all("constant block" not in t for t in out.values())
     assert all(f"short article {k * 31}" in out[k] for k in range(30)) and all("copied article everywhere" in out[100 + k] for k in range(6))
+
+
+def test_without_article_no_slot_is_left_out():
+    long = "".join(f"<p>paragraph {k} of the long body text" for k in range(50))
+    page = f"<body><nav>menu</nav><div id=content><h1>Title</h1><p>Lead</p><div class=body>{long}</div><p>Last words</div></body>"
+    assert x.extract(page).split("\n") == ["Title", "Lead", *(f"paragraph {k} of the long body text" for k in range(50)), "Last words"]

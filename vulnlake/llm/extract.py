@@ -9,8 +9,7 @@
 3. The votes are summed per (host, path), map-side first: a path whose text stays the same is template, any
    other is a slot. The wrapper of a host is the set of its template paths.
 4. Every page is joined with its host's wrapper and read again: of the slots, the content is what lies under
-   the page's article or main element, or, without one, under the smallest element that holds most of the slot
-   text outside links; slots of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+   the page's article or main element, or, without one, every slot in page order; slots of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
    reader comments, known by element or class, are left out.
 
 Defined cases: null and empty html give the empty text; html without markup is one block of text; a null url
@@ -302,7 +301,7 @@ def induce(pages: DataFrame) -> DataFrame:
 # ---- extraction -----------------------------------------------------------------------------------------------------
 
 def _content_root(root: Node, template: frozenset) -> Node:
-    """The first article-like element with the most text, else the smallest element with most of the slot text."""
+    """The article-like element with the most text, else the whole page, so that every slot is read."""
     weight: dict[int, int] = {}
     order: list[Node] = []
     stack = [root]
@@ -323,12 +322,7 @@ def _content_root(root: Node, template: frozenset) -> Node:
                 if all(x.parent is holder for x in found):
                     return holder if holder.tag != "#" else root
             return max(found, key=lambda n: weight[id(n)])
-    best, total = root, weight.get(id(root), 0)
-    while True:
-        inner = [c for c in best.children if isinstance(c, Node) and weight.get(id(c), 0) > 0.8 * total and c.tag in BLOCK and c.tag != "p"]
-        if not inner:
-            return best
-        best = inner[0]
+    return root
 
 
 def extract(page: str, template: frozenset = frozenset()) -> str:
