@@ -93,3 +93,16 @@ def test_without_article_no_slot_is_left_out():
     long = "".join(f"<p>paragraph {k} of the long body text" for k in range(50))
     page = f"<body><nav>menu</nav><div id=content><h1>Title</h1><p>Lead</p><div class=body>{long}</div><p>Last words</div></body>"
     assert x.extract(page).split("\n") == ["Title", "Lead", *(f"paragraph {k} of the long body text" for k in range(50)), "Last words"]
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body><nav>menu</nav><div class='layout has-sidebar'><article>{BODY}</article><div class=sidebar>side</div></div>", WANT),
+    (f"<body><div class='page no-comments'><div class='with-banner'><article>{BODY}</article></div></div><div class=footer>f</div>", WANT),
+    (f"<body><div class='post comments-open'><article>{BODY}</article></div>", WANT),
+    (f"<body><div id=search-page><main>{BODY}</main></div>", WANT),
+    (f"<body><div class=social-site><div class=x>{BODY}</div></div>", WANT),
+    (f"<body><div class=sidebar><article>teaser</article></div><div class=x>{BODY}</div>", f"teaser\n{WANT}"),  # no article elsewhere: all slots
+    (f"<body><article>{BODY}</article><div class=related><article>other</article></div>", WANT),
+    (f"<body><div class=x>{BODY}</div><div class=comments><article>reader {'writes much ' * 50}</article></div>", WANT)])
+def test_a_class_word_alone_does_not_drop_the_main_text(page, want):
+    assert x.extract(page) == want

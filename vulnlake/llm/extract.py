@@ -51,6 +51,9 @@ CLASS_WORDS = re.compile(
     r"cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|"
     r"recommend\w*|comments?|commentlist|disqus|replies|respond|footer|masthead|site-header|page-header|topbar|toolbar|widget|pagination|pager|"
     r"tags|skip-link|print-only|hidden)(?:$|[-_ ])", re.I)
+COMMENTS = re.compile(r"(?:^|[-_ ])(?:comments?|commentlist|disqus|replies|respond)(?:$|[-_ ])", re.I)
+STATES = re.compile(  # words on a layout that tell of another element: has-sidebar, comments-open
+    r"(?:^|(?<= ))(?:has|no|with|without|hide|show)[-_][^ ]+|(?:^|(?<= ))[^ ]+[-_](?:open|closed|enabled|disabled|left|right|on|off|none)(?=$| )", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -58,14 +61,16 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "boiler", "children", "parent")
+    """``boiler``: left out. ``named``: it is so by a class or id alone (2: by one of reader comments)."""
 
-    def __init__(self, tag: str, path: str, boiler: bool, parent):
-        self.tag, self.path, self.boiler, self.parent, self.children = tag, path, boiler, parent, []
+    __slots__ = ("tag", "path", "boiler", "named", "children", "parent")
+
+    def __init__(self, tag: str, path: str, boiler: bool, named: int, parent):
+        self.tag, self.path, self.boiler, self.named, self.parent, self.children = tag, path, boiler, named, parent, []
 
 
 def _open(tag: str, attrs: str, parent: Node) -> Node:
-    names = ""
+    names, named = "", 0
     boiler = tag in BOILER or (tag == "header" and not _inside(parent, ("article", "main")))
     if attrs and ("=" in attrs or "hidden" in attrs):
         for m in ATTR.finditer(attrs):
@@ -73,12 +78,13 @@ def _open(tag: str, attrs: str, parent: Node) -> Node:
             value = m[2] or m[3] or m[4] or ""
             if key in ("class", "id"):
                 names += "." + SPACE.sub(".", value.strip())
-                boiler = boiler or (tag not in ("html", "body", "article", "main") and bool(CLASS_WORDS.search(value)))
+                if tag not in ("html", "body", "article", "main") and CLASS_WORDS.search(value):
+                    named = max(named, 2 if COMMENTS.search(STATES.sub(" ", value)) else 1)
             elif key == "role":
                 boiler = boiler or value.strip().lower() in ROLES
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
                 boiler = True
-    return Node(tag, f"{parent.path}/{tag}{names[:80]}", boiler, parent)
+    return Node(tag, f"{parent.path}/{tag}{names[:80]}", boiler or named > 0, 0 if boiler else named, parent)
 
 
 def _inside(node: Node | None, tags) -> bool:
@@ -92,7 +98,7 @@ def _inside(node: Node | None, tags) -> bool:
 def parse(page: str) -> Node:
     """A tree of ``Node`` and str children; unclosed, stray and raw-text elements are handled as browsers do
     in the common cases."""
-    root = Node("#", "", False, None)
+    root = Node("#", "", False, 0, None)
     cur, at = root, 0
     match = TOKEN.search(page, 0)
     while match:
@@ -300,6 +306,58 @@ def induce(pages: DataFrame) -> DataFrame:
 
 # ---- extraction -----------------------------------------------------------------------------------------------------
 
+def _keep_layouts(root: Node, template: frozenset) -> None:
+    """Takes the mark from elements that only their class or id calls boilerplate, where they hold the main text: most
+    of the page's slot text, or its main element, or its article when no article is outside such elements. An element
+    named for reader comments must hold main, or all slot text there is."""
+    order: list[Node] = []
+    stack = [root]
+    while stack:
+        n = stack.pop()
+        if not ((n.boiler and not n.named) or n.tag in HIDDEN or n.path in template):
+            order.append(n)
+            stack.extend(c for c in n.children if isinstance(c, Node))
+    if not any(n.named for n in order):
+        return
+    held: dict[int, tuple[int, int, bool, bool]] = {}  # text without and with reader comments; whether it holds article, main
+    for n in reversed(order):
+        text = every = sum(len(c.strip()) for c in n.children if isinstance(c, str))
+        article, main = n.tag == "article", n.tag == "main"
+        for below in (held[id(c)] for c in n.children if isinstance(c, Node) and id(c) in held):
+            text, every, article, main = text + below[0], every + below[1], article or below[2], main or below[3]
+        held[id(n)] = (0, every, False, main) if n.named == 2 and not main else (text, every, article, main)
+    total, every = held[id(root)][:2]
+
+    def plain(tags) -> bool:
+        stack = [root]
+        while stack:
+            n = stack.pop()
+            if n.tag in tags:
+                return True
+            stack.extend(c for c in n.children if isinstance(c, Node) and id(c) in held and not c.boiler)
+        return False
+
+    has_main, has_article = plain(("main",)), plain(("article", "main"))
+    stack = [root]
+    while stack:
+        n = stack.pop()
+        text, all_text, article, main = held[id(n)]
+        if n.named == 2:
+            n.boiler = not ((main and not has_main) or (not total and 0 < all_text == every))
+        elif n.named:
+            n.boiler = not (2 * text > total or (main and not has_main) or (article and not has_article))
+        if not n.boiler:
+            stack.extend(c for c in n.children if isinstance(c, Node) and id(c) in held)
+
+
+def _inside_named(node: Node | None) -> bool:
+    while node is not None:
+        if node.named:
+            return True
+        node = node.parent
+    return False
+
+
 def _content_root(root: Node, template: frozenset) -> Node:
     """The article-like element with the most text, else the whole page, so that every slot is read."""
     weight: dict[int, int] = {}
@@ -316,7 +374,7 @@ def _content_root(root: Node, template: frozenset) -> Node:
         weight[id(n)] = own + sum(weight.get(id(c), 0) for c in n.children if isinstance(c, Node))
     for tags in (("article",), ("main",)):
         found = [n for n in order if n.tag in tags]
-        if found:
+        if found and not all(_inside_named(n) and 2 * weight[id(n)] <= weight[id(root)] for n in found):  # not a sidebar's teaser
             if len(found) > 1:  # nested or sibling articles: their common ancestor holds them all
                 holder = found[0].parent
                 if all(x.parent is holder for x in found):
@@ -330,6 +388,7 @@ def extract(page: str, template: frozenset = frozenset()) -> str:
     if not page:
         return ""
     root = parse(page)
+    _keep_layouts(root, template)
     start = _content_root(root, template)
     blocks, part = [], []
 
