@@ -106,3 +106,49 @@ def test_without_article_no_slot_is_left_out():
     (f"<body><div class=x>{BODY}</div><div class=comments><article>reader {'writes much ' * 50}</article></div>", WANT)])
 def test_a_class_word_alone_does_not_drop_the_main_text(page, want):
     assert x.extract(page) == want
+
+
+def test_paths_deep_in_large_pages_vote():
+    """Two thousand blocks with ids of their own, a constant one behind them, below a deep nest."""
+    def page(k):
+        blocks = "".join(f"<div id=b{i}><p>block {i} of page {k}</div>" for i in range(2000))
+        return f"<body>{blocks}" + "<div>" * 600 + "<div class=box><p>constant words</div><p>other words " + str(k)
+
+    rows = [x.skeleton(page(k)) for k in range(3)]
+    assert len(rows[0]) > 4000
+    tally = x.group_votes(rows)
+    deep = "/body" + "/div" * 600
+    assert tally[f"{deep}/div.box/p"] == [2, 2] and tally[f"{deep}/p"] == [2, 0] and tally["/body/div.b1999/p"] == [2, 0]
+
+
+def test_alignment_equals_the_largest_match_on_random_trees():
+    import random
+
+    def brute(a, b, x, y):
+        if x[0] != y[0]:
+            return 0
+        m = [[0] * (len(y[1]) + 1) for _ in range(len(x[1]) + 1)]
+        for i, u in enumerate(x[1]):
+            for j, v in enumerate(y[1]):
+                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + brute(a, b, u, v))
+        return m[-1][-1] + 1
+
+    def rows(tree):
+        out, level = [], [(-1, "", tree)]
+        for parent, path, (label, children) in level:
+            out.append([parent, path + label, 0, 1])
+            me = len(out) - 1
+            level.extend((me, path + label, c) for c in children)
+        return out
+
+    rng = random.Random(7)
+
+    def tree(depth, label=""):
+        return (label, [tree(depth - 1, "/" + rng.choice("abcd")) for _ in range(rng.randrange(5))] if depth else [])
+
+    for _ in range(200):
+        s, t = tree(3), tree(3)
+        a, b = rows(s), rows(t)
+        pairs = x.align(a, b)
+        assert len(pairs) == brute(a, b, s, t) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
+        assert all(a[i][1] == b[j][1] for i, j in pairs)

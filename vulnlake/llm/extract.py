@@ -1,7 +1,8 @@
 """Main text of web pages by wrapper induction.
 
-1. Every page is parsed into a tree; runs of like siblings are collapsed, which leaves a skeleton of a few
-   dozen nodes: path, hash of the text under it, amount of text and of link text.
+1. Every page is parsed into a tree; like siblings are collapsed, which leaves a skeleton: path, hash of the text
+   under it and amount of text. Siblings of a skeleton differ in label, so each has one possible partner and whole
+   skeletons are aligned in n log n steps, whatever their size.
 2. Pages of one host are dealt into groups of about ``GROUP`` pages (a host of any size makes many groups), and
    inside a group every page's skeleton is aligned with its predecessor's by simple tree matching. An aligned
    pair of nodes votes "constant" when both hold the same text and "varying" otherwise. Pairs of pages that
@@ -34,7 +35,6 @@ from .common import map_batches, stored, table, text_or_empty
 
 GROUP = 64
 VOTES = 3  # a path needs so many votes before it can be template
-SKELETON_NODES = 400  # larger skeletons are cut breadth first for the alignment only; extraction reads all
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -178,7 +178,7 @@ def skeleton(page: str) -> list[list]:
     digests = _digests(root)
     rows: list[list] = []
     level: list[tuple[int, list[Node]]] = [(-1, [root])]
-    while level and len(rows) < SKELETON_NODES:
+    while level:
         below = []
         for parent, nodes in level:
             crc = chars = 0
@@ -193,7 +193,7 @@ def skeleton(page: str) -> list[list]:
                         groups.setdefault(c.path, []).append(c)
             below.extend((me, g) for g in groups.values())
         level = below
-    return rows[:SKELETON_NODES]
+    return rows
 
 
 def _children(rows: list[list]) -> list[list[int]]:
@@ -204,44 +204,61 @@ def _children(rows: list[list]) -> list[list[int]]:
     return out
 
 
+def _labels(rows: list[list]) -> list[str]:
+    return [r[1][len(rows[r[0]][1]):] if r[0] >= 0 else r[1] for r in rows]
+
+
+def _heaviest(links: list[tuple[int, int, int]]) -> list[int]:
+    """Of ``(i, j, weight)`` sorted by i and falling j, the places of a heaviest chain with both i and j rising."""
+    if all(x[0] < y[0] and x[1] < y[1] for x, y in zip(links, links[1:])):
+        return list(range(len(links)))
+    size = max(j for _, j, _ in links) + 1
+    best: list[tuple[int, int]] = [(0, -1)] * (size + 1)  # Fenwick tree of (weight, last link)
+    before = []
+    for k, (_, j, weight) in enumerate(links):
+        top, at = (0, -1), j
+        while at:
+            top = max(top, best[at])
+            at &= at - 1
+        before.append(top[1])
+        top, at = (top[0] + weight, k), j + 1
+        while at <= size:
+            best[at] = max(best[at], top)
+            at += at & -at
+    top, at = (0, -1), size
+    while at:
+        top = max(top, best[at])
+        at &= at - 1
+    chain, k = [], top[1]
+    while k >= 0:
+        chain.append(k)
+        k = before[k]
+    return chain[::-1]
+
+
 def align(a: list[list], b: list[list]) -> list[tuple[int, int]]:
     """Simple tree matching: pairs of rows in a largest order- and depth-preserving match of equal labels."""
-    ka, kb = _children(a), _children(b)
-    memo: dict[tuple[int, int], int] = {}
-
-    def grid(x: int, y: int):
-        p, q = ka[x], kb[y]
-        m = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
-        w = [[0] * len(q) for _ in p]
-        for i, u in enumerate(p):
-            for j, v in enumerate(q):
-                w[i][j] = size(u, v)
-                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + w[i][j])
-        return m, w
-
-    def size(x: int, y: int) -> int:
-        if a[x][1].rpartition("/")[2] != b[y][1].rpartition("/")[2]:
-            return 0
-        if (x, y) not in memo:
-            memo[x, y] = 1
-            memo[x, y] = grid(x, y)[0][-1][-1] + 1
-        return memo[x, y]
-
-    pairs, stack = [], [(0, 0)] if a and b and size(0, 0) else []
-    while stack:
-        x, y = stack.pop()
-        pairs.append((x, y))
-        m, w = grid(x, y)
-        i, j = len(ka[x]), len(kb[y])
-        while i and j:
-            if w[i - 1][j - 1] and m[i][j] == m[i - 1][j - 1] + w[i - 1][j - 1]:
-                stack.append((ka[x][i - 1], kb[y][j - 1]))
-                i, j = i - 1, j - 1
-            elif m[i][j] == m[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-    return pairs
+    if not a or not b or a[0][1] != b[0][1]:
+        return []
+    ka, kb, la, lb = _children(a), _children(b), _labels(a), _labels(b)
+    pairs, links = [(0, 0)], {}
+    for x, y in pairs:  # grows: every pair of equal labels below a pair, parents first
+        at: dict[str, list[int]] = {}
+        for j in reversed(range(len(kb[y]))):
+            at.setdefault(lb[kb[y][j]], []).append(j)
+        links[x, y] = [(i, j) for i, u in enumerate(ka[x]) for j in at.get(la[u], ())]
+        pairs.extend((ka[x][i], kb[y][j]) for i, j in links[x, y])
+    size: dict[tuple[int, int], int] = {}
+    chosen: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for x, y in reversed(pairs):
+        below = [(i, j, size[ka[x][i], kb[y][j]]) for i, j in links[x, y]]
+        keep = [below[k] for k in _heaviest(below)]
+        size[x, y] = 1 + sum(w for _, _, w in keep)
+        chosen[x, y] = [(ka[x][i], kb[y][j]) for i, j, _ in keep]
+    out = [(0, 0)]
+    for pair in out:
+        out.extend(chosen[pair])
+    return out
 
 
 def votes(a: list[list], b: list[list]) -> list[tuple[str, int, int]]:
