@@ -71,3 +71,13 @@ def test_features_do_not_depend_on_how_texts_are_cut(monkeypatch):
     assert [fp.encode(fp.features([t], rank)[0]) for t in texts] == whole
     assert whole[0] == "" and fp.likeness(whole[0], whole[0]) == 1.0 and fp.likeness(whole[0], whole[4]) == 0.0
     assert all(0 <= fp.likeness(a, b) <= 1 and fp.likeness(a, b) == fp.likeness(b, a) for a in whole for b in whole)
+
+
+def test_rarity_counts_the_windows_of_short_texts(spark, docs_of):
+    rng = np.random.default_rng(5)
+    texts = ["a" * 40, "abcdefghijklmnop", "abcdefghijklmno", "", "".join(map(chr, rng.integers(97, 123, 300))), "ab" * 400]
+    total = np.zeros(fp.CLASSES, np.int64)
+    for t in texts:
+        total += np.bincount(fp.entropy_classes(np.frombuffer(t.encode(), np.uint8)), minlength=fp.CLASSES)
+    rank = fp.rarity_table(docs_of([(k, t) for k, t in enumerate(texts)] + [(9, None)]))
+    assert np.argsort(rank).tolist() == np.lexsort((np.arange(fp.CLASSES), total)).tolist()

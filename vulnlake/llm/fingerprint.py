@@ -88,11 +88,12 @@ def _hashes(x: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def _segments(texts: list[bytes]) -> Iterator[list[tuple[int, int, int, int, int]]]:
-    """Groups of (text, from, to, first own window, end of own windows) of about ``SEGMENT`` bytes."""
+def _segments(texts: list[bytes], least: int = SHORT) -> Iterator[list[tuple[int, int, int, int, int]]]:
+    """Groups of (text, from, to, first own window, end of own windows) of about ``SEGMENT`` bytes, of the texts of
+    ``least`` bytes and more."""
     group, size, margin = [], 0, WINDOW + STRETCH
     for i, t in enumerate(texts):
-        if len(t) < SHORT:
+        if len(t) < least:
             continue
         for a in range(0, len(t), SEGMENT):
             lo, hi = max(0, a - margin), min(len(t), a + SEGMENT + margin)
@@ -184,7 +185,7 @@ def rarity_table(docs: DataFrame) -> np.ndarray:
         total = np.zeros(CLASSES, np.int64)
         for b in batches:
             texts = [t.as_py() for t in b.column(0)]
-            for group in _segments(texts):
+            for group in _segments(texts, WINDOW):
                 for i, lo, hi, own, end in group:
                     c = entropy_classes(np.frombuffer(texts[i], np.uint8)[lo:hi])
                     total += np.bincount(c[own - lo:end - lo], minlength=CLASSES)
