@@ -16,6 +16,7 @@ from .packing import op3_packing
 from .quality import op1_quality
 from .secret_ledger import op7_secret_ledger
 from .suffix_dedup import op8_suffix_dedup
+from .token_counts import op11_token_counts
 from .warc import op9_warc
 from .word_score import op10_lm_score
 
@@ -39,6 +40,7 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op8_suffix_dedup,
     op9_warc,
     op10_lm_score,
+    op11_token_counts,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]
