@@ -18,6 +18,7 @@ from .secret_ledger import op7_secret_ledger
 from .suffix_dedup import op8_suffix_dedup
 from .token_counts import op11_token_counts
 from .warc import op9_warc
+from .whitening import op13_whitening
 from .word_score import op10_lm_score
 
 
@@ -41,6 +42,7 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op9_warc,
     op10_lm_score,
     op11_token_counts,
+    op13_whitening,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]
