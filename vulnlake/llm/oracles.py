@@ -6,6 +6,7 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 NEAR_DEDUP = rf"""
 WITH RECURSIVE texts AS (
@@ -72,9 +73,27 @@ SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_dige
   CASE WHEN f.page_id <> p.page_id THEN f.page_id END AS refers_to
 FROM payloads p LEFT JOIN first f USING (digest)"""
 
+LEXICAL_SEARCH = rf"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS t FROM documents),
+sized AS (SELECT row, doc_id, t, len(t) AS n FROM texts WHERE len(t) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM sized) GROUP BY row, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+items AS (SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark),
+wanted AS (SELECT item, item_id, unnest(t) AS term FROM items),
+parts AS (
+  SELECT w.item, w.item_id, s.row, s.doc_id,
+    CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+      * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))) AS part
+  FROM wanted w JOIN tf USING (term) JOIN df USING (term) JOIN sized s ON s.row = tf.row, total),
+scored AS (SELECT item, item_id, row, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY item, item_id, row, doc_id HAVING sum(part) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY rank <= 50"""
+
 ORACLES = {
     "op4_near_dedup": NEAR_DEDUP,
     "op6_decontamination": DECONTAMINATION,
     "op8_suffix_dedup": SUFFIX_DEDUP,
     "op9_warc": WARC,
+    "op12_lexical_search": LEXICAL_SEARCH,
 }

@@ -10,6 +10,7 @@ from ..session import apply_defaults
 from .decontaminate import op6_decontamination
 from .extract import op2_main_text
 from .fingerprint import op5_fingerprint
+from .lexical_search import op12_lexical_search
 from .near_dedup import op4_near_dedup
 from .oracles import ORACLES
 from .packing import op3_packing
@@ -42,6 +43,7 @@ QUERIES = {fn.__name__: _bound(fn) for fn in (
     op9_warc,
     op10_lm_score,
     op11_token_counts,
+    op12_lexical_search,
     op13_whitening,
 )}
 
