@@ -276,3 +276,60 @@ def unfilled_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lines(spark, sf_dir).join(o, F.col("l_orderkey") == F.col("o_orderkey")).where(F.col("s_name").isNotNull())
     return rows.select(_cve_id().alias("cve_id"), F.col("s_name").alias("vendor_name"),
                        F.when(F.col("s_acctbal") >= 5000, F.col("p_name")).alias("product_name"))
+
+
+# ---------------------------------------------------------------------------------------------------
+# Inputs of the operators along time and of the upsert
+# ---------------------------------------------------------------------------------------------------
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the org of their supplier's nation and their ship time."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.concat(F.lit("org-"), F.col("s_nationkey").cast("string")).alias("assigning_org_id"),
+        F.expr("timestampadd(SECOND, l_orderkey % 86400, l_shipdate)").cast("timestamp").alias("ship_time"))
+
+
+def score_history(core: DataFrame) -> DataFrame:
+    """What an org published as a score, and when."""
+    return core.where(F.col("cvss_base_score").isNotNull()).select(
+        "assigning_org_id", F.col("published_timestamp").alias("score_time"), F.col("cvss_base_score").alias("score_in_force"))
+
+
+def first_load(core: DataFrame) -> DataFrame:
+    """The records whose assigner is known."""
+    return core.where(F.col("assigning_org_name").isNotNull())
+
+
+def republished(core: DataFrame) -> DataFrame:
+    """The load after it: records of unknown assigners; urgent records revised a day later, delivered twice; and the same
+    urgent records once more as they were a day before, with a stale text."""
+    day = F.expr("INTERVAL 1 DAY")
+    urgent = core.where(F.col("cve_description").endswith("1-URGENT"))
+
+    def as_of(text: str, time: Column) -> DataFrame:
+        return urgent.withColumns({"cve_description": F.concat(F.col("cve_description"), F.lit(text)), "updated_timestamp": time})
+
+    revised = as_of(" (revised)", F.col("updated_timestamp") + day)
+    stale = as_of(" (stale)", F.col("updated_timestamp") - day)
+    return core.where(F.col("assigning_org_name").isNull()).unionByName(revised).unionByName(revised).unionByName(stale)
+
+
+EVENT_LOADS = ("2024-01-08", "2024-01-15", "2024-01-22", "9999-01-01")  # the stand-in stream arrives up to each of these
+
+
+def event_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events as they arrive: by week; each load repeats the errors of the day before it, and the last one brings
+    clicks of the first week under new ids."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
+                                                   F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    loads, since = [], "0001-01-01"
+    for until in EVENT_LOADS:
+        new = events.where((F.col("ts") >= since) & (F.col("ts") < until))
+        again = events.where((F.col("event_type") == "error") & (F.col("ts") < since) & (F.col("ts") >= F.lit(since).cast("timestamp") - F.expr("INTERVAL 1 DAY")))
+        loads.append(new.unionByName(again))
+        since = until
+    late = events.where((F.col("ts") < EVENT_LOADS[0]) & (F.col("event_type") == "click")).withColumn("event_id", -1 - F.col("event_id"))
+    loads[-1] = loads[-1].unionByName(late)
+    return loads

@@ -20,8 +20,8 @@ from .. import operators as op
 from ..functions import documents as J
 from ..session import apply_defaults, scratch_path
 from .. import schemas as S
-from ..sources import export_csv, preview, read_table, scan_documents, table_profile, to_bronze_columns, write_table
-from ..streaming import run_available, start_bronze_stream
+from ..sources import export_csv, preview, read_table, scan_documents, table_profile, to_bronze_columns, upsert_table, write_table
+from ..streaming import read_window_counts, run_available, start_bronze_stream, start_window_counts, tumbling_counts
 from . import bindings as B
 
 DIGITS = 6
@@ -502,3 +502,51 @@ def _g61e(spark, d):
 @query("g7_1_cumulative_series_events")
 def _g71e(spark, d):
     return op.cumulative_series(_events(spark, d), ts="ts", score="value", as_of=EVENTS_AS_OF, digits=DIGITS)
+
+
+# ---- along time, upsert, stateful stream ---------------------------------------------------------
+
+@query("u1_upsert_core")
+def _u1(spark, d):
+    """A first load of core records, then two upserts of the re-published ones (the second changes nothing)."""
+    path = scratch_path(spark, "core-upsert")
+    core = _core(spark, d)
+    for changes in (B.first_load(core), B.republished(core), B.republished(core)):
+        upsert_table(spark, path, changes, "cve_id", ["updated_timestamp"], "data_year")
+    return read_table(spark, path).select("cve_id", "cve_description", "updated_timestamp", "assigning_org_name", "data_year")
+
+
+@query("j1_asof_score")
+def _j1(spark, d):
+    """For every order line, the score that the org of its supplier's nation had last published when it was shipped."""
+    return op.asof_join(B.shipments(spark, d), B.score_history(_core(spark, d)), "assigning_org_id", "ship_time", "score_time").select(
+        "l_orderkey", "l_linenumber", "ship_time", "score_time", "score_in_force")
+
+
+@query("j2_interval_shipments")
+def _j2(spark, d):
+    """For every record, the lines shipped from its org's nation between its publication and its update."""
+    pairs = op.interval_join(B.shipments(spark, d), _core(spark, d).select("cve_id", "assigning_org_id", "published_timestamp", "updated_timestamp"),
+                             "ship_time", "published_timestamp", "updated_timestamp", on="assigning_org_id")
+    return pairs.groupBy("cve_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity"),
+                                       F.min("ship_time").alias("first_shipped"))
+
+
+@query("w1_assigner_sessions")
+def _w1(spark, d):
+    """Publication sessions of each org: pauses of two days end them."""
+    core = _core(spark, d).withColumn("scored", F.col("has_cvss").cast("bigint"))
+    return op.sessions(core, "assigning_org_id", "published_timestamp", 2 * 86400, sums=["scored"])
+
+
+@query("st1_tumbling_counts")
+def _st1(spark, d):
+    """Events per six hours and type from a stream in four loads, restarted from its checkpoint for each: what is delivered
+    again counts once, what is later than two days is left out."""
+    root = scratch_path(spark, "event-stream")
+    for load in B.event_loads(spark, d):
+        load.write.mode("append").parquet(f"{root}/src")
+        stream = spark.readStream.schema(load.schema).parquet(f"{root}/src")
+        counts = tumbling_counts(stream, "ts", "6 hours", "2 days", keys=["event_type"], id="event_id", sums=["cents"])
+        run_available([start_window_counts(counts, f"{root}/counts", f"{root}/checkpoint")])
+    return read_window_counts(spark, f"{root}/counts", ["event_type"])

@@ -474,3 +474,36 @@ _reg("g6_1_batch_days_events", _batch_days("events", "ts", "event_id", "event_ty
                                            (350, 333, 300, 2)), twin=False)
 _reg("g7_1_cumulative_series_events", "WITH x AS (SELECT 1)" + _cumulative("events", "ts", "value", EVENTS_AS_OF),
      twin=False)
+
+# ---- along time, upsert, stateful stream ---------------------------------------------------------
+_SHIPMENTS = """, shipments AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, 'org-' || CAST(s_nationkey AS VARCHAR) AS org, l_shipdate + to_seconds(l_orderkey % 86400) AS ship_time
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+_reg("u1_upsert_core", """, deliveries AS (
+  SELECT cve_id, cve_description, updated_timestamp, assigning_org_name, data_year FROM core_cves
+  UNION ALL SELECT cve_id, cve_description || ' (revised)', updated_timestamp + INTERVAL 1 DAY, assigning_org_name, data_year
+  FROM core_cves WHERE cve_description LIKE '%1-URGENT'
+  UNION ALL SELECT cve_id, cve_description || ' (stale)', updated_timestamp - INTERVAL 1 DAY, assigning_org_name, data_year
+  FROM core_cves WHERE cve_description LIKE '%1-URGENT')
+SELECT * FROM deliveries QUALIFY row_number() OVER (PARTITION BY cve_id ORDER BY updated_timestamp DESC NULLS LAST) = 1""")
+_reg("j1_asof_score", _SHIPMENTS + """, scores AS (
+  SELECT assigning_org_id AS org, published_timestamp AS score_time, max(cvss_base_score) AS score_in_force
+  FROM core_cves WHERE cvss_base_score IS NOT NULL AND published_timestamp IS NOT NULL GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, ship_time, score_time, score_in_force
+FROM shipments l ASOF LEFT JOIN scores s ON l.org = s.org AND l.ship_time >= s.score_time""")
+_reg("j2_interval_shipments", _SHIPMENTS + """
+SELECT cve_id, count(*) AS n_lines, sum(l_quantity) AS quantity, min(ship_time) AS first_shipped
+FROM core_cves JOIN shipments ON org = assigning_org_id AND ship_time BETWEEN published_timestamp AND updated_timestamp GROUP BY cve_id""")
+_reg("w1_assigner_sessions", """, paused AS (
+  SELECT assigning_org_id, published_timestamp AS t, CAST(has_cvss AS BIGINT) AS scored,
+    published_timestamp <= lag(published_timestamp) OVER (PARTITION BY assigning_org_id ORDER BY published_timestamp) + INTERVAL 2 DAY AS goes_on
+  FROM core_cves WHERE published_timestamp IS NOT NULL),
+islands AS (
+  SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY assigning_org_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM paused)
+SELECT assigning_org_id, min(t) AS session_start, max(t) AS session_last, max(t) + INTERVAL 2 DAY AS session_end, count(*) AS n_rows,
+  CAST(sum(scored) AS BIGINT) AS sum_scored
+FROM islands GROUP BY assigning_org_id, island""")
+_reg("st1_tumbling_counts", """
+SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS window_end, event_type,
+  count(*) AS n_rows, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents
+FROM events GROUP BY ALL""", twin=False)
