@@ -1,244 +1,306 @@
-"""LM scoring by cross-entropy difference over characters; ``word_score`` has the words of op10 and uses this as its
-lowest back-off.
-
-Two character n-gram models of the same order, the same smoothing and one shared vocabulary: the target model
-counts the documents marked as target, the background model counts all documents. The vocabulary is every
-character of the corpus, ranked by count; ids fit ``VOCAB`` values and what lies beyond is one unknown symbol.
-A document's score is the mean, over its characters, of background loss minus target loss, in bits: above zero,
-it reads more like the target.
-
-1. Documents are stored in blocks: a block is what one task wrote, so a block's text never meets another's.
-2. Each block counts its n-grams of the highest order; the counts are summed by n-gram in one shuffle.
-3. Lower orders, contexts and losses follow from that table by aggregations and joins on the context.
-4. A block asks for the losses of its own distinct n-grams by a join and scores its documents with them: the
-   model is never broadcast and never held by one process.
-
-Interpolated Witten-Bell smoothing: P_k(c|h) = (count(hc) + kinds(h) P_{k-1}(c|h')) / (count(h) + kinds(h)).
-
-Defined cases: null and empty texts have no characters, losses of null and a score of 0; without target
-documents both models are uniform over the target's side and the score still is defined; repeated rows count
-as often as they occur; an empty table gives an empty result; extra columns are ignored.
+"""LM scoring by cross-entropy difference over words.
+
+Two word trigram models of the same smoothing and one vocabulary: the target model counts the documents marked as
+target, the background model counts all documents. Tokens are runs of word characters, single characters of scripts written
+without spaces, and single marks; white space only separates. A document's score is the mean, over its tokens, of
+background loss minus target loss, in bits: above zero, it reads more like the target.
+
+    P1(w) = (count(w) + 1) / (tokens + words)        P2(w | v) = (count(v w) + K P1(w)) / (count(v) + K)
+    P3(w | u v) = (count(u v w) + K P2(w | v)) / (count(u v) + K)
+
+``words`` is the number of distinct words of all documents in both models, so they spread what they have not seen over the same
+vocabulary. A document starts with two marks, as context only, and ends with one, which counts as a word. A context's
+count is the count of that shorter n-gram, so counts of n-grams are all that is needed.
+
+1. Documents are stored where they lie, in blocks of about ``BLOCK`` characters, in a table bucketed by block: no text is shuffled.
+2. Every block counts its distinct n-grams of one to three words and asks the buckets they belong to (leading bits of their
+   hash) how often they occur in the whole corpus. A question is a sorted list: differences in five bytes each or so, and small counts.
+3. A bucket adds up what all blocks sent and answers each in the order of its question.
+4. A block scores its documents with the answers. No model is broadcast or held by one process, nothing is pruned: what
+   is counted grows with the corpus. A frequent n-gram is one entry per block, so none is hot.
+
+N-grams are known by 54 bits of a hash and their order. Defined cases: null and empty texts, and those of white space only, have no tokens,
+losses of null and a score of 0; without target documents the target model is uniform over the vocabulary; repeated rows
+count as often as they occur, a null id is never a target; a text longer than a block is a block of its own and is read whole, in
+pieces; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import functools
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, text_or_empty
-
-ORDER = 4
-BITS = 15  # per symbol: four symbols fit a non-negative 64-bit integer
-VOCAB = (1 << BITS) - 2  # ids 2..; 0 pads the start, 1 is the unknown symbol
-PIECE = 1 << 20  # characters handled at once
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-
-
-class Tally:
-    """Counts of 64-bit keys, in all and in marked texts; kept as sorted arrays, merged when they double."""
-
-    def __init__(self):
-        self.keys, self.n, self.m = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, keys: np.ndarray, marked: bool) -> None:
-        u, n = np.unique(keys, return_counts=True)
-        self.held.append((u, n, n if marked else np.zeros(len(n), np.int64)))
-        self.size += len(u)
-        if self.size > max(1 << 20, 2 * len(self.keys)):
-            self.merge()
-
-    def merge(self) -> None:
-        parts = [(self.keys, self.n, self.m), *self.held]
-        u, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        self.keys = u
-        self.n, self.m = (np.bincount(inverse, np.concatenate([p[k] for p in parts]), len(u)).astype(np.int64) for k in (1, 2))
-        self.held, self.size = [], 0
-
-
-def _pieces(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts of a column, in lists of about ``PIECE`` characters; longer texts are cut."""
-    held, size = [], 0
-    for t in texts:
-        t = t.as_py()
-        for i in range(0, len(t), PIECE):
-            held.append(t[i:i + PIECE])
-            size += len(held[-1])
-            if size >= PIECE:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
-
-
-def marked_rows(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(doc_id, target, text)``; ``targets(doc_id)`` are marked."""
-    marked = targets.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    # dealt by id first: blocks are of even size whatever the input's files, and the join adds no shuffle of texts
-    rows = docs.select("doc_id", text_or_empty().alias("text")).repartition("doc_id").join(marked, "doc_id", "left")
-    return rows.select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
-
-
-def store_blocks(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Stored ``(block, row, doc_id, target, text)``; ``targets(doc_id)`` are marked."""
-    ids = marked_rows(docs, targets).select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "text")
-    return stored(ids.select(F.shiftright("row", 33).cast("int").alias("block"), "row", "doc_id", "target", "text"), "lm-blocks")
-
-
-def character_counts(blocks: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0x110000, np.int64)
-        for b in batches:
-            for texts in _pieces(b.column(0)):
-                total += np.bincount(_codes("".join(texts)), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["code", "n"])
-
-    return map_batches(blocks.select("text"), run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(blocks: DataFrame, most: int = VOCAB) -> np.ndarray:
-    """``ids[code point]``: 2 and up by falling count, 1 for what the vocabulary lacks. There are at most
-    1,114,112 code points, so the table has a proven bound."""
-    ids = np.ones(0x110000, np.uint16)
-    ranked = character_counts(blocks).orderBy(F.desc("n"), "code").limit(most).collect()
-    for k, row in enumerate(ranked):
-        ids[row["code"]] = k + 2
-    return ids
-
-
-def ngram_keys(text: str, ids: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """The packed n-gram that ends at every character; the start is padded with 0."""
-    x = ids[_codes(text)].astype(np.int64)
-    padded = np.concatenate([np.zeros(order - 1, np.int64), x])
-    key = np.zeros(len(x), np.int64)
-    for k in range(order):
-        key = key << BITS | padded[k:k + len(x)]
-    return key
-
-
-def count_ngrams(blocks: DataFrame, ids, order: int = ORDER) -> DataFrame:
-    """Stored ``(block, key, n, m)``: the n-grams of each block, in all documents and in target documents."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_block: dict[int, Tally] = {}
-        buffer: dict[tuple[int, bool], list[np.ndarray]] = {}
-        size = 0
-
-        def count() -> None:
-            nonlocal size
-            for (block, target), keys in buffer.items():
-                by_block.setdefault(block, Tally()).add(np.concatenate(keys), target)
-            buffer.clear()
-            size = 0
-
-        for b in batches:
-            for block, target, text in zip(*(b.column(k) for k in range(3))):
-                block, target, text = block.as_py(), target.as_py(), text.as_py()
-                for i in range(0, len(text), PIECE):  # n-grams that reach over a cut need the characters before it
-                    keys = ngram_keys(text[max(0, i - order + 1):i + PIECE], ids.value, order)[min(i, order - 1):]
-                    buffer.setdefault((block, target), []).append(keys)
-                    size += len(keys)
-                    if size >= PIECE:
-                        count()
-        count()
-        for block, tally in by_block.items():
-            tally.merge()
-            for i in range(0, len(tally.keys), 1 << 16):
-                part = slice(i, i + (1 << 16))
-                n = len(tally.keys[part])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int32)), pa.array(tally.keys[part]),
-                                                  pa.array(tally.n[part]), pa.array(tally.m[part])], ["block", "key", "n", "m"])
-
-    return stored(map_batches(blocks.select("block", "target", "text"), run, "block int, key bigint, n bigint, m bigint"), "lm-counts")
-
-
-def loss_table(counts: DataFrame, n_symbols: int, order: int = ORDER) -> DataFrame:
-    """``(key, loss_background, loss_target)`` in bits for every n-gram of ``counts(key, n, m)``.
-
-    A suffix of the n-gram of length k has the counts of that order; each order's probability is built on the
-    one below, by joins on the suffix and aggregations over contexts.
-    """
-    full = stored(counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "lm-ngrams")
-    prob = None
-    for k in range(1, order + 1):
-        width = (1 << (BITS * k)) - 1
-        grams = full if k == order else full.groupBy(F.col("key").bitwiseAND(F.lit(width)).alias("key")).agg(
-            F.sum("n").alias("n"), F.sum("m").alias("m"))
-        grams = grams.withColumn("context", F.shiftright("key", BITS))
-        around = grams.groupBy("context").agg(
-            F.sum("n").alias("cn"), F.sum("m").alias("cm"), F.count("*").alias("kn"),
-            F.count(F.when(F.col("m") > 0, 1)).alias("km"))
-        grams = grams.join(around, "context")
-        if prob is None:
-            lower_n = lower_m = F.lit(1.0 / n_symbols)
+from ..session import scratch_path
+from .common import map_batches, stored, table, text_or_empty
+from .quality import held_out
+
+ORDER = 3
+K = 4.0
+BITS = 56  # of a key: 54 of the hash, 2 for the order
+BLOCK = 1 << 23  # characters
+PER_BUCKET = 1 << 24  # characters of the corpus for each bucket
+PIECE = 1 << 20  # characters hashed at once
+START, END = np.uint64(1), np.uint64(2)  # marks around a document; hashes of words are larger
+_ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
+TOKEN = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+|[^\w\s]")
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@functools.lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every code point's class (0 separates, 1 goes on, 2 stands alone), and the powers of the base and its inverse."""
+    points = "".join(map(chr, [*range(0xD800), *([0x20] * 0x800), *range(0xE000, 0x110000)]))
+    kind = np.zeros(0x110000, np.uint8)
+    for m in re.finditer(rf"[^\w\s]+|[{_ALONE}]+", points):
+        kind[m.start():m.end()] = 2
+    for m in re.finditer(rf"[^\W{_ALONE}]+", points):
+        kind[m.start():m.end()] = 1
+    kind[0xD800:0xE000] = 2  # no text has them; as the marks they would be
+    powers = []
+    for base in (_BASE, _INVERSE):
+        p = np.full(2 * PIECE, base, np.uint64)
+        p[0] = 1
+        powers.append(np.multiply.accumulate(p))
+    return kind, *powers
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def token_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of every token of the text, larger than the marks."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    kinds, up, down = _tables()
+    out, at = [], 0
+    while at < len(codes):
+        end = min(at + PIECE, len(codes))
+        kind = kinds[codes[at:end]]
+        while end < len(codes) and kind[-1] == 1 and kinds[codes[end]] == 1:  # a word goes on: take all of it
+            more = kinds[codes[end:end + PIECE]]
+            stop = int(np.argmax(more != 1)) if (more != 1).any() else len(more)
+            kind, end = np.concatenate([kind, more[:stop]]), end + stop
+        own = codes[at:end].astype(np.uint64) + np.uint64(1)
+        word = kind == 1
+        first = (kind == 2) | (word & np.concatenate([[True], kind[:-1] != 1]))
+        last = (kind == 2) | (word & np.concatenate([kind[1:] != 1, [True]]))
+        a, z = np.flatnonzero(first), np.flatnonzero(last)
+        if len(own) > len(up):  # one word beyond two pieces
+            power = np.full(len(own), _BASE, np.uint64), np.full(len(own), _INVERSE, np.uint64)
+            for p in power:
+                p[0] = 1
+            up_, down_ = (np.multiply.accumulate(p) for p in power)
         else:
-            grams = grams.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))).join(prob, "suffix")
-            lower_n, lower_m = F.col("qn"), F.col("qm")
-        pn = (F.col("n") + F.col("kn") * lower_n) / (F.col("cn") + F.col("kn"))
-        # a context that the target lacks falls back to the order below
-        pm = F.when(F.col("cm") > 0, (F.col("m") + F.col("km") * lower_m) / (F.col("cm") + F.col("km"))).otherwise(lower_m)
-        prob = stored(grams.select(F.col("key").alias("suffix"), pn.alias("qn"), pm.alias("qm")), f"lm-order-{k}")
-    return prob.select(F.col("suffix").alias("key"), (-F.log2("qn")).alias("loss_background"), (-F.log2("qm")).alias("loss_target"))
-
-
-def score(blocks: DataFrame, counts: DataFrame, losses: DataFrame, ids, order: int = ORDER) -> DataFrame:
-    """doc_id, target, n_tokens, loss_target, loss_background, score per stored row of ``blocks``."""
-    wanted = counts.select("block", "key").join(losses, "key")
-    packed = wanted.select("block", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("boolean").alias("target"),
-                           F.lit(None).cast("string").alias("text"), "key", "loss_background", "loss_target")
-    texts = blocks.select("block", "doc_id", "target", "text", F.lit(None).cast("bigint").alias("key"),
-                          F.lit(None).cast("double").alias("loss_background"), F.lit(None).cast("double").alias("loss_target"))
-    # a block's losses come before its texts in the sorted stream
-    both = packed.unionByName(texts).repartition("block").sortWithinPartitions("block", F.col("key").asc_nulls_last())
-    names = ["doc_id", "target", "n_tokens", "loss_target", "loss_background", "score"]
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-
+            up_, down_ = up, down
+        total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(own * up_[:len(own)])])
+        out.append(_mixed((total[z + 1] - total[a]) * down_[a] + (z + 1 - a).astype(np.uint64)) | np.uint64(4))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+class Grams:
+    """The n-grams at every token of some documents. ``keys[k - 1]`` has the n-gram of k words that ends at each place of
+    the documents strung together; ``scored`` are the places of words, ``doc`` their documents, ``counted[k - 1]`` what counts."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        parts, kinds = [], []
+        for t in texts:
+            if len(t):
+                parts += [[START, START], t, [END]]
+                kinds += [[0, 1], np.full(len(t), 3, np.uint8), [2]]
+        s = np.concatenate([np.zeros(0, np.uint64), *(np.asarray(p, np.uint64) for p in parts)])
+        kind = np.concatenate([np.zeros(0, np.uint8), *(np.asarray(p, np.uint8) for p in kinds)])
+        self.scored = np.flatnonzero(kind == 3)
+        self.doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        self.place_doc = np.repeat(np.arange(len(texts)), [len(t) + 3 if len(t) else 0 for t in texts])
+        # marks at the start count as contexts: one word or two, never three
+        self.counted = [kind >= 1, kind >= 1, kind >= 2]
+        before = np.concatenate([[START], s[:-1]]) if len(s) else s
+        before2 = np.concatenate([[START, START], s[:-2]])[:len(s)] if len(s) else s
+        two = _mixed(before * np.uint64(_BASE) + s)
+        three = _mixed(_mixed(before2 * np.uint64(_BASE) + before) * np.uint64(0xD6E8FEB86659FD93) + s)
+        self.keys = [((h >> np.uint64(64 - BITS + 2)) << np.uint64(2) | np.uint64(k + 1)).astype(np.int64) for k, h in enumerate((_mixed(s), two, three))]
+
+    def all_keys(self, places: np.ndarray | None = None) -> np.ndarray:
+        return np.concatenate([x[c if places is None else c & places] for x, c in zip(self.keys, self.counted)])
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, in as few bytes each as the largest needs."""
+    d = np.diff(keys, prepend=0).astype("<i8")
+    size = max(1, (int(d.max()).bit_length() + 7) // 8) if len(d) else 1
+    return bytes([size]) + d.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _unpack_keys(b: bytes) -> np.ndarray:
+    raw = np.frombuffer(b, np.uint8, offset=1).reshape(-1, b[0])
+    d = np.zeros((len(raw), 8), np.uint8)
+    d[:, :b[0]] = raw
+    return np.cumsum(d.reshape(-1).view("<i8"))
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """Counts: a byte each; 255 stands for the next of the larger ones, which follow."""
+    big = a >= 255
+    return len(a).to_bytes(8, "little") + np.where(big, 255, a).astype(np.uint8).tobytes() + a[big].astype("<i8").tobytes()
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    out = np.frombuffer(b, np.uint8, n, 8).astype(np.int64)
+    out[out == 255] = np.frombuffer(b, "<i8", offset=8 + n)
+    return out
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = pa.schema([(n, kinds[t]) for n, t in (c.split() for c in schema.split(", "))])
+    cols = zip(*rows) if rows else [[] for _ in fields]
+    return pa.table([pa.array(c, f.type) for c, f in zip(cols, fields)], schema=fields)
+
+
+def store_blocks(docs: DataFrame) -> DataFrame:
+    """``(block, row, doc_id, text)`` in a table bucketed by block; row is the number within the block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts, model = None, [], None
+        part, size, block, row = TaskContext.get().partitionId() << 32, 0, 0, 0
         for b in batches:
-            block = b.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), len(block)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if lo == hi:
-                    continue
-                part = b.slice(lo, hi - lo)
-                if block[lo] != current:
-                    current, parts, model = block[lo], [], None
-                heads = len(part) - part.column(4).null_count
-                if heads:
-                    parts.append(tuple(part.column(c).slice(0, heads).to_numpy(zero_copy_only=False) for c in (4, 5, 6)))
-                if heads == len(part):
-                    continue
-                if model is None:
-                    model = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, (np.int64, float, float)[k]) for k in range(3)]
-                    parts = []
-                rows = []
-                rest = part.slice(heads)
-                for doc_id, target, text in zip(*(rest.column(c).to_pylist() for c in (1, 2, 3))):
-                    n = len(text)
-                    bg = tg = 0.0
-                    for i in range(0, n, PIECE):  # n-grams that reach over a cut need the characters before it
-                        keys = ngram_keys(text[max(0, i - order + 1):i + PIECE], ids.value, order)[min(i, order - 1):]
-                        at = np.searchsorted(model[0], keys)
-                        bg, tg = bg + model[1][at].sum(), tg + model[2][at].sum()
-                    rows.append((doc_id, target, n, tg / n if n else None, bg / n if n else None, (bg - tg) / n if n else 0.0))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-    return map_batches(both, run, "doc_id bigint, target boolean, n_tokens bigint, loss_target double, loss_background double, score double")
-
-
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, order: int = ORDER) -> DataFrame:
+            blocks, rows = [], []
+            for text in b.column(1):
+                n = len(text.as_py())
+                if size and size + n > BLOCK:
+                    size, block, row = 0, block + 1, 0
+                blocks.append(part + block)
+                rows.append(row)
+                size, row = size + n, row + 1
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(rows, pa.int32()), *b.columns], ["block", "row", "doc_id", "text"])
+
+    spark, name = docs.sparkSession, f"lm_blocks_{uuid.uuid4().hex[:12]}"
+    rows = map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")), run,
+                       "block bigint, row int, doc_id bigint, text string")
+    (rows.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+     .option("path", scratch_path(spark, name)).format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def target_rows(blocks: DataFrame, targets: DataFrame) -> DataFrame:
+    """Stored ``(block, row)`` of the documents listed in ``targets(doc_id)``."""
+    marked = targets.select("doc_id").where("doc_id is not null").distinct()
+    return stored(blocks.select("block", "row", "doc_id").join(marked, "doc_id", "left_semi").select("block", "row"), "lm-targets")
+
+
+def _read(rows: pa.Table, marked: list[int]) -> tuple[list, np.ndarray, Grams]:
+    rows = rows.sort_by("row")
+    target = np.isin(rows.column("row").to_numpy(), np.array(marked, np.int64))
+    return rows.column("doc_id").to_pylist(), target, Grams([token_hashes(t.as_py()) for t in rows.column("text")])
+
+
+ASKED = "bucket int, block bigint, keys binary, n binary, m binary"
+ANSWERED = "block bigint, bucket int, n binary, m binary, words bigint, tokens bigint, target_tokens bigint"
+SCORED = "doc_id bigint, target boolean, n_tokens bigint, loss_target double, loss_background double, score double"
+
+
+def questions(blocks: DataFrame, targets: DataFrame, bucket_bits: int) -> DataFrame:
+    """What every block asks of every bucket: its n-grams there, with their counts in all and in target documents."""
+    def run(rows: pa.Table, marked: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _table([], ASKED)
+        _, target, grams = _read(rows, marked.column("row").to_pylist())
+        keys, n = np.unique(grams.all_keys(), return_counts=True)
+        m = np.zeros(len(keys), np.int64)
+        if target.any():
+            own, count = np.unique(grams.all_keys(target[grams.place_doc]), return_counts=True)
+            m[np.searchsorted(keys, own)] = count
+        bucket = keys >> (BITS - bucket_bits)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        block = rows.column("block")[0].as_py()
+        return _table([(int(bucket[a]), block, _pack_keys(keys[a:z] & ((1 << (BITS - bucket_bits)) - 1)), _pack(n[a:z]), _pack(m[a:z]))
+                       for a, z in zip(starts, [*starts[1:], len(keys)])], ASKED)
+
+    return (blocks.select("block", "row", "doc_id", "text").groupBy("block")
+            .cogroup(targets.groupBy("block")).applyInArrow(run, ASKED))
+
+
+def answers(asked: DataFrame, shift: int) -> DataFrame:
+    """Stored: the counts of the whole corpus for what was asked, in the order of the question; the first answer of a bucket
+    carries how many distinct words it has and how often they occur. ``shift``: bits of a key behind the bucket's."""
+    start_key = int(_mixed(np.array([START]))[0] >> np.uint64(64 - BITS + 2)) << 2 | 1
+
+    def run(rows: pa.Table) -> pa.Table:
+        sent = [_unpack_keys(b.as_py()) for b in rows.column("keys")]
+        u, inverse = np.unique(np.concatenate(sent), return_inverse=True)
+        n, m = (np.bincount(inverse, np.concatenate([_unpack(b.as_py()) for b in rows.column(c)]), len(u)).astype(np.int64) for c in ("n", "m"))
+        bucket = rows.column("bucket")[0].as_py()
+        low = start_key & ((1 << shift) - 1) if start_key >> shift == bucket else -1
+        words = ((u & 3) == 1) & (u != low)
+        around = [(int(words.sum()), int(n[words].sum()), int(m[words].sum()))]
+        out, at = [], 0
+        for block, keys in zip(rows.column("block").to_pylist(), sent):
+            i = inverse[at:at + len(keys)]
+            at += len(keys)
+            out.append((block, bucket, _pack(n[i]), _pack(m[i]), *(around.pop() if around else (0, 0, 0))))
+        return _table(out, ANSWERED)
+
+    return stored(asked.groupBy("bucket").applyInArrow(run, ANSWERED), "lm-answers")
+
+
+def score(blocks: DataFrame, targets: DataFrame, answered: DataFrame) -> DataFrame:
+    """doc_id, target, n_tokens, loss_target, loss_background, score per stored row of ``blocks``."""
+    total = answered.agg(F.sum("words"), F.sum("tokens"), F.sum("target_tokens")).first()
+    words, tokens, target_tokens = (int(v or 0) for v in total)
+    # the marks of a block's targets travel with its answers
+    said = answered.select("block", "bucket", "n", "m", F.lit(None).cast("int").alias("row")).unionByName(
+        targets.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("n"), F.lit(None).cast("binary").alias("m"), "row"))
+
+    def run(rows: pa.Table, own: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _table([], SCORED)
+        said = [r for r in own.to_pylist() if r["row"] is None]
+        said.sort(key=lambda r: r["bucket"])
+        ids, target, grams = _read(rows, [r["row"] for r in own.select(["row"]).to_pylist() if r["row"] is not None])
+        keys = np.unique(grams.all_keys())
+        at = [np.searchsorted(keys, x) for x in grams.keys]
+        losses = []
+        for column, events in (("n", tokens), ("m", target_tokens)):
+            counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(r[column]) for r in said)])
+            here = grams.scored
+            if not len(here):
+                losses.append(np.zeros(0))
+                continue
+            p = (counts[at[0][here]] + 1.0) / (events + words)
+            for order in (1, 2):
+                p = (counts[at[order][here]] + K * p) / (counts[at[order - 1][here - 1]] + K)
+            losses.append(-np.log2(p))
+        n = np.bincount(grams.doc, minlength=len(ids))
+        bg, tg = (np.bincount(grams.doc, v, len(ids)) for v in losses)
+        return _table([(i, bool(t), int(k), g / k if k else None, b / k if k else None, (b - g) / k if k else 0.0)
+                       for i, t, k, b, g in zip(ids, target, n.tolist(), bg.tolist(), tg.tolist())], SCORED)
+
+    return (blocks.select("block", "row", "doc_id", "text").groupBy("block")
+            .cogroup(said.groupBy("block")).applyInArrow(run, SCORED))
+
+
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """Score every row of ``docs(doc_id, text)`` against the documents listed in ``targets(doc_id)``."""
-    blocks = store_blocks(docs, targets)
-    ids = docs.sparkSession.sparkContext.broadcast(vocabulary(blocks))
-    counts = count_ngrams(blocks, ids, order)
-    losses = loss_table(counts, int(ids.value.max()) + 1, order)
-    return score(blocks, counts, losses, ids, order)
+    blocks = store_blocks(docs)
+    size = blocks.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    bucket_bits = (size // PER_BUCKET).bit_length()
+    marked = target_rows(blocks, targets)
+    return score(blocks, marked, answers(questions(blocks, marked, bucket_bits), BITS - bucket_bits))
+
+
+def op10_lm_score(spark, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as good, outside the held-out fold (see ``quality.held_out``)."""
+    labels = table(spark, sf_dir, "labels")
+    targets = labels.where((F.col("quality") == 1) & ~held_out()).select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), targets)
