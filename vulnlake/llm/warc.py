@@ -5,18 +5,20 @@ that several pages share, the smallest page id; only those (page, refers_to) pai
 Each task streams its rows into archive files in the shared folder (temporary name, then rename, so a
 repeated task replaces its own file).
 
-Reading: the archives are cut into byte ranges. A task scans its range for the gzip magic, validates each
-candidate member by decoding the start of it (it must begin with a WARC version line) and owns the records
-whose members start inside its range; a member that crosses the end is read to its own end. CRC and length of
-every owned member are checked by the decoder.
+Reading: the archives, of this or other writers with a gzip member per record, are cut into byte ranges. A task scans
+its range for the gzip magic, validates each candidate member by decoding the start of it (it must begin with a WARC
+version line) and owns the records whose members start inside its range; a member that crosses the end is read to its
+own end. CRC and length of every owned member are checked by the decoder.
 
-Defined cases: null html is the empty payload; a null url leaves the target header out; rows that repeat the
+Defined cases: a record of any length is read whole; null html is the empty payload; a null url leaves the target header out; rows that repeat the
 id of a response are responses too; a null id never names a response unless all pages of that payload have
 null ids; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,6 +35,8 @@ from .common import map_batches, scratch_path, stored, table
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 256 << 20  # a task starts a new archive beyond this size
 RANGE_BYTES = 4 << 20
+TASK_BYTES = 64 << 20  # of archives for a task, where there are more than a few for each core
+WINDOW = 1 << 16  # read at once
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"  # records carry a fixed date: the archives are a function of the table
 
@@ -109,77 +113,158 @@ def write_archives(pages: DataFrame, root: str) -> DataFrame:
                               "file string, bytes bigint, records bigint"), "warc-manifest")
 
 
-def _member(f, at: int, end: int):
-    """Decode the gzip member at ``at``; (record bytes, next offset), or None when it is no WARC record."""
-    d, parts, pos, step, checked = zlib.decompressobj(31), [], at, 1 << 14, False
+class _Forward:
+    """An open file of ``size`` bytes read forward in windows; what was read from ``at`` on stays at hand."""
+
+    def __init__(self, f, start: int, size: int, window: int):
+        self.f, self.at, self.size, self.window = f, start, size, window
+        self.held, self.next = b"", start
+        f.seek(start)
+
+    def more(self, most: int | None = None) -> bool:
+        """Read on; False at the end of the file, or where what is held reaches ``most``."""
+        want = min(self.window, (self.size if most is None else min(most, self.size)) - self.next)
+        if want <= 0:
+            return False
+        data = self.f.read(want)
+        if not data:
+            raise EOFError(f"archive ends at {self.next}, its manifest says {self.size}")
+        self.held, self.next = self.held + data, self.next + len(data)
+        return True
+
+    def skip(self, n: int) -> None:
+        self.held, self.at = self.held[n:], self.at + n
+
+    def back_to(self, at: int) -> None:
+        self.f.seek(at)
+        self.at = self.next = at
+        self.held = b""
+
+
+def _member(s: _Forward) -> bytes | None:
+    """Decode the gzip member at ``s.at`` and go behind it; None, one byte further, when it is no WARC record."""
+    d, parts, start, checked = zlib.decompressobj(31), [], s.at, False
     try:
-        while not d.eof and pos < end:
-            f.seek(pos)
-            data = f.read(min(step, end - pos))
-            pos, step = pos + len(data), 1 << 18
+        while not d.eof:
+            if not s.held and not s.more():
+                break
+            if not checked:  # until the head is known, what was read stays at hand
+                head = zlib.decompressobj(31).decompress(s.held, 7)
+                if len(head) < 7 and s.more():
+                    continue
+                if not head.startswith(b"WARC/1."):
+                    s.skip(1)
+                    return None
+                checked = True
+            data = s.held
             parts.append(d.decompress(data))
-            if not checked:
-                head = b"".join(parts)
-                if len(head) >= 7 or d.eof:
-                    if not head.startswith(b"WARC/1."):
-                        return None
-                    checked = True
+            s.skip(len(data) - len(d.unused_data))
     except zlib.error:
-        return None
-    if not d.eof or not checked:
-        return None
-    return b"".join(parts), pos - len(d.unused_data)
+        pass
+    if d.eof:
+        return b"".join(parts)
+    if s.at == start:
+        s.skip(1)
+    else:  # it began like a record and was none
+        s.back_to(start + 1)
+    return None
 
 
-def _record(data: bytes):
+def _record(data: bytes) -> tuple[dict, bytes]:
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = {}
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
         k, _, v = line.partition(":")
         fields[k.strip().lower()] = v.strip()
     length = int(fields["content-length"])
-    if len(rest) != length + 4:
-        raise ValueError(f"record of {len(rest) - 4} bytes says {length}")
+    if len(rest) < length:
+        raise ValueError(f"record of {len(rest)} bytes says {length}")
     return fields, rest[:length]
 
 
-def read_range(f, start: int, end: int, size: int, window: int = 1 << 18) -> Iterator[tuple[dict, bytes]]:
-    """Records whose members start in ``[start, end)`` of an open file of ``size`` bytes."""
-    at = start
-    while at < end:
-        f.seek(at)
-        data = f.read(min(window, end + len(MAGIC) - 1 - at, size - at))
-        if not data:
-            raise EOFError(f"archive ends at {at}, its manifest says {size}")
-        hit = data.find(MAGIC)
-        if hit < 0:
-            if at + len(data) >= min(end + len(MAGIC) - 1, size):
-                return
-            at += len(data) - len(MAGIC) + 1
-            continue
-        if at + hit >= end:
-            return
-        found = _member(f, at + hit, size)
-        if found is None:
-            at += hit + 1
+def read_range(f, start: int, end: int, size: int, window: int = WINDOW) -> Iterator[tuple[dict, bytes]]:
+    """Records whose members start in ``[start, end)`` of an open file of ``size`` bytes. The file is read once, forward: the
+    magic is searched for only at the start and where a member is not followed by another."""
+    s = _Forward(f, start, size, window)
+    while s.at < end:
+        while len(s.held) < len(MAGIC) and s.more():
+            pass
+        if not s.held.startswith(MAGIC):
+            hit = s.held.find(MAGIC, 1)
+            if hit < 0:
+                s.skip(max(0, len(s.held) - len(MAGIC) + 1))
+                if not s.more(end + len(MAGIC) - 1):
+                    return
+                continue
+            s.skip(hit)
             continue
-        yield _record(found[0])
-        at = found[1]
+        found = _member(s)
+        if found is not None:
+            yield _record(found)
 
 
-def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``manifest(file, bytes)`` -> one row per record: page_id, url, record_type, refers_to, payload_bytes,
-    payload_digest and the payload itself (null for revisits)."""
+def _digest_fits(header: str | None, body: bytes) -> bool | None:
+    """Whether a payload has the digest of its header, in hex or base32; None where there is none or its kind is unknown."""
+    kind, _, said = (header or "").partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if not said or kind not in ("sha1", "sha256", "sha512", "md5"):
+        return None
+    digest = hashlib.new(kind, body).digest()
+    return said.strip().lower() == digest.hex() or said.strip().upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
+
+
+def _sha256_of(header: str | None) -> str | None:
+    """The SHA-256 of a digest header as hex, if it is one."""
+    kind, _, said = (header or "").partition(":")
+    said = said.strip()
+    if kind.strip().lower().replace("-", "") != "sha256":
+        return None
+    if len(said) == 64:
+        return said.lower()
+    try:
+        return base64.b32decode(said.upper() + "=" * (-len(said) % 8)).hex()
+    except ValueError:
+        return None
+
+
+def _integer(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.lstrip("-").isdigit() else None
+
+
+def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, types: tuple[str, ...] = ("response", "revisit"),
+                  strict: bool = False, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``manifest(file, bytes)`` -> one row per record of the ``types``; the others are passed over. Columns: page_id and
+    refers_to (of archives written here), url, record_type, payload_bytes, payload_digest (SHA-256 as hex; of revisits, what the header says,
+    if that is one), digest_ok (whether the header's digest fits, null where nothing can be compared), record_id,
+    refers_to_record and the payload (null for revisits). ``strict``: a payload that does not fit its digest is an error.
+
+    Ranges are dealt to as many tasks as their bytes ask for: the rows that describe them are tiny, so left alone
+    adaptive execution would bring them together in one.
+    """
+    spark = manifest.sparkSession
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, min(-(-total // range_bytes), max(4 * spark.sparkContext.defaultParallelism, -(-total // task_bytes))))
     ranges = manifest.where("bytes > 0").select(
         "file", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))).alias("start"))
-    ranges = ranges.repartition(F.col("file"), F.col("start"))
+    fields = [("page_id", "bigint", pa.int64()), ("url", "string", pa.string()), ("record_type", "string", pa.string()), ("refers_to", "bigint", pa.int64()),
+              ("payload_bytes", "bigint", pa.int64()), ("payload_digest", "string", pa.string()), ("digest_ok", "boolean", pa.bool_()),
+              ("record_id", "string", pa.string()), ("refers_to_record", "string", pa.string()), ("payload", "binary", pa.binary())]
+
+    def row(h: dict, block: bytes) -> tuple:
+        kind, said = h.get("warc-type"), h.get("warc-payload-digest")
+        around = (h.get("warc-record-id"), h.get("warc-refers-to"))
+        page, url = _integer(h.get("x-page-id")), h.get("warc-target-uri")
+        if kind == "revisit":
+            return (page, url, kind, _integer(h.get("x-refers-to-page-id")), _integer(h.get("x-payload-length")), _sha256_of(said), None, *around, None)
+        body = block.partition(b"\r\n\r\n")[2] if h.get("content-type", "").startswith("application/http") else block
+        fits = _digest_fits(said, body)
+        if strict and not fits:
+            raise ValueError(f"payload of {around[0]} does not fit its digest")
+        return (page, url, kind, None, len(body), sha256(body).hexdigest(), fits, *around, body)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-
         def batch(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, _, k) in zip(zip(*rows), fields)], [n for n, _, _ in fields])
 
         for b in batches:
             for uri, size, start in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -187,28 +272,19 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                 rows, held = [], 0
                 with fs.open_input_file(path) as f:
                     for h, block in read_range(f, start, min(start + range_bytes, size), size):
-                        ident = int(h["x-page-id"]) if "x-page-id" in h else None
-                        if h["warc-type"] == "response":
-                            body = block.partition(b"\r\n\r\n")[2]
-                            digest = sha256(body).hexdigest()
-                            if h["warc-payload-digest"] != f"sha256:{digest}":
-                                raise ValueError(f"payload of page {ident} does not match its digest")
-                            rows.append((ident, h.get("warc-target-uri"), "response", None, len(body), digest, body))
-                        else:
-                            body = b""
-                            rows.append((ident, h.get("warc-target-uri"), "revisit", int(h["x-refers-to-page-id"]),
-                                         int(h["x-payload-length"]), h["warc-payload-digest"].removeprefix("sha256:"), None))
-                        held += len(body)
-                        if held > 4 << 20:
+                        if h.get("warc-type") not in types:
+                            continue
+                        rows.append(row(h, block))
+                        held += len(rows[-1][-1] or b"")
+                        if held > 4 << 20 or len(rows) >= 10_000:
                             yield batch(rows)
                             rows, held = [], 0
                 if rows:
                     yield batch(rows)
 
-    return map_batches(ranges.select("file", "bytes", "start"), read,
-                       "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary")
+    return map_batches(ranges.select("file", "bytes", "start").repartition(tasks), read, ", ".join(f"{n} {t}" for n, t, _ in fields))
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
     manifest = write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    return read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_archives(manifest, strict=True).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
