@@ -6,10 +6,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests_llm_tools import docs_of, table_rows  # noqa: F401
-from vulnlake.llm.packing import WordCache, complete_bins, default_tokenizer, lower_bound, pack
+from vulnlake.llm.packing import TAIL, WordCache, complete_bins, default_tokenizer, lower_bound, pack
 from vulnlake.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -67,6 +69,57 @@ def test_word_cache_equals_the_tokenizer(text):
         assert ids == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def caches():
+    return WordCache(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
+
+
+def ids_of(cache, texts):
+    return [np.frombuffer(b, "<u4").tolist() for b in cache.encode([t.encode() for t in texts])]
+
+
+def test_every_code_point_before_every_trailing_mark(caches):
+    """Each code point as the last of a word, before each mark that is cut off and before two."""
+    cache, whole = caches
+    assert cache.by_word
+    marks = [chr(b) for b in TAIL] + ["?!", ".*"]
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    letters = [c for c in points if chr(c).isalpha()]
+    assert len(letters) > 100_000
+    for k, mark in enumerate(marks):  # every code point before the full stop, every letter before one of the others as well
+        for chunk in np.array_split(points if mark == "." else letters[k::len(marks)], 60 if mark == "." else 4):
+            text = " ".join(f"{chr(c)}{mark}" if c % 3 else f"x{chr(c)}{mark}" for c in chunk.tolist())
+            assert ids_of(cache, [text]) == [whole.encode(text, add_special_tokens=False).ids], hex(int(chunk[0]))
+
+
+@given(st.lists(st.text(st.sampled_from("İiſKßΣςǅﬁé\u0301\u0307\u0308\u0345\u0f52\u0958\u1e9e\u2126①中a1'sTt<|.?!,; \u00a0\u3000\n")), max_size=4))
+@settings(max_examples=300, deadline=None)
+def test_texts_rich_in_odd_letters(caches, texts):
+    cache, whole = caches
+    assert ids_of(cache, texts) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cache, whole = WordCache(path), Tokenizer.from_file(path)
+    assert not cache.by_word
+    texts = ["Some words,  here. İ?", "x <|endoftext|> y", ""]
+    assert ids_of(cache, texts) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_hard_lengths_stay_near_the_bound():
+    """Lengths of a sixth to a half of a sequence, where few fillings are exact: README states the gap."""
+    for seed in range(6):
+        rng = random.Random(seed)
+        counts = [0] * 2049
+        for _ in range(400):
+            counts[rng.randint(340, 1030)] += 1
+        used = sum(t for _, t in complete_bins(counts))
+        assert lower_bound(counts, 2048) <= used <= 1.08 * lower_bound(counts, 2048)
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_bin_completion_uses_every_piece_and_is_tight(seed):
     rng = random.Random(seed)

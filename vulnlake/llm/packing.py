@@ -11,13 +11,15 @@
    piece gets its rank among the pieces of its length, from per-task counts, and finds its sequence and offset
    by binary search. No pieces meet in one task to be packed.
 
-Defined cases: null and empty texts are one closing token; repeated rows are packed as often as they occur; an
-empty table gives an empty result; extra columns are ignored.
+Defined cases: null and empty texts are one closing token; texts of any length are tokenized whole, one text at a time;
+repeated rows are packed as often as they occur; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -35,6 +37,13 @@ CAPACITY = 2048
 CACHE_WORDS = 700_000  # entries of each of a worker's two caches; one that grows beyond this is emptied
 CACHED_WORD = 64  # longer words are not cached
 TAIL = b".,!?;:*#$%&|"
+# How the tokenizers that ``WordCache`` takes apart normalise and split, as their files say.
+KIND = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "</w>")
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, idx bigint"
 
 
@@ -47,10 +56,11 @@ def default_tokenizer() -> str:
 class WordCache:
     """Token ids of a text as little-endian uint32 bytes.
 
-    The tokenizer splits at white space and between letters and punctuation before it merges, and lower-cases;
-    so a text's ids are those of its words in turn (cut at ASCII white space only), and a word's are those of
-    its lower-case core and of the punctuation behind it. Words and cores are looked up; each unseen core is
-    encoded once, many to a call.
+    A tokenizer of ``KIND`` normalises, then splits at white space and between letters or digits and punctuation before it
+    merges; so a text's ids are those of its words in turn (cut at ASCII white space only), and a word's are
+    those of its lower-case core and of the punctuation behind it, if the normalised core ends in a letter or
+    digit. Words and cores are looked up; each unseen core is encoded once, many to a call. A tokenizer of another kind
+    is given whole texts.
     """
 
     def __init__(self, path: str):
@@ -58,6 +68,11 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        self.by_word = (parts.get("normalizer"), parts.get("pre_tokenizer"), parts["model"].get("end_of_word_suffix")) == KIND and not any(
+            t.lstrip or t.rstrip or t.single_word or t.normalized or b"<" not in t.content.encode() or t.content.split() != [t.content]
+            for t in self.tokenizer.get_added_tokens_decoder().values())
         self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)  # ids that end a word
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
@@ -84,6 +99,12 @@ class WordCache:
         for w, t in other:
             cores[w] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _ends_in_letter(self, core: bytes) -> bool:
+        """Whether the normalised core ends in a letter: what normalising leaves last may be a mark, which would stay
+        with the punctuation behind it."""
+        t = core.decode("utf-8", "replace")
+        return t[-1].isalpha() and self.tokenizer.normalizer.normalize_str(t)[-1:].isalpha()
+
     def _learn(self, unseen: set[bytes]) -> None:
         """Put the ids of ``unseen`` words into the word cache."""
         if len(self.cores) > CACHE_WORDS:
@@ -91,15 +112,15 @@ class WordCache:
         cores, split, wanted = self.cores, [], set()
         for w in unseen:
             core, tail = w.rstrip(TAIL), b""
-            if len(core) == len(w) or not core or not (core[-1:].isalpha() or core[-1:].isdigit() or (
-                    core[-1] >= 128 and core.decode("utf-8", "replace")[-1].isalpha())):
+            if len(core) == len(w) or not core or not (core[-1:].isalpha() or core[-1:].isdigit() or (core[-1] >= 128 and self._ends_in_letter(core))):
                 core = w
             else:
                 tail = w[len(core):]
                 if tail not in cores:
                     wanted.add(tail)
             if b"<" not in w:  # not a special token
-                core = core.lower()
+                if core.isascii():  # else normalising comes first: a small letter may take a mark that the large one leaves
+                    core = core.lower()
             else:
                 core, tail = w, b""
             if core not in cores:
@@ -113,6 +134,8 @@ class WordCache:
             del cores[w]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return [np.array(self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
         split = [t.split() for t in texts]
         every = set().union(*split)
         if len(self.words) > CACHE_WORDS:
