@@ -74,7 +74,7 @@ def test_wrapper_keeps_slots_and_drops_what_stays_the_same(spark):
     assert (out[200], out[201], out[202]) == ("x", "", "")
     assert x.main_text(pages.limit(0)).count() == 0
     wrappers = {r.host: r.template for r in x.induce(pages.selectExpr("page_id", "coalesce(get(split(url, '/'), 2), '') as host", "coalesce(html, '') as html")).collect()}
-    assert wrappers["one"] == ["/body/div.box"]
+    assert wrappers["one"] == [x.path_of("body", "div.box")]
 
 
 def test_constant_blocks_may_be_most_of_a_page(spark):
@@ -117,8 +117,75 @@ def test_paths_deep_in_large_pages_vote():
     rows = [x.skeleton(page(k)) for k in range(3)]
     assert len(rows[0]) > 4000
     tally = x.group_votes(rows)
-    deep = "/body" + "/div" * 600
-    assert tally[f"{deep}/div.box/p"] == [2, 2] and tally[f"{deep}/p"] == [2, 0] and tally["/body/div.b1999/p"] == [2, 0]
+    deep = ["body"] + ["div"] * 600
+    assert tally[x.path_of(*deep, "div.box", "p")] == [2, 2] and tally[x.path_of(*deep, "p")] == [2, 0] and tally[x.path_of("body", "div.b1999", "p")] == [2, 0]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><p title=it's>Hello world</p><p>That's all</p></article>", "Hello world\nThat's all"),
+    ("<article><p title=a\"b>one</p><p data-x='>' y=\"it's > that\">two</p></article>", "one\ntwo"),
+    ("<article><p it's \"quoted\" x = 'a b' >one</p><a href=/x/>two</a> three</article>", "one\ntwo three"),
+    ("<article><p title=\"never closed>one</p>", "one"), ("<article><p a='b'c='d'>one<p a=>two</article>", "one\ntwo"),
+    ("<body><div><article>first</article></div><section><article>teaser</article></section><article>x</article>", "first\nteaser\nx"),
+    ("<div><article>a<article>inner</article>b</article><article>c</article></div>", "a\ninner\nb\nc"),
+    ("<article>main words</article><div class=related><article>other</article></div><main>rest</main>", "main words"),
+    ("<p>a</x></y></p></p>b<p>c", "a\nb\nc"), ("<table><tr><td>a<tr><td>b<p>c</table>d", "a\nb\nc\nd")])
+def test_markup_slips_lose_no_text(page, want):
+    assert x.extract(page) == want
+
+
+def test_long_class_lists_are_told_apart_to_their_ends():
+    shared = " ".join(f"class{k}" for k in range(30))
+    page = "<body>" + f"<div class='{shared} a'>constant</div><div class='{shared} b'>text " + "{k}</div>"
+    tally = x.group_votes([x.skeleton(page.format(k=k)) for k in range(4)])
+    assert sorted(tally.values()) == [[3, 0], [3, 0], [3, 3]]  # body, b, a
+
+
+def test_deep_pages_and_stray_end_tags_cost_little():
+    import time
+    import tracemalloc
+
+    deep = "<div class=x>" * 40_000 + "deep words" + "</b></i></p>" * 40_000
+    tracemalloc.start()
+    t = time.time()
+    assert x.extract(deep) == "deep words" and len(x.skeleton(deep)) == 40_001
+    assert time.time() - t < 20 and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    t = time.time()
+    assert x.extract("<p " + "a='b' c=\"" * 20_000).startswith("<p a='b'")  # a tag that never ends is text
+    assert time.time() - t < 20
+
+
+WRAPPED = """<body><div class=x1><ul><li><a href=/>Start page</a><li><a href=/all>All our stories</a></ul></div>
+<div class=x2><p>This site was rebuilt last year, tell us what you think of it.</div><div class=x3><h1>{title}</h1><p>{a}<p>{b}</div>
+<div class=x4><p>Made with care in a small town</div>"""
+
+
+def wrapped_pages(n):
+    rows = []
+    for k in range(n):
+        title, a, b = f"Story {k * 13}", f"first part of story {k} with words {k * 7}", f"second part {k * k}"
+        rows.append((k, f"https://one.example/{k}", WRAPPED.format(title=title, a=a, b=b), f"{title}\n{a}\n{b}"))
+    return rows
+
+
+def test_query_goes_through_the_wrapper(spark, tmp_dir, monkeypatch):
+    """Pages without article or main, whose menu, notice and imprint no element or class tells: only the wrapper does."""
+    rows = wrapped_pages(30)
+    rows += [(100 + k, f"https://two.example/{k}", h.replace("<div class=x3>", "<div class=y><article>").replace("<div class=x4>", "</article><div class=x4>"), t)
+             for k, _, h, t in rows]  # an article as well: the wrapper's slots are its text
+    spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string").write.parquet(f"{tmp_dir}/pages.parquet")
+    run = lambda: {r.page_id: r.text for r in QUERIES["op2_main_text"](spark, tmp_dir).collect()}
+    assert run() == {i: t for i, _, _, t in rows}
+    monkeypatch.setattr(x, "VOTES", 1000)  # no wrapper
+    got = run()
+    assert all("tell us what you think" in got[k] and "small town" in got[k] for k in range(30))
+
+
+def test_a_slot_beside_the_article_is_kept_by_the_wrapper(spark):
+    pages = [(k, f"http://h/{k}", f"<div class=x>always the same</div><div class=by>By author {k * 3}</div><article><p>text {k} and more {k * 5}</article>") for k in range(12)]
+    out = {r.page_id: r.text for r in x.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert out == {k: f"By author {k * 3}\ntext {k} and more {k * 5}" for k in range(12)}
 
 
 def test_alignment_equals_the_largest_match_on_random_trees():

@@ -9,21 +9,26 @@
    share most of the text that changes on the host (copies of one article) do not vote.
 3. The votes are summed per (host, path), map-side first: a path whose text stays the same is template, any
    other is a slot. The wrapper of a host is the set of its template paths.
-4. Every page is joined with its host's wrapper and read again: of the slots, the content is what lies under
-   the page's article or main element, or, without one, every slot in page order; slots of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-   reader comments, known by element or class, are left out.
-
-Defined cases: null and empty html give the empty text; html without markup is one block of text; a null url
-is a host of its own kind; repeated rows keep one result row each; an empty table gives an empty result; extra
-columns are ignored. Character references are decoded, white space inside a block becomes one space, blocks
+4. Every page is joined with its host's wrapper and read again: the content is the wrapper's slots, all of them, in page
+   order. Where a host has no wrapper (too few pages, or nothing constant), the page's own elements decide: the content is what lies
+   in its articles, else in its main element, else every slot. In both cases slots of menus, headers, footers, sidebars,
+   notices, adverts, forms, scripts, styles and reader comments, known by element or class, are left out.
+
+Defined cases: null and empty html give the empty text; html without markup is one block of text; pages of any length and depth
+are read whole (a path is a 64-bit hash of the labels from the root, so depth costs no memory); a null url is a host of
+its own kind; repeated rows keep one result row each; an empty table gives an empty result; other columns are ignored,
+whatever their names. Character references are decoded, white space inside a block becomes one space, blocks
 are joined by one newline.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import html as htmllib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -55,23 +60,50 @@ COMMENTS = re.compile(r"(?:^|[-_ ])(?:comments?|commentlist|disqus|replies|respo
 STATES = re.compile(  # words on a layout that tell of another element: has-sidebar, comments-open
     r"(?:^|(?<= ))(?:has|no|with|without|hide|show)[-_][^ ]+|(?:^|(?<= ))[^ ]+[-_](?:open|closed|enabled|disabled|left|right|on|off|none)(?=$| )", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# in a tag, a quote opens a value only right behind "="; elsewhere, and in values without quotes, it is a letter like any other
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|"
+                   r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?>\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>", re.S)
+ATTR = re.compile(r"([^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """``boiler``: left out. ``named``: it is so by a class or id alone (2: by one of reader comments)."""
+    """``path``: hash of the labels from the root. ``boiler``: left out. ``named``: it is so by a class or id alone (2: by one
+    of reader comments). ``within``: below an article or main element; ``under``: in an element that is named."""
 
-    __slots__ = ("tag", "path", "boiler", "named", "children", "parent")
+    __slots__ = ("tag", "path", "boiler", "named", "within", "under", "children", "parent")
 
-    def __init__(self, tag: str, path: str, boiler: bool, named: int, parent):
+    def __init__(self, tag: str, path: int, boiler: bool, named: int, parent):
         self.tag, self.path, self.boiler, self.named, self.parent, self.children = tag, path, boiler, named, parent, []
+        self.within = parent is not None and (parent.within or parent.tag in ("article", "main"))
+        self.under = named > 0 or (parent is not None and parent.under)
+
+
+@functools.lru_cache(maxsize=100_000)
+def _label(label: str) -> int:
+    return int.from_bytes(hashlib.blake2b(label.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+
+
+def _below(path: int, label: str) -> int:
+    """The path of an element of this label below ``path``: a signed 64-bit number."""
+    x = (path * 0x9E3779B97F4A7C15 + _label(label)) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    x ^= x >> 32
+    return x - (1 << 64) if x >> 63 else x
+
+
+def path_of(*labels: str) -> int:
+    """The path of nested elements, each ``tag``, ``tag.class`` and so on."""
+    path = 0
+    for label in labels:
+        path = _below(path, label)
+    return path
 
 
 def _open(tag: str, attrs: str, parent: Node) -> Node:
     names, named = "", 0
-    boiler = tag in BOILER or (tag == "header" and not _inside(parent, ("article", "main")))
+    boiler = tag in BOILER or (tag == "header" and not (parent.within or parent.tag in ("article", "main")))
     if attrs and ("=" in attrs or "hidden" in attrs):
         for m in ATTR.finditer(attrs):
             key = m[1].lower()
@@ -84,22 +116,24 @@ def _open(tag: str, attrs: str, parent: Node) -> Node:
                 boiler = boiler or value.strip().lower() in ROLES
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
                 boiler = True
-    return Node(tag, f"{parent.path}/{tag}{names[:80]}", boiler or named > 0, 0 if boiler else named, parent)
-
-
-def _inside(node: Node | None, tags) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
+    return Node(tag, _below(parent.path, tag + names), boiler or named > 0, 0 if boiler else named, parent)
 
 
 def parse(page: str) -> Node:
     """A tree of ``Node`` and str children; unclosed, stray and raw-text elements are handled as browsers do
     in the common cases."""
-    root = Node("#", "", False, 0, None)
-    cur, at = root, 0
+    root = Node("#", 0, False, 0, None)
+    cur, at, opened = root, 0, Counter()  # how many elements of a tag are open: end tags without one cost nothing
+
+    def close(upto: Node) -> Node:
+        """Ends the open elements from the current one to ``upto``; its parent is the current one then."""
+        node = cur
+        while node is not upto:
+            opened[node.tag] -= 1
+            node = node.parent
+        opened[upto.tag] -= 1
+        return upto.parent
+
     match = TOKEN.search(page, 0)
     while match:
         if match.start() > at:
@@ -111,42 +145,52 @@ def parse(page: str) -> Node:
                 cur.children.append(match[1])
         elif match[2]:
             tag = tag.lower()
-            node = cur
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                cur = node.parent
+            if opened[tag]:
+                node = cur
+                while node.tag != tag:
+                    node = node.parent
+                cur = close(node)
         else:
             tag = tag.lower()
             ends = CLOSES.get(tag, ("p",) if tag in BLOCK else ())
             if tag in BLOCK and "p" not in ends:
                 ends = (*ends, "p")
-            if ends:
+            if any(opened[t] for t in ends):
                 node = cur
                 while node is not root:
                     if node.tag in ends:
-                        cur = node.parent
+                        above = node.parent
+                        cur = close(node)
                         if node.tag == "p" or tag not in ("tr", "tbody"):
                             break
-                    elif node.tag in ("table", "ul", "ol", "dl", "article", "section", "div", "td", "th", "main", "body") and node.tag != "body":
+                        node = above
+                        continue
+                    if node.tag in ("table", "ul", "ol", "dl", "article", "section", "div", "td", "th", "main"):
                         break
                     node = node.parent
             node = _open(tag, match[4], cur)
             cur.children.append(node)
-            if tag in RAW and not match[4].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+            closed = SELF_CLOSED.search(match[4]) is not None
+            if tag in RAW and not closed:
+                end = _raw_end(tag).search(page, at)
                 stop = end.start() if end else len(page)
                 node.children.append(page[at:stop])
                 gt = page.find(">", stop) if end else -1
                 at = gt + 1 if gt >= 0 else len(page)
-            elif tag not in VOID and not match[4].endswith("/"):
+            elif tag not in VOID and not closed:
                 cur = node
+                opened[tag] += 1
         match = TOKEN.search(page, at)
     if at < len(page):
         cur.children.append(page[at:])
     return root
 
 
+@functools.lru_cache(maxsize=64)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}[\s/>]", re.I)
+
+
 def _digests(root: Node) -> dict[int, tuple[int, int]]:
     """For every node, by identity: (hash, length) of the visible text below, children before parents."""
     order, stack = [], [root]
@@ -204,10 +248,6 @@ def _children(rows: list[list]) -> list[list[int]]:
     return out
 
 
-def _labels(rows: list[list]) -> list[str]:
-    return [r[1][len(rows[r[0]][1]):] if r[0] >= 0 else r[1] for r in rows]
-
-
 def _heaviest(links: list[tuple[int, int, int]]) -> list[int]:
     """Of ``(i, j, weight)`` sorted by i and falling j, the places of a heaviest chain with both i and j rising."""
     if all(x[0] < y[0] and x[1] < y[1] for x, y in zip(links, links[1:])):
@@ -237,16 +277,17 @@ def _heaviest(links: list[tuple[int, int, int]]) -> list[int]:
 
 
 def align(a: list[list], b: list[list]) -> list[tuple[int, int]]:
-    """Simple tree matching: pairs of rows in a largest order- and depth-preserving match of equal labels."""
+    """Simple tree matching: pairs of rows in a largest order- and depth-preserving match of equal labels (below a pair of equal
+    paths, equal labels are equal paths)."""
     if not a or not b or a[0][1] != b[0][1]:
         return []
-    ka, kb, la, lb = _children(a), _children(b), _labels(a), _labels(b)
+    ka, kb = _children(a), _children(b)
     pairs, links = [(0, 0)], {}
     for x, y in pairs:  # grows: every pair of equal labels below a pair, parents first
-        at: dict[str, list[int]] = {}
+        at: dict[int, list[int]] = {}
         for j in reversed(range(len(kb[y]))):
-            at.setdefault(lb[kb[y][j]], []).append(j)
-        links[x, y] = [(i, j) for i, u in enumerate(ka[x]) for j in at.get(la[u], ())]
+            at.setdefault(b[kb[y][j]][1], []).append(j)
+        links[x, y] = [(i, j) for i, u in enumerate(ka[x]) for j in at.get(a[u][1], ())]
         pairs.extend((ka[x][i], kb[y][j]) for i, j in links[x, y])
     size: dict[tuple[int, int], int] = {}
     chosen: dict[tuple[int, int], list[tuple[int, int]]] = {}
@@ -261,24 +302,24 @@ def align(a: list[list], b: list[list]) -> list[tuple[int, int]]:
     return out
 
 
-def votes(a: list[list], b: list[list]) -> list[tuple[str, int, int]]:
+def votes(a: list[list], b: list[list]) -> list[tuple[int, int, int]]:
     """(path, 1 constant or 0 varying, characters of a leaf) of the aligned rows that hold text."""
     below = _children(a)
     return [(a[x][1], int(a[x][2] == b[y][2]), 0 if below[x] else a[x][3]) for x, y in align(a, b) if x and (a[x][3] or b[y][3])]
 
 
-def group_votes(pages: list[list[list]]) -> dict[str, list[int]]:
+def group_votes(pages: list[list[list]]) -> dict[int, list[int]]:
     """``path -> [votes, votes for constant]`` of pages aligned with their predecessors. Copies of one article do not
     vote: a pair with most of its text equal in paths whose text changes through the group. What never changes
     tells nothing of copies, however much of the page it is, nor does a path with two texts in all, such as an old
     and a new notice, unless the group is small."""
     pairs = [votes(a, b) for a, b in zip(pages, pages[1:])]
-    texts: dict[str, set[int]] = {}
+    texts: dict[int, set[int]] = {}
     for rows in pages:
         for _, path, digest, _ in rows:
             texts.setdefault(path, set()).add(digest)
     most = 1 if len(pages) < 8 else 2
-    tally: dict[str, list[int]] = {}
+    tally: dict[int, list[int]] = {}
     for pair in pairs:
         slots = [(chars, constant) for path, constant, chars in pair if len(texts[path]) > most]
         if sum(chars for chars, constant in slots if constant) > 0.5 * sum(chars for chars, _ in slots):
@@ -291,16 +332,16 @@ def group_votes(pages: list[list[list]]) -> dict[str, list[int]]:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """``pages(page_id, host, html)`` -> the wrapper of each host: ``(host, template array<string>)``."""
+    """``pages(page_id, host, html)`` -> the wrapper of each host: ``(host, template array<bigint>)``, its constant paths."""
     def skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [skeleton(p) for p in b.column(2).to_pylist()]
-            kind = pa.list_(pa.struct([("parent", pa.int32()), ("path", pa.string()), ("hash", pa.int64()), ("chars", pa.int32())]))
+            kind = pa.list_(pa.struct([("parent", pa.int32()), ("path", pa.int64()), ("hash", pa.int64()), ("chars", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([[{"parent": p, "path": q, "hash": h, "chars": c} for p, q, h, c in r] for r in rows], kind)],
                 ["page_id", "host", "rows"])
 
-    rows_type = "array<struct<parent: int, path: string, hash: bigint, chars: int>>"
+    rows_type = "array<struct<parent: int, path: bigint, hash: bigint, chars: int>>"
     trees = map_batches(pages.select("page_id", "host", "html"), skeletons, f"page_id bigint, host string, rows {rows_type}")
     trees = stored(trees.withColumn("key", F.xxhash64("rows")), "page-skeletons")
     large = trees.groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > GROUP)
@@ -315,7 +356,7 @@ def induce(pages: DataFrame) -> DataFrame:
         host = pdf["host"].iloc[0]
         return pd.DataFrame([(host, p, n, c) for p, (n, c) in tally.items()], columns=["host", "path", "n", "same"])
 
-    cast = grouped.groupBy("host", "part").applyInPandas(pair_votes, "host string, path string, n bigint, same bigint")
+    cast = grouped.groupBy("host", "part").applyInPandas(pair_votes, "host string, path bigint, n bigint, same bigint")
     tally = cast.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
     return (tally.where((F.col("n") >= VOTES) & (F.col("same") >= 0.8 * F.col("n")))
             .groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("template")))  # one row per distinct path
@@ -367,16 +408,9 @@ def _keep_layouts(root: Node, template: frozenset) -> None:
             stack.extend(c for c in n.children if isinstance(c, Node) and id(c) in held)
 
 
-def _inside_named(node: Node | None) -> bool:
-    while node is not None:
-        if node.named:
-            return True
-        node = node.parent
-    return False
-
-
-def _content_root(root: Node, template: frozenset) -> Node:
-    """The article-like element with the most text, else the whole page, so that every slot is read."""
+def _scopes(root: Node, template: frozenset) -> list[Node]:
+    """The page's articles, outermost and in page order, else its main elements, else the whole page, so that every
+    slot is read. Articles only in elements named for boilerplate, with less than half of the text, are a sidebar's teasers."""
     weight: dict[int, int] = {}
     order: list[Node] = []
     stack = [root]
@@ -385,28 +419,28 @@ def _content_root(root: Node, template: frozenset) -> Node:
         if n.boiler or n.tag in HIDDEN or n.path in template or n.tag == "a":
             continue
         order.append(n)
-        stack.extend(c for c in n.children if isinstance(c, Node))
+        stack.extend(c for c in reversed(n.children) if isinstance(c, Node))
     for n in reversed(order):
         own = sum(len(c.strip()) for c in n.children if isinstance(c, str))
         weight[id(n)] = own + sum(weight.get(id(c), 0) for c in n.children if isinstance(c, Node))
-    for tags in (("article",), ("main",)):
-        found = [n for n in order if n.tag in tags]
-        if found and not all(_inside_named(n) and 2 * weight[id(n)] <= weight[id(root)] for n in found):  # not a sidebar's teaser
-            if len(found) > 1:  # nested or sibling articles: their common ancestor holds them all
-                holder = found[0].parent
-                if all(x.parent is holder for x in found):
-                    return holder if holder.tag != "#" else root
-            return max(found, key=lambda n: weight[id(n)])
-    return root
+    for tag in ("article", "main"):
+        found = [n for n in order if n.tag == tag]
+        if found and not all(n.under and 2 * weight[id(n)] <= weight[id(root)] for n in found):
+            inner = set()
+            for n in order:  # parents come first
+                if n.parent is not None and (n.parent.tag == tag or id(n.parent) in inner):
+                    inner.add(id(n))
+            return [n for n in found if id(n) not in inner]
+    return [root]
 
 
 def extract(page: str, template: frozenset = frozenset()) -> str:
-    """The main text of one page; ``template`` has its host's constant paths."""
+    """The main text of one page; ``template`` has its host's constant paths (none: the host has no wrapper)."""
     if not page:
         return ""
     root = parse(page)
     _keep_layouts(root, template)
-    start = _content_root(root, template)
+    starts = [root] if template else _scopes(root, template)
     blocks, part = [], []
 
     def flush() -> None:
@@ -415,9 +449,8 @@ def extract(page: str, template: frozenset = frozenset()) -> str:
         if text:
             blocks.append(text)
 
-    only = start.tag not in ("article", "main") and any(
-        isinstance(c, Node) and c.tag == "article" and not c.boiler for c in start.children)
-    stack: list = [start]
+    first = {id(n) for n in starts}
+    stack: list = [x for n in reversed(starts) for x in (None, n)]
     while stack:
         x = stack.pop()
         if x is None:
@@ -426,14 +459,11 @@ def extract(page: str, template: frozenset = frozenset()) -> str:
             part.append(x)
         elif x.tag == "br":
             part.append(" ")
-        elif x is start or not (x.boiler or x.tag in HIDDEN or x.path in template):
+        elif id(x) in first or not (x.boiler or x.tag in HIDDEN or x.path in template):
             if x.tag in BLOCK:
                 flush()
                 stack.append(None)
-            children = x.children
-            if x is start and only:
-                children = [c for c in children if isinstance(c, Node) and c.tag == "article"]
-            stack.extend(reversed(children))
+            stack.extend(reversed(x.children))
     flush()
     return "\n".join(blocks)
 
