@@ -14,7 +14,7 @@ count is the count of that shorter n-gram, so counts of n-grams are all that is
 
 1. Documents are stored where they lie, in blocks of about ``BLOCK`` characters, in a table bucketed by block: no text is shuffled.
 2. Every block counts its distinct n-grams of one to three words and asks the buckets they belong to (leading bits of their
-   hash) how often they occur in the whole corpus. A question is a sorted list: differences in five bytes each or so, and small counts.
+   hash) how often they occur in the whole corpus. A question is a sorted list: differences of less than five bytes each, and small counts.
 3. A bucket adds up what all blocks sent and answers each in the order of its question.
 4. A block scores its documents with the answers. No model is broadcast or held by one process, nothing is pruned: what
    is counted grows with the corpus. A frequent n-gram is one entry per block, so none is hot.
@@ -132,34 +132,56 @@ class Grams:
         three = _mixed(_mixed(before2 * np.uint64(_BASE) + before) * np.uint64(0xD6E8FEB86659FD93) + s)
         self.keys = [((h >> np.uint64(64 - BITS + 2)) << np.uint64(2) | np.uint64(k + 1)).astype(np.int64) for k, h in enumerate((_mixed(s), two, three))]
 
+    def numbers(self) -> list[np.ndarray]:
+        """For every order, the rank of each counted place's n-gram among the distinct ones of all orders."""
+        keys = self.all_keys()
+        by = np.argsort(keys)
+        rank = np.empty(len(keys), np.int32)
+        rank[by] = np.cumsum(np.diff(keys[by], prepend=-1) != 0, dtype=np.int32) - 1
+        out, at = [], 0
+        for c in self.counted:
+            n = int(c.sum())
+            out.append(np.zeros(len(c), np.int32))
+            out[-1][c] = rank[at:at + n]
+            at += n
+        return out
+
     def all_keys(self, places: np.ndarray | None = None) -> np.ndarray:
         return np.concatenate([x[c if places is None else c & places] for x, c in zip(self.keys, self.counted)])
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _spread(b: bytes) -> bytes:
+    return pa.decompress(b[8:], int.from_bytes(b[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, in as few bytes each as the largest needs."""
+    """Ascending keys as differences: their lowest bytes, then the next ones, and so on; the high ones compress."""
     d = np.diff(keys, prepend=0).astype("<i8")
     size = max(1, (int(d.max()).bit_length() + 7) // 8) if len(d) else 1
-    return bytes([size]) + d.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+    return bytes([size]) + _squeeze(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes())
 
 
 def _unpack_keys(b: bytes) -> np.ndarray:
-    raw = np.frombuffer(b, np.uint8, offset=1).reshape(-1, b[0])
-    d = np.zeros((len(raw), 8), np.uint8)
-    d[:, :b[0]] = raw
+    raw = np.frombuffer(_spread(b[1:]), np.uint8).reshape(b[0], -1)
+    d = np.zeros((raw.shape[1], 8), np.uint8)
+    d[:, :b[0]] = raw.T
     return np.cumsum(d.reshape(-1).view("<i8"))
 
 
 def _pack(a: np.ndarray) -> bytes:
     """Counts: a byte each; 255 stands for the next of the larger ones, which follow."""
     big = a >= 255
-    return len(a).to_bytes(8, "little") + np.where(big, 255, a).astype(np.uint8).tobytes() + a[big].astype("<i8").tobytes()
+    return len(a).to_bytes(8, "little") + _squeeze(np.where(big, 255, a).astype(np.uint8).tobytes() + a[big].astype("<i8").tobytes())
 
 
 def _unpack(b: bytes) -> np.ndarray:
-    n = int.from_bytes(b[:8], "little")
-    out = np.frombuffer(b, np.uint8, n, 8).astype(np.int64)
-    out[out == 255] = np.frombuffer(b, "<i8", offset=8 + n)
+    n, raw = int.from_bytes(b[:8], "little"), _spread(b[8:])
+    out = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, "<i8", offset=n)
     return out
 
 
@@ -251,7 +273,8 @@ def answers(asked: DataFrame, shift: int) -> DataFrame:
             out.append((block, bucket, _pack(n[i]), _pack(m[i]), *(around.pop() if around else (0, 0, 0))))
         return _table(out, ANSWERED)
 
-    return stored(asked.groupBy("bucket").applyInArrow(run, ANSWERED), "lm-answers")
+    parts = max(1 << (BITS - shift), int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a partition is a bucket or few
+    return stored(asked.repartition(parts, "bucket").groupBy("bucket").applyInArrow(run, ANSWERED), "lm-answers")
 
 
 def score(blocks: DataFrame, targets: DataFrame, answered: DataFrame) -> DataFrame:
@@ -268,9 +291,7 @@ def score(blocks: DataFrame, targets: DataFrame, answered: DataFrame) -> DataFra
         said = [r for r in own.to_pylist() if r["row"] is None]
         said.sort(key=lambda r: r["bucket"])
         ids, target, grams = _read(rows, [r["row"] for r in own.select(["row"]).to_pylist() if r["row"] is not None])
-        keys = np.unique(grams.all_keys())
-        at = [np.searchsorted(keys, x) for x in grams.keys]
-        losses = []
+        at, losses = grams.numbers(), []
         for column, events in (("n", tokens), ("m", target_tokens)):
             counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(r[column]) for r in said)])
             here = grams.scored
