@@ -2,6 +2,7 @@ from __future__ import annotations
 
 
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
 from test_decontaminate import brute_force as contaminated_rows
 from test_near_dedup import brute_force as near_rows
 from test_packing import check as check_packing
@@ -57,10 +58,13 @@ def test_every_stage_equals_brute_force_on_its_own_input(spark):
 def test_stages_take_nulls_copies_and_nothing(spark, docs_of):
     docs = docs_of([(1, None), (2, ""), (None, "no id password=abcdefgh1"), (3, "same words as the next one here"), (4, "same words as the next one here"),
                     (5, "y" * 100_000)])
-    for rows in (docs, docs.limit(0)):
+    clashing = ["__x", "statistics", "bad_id", "bad_hash", "__spans", "__blob", "spans", "blob", "starts", "ends", "text_hash", "contaminated", "kept", "component_id"]
+    docs = docs.withColumns({c: F.lit(f"clash {c}") for c in clashing})
+    for rows in (docs, docs.limit(0), docs.drop("n_chars")):
         df = rows
         for _, stage in cp.STAGES[:-1]:
             df = stored(stage(spark, df, SF), "test-edge")
-            assert df.columns == docs.columns
+            assert df.columns == rows.columns
+            assert all(r[c] == f"clash {c}" for r in df.collect() for c in clashing)
         assert cp.STAGES[-1][1](spark, df, SF).count() >= df.count()
     assert len(cp.STAGES) == 5

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests_llm_tools import docs_of, plant, table_rows  # noqa: F401
 from vulnlake.llm.queries import QUERIES
-from vulnlake.llm.secret_ledger import RULE_VERSION, find_secrets, findings, redact, update_ledger
+from vulnlake.llm.secret_ledger import RULE_VERSION, find_secrets, findings, redact, secret_report, update_ledger
 
 SF = "/root/testdata/sf0.001"
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -60,6 +60,54 @@ def test_ledger_scans_each_blob_and_rule_version_once(spark, docs_of, tmp_dir):
     assert findings(empty, update_ledger(empty, f"{tmp_dir}/none"), "doc_id").count() == 0
 
 
+def test_the_query_over_a_kept_ledger_scans_nothing_twice(spark, docs_of, tmp_dir):
+    path = f"{tmp_dir}/ledger"
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = sorted(map(tuple, secret_report(docs, path).collect()))
+    files = set(spark.read.parquet(path).inputFiles())
+    scanned = spark.read.parquet(path).count()
+    assert scanned == docs.selectExpr("coalesce(text, '') as t").distinct().count()
+    assert sorted(map(tuple, secret_report(docs, path).collect())) == first
+    added = set(spark.read.parquet(path).inputFiles()) - files
+    assert not added or spark.read.parquet(*added).count() == 0
+
+
+def test_blobs_appended_twice_are_read_once(spark, docs_of, tmp_dir):
+    """As two runs at once leave them."""
+    path, docs = f"{tmp_dir}/ledger", docs_of([(1, plant), (2, "none")])
+    update_ledger(docs, path)
+    spark.read.parquet(path).write.mode("append").parquet(path)
+    assert spark.read.parquet(path).count() == 4
+    assert findings(docs, update_ledger(docs, path), "doc_id").count() == 2
+    assert sorted(r.doc_id for r in redact(docs, path).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("text", ["eyJabcdefgh" * 100_000, "eyJabcdefgh." * 90_000, "password" + " " * 1_000_000, "token=" * 200_000, "ghp_" * 250_000,
+                                  "-----BEGIN A" * 90_000, "0123456789abcdef" * 60_000, "AKIA" * 250_000, '"\'' * 500_000])
+def test_long_texts_take_linear_time(text):
+    import time
+
+    t = time.time()
+    find_secrets(text)
+    assert time.time() - t < 5
+
+
+def test_jwt_is_found_from_the_start_of_its_run():
+    token = "eyJhbGciOi1.eyJzdWIiOi2.c2lnbmF0dXJl"
+    assert [s for s in find_secrets(f"a {token} b") if s[0] == "jwt"] == [("jwt", 2, 2 + len(token))]
+    assert [s for s in find_secrets(f"x{token}") if s[0] == "jwt"] == []
+
+
+def test_redaction_of_many_spans_is_linear(docs_of, tmp_dir):
+    import time
+
+    text = "é token=abcdefgh1 x " * 30_000
+    docs = docs_of([(1, text)], extra=("__spans", "__blob", "spans", "blob", "starts", "ends"))
+    t = time.time()
+    out = redact(docs, f"{tmp_dir}/ledger").first()
+    assert out.text == "é [SECRET] x " * 30_000 and out.starts == "clash starts" and time.time() - t < 30
+
+
 def test_redaction_merges_spans_and_keeps_the_rest(spark, docs_of, tmp_dir):
     overlap = "a secret=" + "0123456789abcdef" * 2 + " b"
     docs = docs_of([(1, overlap), (2, "clean é"), (3, None), (4, "token=abcdefgh1 é password=abcdefgh2")])

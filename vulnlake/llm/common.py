@@ -23,6 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have (names are compared without regard to case)."""
+    taken, name = {c.lower() for c in df.columns}, stem
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -1,13 +1,14 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
 Statistics are computed once for every whole text and stored. The trees are fitted on a bounded sample of the
-labelled rows (``FIT_ROWS``; a uniform hash of the id chooses them, and all of them are used while there are
-no more than that), with bin edges from the same sample. The fitted trees are flattened into arrays, broadcast
+labelled rows (``FIT_ROWS``; a uniform hash of id and statistics chooses them, and all of them are used while there are
+no more than that; rows that repeat both count once), with bin edges from the same sample. The fitted trees are flattened into arrays, broadcast
 (a few hundred kilobytes whatever the corpus size), and traversed for a whole batch of documents at once.
 
 Defined cases: null text is the empty text and gets a score like any other; several labels of one id count as
 one, the larger; a null id is unlabelled and not held out; without usable labels of both values every score
-is the base rate (0.5 without labels); repeated rows keep one result row each; extra columns are ignored.
+is the base rate (0.5 without labels); repeated rows keep one result row each; texts of any length are measured whole;
+an empty table gives an empty result; other columns are ignored (by ``keep_good``: kept), whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, table, text_or_empty
+from .common import free_name, map_batches, stored, table, text_or_empty
 
 FIT_ROWS = 40_000  # bound of the labelled sample that the trees are fitted on
 FEATURES = ("log_chars", "log_words", "word_len", "word_len_sd", "upper", "digit", "space", "symbol", "bang", "pipe", "stop",
@@ -166,10 +167,13 @@ def fit_on_labels(stats: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **o
     """Fit on ``labels(doc_id, quality)`` outside the held-out fold, at most about ``rows`` of them."""
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("quality").alias("y")))
-    n = known.count()
+    usable = stored(stats.join(known, "doc_id").select("doc_id", "y", "x").dropDuplicates(["doc_id", "x"]), "labelled-statistics")
+    n = usable.count()
     if n > rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * rows / n)))
-    got = stats.join(known, "doc_id").select("doc_id", "y", "x").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+        usable = usable.where(F.pmod(F.xxhash64("doc_id", "x"), F.lit(1 << 20)) < F.lit(int((1 << 20) * rows / n)))
+    got = usable.toArrow()  # about ``rows`` of them at most
+    got = got.append_column("k", pa.array([bytes(np.asarray(v, "<f4")) for v in got.column("x").to_pylist()], pa.binary()))
+    got = got.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("k", "ascending")])
     x = np.array(got.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES)) if got.num_rows else np.zeros((0, len(FEATURES)), np.float32)
     return fit(x.astype(np.float64), np.array(got.column("y")).astype(np.float64), **options)
 
@@ -199,15 +203,16 @@ def keep_good(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **option
     def measure(texts: pd.Series) -> pd.Series:
         return pd.Series([np.array(statistics(t), np.float32) for t in texts])
 
-    measured = stored(docs.withColumn("__x", measure(text_or_empty())), "measured-documents")
+    name = free_name(docs, "statistics")
+    measured = stored(docs.withColumn(name, measure(text_or_empty())), "measured-documents")
     model = docs.sparkSession.sparkContext.broadcast(
-        fit_on_labels(measured.select("doc_id", F.col("__x").alias("x")), labels, rows, **options))
+        fit_on_labels(measured.select("doc_id", F.col(name).alias("x")), labels, rows, **options))
 
     @F.pandas_udf("boolean")
     def good(x: pd.Series) -> pd.Series:
         return pd.Series(model.value.score(np.stack(x.to_list()).astype(np.float64)) >= 0.5) if len(x) else pd.Series([], dtype=bool)
 
-    return measured.where(good("__x")).select(*docs.columns)
+    return measured.where(good(name)).select(*docs.columns)
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:

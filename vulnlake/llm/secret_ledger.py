@@ -6,9 +6,10 @@ version, appends their findings, and joins the ledger back to all paths that hol
 million copies is scanned once; the copies are collapsed map-side before the text is shuffled, and the way
 back is an equi-join on the blob address whose large side adaptive execution can split.
 
-Defined cases: null text is the empty text; equal texts share one ledger row; repeated rows keep one result
-row each; an empty table gives an empty result; extra columns are ignored. Offsets count code points, end
-exclusive.
+Defined cases: null text is the empty text; equal texts share one ledger row, and a blob that two runs at once have both
+appended is read once; repeated rows keep one result row each; texts of any length are scanned whole, in time
+proportional to their length; an empty table gives an empty result; other columns are ignored (by ``redact``: kept), whatever
+their names. Offsets count code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, scratch_path, table, text_or_empty
+from .common import free_name, map_batches, scratch_path, table, text_or_empty
 
 # The base rules (kind, pattern, group whose length counts, least length), in listed order.
 BASE_RULES = (
@@ -32,11 +34,11 @@ BASE_RULES = (
 # Rules this operator adds.
 EXTRA_RULES = (
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 29),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}", 0, 29),  # from the start of a run only
     ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 20),
 )
 RULES = BASE_RULES + EXTRA_RULES
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 LEDGER_SCHEMA = f"blob string, rule_version string, spans {SPANS}"
 
@@ -65,9 +67,10 @@ def scan_blobs(blobs: DataFrame, rules=RULES, rule_version: str = RULE_VERSION)
 
 
 def read_ledger(spark, path: str) -> DataFrame:
-    """The ledger table; an empty one where no run has written yet."""
+    """The ledger, one row per blob and rule version (two runs at once may have appended the same one, with the same
+    findings); an empty table where no run has written yet."""
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path).dropDuplicates(["blob", "rule_version"])
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -102,35 +105,37 @@ def findings(versions: DataFrame, ledger: DataFrame, path_col: str, text_col: st
 
 
 def redact(docs: DataFrame, ledger_path: str, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
-    """``docs`` with every found span (overlapping ones merged) replaced by ``mark``; other columns stay."""
+    """``docs`` with every found span (overlapping ones merged) replaced by ``mark``; other columns stay. Only texts with
+    findings leave the JVM."""
     ledger = update_ledger(docs, ledger_path, text_col)
+    blob, starts, ends = (free_name(docs, c) for c in ("blob", "starts", "ends"))
     hits = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select(
-        F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    # merge overlapping spans (they come sorted by start), then rebuild the text from what lies between them
-    merged = F.aggregate(
-        "__spans", F.array().cast("array<struct<start: bigint, end: bigint>>"),
-        lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= s["start"]),
-                              F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                                       F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"),
-                                                        F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))))
-        .otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
-    pieces = F.aggregate(
-        "__merged", F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
-        lambda acc, s: F.struct(
-            F.concat(acc["out"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                     F.lit(mark)).alias("out"),
-            s["end"].alias("at")))
-    out = (docs.withColumn("__blob", address(text_col)).join(hits, "__blob", "left").withColumn("__merged", merged)
-           .withColumn("__acc", pieces)
-           .withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
-               F.concat(F.col("__acc")["out"], F.expr(f"substring(`{text_col}`, cast(__acc.at + 1 as int))")))))
-    return out.select(*docs.columns)
-
-
-def op7_secret_ledger(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    ledger = update_ledger(docs, scratch_path(spark, "secret-ledger"))
-    found = findings(docs, ledger, "doc_id")
+        F.col("blob").alias(blob), F.col("spans.start").alias(starts), F.col("spans.end").alias(ends))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        out = []
+        for text, begin, end in zip(texts, starts, ends):
+            parts, at = [], 0
+            for a, z in zip(begin, end) if text is not None else ():  # by start
+                if a > at or not parts:
+                    parts += [text[at:a], mark]
+                    at = z
+                else:
+                    at = max(at, z)
+            out.append(None if text is None else "".join(parts) + text[at:])
+        return pd.Series(out, dtype=object)
+
+    found = docs.withColumn(blob, address(text_col)).join(hits, blob, "left")
+    hit = F.col(starts).isNotNull()
+    clean = cut(F.when(hit, F.col(text_col)), F.col(starts), F.col(ends))
+    return found.withColumn(text_col, F.when(hit, clean).otherwise(F.col(text_col))).select(*docs.columns)
+
+
+def secret_report(docs: DataFrame, ledger_path: str) -> DataFrame:
+    """Per row of ``docs(doc_id, text)``: the counts of base findings, their digest and all spans as text. Scans what the
+    ledger lacks."""
+    found = findings(docs, update_ledger(docs, ledger_path), "doc_id")
 
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -141,3 +146,8 @@ def op7_secret_ledger(spark, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*[r[0] for r in BASE_RULES]))
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op7_secret_ledger(spark, sf_dir: str) -> DataFrame:
+    """All documents against a new ledger; ``secret_report`` over a kept one scans only what is new."""
+    return secret_report(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
