@@ -47,6 +47,8 @@ K = 4.0
 BITS = 56  # of a key: 54 of the hash, 2 for the order
 BLOCK = 1 << 23  # characters
 PER_BUCKET = 1 << 24  # characters of the corpus for each bucket
+PER_TASK = 1 << 26  # characters of blocks that one task works off, one after the other
+MOST_TASKS = 100_000  # as many buckets a table may have
 PIECE = 1 << 20  # characters hashed at once
 START, END = np.uint64(1), np.uint64(2)  # marks around a document; hashes of words are larger
 _ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
@@ -192,8 +194,9 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(cols, fields)], schema=fields)
 
 
-def store_blocks(docs: DataFrame) -> DataFrame:
-    """``(block, row, doc_id, text)`` in a table bucketed by block; row is the number within the block."""
+def store_blocks(docs: DataFrame, size: int) -> DataFrame:
+    """``(block, row, doc_id, text)`` in a table bucketed by block; row is the number within the block. ``size``: characters in
+    all; the table has a bucket, which is one task's work, for every ``PER_TASK`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, size, block, row = TaskContext.get().partitionId() << 32, 0, 0, 0
         for b in batches:
@@ -210,7 +213,8 @@ def store_blocks(docs: DataFrame) -> DataFrame:
     spark, name = docs.sparkSession, f"lm_blocks_{uuid.uuid4().hex[:12]}"
     rows = map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")), run,
                        "block bigint, row int, doc_id bigint, text string")
-    (rows.write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    tasks = min(MOST_TASKS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PER_TASK + 1))
+    (rows.write.option("compression", "zstd").bucketBy(tasks, "block")
      .option("path", scratch_path(spark, name)).format("parquet").saveAsTable(name))
     return spark.table(name)
 
@@ -313,8 +317,8 @@ def score(blocks: DataFrame, targets: DataFrame, answered: DataFrame) -> DataFra
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """Score every row of ``docs(doc_id, text)`` against the documents listed in ``targets(doc_id)``."""
-    blocks = store_blocks(docs)
-    size = blocks.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    size = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    blocks = store_blocks(docs, size)
     bucket_bits = (size // PER_BUCKET).bit_length()
     marked = target_rows(blocks, targets)
     return score(blocks, marked, answers(questions(blocks, marked, bucket_bits), BITS - bucket_bits))
