@@ -550,3 +550,59 @@ def _st1(spark, d):
         counts = tumbling_counts(stream, "ts", "6 hours", "2 days", keys=["event_type"], id="event_id", sums=["cents"])
         run_available([start_window_counts(counts, f"{root}/counts", f"{root}/checkpoint")])
     return read_window_counts(spark, f"{root}/counts", ["event_type"])
+
+
+# ---- groupings, frames, snapshots ----------------------------------------------------------------
+
+@query("a1_monthly_distinct")
+def _a1(spark, d):
+    """Distinct parts shipped per month: exact, and whether the union of the month's daily sketches (stored, read back) estimates it
+    within its stated error."""
+    lines = B.table(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("day"), "l_partkey")
+    path = scratch_path(spark, "daily-sketches")
+    write_table(op.distinct_sketches(lines, ["day"], "l_partkey"), path)
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    guess = op.united_distinct(read_table(spark, path), [month])
+    exact = lines.groupBy(month).agg(F.count_distinct("l_partkey").alias("parts"))
+    return exact.join(guess, "month").select("month", "parts", "n_rows",
+                                             (F.abs(F.col("estimate") - F.col("parts")) <= op.grouping.SKETCH_ERROR * F.col("parts") + 1).alias("within_error"))
+
+
+@query("a2_price_percentiles")
+def _a2(spark, d):
+    """Exact percentiles of the line price by return flag."""
+    lines = B.table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
+    return op.exact_percentiles(lines, ["l_returnflag"], "l_extendedprice", [0.0, 0.25, 0.5, 0.9, 0.99, 1.0])
+
+
+@query("a3_grouping_sets")
+def _a3(spark, d):
+    """Records, those with a score and the highest score by year, band and assigner, by year and band, by assigner, and in all; records of unknown
+    assigners are a group of their own."""
+    return op.grouping_sets(_core(spark, d), [["data_year", "risk_category", "assigning_org_name"], ["data_year", "risk_category"], ["assigning_org_name"], []],
+                            F.count(F.lit(1)).alias("n_records"), F.count("cvss_base_score").alias("n_scored"),
+                            F.max("cvss_base_score").alias("max_score"))
+
+
+@query("a4_top_records_per_vendor")
+def _a4(spark, d):
+    """The three highest-scored records of every vendor."""
+    pairs = _aff(spark, d).select("vendor_name", "cve_id").distinct()
+    scored = pairs.join(_core(spark, d).where("cvss_base_score is not null").select("cve_id", "cvss_base_score"), "cve_id")
+    return op.top_per_group(scored, ["vendor_name"], [F.desc("cvss_base_score"), F.asc("cve_id")], 3)
+
+
+@query("w2_moving_average")
+def _w2(spark, d):
+    """Publications of every org: per active day, over the thirty days up to it, and the gaps to its neighbours."""
+    daily = op.daily_rows(_core(spark, d), "published_timestamp", ["assigning_org_id"])
+    out = op.activity_gaps(op.moving_average(daily, 30, ["assigning_org_id"]), ["assigning_org_id"])
+    return out.withColumn("rows_per_day", F.round("rows_per_day", DIGITS))
+
+
+@query("d1_snapshot_diff")
+def _d1(spark, d):
+    """The core table as first loaded (known assigners only) against it with urgent records revised: added, removed and changed records."""
+    core = _core(spark, d)
+    compare = ["cve_description", "updated_timestamp", "cvss_base_score", "assigning_org_name"]
+    return op.snapshot_diff(B.first_load(core), B.with_revisions(core).where("risk_category <> 'LOW'"), "cve_id", compare)

@@ -507,3 +507,35 @@ _reg("st1_tumbling_counts", """
 SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS window_end, event_type,
   count(*) AS n_rows, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents
 FROM events GROUP BY ALL""", twin=False)
+
+# ---- groupings, frames, snapshots ----------------------------------------------------------------
+_reg("a1_monthly_distinct", """
+SELECT strftime(l_shipdate, '%Y-%m') AS month, count(DISTINCT l_partkey) AS parts, count(*) AS n_rows, TRUE AS within_error FROM lineitem GROUP BY 1""", twin=False)
+_reg("a2_price_percentiles", """
+WITH shares AS (SELECT unnest([0.0, 0.25, 0.5, 0.9, 0.99, 1.0])::DOUBLE AS share),
+ranked AS (SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS r,
+  count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem WHERE l_extendedprice IS NOT NULL)
+SELECT l_returnflag, share, l_extendedprice AS value, n FROM ranked, shares WHERE r = greatest(1, n - CAST(floor(n - share * n) AS BIGINT))""", twin=False)
+_reg("a3_grouping_sets", """
+SELECT data_year, risk_category, assigning_org_name,
+  CAST(GROUPING(data_year) + 2 * GROUPING(risk_category) + 4 * GROUPING(assigning_org_name) AS INTEGER) AS set_id,
+  count(*) AS n_records, count(cvss_base_score) AS n_scored, max(cvss_base_score) AS max_score
+FROM core_cves GROUP BY GROUPING SETS ((data_year, risk_category, assigning_org_name), (data_year, risk_category), (assigning_org_name), ())""")
+_reg("a4_top_records_per_vendor", """
+SELECT vendor_name, cve_id, cvss_base_score, CAST(row_number() OVER (PARTITION BY vendor_name ORDER BY cvss_base_score DESC, cve_id) AS INTEGER) AS rank
+FROM (SELECT DISTINCT vendor_name, cve_id FROM affected_products) JOIN core_cves USING (cve_id) WHERE cvss_base_score IS NOT NULL QUALIFY rank <= 3""")
+_reg("w2_moving_average", f""", days AS (
+  SELECT CAST(published_timestamp AS DATE) AS day, assigning_org_id, count(*) AS n_rows FROM core_cves WHERE published_timestamp IS NOT NULL GROUP BY ALL)
+SELECT day, assigning_org_id, n_rows, CAST(sum(n_rows) OVER month AS BIGINT) AS rows_in_range, count(*) OVER month AS active_days,
+  round(sum(n_rows) OVER month / 30.0, {D}) AS rows_per_day,
+  CAST(date_diff('day', lag(day) OVER org, day) AS INTEGER) AS days_since, CAST(date_diff('day', day, lead(day) OVER org) AS INTEGER) AS days_until,
+  n_rows - lag(n_rows) OVER org AS change
+FROM days WINDOW org AS (PARTITION BY assigning_org_id ORDER BY day),
+  month AS (PARTITION BY assigning_org_id ORDER BY day RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)""")
+_reg("d1_snapshot_diff", """, before AS (
+  SELECT cve_id, cve_description, updated_timestamp, cvss_base_score, assigning_org_name FROM core_cves WHERE assigning_org_name IS NOT NULL),
+after AS (
+  SELECT cve_id, cve_description, updated_timestamp, cvss_base_score, assigning_org_name FROM revised_core WHERE risk_category <> 'LOW'),
+differs AS (SELECT DISTINCT cve_id FROM ((SELECT * FROM before EXCEPT ALL SELECT * FROM after) UNION ALL (SELECT * FROM after EXCEPT ALL SELECT * FROM before)))
+SELECT cve_id, CASE WHEN b = 0 THEN 'added' WHEN a = 0 THEN 'removed' ELSE 'changed' END AS change, b AS rows_before, a AS rows_after
+FROM (SELECT cve_id, (SELECT count(*) FROM before x WHERE x.cve_id = d.cve_id) AS b, (SELECT count(*) FROM after x WHERE x.cve_id = d.cve_id) AS a FROM differs d)""")
