@@ -19,6 +19,7 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import zlib
@@ -80,24 +81,23 @@ class WordCache:
 
     def _encode(self, parts: list[bytes]) -> None:
         """Put the ids of ``parts`` into the core cache."""
-        cores, plain, other = self.cores, [], []
+        cores = self.cores
+        plain = [w for w in parts if w.isalpha()]
+        other = []
         for w in parts:
-            if w.isalpha():
-                plain.append((w, w.decode()))
-            else:
-                t = w.decode("utf-8", "replace")
-                (plain if t.isalpha() else other).append((w, t))
-        for i in range(0, len(plain), 512):  # letters only: one word to the tokenizer, and one closing id
-            chunk = plain[i:i + 512]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([t for _, t in chunk])], add_special_tokens=False)[0].ids, "<u4")
+            if not w.isalpha():
+                (plain if not w.isascii() and w.decode("utf-8", "replace").isalpha() else other).append(w)
+        for i in range(0, len(plain), 2048):  # letters only: one word to the tokenizer, and one closing id
+            chunk = plain[i:i + 2048]
+            text = b" ".join(chunk).decode("utf-8", "replace")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             data, cut = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(cut) != len(chunk) or cut[-1] != len(data):
                 other.extend(chunk)
                 continue
-            for (w, _), a, z in zip(chunk, [0, *cut], cut):
-                cores[w] = data[a:z]
-        for w, t in other:
-            cores[w] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            cores.update(zip(chunk, map(data.__getitem__, map(slice, [0, *cut], cut))))
+        for w in other:
+            cores[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _ends_in_letter(self, core: bytes) -> bool:
         """Whether the normalised core ends in a letter: what normalising leaves last may be a mark, which would stay
@@ -107,29 +107,27 @@ class WordCache:
 
     def _learn(self, unseen: set[bytes]) -> None:
         """Put the ids of ``unseen`` words into the word cache."""
-        if len(self.cores) > CACHE_WORDS:
-            self.cores.clear()
-        cores, split, wanted = self.cores, [], set()
-        for w in unseen:
-            core, tail = w.rstrip(TAIL), b""
-            if len(core) == len(w) or not core or not (core[-1:].isalpha() or core[-1:].isdigit() or (core[-1] >= 128 and self._ends_in_letter(core))):
-                core = w
-            else:
-                tail = w[len(core):]
-                if tail not in cores:
-                    wanted.add(tail)
-            if b"<" not in w:  # not a special token
-                if core.isascii():  # else normalising comes first: a small letter may take a mark that the large one leaves
-                    core = core.lower()
-            else:
-                core, tail = w, b""
-            if core not in cores:
-                wanted.add(core)
-            split.append((w, core, tail))
+        cores = self.cores
+        if len(cores) > CACHE_WORDS:
+            cores.clear()
+        # ASCII words may be lower-cased here; in others normalising comes first: a small letter may take a mark that the large one leaves
+        known = [w for w in unseen if w.isascii() and b"<" not in w]
+        parts = [(c, w[len(c):]) if len(c) != len(w) and c[-1:].isalnum() else (w, b"")
+                 for w in b" ".join(known).lower().split(b" ") for c in (w.rstrip(TAIL),)] if known else []
+        if len(known) != len(unseen):
+            for w in unseen:
+                if b"<" in w:  # maybe a special token
+                    known.append(w)
+                    parts.append((w, b""))
+                elif not w.isascii():
+                    known.append(w)
+                    c = w.rstrip(TAIL)
+                    apart = len(c) != len(w) and c and (self._ends_in_letter(c) if c[-1] >= 128 else c[-1:].isalnum())
+                    parts.append((c, w[len(c):]) if apart else (w, b""))
+        wanted = set(itertools.chain.from_iterable(parts)).difference(cores)
+        wanted.discard(b"")
         self._encode(list(wanted))
-        words = self.words
-        for w, core, tail in split:
-            words[w] = cores[core] + cores[tail] if tail else cores[core]
+        self.words.update(zip(known, [cores[c] + cores[t] if t else cores[c] for c, t in parts]))
         for w in [x for x in wanted if len(x) > CACHED_WORD]:
             del cores[w]
 
