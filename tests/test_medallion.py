@@ -76,6 +76,35 @@ def test_ingest_counts_and_keeps_what_it_rejects(spark, tmp_dir):
         assert sorted(bad) == ["CVE-2024-1003.json", "CVE-2024-1004.json"] and bad["CVE-2024-1004.json"].endswith("trailing garbage")
 
 
+def test_given_keys_bronze_is_written_in_one_pass(spark, tmp_dir, monkeypatch):
+    """No staged copy of the documents; a second scan only where something was rejected."""
+    from test_sources import _write, indented, make_tree
+    from conftest import doc
+    from vulnlake.plans import medallion
+
+    def no_staging(*_):
+        raise AssertionError("documents were staged")
+
+    monkeypatch.setattr(medallion, "scratch_path", no_staging)
+    scans = []
+    original = medallion.rejected_documents
+    monkeypatch.setattr(medallion, "rejected_documents", lambda df: (scans.append("limit" not in df._jdf.queryExecution().logical().toString().lower()), original(df))[1])
+    clean, mixed = os.path.join(tmp_dir, "clean"), os.path.join(tmp_dir, "mixed")
+    _write(f"{clean}/CVE-2024-0001.json", indented(doc()))
+    make_tree(mixed)
+    _write(f"{mixed}/2024/CVE-2024-7777.json", "")
+    for src, counts, second in ((clean, {"documents": 1, "rejected": 0}, False), (mixed, {"documents": 3, "rejected": 3}, True)):
+        layout = Layout(bronze=f"{src}-bronze", core="", affected="", rejected=f"{src}-rejected")
+        assert ingest_bronze(spark, src, layout, year=2024, keys=["cveMetadata", "containers"]) == counts
+        assert scans.pop() == second and spark.read.parquet(layout.rejected).count() == counts["rejected"]
+        assert ingest_bronze(spark, src, Layout(bronze=f"{src}-b2", core="", affected=""), year=2024, keys=["cveMetadata"]) == counts
+    few = Layout(bronze=f"{tmp_dir}/few", core="", affected="")
+    assert ingest_bronze(spark, mixed, few, year=2024, keys=["cveMetadata"], max_records=2) == {"documents": 2, "rejected": 3}
+    os.makedirs(f"{tmp_dir}/none")
+    nothing = Layout(bronze=f"{tmp_dir}/nb", core="", affected="", rejected=f"{tmp_dir}/nr")
+    assert ingest_bronze(spark, f"{tmp_dir}/none", nothing, year=2024, keys=["cveMetadata"]) == {"documents": 0, "rejected": 0}
+
+
 def test_command_line_flow(spark, tmp_dir, capsys):
     import glob
 

@@ -60,6 +60,34 @@ def test_a_document_is_exactly_one_object(spark, tmp_dir, text, good):
         assert (ok.count(), bad.count()) == ((1, 0) if good else (0, 1))
 
 
+@pytest.mark.parametrize("text, message", [
+    ("", "empty file"), ('{"a": 1} x', "Extra data"), ('{"a": ', "Expecting value"), ('{"a" 1}', "Expecting ':' delimiter"), ('{"a": "x', "Unterminated string"),
+    ("[1]", "not exactly one JSON object: list"), ("null", "not exactly one JSON object: NoneType"), ("[" * 100_000, "maximum recursion depth"), (" ", "Expecting value")])
+def test_rejected_documents_say_why(spark, tmp_dir, text, message):
+    _write(f"{tmp_dir}/CVE-2024-0001.json", text)
+    _write(f"{tmp_dir}/CVE-2023-0001.json", "")  # another year's
+    _, bad = scan_documents(spark, tmp_dir, year=2024)
+    row = bad.first()
+    assert bad.count() == 1 and row.error_text.startswith(message) and row.value == text
+    assert row.source_file.endswith("/CVE-2024-0001.json") and row.source_file.startswith("file:/")
+
+
+def test_empty_files_are_listed_not_read(spark, tmp_dir):
+    from vulnlake.sources.documents import empty_files
+
+    for k in range(3):
+        _write(f"{tmp_dir}/a b/é%/CVE-2024-000{k}.json", "" if k else "{}")
+    found = empty_files(spark, tmp_dir, 2024)
+    assert found.count() == 2 and "content" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scan_keeps_at_most_max_records(spark, tmp_dir):
+    make_tree(tmp_dir)
+    for most, n in ((0, 0), (2, 2), (99, 3), (None, 3)):
+        good, rejected = scan_documents(spark, tmp_dir, year=2024, max_records=most)
+        assert good.count() == n and rejected.count() == 2  # rejected documents do not count
+
+
 def test_scan_all_years_and_lines_layout(spark, tmp_dir):
     make_tree(tmp_dir)
     good, _ = scan_documents(spark, tmp_dir)
@@ -94,6 +122,40 @@ def test_write_read_path_and_table(spark, tmp_dir):
     assert read_table(spark, "vulnlake_test.bucketed").count() == 5
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.select("a", "b", "c").collect()), key=repr)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_merged_schemas_of_paths(spark, tmp_dir, fmt):
+    path = os.path.join(tmp_dir, "t")
+    one, two = spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([(2.5, 2)], "c double, a int")
+    for load in (one, two):
+        write_table(load, path, fmt=fmt, mode="append", schema="merge")
+    assert rows_of(read_table(spark, path, fmt, merge_schema=True)) == [(1, "x", None), (2, None, 2.5)]
+    write_table(spark.createDataFrame([(3,)], "a int"), path, fmt=fmt, schema="merge")  # overwrite: the columns stay
+    assert rows_of(read_table(spark, path, fmt)) == [(3, None, None)]
+    with pytest.raises(ValueError, match="other types for a"):
+        write_table(spark.createDataFrame([("3",)], "a string"), path, fmt=fmt, mode="append", schema="merge")
+    assert rows_of(read_table(spark, path, fmt)) == [(3, None, None)]
+
+
+def test_merged_schemas_of_named_tables(spark):
+    one, two = spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([(2.5, 2)], "c double, a int")
+    spark.sql("DROP TABLE IF EXISTS vulnlake_test.merged")
+    for load in (one, two):
+        write_table(load, "vulnlake_test.merged", mode="append", schema="merge")
+    assert rows_of(read_table(spark, "vulnlake_test.merged")) == [(1, "x", None), (2, None, 2.5)]
+
+
+def test_merging_is_refused_where_it_cannot_be_done(spark, tmp_dir):
+    df = spark.range(1)
+    with pytest.raises(ValueError, match="cannot merge"):
+        write_table(df, f"{tmp_dir}/t", fmt="csv", schema="merge")
+    with pytest.raises(ValueError, match="schema must be"):
+        write_table(df, f"{tmp_dir}/t", schema="evolve")
+
+
 def test_export_csv(spark, tmp_dir):
     out = os.path.join(tmp_dir, "csv")
     export_csv(spark.createDataFrame([("a", 1)], "k string, n int"), out, single_file=True)

@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--rejected")
     ing.add_argument("--year", type=int)
     ing.add_argument("--layout", choices=("file", "lines"), default="file")
+    ing.add_argument("--max-records", type=int, help="good documents at most (default: all)")
     ing.add_argument("--keys", nargs="*", help="top-level keys to keep (default: all that occur)")
     sil = sub.add_parser("silver", help="bronze -> core_cves + affected_products")
     sil.add_argument("--bronze", required=True)
@@ -49,7 +50,8 @@ def main(argv=None) -> int:
     spark = build_session()
     if args.command == "ingest":
         layout = Layout(bronze=args.bronze, core="", affected="", rejected=args.rejected)
-        counts = ingest_bronze(spark, args.source, layout, year=args.year, doc_layout=args.layout, keys=args.keys or None)
+        counts = ingest_bronze(spark, args.source, layout, year=args.year, doc_layout=args.layout, keys=args.keys or None,
+                               max_records=args.max_records)
         print(f"{counts['documents']} documents, {counts['rejected']} rejected")
     elif args.command == "silver":
         build_silver(spark, Layout(bronze=args.bronze, core=args.core, affected=args.affected, buckets=args.buckets))

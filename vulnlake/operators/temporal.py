@@ -105,9 +105,8 @@ def interval_join(points: DataFrame, intervals: DataFrame, time: str, start: str
     iv = (intervals.where(_all_set([F.col(c).cast("timestamp") for c in (start, end)]) & (F.col(end) >= F.col(start)))
           .withColumn("_level", level))
     levels = [r["_level"] for r in iv.select("_level").distinct().collect()]  # at most 32 numbers
-    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_level"))
-    iv = iv.withColumn("_bucket", F.explode(F.sequence(_bucket(start, width), _bucket(end, width))))
-    at = [F.struct(F.lit(v).alias("level"), _bucket(time, F.lit(1 << v)).alias("bucket")) for v in sorted(levels)]
+    iv = iv.withColumn("_bucket", F.explode(F.sequence(_bucket(start, F.col("_level")), _bucket(end, F.col("_level")))))
+    at = [F.struct(F.lit(v).alias("level"), _bucket(time, F.lit(v)).alias("bucket")) for v in sorted(levels)]
     none = "array<struct<level:int,bucket:bigint>>"
     pt = points.where(F.col(time).isNotNull()).withColumn("_at", F.explode(F.array(*at) if at else F.array().cast(none)))
     pt = pt.select(*points.columns, F.col("_at.level").alias("_level"), F.col("_at.bucket").alias("_bucket"))
@@ -115,9 +114,9 @@ def interval_join(points: DataFrame, intervals: DataFrame, time: str, start: str
     return pairs.where((F.col(time) >= F.col(start)) & (F.col(time) <= F.col(end))).drop("_level", "_bucket")
 
 
-def _bucket(time: str, width: Column) -> Column:
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    return F.floor((micros - F.pmod(micros, width)) / width).cast("bigint")
+def _bucket(time: str, level: Column) -> Column:
+    """The number of the bucket of ``2 ** level`` microseconds that a time lies in."""
+    return F.call_function("shiftright", F.unix_micros(F.col(time).cast("timestamp")), level)
 
 
 def sessions(df: DataFrame, keys: Sequence[str] | str, time: str, gap_seconds: int, sums: Sequence[str] = ()) -> DataFrame:

@@ -179,7 +179,7 @@ def write_document_files(docs: DataFrame, root: str) -> None:
     ``<root>/<year>/<NNN>xxx/<cveId>.json``, written by the tasks.
 
     Ids ending in 5 begin with white space. Beside each id ending in 00 there are a truncated file, one with
-    text behind the object, and one whose name is no record's.
+    text behind the object, one of zero bytes, one that holds a list, and one whose name is no record's.
     """
     def write(rows) -> None:
         fs, base = pafs.FileSystem.from_uri(root)
@@ -191,7 +191,7 @@ def write_document_files(docs: DataFrame, root: str) -> None:
             text = json.dumps(doc, indent=4, ensure_ascii=False)
             files = {cve: ("\n\t" if cve.endswith("5") else "") + text}
             if cve.endswith("00"):
-                files |= {f"{cve}-cut": text[:len(text) // 2], f"{cve}-more": text + " more", f"notes-{cve[-7:]}": text}
+                files |= {f"{cve}-cut": text[:len(text) // 2], f"{cve}-more": text + " more", f"{cve}-empty": "", f"{cve}-list": f"[{text}]", f"notes-{cve[-7:]}": text}
             for name, content in files.items():
                 with fs.open_output_stream(f"{folder}/{name}.json") as f:
                     f.write(content.encode())

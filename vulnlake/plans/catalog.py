@@ -88,7 +88,7 @@ def _s01(spark, d):
 @query("s01_scan_documents_files")
 def _s01f(spark, d):
     """One indented file per document, read year by year: good documents by id and state, rejected ones by file
-    name and whether their text was kept to its end."""
+    name, what the parser says of them and whether their text was kept to its end."""
     root = scratch_path(spark, "document-files")
     docs = B.documents(spark, d)
     B.write_document_files(docs, root)
@@ -98,7 +98,10 @@ def _s01f(spark, d):
         name = F.regexp_extract("source_file", r"([^/]+)\.json$", 1)
         both = good.select(J.json_path("value", "$.cveMetadata.cveId").alias("name"), F.lit(True).alias("good"),
                            J.json_path("value", "$.cveMetadata.state").alias("detail")).unionByName(
-            rejected.select(name.alias("name"), F.lit(False).alias("good"), F.col("value").endswith(" more").cast("string").alias("detail")))
+            rejected.select(name.alias("name"), F.lit(False).alias("good"), F.concat_ws(
+                " ", F.when(F.col("error_text").startswith("Extra data"), "extra data").when(F.col("error_text").contains("(char "), "syntax error")
+                .otherwise(F.col("error_text")),
+                F.when(F.col("value").endswith(" more"), "whole")).alias("detail")))
         out = both if out is None else out.unionByName(both)
     return out
 
@@ -146,6 +149,30 @@ def _s04c(spark, d):
     return read_table(spark, name).select("cve_id", "risk_category", "cvss_base_score", "published_timestamp")
 
 
+@query("s04_table_merge_schema")
+def _s04m(spark, d):
+    """Two loads of one path, the second with a column that the first lacks and without one that it has."""
+    path = scratch_path(spark, "merged-table")
+    core = _core(spark, d)
+    first = core.where("publication_state = 'PUBLISHED'").select("cve_id", "publication_state", "cvss_base_score")
+    second = core.where("publication_state = 'REJECTED'").select("cve_id", "publication_state", "assigning_org_name")
+    for load in (first, second):
+        write_table(load, path, mode="append", schema="merge")
+    return read_table(spark, path, merge_schema=True)
+
+
+@query("s01_scan_limit")
+def _s01n(spark, d):
+    """A scan of at most 100 good documents: how many came, how many of them are documents, and that the rejected stay."""
+    path = scratch_path(spark, "scan-limit")
+    docs = B.documents(spark, d).select("value")
+    docs.unionByName(docs.where(F.col("value").contains("1-URGENT")).select(F.concat("value", F.lit(" more")).alias("value"))).write.text(path)
+    good, rejected = scan_documents(spark, path, layout="lines", max_records=100)
+    n = F.count(F.lit(1)).alias("n")
+    return (good.agg(F.lit("good").alias("kind"), n).unionByName(rejected.agg(F.lit("rejected").alias("kind"), n))
+            .unionByName(good.where(J.json_path("value", "$.cveMetadata.cveId").isNotNull()).agg(F.lit("documents").alias("kind"), n)))
+
+
 @query("s05_export_csv")
 def _s05(spark, d):
     """A report exported as CSV with a header and read back by its column names."""

@@ -11,14 +11,15 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import schemas as S
 from ..session import scratch_path
 from ..sources import read_table, to_bronze_columns, with_ingest_metadata, write_table
-from ..sources.documents import _with_scan_options, parse_documents, rejected_documents
+from ..sources.tables import table_schema
+from ..sources.documents import _with_scan_options, empty_files, parse_documents, rejected_documents
 
 
 @dataclass
@@ -53,41 +54,56 @@ def _session_conf(spark: SparkSession, key: str, value: str | None):
 
 
 def ingest_bronze(spark: SparkSession, source_dir: str, layout: Layout, year=None, keys=None, doc_layout="file",
-                  ingested_at=None, source_year=None, open_cost_bytes: int | None = SMALL_FILE_OPEN_COST) -> dict[str, int]:
+                  ingested_at=None, source_year=None, open_cost_bytes: int | None = SMALL_FILE_OPEN_COST,
+                  max_records: int | None = None) -> dict[str, int]:
     """Scan documents, flatten them to text columns, stamp metadata, write bronze (partitioned by source
-    year) and, if configured, the rejected documents. Returns ``{"documents": n, "rejected": n}``.
+    year) and, if configured, the rejected documents. Returns ``{"documents": n, "rejected": n}``. ``max_records`` bounds
+    the good documents, as in ``scan_documents``.
 
-    The source is read once: what the scan finds is staged in the shared folder, and the keys, bronze and the
-    rejected documents come from there.
+    With ``keys`` given, bronze is written straight from the scan, in one pass; rejected documents are noticed on the way and,
+    only where there are any, written from a second scan. Without, the source is read once into a staged table in the
+    shared folder, and the keys, bronze and the rejected documents come from there.
 
     One document per file means many tiny files: Spark charges ``spark.sql.files.openCostInBytes`` (4 MB by
     default) per file when packing splits, which would put only ~32 documents in a task. For the file layout
     the ingest lowers it (``open_cost_bytes``) while its own jobs run, so tasks hold thousands of documents
     (measured 3x faster on 15,000 files).
     """
-    if doc_layout != "file":
-        open_cost_bytes = None
-    with _session_conf(spark, "spark.sql.files.openCostInBytes",
-                       None if open_cost_bytes is None else str(open_cost_bytes)):
+    def save(cols: DataFrame) -> None:
+        stamp = source_year
+        if stamp is None:
+            stamp = year if year is not None else F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
+        # rows of a year go to few tasks, so each writes to few folders; a year of any size is split
+        cols = cols if max_records is None else cols.limit(max_records)
+        bronze = with_ingest_metadata(cols, stamp, ingested_at).hint("rebalance", "_source_year")
+        write_table(bronze, layout.bronze, fmt=layout.fmt, partition_by="_source_year", compression=layout.compression)
+
+    by_file = doc_layout == "file"
+    with _session_conf(spark, "spark.sql.files.openCostInBytes", str(open_cost_bytes) if by_file and open_cost_bytes is not None else None):
         reader = _with_scan_options(spark.read.format("text"), doc_layout, year, None)
         parsed = parse_documents(reader.load(source_dir), doc_layout, keys)
-        if keys is not None:  # good documents are kept as their columns, rejected ones as their text
-            parsed = parsed.withColumn("value", F.when(~F.col("is_document"), F.col("value")))
-        staged_at = scratch_path(spark, "documents")
-        parsed.write.option("compression", "zstd").parquet(staged_at)
-    staged = spark.read.schema(parsed.schema).parquet(staged_at)
-    counts = staged.agg(F.count(F.when(F.col("is_document"), 1)).alias("documents"),
-                        F.count(F.when(~F.col("is_document"), 1)).alias("rejected")).first().asDict()
-    good = staged.filter("is_document")
-    cols = to_bronze_columns(good) if keys is None else good.select(*keys)
-    if source_year is None:
-        source_year = year if year is not None else F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
-    # rows of a year go to few tasks, so each writes to few folders; a year of any size is split
-    bronze = with_ingest_metadata(cols, source_year, ingested_at).hint("rebalance", "_source_year")
-    write_table(bronze, layout.bronze, fmt=layout.fmt, partition_by="_source_year", compression=layout.compression)
-    if layout.rejected:
-        write_table(rejected_documents(staged), layout.rejected, fmt=layout.fmt, compression=layout.compression)
-    return counts
+        if keys is None:
+            staged_at = scratch_path(spark, "documents")
+            parsed.write.option("compression", "zstd").parquet(staged_at)
+            parsed = spark.read.schema(parsed.schema).parquet(staged_at)
+            save(to_bronze_columns(parsed.filter("is_document")))
+            noticed = parsed.where("not is_document").count()
+        else:
+            seen = Observation("ingest")
+            save(parsed.observe(seen, F.count(F.when(~F.col("is_document"), 1)).alias("rejected")).filter("is_document").select(*keys))
+            noticed = seen.get["rejected"]
+        empty = empty_files(spark, source_dir, year) if by_file else None
+        if not layout.rejected:
+            return {"documents": _rows(spark, layout.bronze, layout.fmt), "rejected": noticed + (empty.count() if by_file else 0)}
+        rejected = rejected_documents(parsed if noticed else parsed.limit(0))
+        write_table(rejected.unionByName(empty) if by_file else rejected, layout.rejected, fmt=layout.fmt, compression=layout.compression)
+        # counted in the written tables (their footers): what a pass notices may count a repeated task twice
+        return {"documents": _rows(spark, layout.bronze, layout.fmt), "rejected": _rows(spark, layout.rejected, layout.fmt)}
+
+
+def _rows(spark: SparkSession, target: str, fmt: str) -> int:
+    """A partitioned table without rows has no files, so no schema either."""
+    return 0 if table_schema(spark, target, fmt) is None else read_table(spark, target, fmt).count()
 
 
 def build_silver(spark: SparkSession, layout: Layout, at=None) -> None:

@@ -272,8 +272,16 @@ ORACLES["s04_table_catalog"] = ORACLES["s04_table_roundtrip"]
 _reg("s01_scan_documents_files",
      ", rejected AS (SELECT cve_id FROM core_cves WHERE cve_id LIKE '%00') "
      "SELECT cve_id AS name, TRUE AS good, publication_state AS detail FROM core_cves "
-     "UNION ALL SELECT cve_id || '-cut', FALSE, 'false' FROM rejected "
-     "UNION ALL SELECT cve_id || '-more', FALSE, 'true' FROM rejected")
+     "UNION ALL SELECT cve_id || '-cut', FALSE, 'syntax error' FROM rejected "
+     "UNION ALL SELECT cve_id || '-more', FALSE, 'extra data whole' FROM rejected "
+     "UNION ALL SELECT cve_id || '-empty', FALSE, 'empty file' FROM rejected "
+     "UNION ALL SELECT cve_id || '-list', FALSE, 'not exactly one JSON object: list' FROM rejected")
+_reg("s04_table_merge_schema",
+     "SELECT cve_id, publication_state, CASE WHEN publication_state = 'PUBLISHED' THEN cvss_base_score END AS cvss_base_score, "
+     "CASE WHEN publication_state = 'REJECTED' THEN assigning_org_name END AS assigning_org_name FROM core_cves "
+     "WHERE publication_state IN ('PUBLISHED', 'REJECTED')")
+_reg("s01_scan_limit", "SELECT unnest(['good', 'documents']) AS kind, least(100, count(*)) AS n FROM orders "
+     "UNION ALL SELECT 'rejected', count(*) FROM orders WHERE o_orderpriority = '1-URGENT'", twin=False)
 _reg("s05_export_csv", _band_profile("risk_category", ""))
 _reg("s06_preview",
      "SELECT " + ", ".join(f"substring({c}, 1, 12) AS {c}" for c in (

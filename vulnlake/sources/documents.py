@@ -9,7 +9,10 @@ never holds a document. Small files are packed into tasks by ``spark.sql.files.m
 from __future__ import annotations
 
 import datetime as _dt
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +20,12 @@ from pyspark.sql import types as T
 from ..functions import documents as J
 
 MAX_KEYS = 10_000  # more top-level keys than this are refused (they would be columns), never cut
-NOT_A_DOCUMENT = "not exactly one JSON object"
+EMPTY_FILE = "empty file"
+NOT_A_DOCUMENT = "not exactly one JSON object"  # text that the parser takes, but no object of its own
 
 
 def scan_documents(spark: SparkSession, path: str, year: int | None = None, layout: str = "file",
-                   name_glob: str | None = None, keys=None) -> tuple[DataFrame, DataFrame]:
+                   name_glob: str | None = None, keys=None, max_records: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Read JSON documents below ``path`` recursively; return ``(good, rejected)``.
 
     ``layout="file"``: one document per file, which may span lines; with ``year`` only names matching
@@ -30,11 +34,25 @@ def scan_documents(spark: SparkSession, path: str, year: int | None = None, layo
 
     ``good`` has ``value`` (document text) and ``source_file``; with ``keys`` its rows come back already
     flattened to those top-level keys (as ``to_bronze_columns`` would), from the parse that checks the
-    document. ``rejected`` has ``source_file``, ``value`` (the whole text) and ``error_text``. Spark's file
-    sources skip files of zero bytes: those are in neither.
+    document. ``max_records`` keeps that many good documents at most, whichever come first; rejected ones do not
+    count towards it. ``rejected`` has ``source_file``, ``value`` (the whole text) and ``error_text`` (what the parser says).
+    Files of zero bytes, which Spark's text source skips, are among the rejected (from a listing, unread).
     """
     reader = _with_scan_options(spark.read.format("text"), layout, year, name_glob)
-    return split_documents(reader.load(path), layout, keys)
+    good, rejected = split_documents(reader.load(path), layout, keys)
+    if layout == "file":
+        rejected = rejected.unionByName(empty_files(spark, path, year, name_glob))
+    return good if max_records is None else good.limit(max_records), rejected
+
+
+def empty_files(spark: SparkSession, path: str, year: int | None = None, name_glob: str | None = None) -> DataFrame:
+    """The files of zero bytes below ``path``, as rejected documents: those that are listed but come in no scan, which
+    passes over empty files. No content is read; the listing is the one that the driver holds for any scan of files."""
+    listed = _with_scan_options(spark.read.format("binaryFile"), "file", year, name_glob).load(path)
+    names = pa.table({"source_file": pa.array(listed.inputFiles(), pa.string())})
+    scanned = listed.select(F.input_file_name().alias("source_file"))
+    return spark.createDataFrame(names).join(scanned, "source_file", "left_anti").select(
+        "source_file", F.lit("").alias("value"), F.lit(EMPTY_FILE).alias("error_text"))
 
 
 def _with_scan_options(reader, layout: str, year: int | None, name_glob: str | None):
@@ -46,9 +64,7 @@ def _with_scan_options(reader, layout: str, year: int | None, name_glob: str | N
     reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if layout == "file":
-        reader = reader.option("wholetext", "true")
-    return reader
+    return reader.option("wholetext", "true") if layout == "file" else reader
 
 
 def parse_documents(text: DataFrame, layout: str = "file", keys=None) -> DataFrame:
@@ -80,7 +96,23 @@ def split_documents(text: DataFrame, layout: str = "file", keys=None) -> tuple[D
 
 
 def rejected_documents(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("not is_document").select("source_file", "value", F.lit(NOT_A_DOCUMENT).alias("error_text"))
+    """The rows that are no documents: ``source_file``, ``value`` and ``error_text``, what a JSON parser says of the text."""
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([parse_error(t) for t in b.column(1).to_pylist()], pa.string())],
+                                             ["source_file", "value", "error_text"])
+
+    bad = parsed.filter("not is_document").select("source_file", "value")
+    return bad.mapInArrow(explain, "source_file string, value string, error_text string")
+
+
+def parse_error(text: str | None) -> str:
+    """Why a rejected text is no document."""
+    try:
+        found = json.loads(text or "")
+    except (ValueError, RecursionError) as e:
+        return str(e)
+    return NOT_A_DOCUMENT if isinstance(found, dict) else f"{NOT_A_DOCUMENT}: {type(found).__name__}"
 
 
 def discover_keys(docs: DataFrame, value_col: str = "value", max_keys: int = MAX_KEYS) -> list[str]:

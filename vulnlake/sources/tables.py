@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MERGING = ("parquet", "orc")  # formats that read files of several schemas as one
 
 
 def _is_path(target: str) -> bool:
@@ -15,12 +19,19 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "o
                 sort_by=None, max_records_per_file: int | None = None, compression: str | None = None) -> None:
     """Write ``df`` to a managed table (``db.name``) or a storage path; rerunnable with ``mode="overwrite"``.
 
-    ``schema="replace"`` lets the table change shape on overwrite (what parquet overwrite already does);
-    ``schema="merge"`` asks a format that supports evolution (delta) to merge columns. ``bucket_by=(n, cols)``
+    ``schema="replace"`` lets the table change shape on overwrite (what parquet overwrite already does).
+    ``schema="merge"`` keeps the columns that the table has and adds those it lacks: with ``mode="overwrite"`` the
+    old columns are there and NULL, with ``mode="append"`` each load has NULL in what it lacks (read a path back with
+    ``read_table(..., merge_schema=True)``). A column whose type differs is refused. Delta merges by itself; of the other
+    formats, parquet and orc can. ``bucket_by=(n, cols)``
     (tables only) co-locates later joins/aggregations on ``cols`` without a shuffle. ``max_records_per_file``
     rolls each task's output over to a new file every N rows (after a sort, each file covers a narrow range).
     ``compression`` picks the file codec (e.g. ``zstd``: about half the size of snappy on JSON-heavy bronze).
     """
+    if schema not in ("replace", "merge"):
+        raise ValueError(f"schema must be 'replace' or 'merge', not {schema!r}")
+    if schema == "merge" and fmt != "delta":
+        df = _merged(df, target, fmt, mode)
     writer = df.write.format(fmt).mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
@@ -46,10 +57,42 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "o
     writer.saveAsTable(target)
 
 
-def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    """Read a table by name or by storage path."""
+def table_schema(spark: SparkSession, target: str, fmt: str = "parquet") -> T.StructType | None:
+    """The columns of a table, of all its loads, or None where there is no table."""
+    try:
+        return read_table(spark, target, fmt, merge_schema=fmt in MERGING).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"):
+            return None
+        raise
+
+
+def _merged(df: DataFrame, target: str, fmt: str, mode: str) -> DataFrame:
+    """``df`` with the columns that the table has and it lacks, in the table's order; a named table that is appended to gets
+    the columns that it lacks."""
+    if fmt not in MERGING:
+        raise ValueError(f"{fmt} tables cannot merge schemas")
+    spark = df.sparkSession
+    have = table_schema(spark, target, fmt)
+    if have is None:
+        return df
+    own = {f.name: f for f in df.schema}
+    differ = [f.name for f in have if f.name in own and own[f.name].dataType != f.dataType]
+    if differ:
+        raise ValueError(f"the table has other types for {', '.join(differ)}")
+    new = [f for f in df.schema if f.name not in have.names]
+    if mode == "append" and new and not _is_path(target):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
+    return df.select(*[F.col(f"`{f.name}`") if f.name in own else F.lit(None).cast(f.dataType).alias(f.name) for f in have],
+                     *[F.col(f"`{f.name}`") for f in new])
+
+
+def read_table(spark: SparkSession, target: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """Read a table by name or by storage path. ``merge_schema``: a path's columns are those of all its files, not of
+    one of them (every file's footer is read)."""
     if _is_path(target):
-        return spark.read.format(fmt).load(target)
+        return spark.read.format(fmt).options(**({"mergeSchema": "true"} if merge_schema else {})).load(target)
     return spark.table(target)
 
 

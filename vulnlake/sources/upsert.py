@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .tables import table_schema
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -24,16 +24,6 @@ def _version(order: Sequence[str]) -> Column:
     return F.struct(*order)
 
 
-def table_schema(spark: SparkSession, path: str):
-    """The schema of the parquet table at ``path``, or None where there is none."""
-    try:
-        return spark.read.parquet(path).schema
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def upsert_table(spark: SparkSession, path: str, changes: DataFrame, key: str, order: Sequence[str], partition_by: str,
                  compression: str = "zstd") -> dict[str, int]:
     """Merge ``changes`` into the table at ``path`` (one row per ``key``, partitioned by ``partition_by``): unknown keys are
