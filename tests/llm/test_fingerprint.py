@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from tests_llm_tools import docs_of, table_rows  # noqa: F401
 from vulnlake.llm import fingerprint as fp
@@ -38,11 +40,94 @@ def test_query_edits_by_the_next_document(spark):
     assert np.mean([a > b for a, b in zip(near, far)]) > 0.95
 
 
+def by_order(rows):
+    """The contract's order, with ties as the docstring says."""
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1] or ""), r[1] or ""))
+
+
+def signed(text):
+    h = xxhash.xxh64(text.encode(), seed=42).intdigest()
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_rows_without_id_and_of_one_id_are_cut(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(fp, "BUCKET_ROWS", 10)
+    rows = [(7, f"one of many {k}") for k in range(100)] + [(None, f"none of many {k}") for k in range(60)] + [(k, f"own {k}") for k in range(-40, 40)]
+    dealt = fp.with_next(docs_of(rows)).where("not tail").withColumn("task", F.spark_partition_id()).collect()
+    assert len(dealt) == len(rows)
+    per_task = Counter(r.task for r in dealt)
+    assert max(per_task.values()) <= 40 and len({r.task for r in dealt if r.doc_id == 7}) >= 3 and len({r.task for r in dealt if r.doc_id is None}) >= 3
+    assert all(len({r.bucket for r in dealt if r.task == t}) == 1 for t in per_task)  # a bucket a partition
+    ordered = by_order(rows)
+    want = Counter((repr(i), hashlib.sha256(e.encode()).hexdigest()) for (i, _), e in zip(ordered, edited_of([t for _, t in ordered])))
+    assert Counter((repr(r.doc_id), r.edited_sha256) for r in fp.neighbours(docs_of(rows)).collect()) == want
+
+
+def test_fingerprints_equal_the_definition(spark, docs_of):
+    """Rarity, points, features, filters and likeness written out, window by window."""
+    rng = np.random.default_rng(11)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 12, 60)]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 5, 8, 60, 150, 400, 700)]
+    classes = lambda x: [round(-sum(c / 16 * math.log2(c / 16) for c in Counter(x[k:k + 16]).values()) * 256) for k in range(len(x) - 15)]
+    total = np.zeros(fp.CLASSES, np.int64)
+    for t in texts:
+        for c in classes(t.encode()):
+            total[c] += 1
+    order = sorted(range(fp.CLASSES), key=lambda c: (total[c], c))
+    rank = {c: k for k, c in enumerate(order)}
+
+    def window_hash(w, width):
+        m = (1 << 64) - 1
+        a, b = (int.from_bytes(w.ljust(16, b"\0")[k:k + 8], "little") for k in (0, 8))
+        h = (a * 0x9E3779B97F4A7C15 + width) & m
+        h ^= h >> 29
+        h = ((h + b) * 0xBF58476D1CE4E5B9) & m
+        h ^= h >> 32
+        h = (h * 0x94D049BB133111EB) & m
+        return h ^ (h >> 31)
+
+    def features(x):
+        if len(x) < 512:
+            width = 16 if len(x) >= 64 else 4
+            x = x.ljust(width, b"\0") if x else x
+            return list(dict.fromkeys(window_hash(x[k:k + width], width) for k in range(len(x) - width + 1))) if x else []
+        rare = [rank[c] for c in classes(x)]
+        points = Counter(min(range(k, k + 32), key=lambda j: (rare[j], j)) for k in range(len(rare) - 31))
+        return list(dict.fromkeys(window_hash(x[k:k + 16], 16) for k in range(len(rare)) if points[k] >= 12))
+
+    def chain(found):
+        return [{(h >> 11 * k) & 2047 for h in found[a:a + 160] for k in range(5)} for a in range(0, len(found), 160)]
+
+    def like(p, q):
+        if p == q:
+            return 1.0
+        if not p or not q:
+            return 0.0
+        p, q = sorted((p, q), key=lambda f: (len(chain(f)), len(f)))
+        scored = []
+        for k, f in enumerate(chain(p)):
+            best = 0.0
+            for g in chain(q):
+                chance, most = len(f) * len(g) / 2048, min(len(f), len(g))
+                best = max(best, min(1.0, max(0.0, (len(f & g) - chance) / max(most - chance, 1e-9))))
+            scored.append((best, min(160, len(p) - 160 * k)))
+        return sum(b * w for b, w in scored) / sum(w for _, w in scored)
+
+    got = {r.doc_id: r for r in fp.neighbours(docs_of(list(enumerate(texts)))).collect()}
+    turned = texts[::-1]
+    for i, (t, e, n) in zip(range(len(texts))[::-1], zip(turned, edited_of(turned), turned[1:] + turned[:1])):
+        own, edited, following = (features(x.encode()) for x in (t, e, n))
+        for text, found in ((got[i].fingerprint, own), (got[i].edited_fingerprint, edited)):
+            count, bits = fp.decode(text)
+            assert count == len(found) and [set(np.flatnonzero(b).tolist()) for b in bits] == chain(found)
+        assert got[i].near_edited == pytest.approx(like(own, edited), abs=1e-5) and got[i].near_next == pytest.approx(like(own, following), abs=1e-5)
+
+
 def test_many_buckets_nulls_ties_and_one_row(spark, docs_of, monkeypatch):
     monkeypatch.setattr(fp, "BUCKET_ROWS", 3)
     rows = [(k * 3 - 20, f"text number {k} " * (k % 7)) for k in range(40)]
     rows += [(7, None), (8, ""), (8, "tie b"), (8, "tie a"), (None, "no id"), (None, "no id too"), (1000, "z" * 2_000)]
-    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    ordered = by_order(rows)
     edited = edited_of([t or "" for _, t in ordered])
     want = sorted((repr(i), len(t or ""), hashlib.sha256(e.encode()).hexdigest()) for (i, t), e in zip(ordered, edited))
     got = fp.neighbours(docs_of(rows)).collect()

@@ -13,7 +13,8 @@ under ``BROADCAST_TERMS`` (checked), and joined by a shuffle beyond that.
 
 Defined cases: null text has no words and is never contaminated; an item without words gives no window; an item
 without an id counts as ``null``; repeated rows keep one result row each, repeated items count once per id; with
-an empty benchmark nothing is contaminated; extra columns are ignored.
+an empty benchmark nothing is contaminated; texts of any length are compared whole; an empty table gives an empty result; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,17 +9,20 @@ filters of 2048 bits, five bits a feature and 160 features a filter. The likenes
 bit overlap, normalised between what chance gives and the most possible, of each filter of the shorter chain
 with its best partner, weighted by features.
 
-Documents are dealt to buckets of neighbouring ids, so the next document in id order is the next row of a
-sorted stream; only the first document of each bucket is sent twice.
+Documents are dealt to buckets of neighbouring ids, each a partition of its own, so the next document in id order is the next
+row of a sorted stream; only the first document of each bucket is sent twice. Rows that share an id, or have none,
+are cut into buckets by a hash of their text where they are many.
 
 Defined cases: null text is the empty text; the empty text has the empty fingerprint, unlike every other and
-equal to itself; rows with the same id follow each other in text order, rows without an id come last; a single
-row is its own next document; repeated rows keep one result row each; extra columns are ignored.
+equal to itself; rows with the same id follow each other by a hash of their text, then by text, rows without an id come
+last, in that order as well; a single row is its own next document; repeated rows keep one result row each; texts of any length
+are read whole; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -214,46 +217,70 @@ def fingerprints(docs: DataFrame, rarity: np.ndarray | None = None) -> DataFrame
     return map_batches(docs.select("doc_id", text_or_empty().cast("binary").alias("text")), run, "doc_id bigint, fingerprint string")
 
 
+class Buckets:
+    """Buckets of neighbouring documents by descending id, then ascending hash of the text; rows without an id come last.
+
+    ``cuts``: ids at equal distances of rank. One that occurs ``m`` times among them has about as many buckets' worth of rows:
+    it gets ``m`` buckets of its own, by hash. Rows without an id get ``nulls`` buckets.
+    """
+
+    def __init__(self, cuts: list[int], nulls: int):
+        times = Counter(cuts)
+        self.ends = np.array(sorted(times), np.int64)
+        self.parts = np.array([times[c] if times[c] > 1 else 0 for c in self.ends.tolist()], np.int64)  # buckets of that id alone
+        widths = np.concatenate([[1], self.parts[::-1] + 1])  # by descending id, first the ids above the last cut
+        self.offset = np.cumsum(widths) - widths
+        self.first_null, self.nulls = int(widths.sum()), max(1, nulls)
+        self.count = self.first_null + self.nulls
+
+    def of(self, ids: pd.Series, hashes: pd.Series) -> np.ndarray:
+        missing = ids.isna().to_numpy(bool)
+        i, h = ids.fillna(0).to_numpy(np.int64), (hashes.to_numpy(np.int64) >> 32) + (1 << 31)
+        at = np.searchsorted(self.ends, i, "left")  # the cut at or above the id
+        out = self.offset[len(self.ends) - at]
+        if len(self.ends):
+            cut = np.minimum(at, len(self.ends) - 1)
+            parts = np.where(at < len(self.ends), self.parts[cut], 0)
+            out = out + np.where((parts > 0) & (self.ends[cut] == i), (h * parts) >> 32, parts)
+        return np.where(missing, self.first_null + ((h * self.nulls) >> 32), out)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows ``(bucket, tail, doc_id, text)`` partitioned by bucket and sorted so that the row after each is the
     next document in descending id order; a bucket ends with the first row (``tail``) of the bucket after it."""
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
-    n = rows.count()
-    buckets = max(1, min(MOST_BUCKETS, n // BUCKET_ROWS))
+    rows = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("hash"))
+    total = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("named")).first()
+    wanted = max(1, min(MOST_BUCKETS, total["named"] // BUCKET_ROWS))
     cuts: list[int] = []
-    if buckets > 1:
-        probs = [k / buckets for k in range(1, buckets)]
-        cuts = sorted(set(rows.select(F.percentile_approx("doc_id", probs, max(10_000, 10 * buckets)).alias("q")).first()["q"] or []))
-    ends = np.array(cuts, np.int64)
-
-    def bucket(ids: pd.Series) -> np.ndarray:
-        # descending ids: bucket 0 holds the ids above the last cut; rows without an id have a bucket of their own
-        b = len(ends) - np.searchsorted(ends, ids.fillna(0).to_numpy(np.int64), "left")
-        return np.where(ids.isna(), len(ends) + 1, b)
+    if wanted > 1:
+        probs = [k / wanted for k in range(1, wanted)]
+        cuts = docs.select(F.percentile_approx("doc_id", probs, max(10_000, 10 * wanted)).alias("q")).first()["q"] or []
+    buckets = Buckets(cuts, min(MOST_BUCKETS, (total["n"] - total["named"]) // BUCKET_ROWS))
 
     @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(bucket(ids.astype("Int64")))
+    def bucket_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(buckets.of(ids.astype("Int64"), hashes))
 
-    heads = (rows.select("doc_id", bucket_of("doc_id").alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("first"))
-             .orderBy("bucket").collect())  # one row per bucket
+    # the first row of every bucket: the largest id, then the smallest hash
+    placed = rows.select("doc_id", "hash", bucket_of("doc_id", "hash").alias("bucket"))
+    heads = placed.groupBy("bucket").agg(F.min(F.struct((-F.col("doc_id")).alias("i"), "hash")).alias("h")).orderBy("bucket").collect()  # one row per bucket
     at = [h["bucket"] for h in heads]
     previous = {b: at[k - 1] for k, b in enumerate(at)}
-    first_of = {h["bucket"]: h["first"] for h in heads}
+    first_of = {h["bucket"]: (None if h["h"]["i"] is None else -h["h"]["i"], h["h"]["hash"]) for h in heads}
 
     @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
+    def places(ids: pd.Series, hashes: pd.Series) -> pd.Series:
         ids = ids.astype("Int64")
         out = []
-        for i, b in zip(ids, bucket(ids)):
+        for i, h, b in zip(ids, hashes, buckets.of(ids, hashes).tolist()):
             i = None if pd.isna(i) else int(i)
-            out.append([2 * b] + ([2 * previous[b] + 1] if first_of[b] == i else []))
+            out.append([2 * b] + ([2 * previous[b] + 1] if first_of[b] == (i, h) else []))
         return pd.Series(out)
 
-    placed = rows.select("doc_id", "text", F.explode(places("doc_id")).alias("place")).select(
-        F.expr("place div 2").alias("bucket"), (F.col("place") % 2 == 1).alias("tail"), "doc_id", "text")
-    return (placed.repartition(max(len(at), 1), "bucket")
-            .sortWithinPartitions("bucket", "tail", F.col("doc_id").desc_nulls_last(), "text"))
+    placed = rows.select("doc_id", "text", "hash", F.explode(places("doc_id", "hash")).alias("place")).select(
+        F.expr("place div 2").alias("bucket"), (F.col("place") % 2 == 1).alias("tail"), "doc_id", "text", "hash")
+    return (placed.repartitionById(buckets.count, F.col("bucket").cast("int"))
+            .sortWithinPartitions("bucket", "tail", F.col("doc_id").desc_nulls_last(), "hash", "text").drop("hash"))
 
 
 def neighbours(docs: DataFrame, rarity: np.ndarray | None = None) -> DataFrame:

@@ -17,7 +17,8 @@ all nodes is spread over tasks and adaptive execution can split it.
 
 Defined cases: null and empty texts have an empty set and stand alone; fewer words than a shingle are one
 shingle; rows that share an id are one document (their texts' links are shared); a row without an id stands
-alone, with a null component, and is kept; extra columns are ignored.
+alone, with a null component, and is kept; texts of any length give their whole set (sampled in pieces, held once per task); an
+empty table gives an empty result; other columns are ignored (by ``keep_one_each``: kept), whatever their names.
 """
 
 from __future__ import annotations
