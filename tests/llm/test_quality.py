@@ -77,3 +77,68 @@ def test_rejected_documents_go(spark, docs_of):
     assert out.columns == docs.columns
     ids = {r.doc_id for r in out.collect()}
     assert {k for k in range(60) if k % 2 == 0} | {None} <= ids and not ids & {k for k in range(60) if k % 2}
+
+
+def brute_fit(x, y, trees, depth, rate, bins, least, ridge):
+    """Newton boosting written out: every feature and edge of every node by plain sums."""
+    base = np.log(y.mean() / (1 - y.mean()))
+    edges = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1]).tolist())) for j in range(x.shape[1])]
+    raw, out = [base] * len(y), []
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-r)) for r in raw]
+        g, h = [a - b for a, b in zip(y, p)], [max(b * (1 - b), 1e-6) for b in p]
+
+        def grow(rows, level):
+            if level == depth:
+                return rate * sum(g[i] for i in rows) / (sum(h[i] for i in rows) + ridge)
+            score = lambda part: sum(g[i] for i in part) ** 2 / (sum(h[i] for i in part) + ridge)
+            best = (0.0, None, None)
+            for j, cuts in enumerate(edges):
+                for cut in cuts:
+                    left, right = [i for i in rows if x[i, j] <= cut], [i for i in rows if x[i, j] > cut]
+                    if min(sum(h[i] for i in left), sum(h[i] for i in right)) < least / 4:
+                        continue
+                    gain = score(left) + score(right) - score(rows)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, j, cut)
+            if best[1] is None:
+                return ("all", grow(rows, level + 1))
+            return (best[1], best[2], grow([i for i in rows if x[i, best[1]] <= best[2]], level + 1),
+                    grow([i for i in rows if x[i, best[1]] > best[2]], level + 1))
+
+        def walk(node, i):
+            while isinstance(node, tuple):
+                node = node[1] if node[0] == "all" else node[2] if x[i, node[0]] <= node[1] else node[3]
+            return node
+
+        tree = grow(list(range(len(y))), 0)
+        out.append(lambda i, tree=tree: walk(tree, i))
+        raw = [r + walk(tree, i) for i, r in enumerate(raw)]
+    return raw
+
+
+def test_fit_equals_boosting_written_out():
+    rng = np.random.default_rng(5)
+    for seed in range(4):
+        x = rng.normal(size=(90, 3)).round(2)
+        y = ((x[:, 0] > 0.1) ^ (x[:, 1] * seed > 0.3)).astype(float)
+        y[:9] = 1 - y[:9]
+        options = dict(trees=4, depth=3, rate=0.3, bins=8, least=5.0, ridge=1.0)
+        assert np.abs(q.fit(x, y, **options).raw(x) - brute_fit(x, y, **options)).max() < 1e-9
+
+
+def test_a_repeated_id_does_not_fill_the_sample(spark, docs_of):
+    """One id a thousand times over: its equal rows count once, its different ones are sampled like all others."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    stats = q.document_statistics(docs_of([(ids[0], "the same text")] * 1000 + [(i, f"text {i} " * i) for i in ids[1:]]))
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, quality int")
+    seen = []
+    original = q.fit
+    try:
+        q.fit = lambda x, y, **o: (seen.append(len(y)), original(x, y, **o))[1]
+        q.fit_on_labels(stats, labels)
+        many = q.document_statistics(docs_of([(ids[0], f"version {k} " * (k % 50 + 1)) for k in range(3000)]))
+        q.fit_on_labels(many, labels, rows=100)
+    finally:
+        q.fit = original
+    assert seen[0] == len(ids) and seen[1] <= 200
