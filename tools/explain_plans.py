@@ -15,6 +15,8 @@ import tempfile
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from vulnlake import operators as op  # noqa: E402
 from vulnlake.plans import bindings as B  # noqa: E402
 from vulnlake.plans.medallion import Layout, build_silver, gold_reports, ingest_bronze, silver_tables  # noqa: E402
@@ -32,6 +34,14 @@ NOTES = {
     "kpi_summary (G9.1)": "one aggregate per table, stacked and collapsed: two scans, no join.",
     "recent_activity (G7.2)": "constant date bound pushed into the parquet scan.",
     "top_records (G3.4)": "bounded top-k (TakeOrderedAndProject).",
+    "asof_join": "over the dealt table (written before: ranges of key and time): windows by key and slice, the carry is one row per "
+                 "key and slice; no join on the raw key.",
+    "interval_join": "equi-join on key, level and bucket; the comparison of times is a filter behind it.",
+    "sessions": "rows collapse to one per key and gap-wide bucket before the first exchange; windows by key and slice.",
+    "exact_percentiles": "over the dealt histogram: ranks per slice, only slices that hold a wanted rank are searched.",
+    "grouping_sets": "Expand and partial aggregation before the one exchange.",
+    "top_per_group": "WindowGroupLimit on both sides of the exchange.",
+    "snapshot_diff": "one aggregation of row digests over both loads; no join.",
 }
 
 
@@ -65,6 +75,17 @@ def main() -> None:
         "recent_activity (G7.2)": op.recent_activity(core, as_of=B.AS_OF),
         "top_records (G3.4)": op.top_records(core),
     }
+    lines, n = B.shipments(spark, sf_dir), F.count(F.lit(1)).alias("n")
+    frames |= {name: df.agg(n) for name, df in {  # counted, since the plans are shown after one execution
+        "asof_join": op.asof_join(lines, B.score_history(core), "assigning_org_id", "ship_time", "score_time"),
+        "interval_join": op.interval_join(lines, core.select("cve_id", "assigning_org_id", "published_timestamp", "updated_timestamp"), "ship_time",
+                                          "published_timestamp", "updated_timestamp", on="assigning_org_id"),
+        "sessions": op.sessions(core, "assigning_org_id", "published_timestamp", 2 * 86400),
+        "exact_percentiles": op.exact_percentiles(lines, ["assigning_org_id"], "l_quantity", [0.5, 0.99]),
+        "grouping_sets": op.grouping_sets(core, [["data_year", "risk_category"], ["risk_category"], []], F.avg("cvss_base_score").alias("avg")),
+        "top_per_group": op.top_per_group(aff, ["vendor_name"], [F.desc("cve_id"), F.asc("product_name")], 3),
+        "snapshot_diff": op.snapshot_diff(core, core.where("risk_category <> 'LOW'"), "cve_id", ["cvss_base_score"]),
+    }.items()}
     summary = ["| report | shuffles (hash) | joins | top-k | single-partition window | pushed filters |",
                "| --- | --- | --- | --- | --- | --- |"]
     for name, make in gold_reports(core, aff, as_of=B.AS_OF).items():

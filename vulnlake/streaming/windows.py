@@ -37,7 +37,9 @@ def start_window_counts(counts: DataFrame, path: str, checkpoint: str, available
     """Keep the results of a streaming ``tumbling_counts`` up to date under ``path``.
 
     Every batch writes the windows it changed into a folder of its own number and replaces that folder if it runs again after a
-    failure, so a restart from the checkpoint neither loses nor repeats a count. Open windows are there as well.
+    failure, so a restart from the checkpoint neither loses nor repeats a count. Open windows are there as well. A
+    window is in the folders of all batches that changed it, which are at most those of ``delay`` and its own width; write
+    ``read_window_counts`` to a table now and then and remove the folders it covers, if the stream runs for long.
     """
     def save(batch: DataFrame, number: int) -> None:
         batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
