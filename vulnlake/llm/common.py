@@ -39,6 +39,13 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(fn, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows``: what a task makes of one part at a time stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(id, component)``, component = the smallest reachable id.
 

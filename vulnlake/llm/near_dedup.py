@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, map_batches, stored, table, text_or_empty
+from .common import components, map_batches, slices, stored, table, text_or_empty
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 48, 6
@@ -132,9 +132,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` -> ``(doc_id, n, digest, bands, sketch)``; digest names the shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = ShingleSets()
-        for b in batches:
+        seen: dict[bytes, tuple] = {}
+        for b in slices(batches):
             n, digest, bands, sketch = [], [], [], []
-            seen: dict[bytes, tuple] = {}
+            if len(seen) > 10_000:
+                seen.clear()
             for t in b.column(1):
                 s = sets(t.as_py())
                 n.append(len(s))
@@ -158,7 +160,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """``(id, text)`` -> ``(id, n, shingles)``, the set as packed 64-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = ShingleSets()
-        for b in batches:
+        for b in slices(batches):
             got = [sets(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(map(len, got), pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "n", "shingles"])
@@ -252,7 +254,7 @@ def _block_links(still: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
         def batch(pairs) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
-        for b in batches:
+        for b in slices(batches):
             for x in zip(*(b.column(k).to_pylist() for k in range(7))):
                 if x[:3] != current:
                     if held:

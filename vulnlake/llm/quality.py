@@ -167,9 +167,9 @@ def fit_on_labels(stats: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **o
     """Fit on ``labels(doc_id, quality)`` outside the held-out fold, at most about ``rows`` of them."""
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("quality").alias("y")))
-    ids, usable = known.count(), stats.join(known, "doc_id").select("doc_id", "y", "x")
-    n = stats.select("doc_id").join(known.select("doc_id"), "doc_id").count()
-    if n > min(ids, rows):  # where ids repeat, or the sample is cut: equal rows count once
+    usable = stats.join(known, "doc_id").select("doc_id", "y", "x")
+    n, ids = stats.select("doc_id").join(known.select("doc_id"), "doc_id").agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if n > ids:  # some ids repeat: equal rows count once
         usable = stored(usable.dropDuplicates(["doc_id", "x"]), "labelled-statistics")
         n = usable.count()
     if n > rows:

@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, map_batches, scratch_path, table, text_or_empty
+from .common import free_name, map_batches, scratch_path, slices, table, text_or_empty
 
 # The base rules (kind, pattern, group whose length counts, least length), in listed order.
 BASE_RULES = (
@@ -58,7 +58,7 @@ def scan_blobs(blobs: DataFrame, rules=RULES, rule_version: str = RULE_VERSION)
     """``(blob, text)`` -> ledger rows."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in slices(batches):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t, rules)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([rule_version] * b.num_rows, pa.string()), pa.array(spans, kind)], ["blob", "rule_version", "spans"])
