@@ -62,7 +62,7 @@ def _word_hash(word: bytes) -> int:
 class ShingleSets:
     """Sorted distinct shingle hashes of a text; word hashes are cached, the cache is emptied when full."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         self.cache: dict[bytes, int] = {}
         self.most = most
 
