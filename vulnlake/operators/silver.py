@@ -93,9 +93,11 @@ def consolidate_scores(df: DataFrame, json_col: str, path: str = "$.cna.metrics"
 def merge_duplicates(df: DataFrame, keys=MERGE_KEYS, versions=S.CVSS_VERSIONS) -> DataFrame:
     """Collapse rows equal on ``keys`` taking the max of every score part (one exchange; partial
     aggregation map-side, so even a hot key ships at most one row per map task). ``max`` of text has no hash
-    buffer, so both sides of the exchange are sorted aggregations over the keys; they spill when they must."""
+    buffer, so both sides of the exchange are sorted aggregations over the keys; they spill when they must. A hash of
+    the keys is the first of them: it decides nearly every comparison of the sorts, where ids share their beginning."""
     parts = [_part(c, f) for _, c in versions for f in _FIELDS]
-    return df.groupBy(*keys).agg(*[F.max(p).alias(p) for p in parts])
+    hashed = df.withColumn("_keys_hash", F.xxhash64(*keys))
+    return hashed.groupBy("_keys_hash", *keys).agg(*[F.max(p).alias(p) for p in parts]).drop("_keys_hash")
 
 
 # ---- T6-T9 ---------------------------------------------------------------------------------------
