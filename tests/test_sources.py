@@ -185,3 +185,32 @@ def test_year_from_a_malformed_id_is_null_not_an_error(spark):
     year = F.substring(F.get_json_object("cveMetadata", "$.cveId"), 5, 4)
     got = sorted((r._source_year for r in with_ingest_metadata(cols, year).collect()), key=str)
     assert got == [2023, None]
+
+
+def test_trees_are_listed_by_tasks_and_named_as_spark_names_them(spark, tmp_dir):
+    """The driver's listing holds what was staged, not the documents; names, texts and hidden files are as Spark's reader has them."""
+    from vulnlake.sources.documents import list_files
+
+    names = ["a b/é%20/CVE-2024-1 x%41#[1].json", "_hidden/CVE-2024-2.json", ".x/CVE-2024-3.json", "_k=1/CVE-2024-4.json", "CVE-2024-5.json",
+             "d/e/f/CVE-2023-6.json", "d/CVE-2024-7.json._COPYING_", "d/CVE-2024-8.JSON", "d/_CVE-2024-9.json", "d/empty/CVE-2024-10.json", "d/x.json"]
+    for k, name in enumerate(names):
+        _write(f"{tmp_dir}/{name}", "" if "empty" in name else indented(doc(cve=f"CVE-2024-{k}")) + " " * k)
+    listing = list_files(spark, tmp_dir)
+    for year in (2024, 2023, None):
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*CVE-{year}-*.json" if year else "*.json")
+        want = {tuple(r) for r in reader.text(tmp_dir, wholetext=True).select("_metadata.file_path", "value").collect()}
+        empty = {f for f in reader.format("binaryFile").load(tmp_dir).inputFiles() if "/empty/" in f}
+        for listed in (None, listing):
+            good, rejected = scan_documents(spark, tmp_dir, year=year, listing=listed)
+            assert {(r.source_file, r.value) for r in good.collect()} == want != set()
+            assert {r.source_file for r in rejected.collect()} == empty
+            assert not any(tmp_dir in f for f in good.unionByName(rejected.select(*good.columns)).inputFiles())
+
+
+def test_what_tasks_cannot_list_is_read_by_spark(spark, tmp_dir):
+    from vulnlake.sources.documents import list_files
+
+    make_tree(tmp_dir)
+    assert list_files(spark, f"{tmp_dir}/2024/*") is None and list_files(spark, f"{tmp_dir}/2024/0xxx/CVE-2024-0001.json") is None
+    assert scan_documents(spark, f"{tmp_dir}/2024/*")[0].count() == 4
+    assert scan_documents(spark, tmp_dir, name_glob="CVE-{2023,2024}-000[14].json")[0].count() == 2
