@@ -2,13 +2,14 @@ from __future__ import annotations
 
 
 import corpus_pipeline as cp
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_decontaminate import brute_force as contaminated_rows
 from test_near_dedup import brute_force as near_rows
 from test_packing import check as check_packing
 from tests_llm_tools import docs_of, table_rows  # noqa: F401
 from tokenizers import Tokenizer
-from vulnlake.llm.common import stored, table
+from vulnlake.llm.common import BATCH_ROWS, stored, table
 from vulnlake.llm.packing import default_tokenizer
 from vulnlake.llm.quality import classify
 from vulnlake.llm.secret_ledger import find_secrets
@@ -68,3 +69,23 @@ def test_stages_take_nulls_copies_and_nothing(spark, docs_of):
             assert all(r[c] == f"clash {c}" for r in df.collect() for c in clashing)
         assert cp.STAGES[-1][1](spark, df, SF).count() >= df.count()
     assert len(cp.STAGES) == 5
+
+
+def test_stages_hand_rows_to_python_in_small_batches(spark):
+    """Whole texts and shingle sets wait outside the heap, a batch at a time, on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given, docs = spark.conf.get(key), table(spark, SF, "documents")
+    rows = spark.range(0, 3000, 1, 1)
+
+    def sizes():
+        seen = rows.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n bigint").collect()
+        return max(r.n for r in seen), sum(r.n for r in seen)
+
+    try:
+        for _, stage in cp.STAGES:
+            for value, most in (("10000", BATCH_ROWS), ("0", BATCH_ROWS), ("100", 100)):
+                spark.conf.set(key, value)
+                stage(spark, docs.limit(3), SF)
+                assert sizes() == (most, 3000)
+    finally:
+        spark.conf.set(key, given)

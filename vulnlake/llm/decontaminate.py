@@ -40,7 +40,7 @@ def stored_words(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` -> stored ``(row, doc_id, text_hash, n_words, words)``."""
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of("text").alias("words"))
     return stored(words.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash",
-                               F.size("words").cast("bigint").alias("n_words"), "words"), "words")
+                               F.size("words").cast("bigint").alias("n_words"), "words"), "words", "zstd")
 
 
 def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -207,7 +207,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, **option
         return pd.Series([np.array(statistics(t), np.float32) for t in texts])
 
     name = free_name(docs, "statistics")
-    measured = stored(docs.withColumn(name, measure(text_or_empty())), "measured-documents")
+    measured = stored(docs.withColumn(name, measure(text_or_empty())), "measured-documents", "zstd")
     model = docs.sparkSession.sparkContext.broadcast(
         fit_on_labels(measured.select("doc_id", F.col(name).alias("x")), labels, rows, **options))
 
