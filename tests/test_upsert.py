@@ -95,3 +95,27 @@ def test_latest_per_key_ships_one_row_of_a_hot_key_per_task(spark):
     out = latest_per_key(df, "cve_id", ["updated"])
     assert [r.updated for r in out.collect()] == [3999]
     assert "partial_max" in out._jdf.queryExecution().toString()
+
+
+def test_query_computes_its_records_once(spark, monkeypatch):
+    """The first load and both repeats read stored records; what makes them runs once."""
+    from vulnlake.plans import catalog
+
+    sf, made = "/root/testdata/sf0.001", spark.sparkContext.accumulator(0)
+    core = catalog.B.core_twin(spark, sf)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(catalog, "_core", lambda spark, d: core.mapInArrow(counted, core.schema))
+    rows = catalog.QUERIES["u1_upsert_core"](spark, sf).count()
+    assert rows == made.value == core.count()
+
+
+def test_latest_rows_are_sorted_by_a_hash_of_the_key_first(spark):
+    df = load(spark, [("CVE-2020-1", 2020, 1, "a"), ("CVE-2020-1", 2020, 2, "b"), (None, 2020, 1, "c")])
+    best = latest_per_key(df, "cve_id", ["updated"])
+    assert best.columns == df.columns and rows_of(best.where("cve_id is not null")) == [("CVE-2020-1", 2020, 2, "b")] and best.count() == 2
+    assert "Sort [_groupingexpression" in best._jdf.queryExecution().executedPlan().toString()
