@@ -99,6 +99,32 @@ def test_texts_rich_in_odd_letters(caches, texts):
     assert ids_of(cache, texts) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_white_space_at_the_ends_empty_texts_and_bytes_that_are_no_text(caches):
+    cache, whole = caches
+    texts = [" a  b\x0b", "", "\t", "\x00 \x1c. <", "x" * 70 + ". " + "é" * 70 + "?", " ", "Δ.", "a"]
+    assert ids_of(cache, texts) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids_of(cache, ["", " "]) == [[], []] and cache.encode([]) == []
+    assert all(len(p) <= 64 for p in cache.cache)
+    odd = b"a\xff. \xc3 b\xe4\xb8."
+    assert np.frombuffer(cache.encode([odd])[0], "<u4").tolist() == whole.encode(odd.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
+def test_words_of_a_text_are_no_objects(caches):
+    """The cost of a gigabyte: a text's words are split, looked up and put in place as arrays."""
+    import tracemalloc
+
+    cache, whole = caches
+    text = "".join(f"Word{k % 900}, " for k in range(400_000))
+    want = whole.encode(text, add_special_tokens=False).ids
+    cache.encode([text.encode()])
+    tracemalloc.start()
+    got = cache.encode([text.encode()])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.frombuffer(got, "<u4").tolist() == want
+    assert peak < len(text) + 3 * len(got) + 400_000 * 20
+
+
 def test_other_tokenizers_get_whole_texts():
     import public_tokenizers
 

@@ -1,6 +1,6 @@
 """Best-fit packing of token sequences by bin completion.
 
-1. Each task tokenizes its documents (a bounded word cache in front of the tokenizer), cuts documents longer
+1. Each task tokenizes its documents (a bounded cache of words in front of the tokenizer), cuts documents longer
    than a sequence into pieces, and numbers the pieces of each length within the task. The pieces are stored.
 2. Packing only needs to know how many pieces there are of each length: at most ``capacity`` counts, whatever
    the corpus size. Bin completion runs over these counts: take the largest length left, enumerate undominated
@@ -19,7 +19,6 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
 import os
 import zlib
@@ -28,16 +27,20 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored, table, text_or_empty
+from .common import as_words, distinct_words, groups, map_batches, stored, table, text_or_empty
 
 CAPACITY = 2048
-CACHE_WORDS = 700_000  # entries of each of a worker's two caches; one that grows beyond this is emptied
-CACHED_WORD = 64  # longer words are not cached
+CACHE_PARTS = 1_200_000  # entries of a worker's cache; one that grows beyond this is emptied
+GROUP = 4 << 20  # bytes of texts encoded together
+PLACES = 1 << 16  # runs of ids put in place at once
+CACHED_PART = 64  # longer parts of words are not cached
 TAIL = b".,!?;:*#$%&|"
+ALNUM = np.array([bytes([b]).isalnum() for b in range(256)])  # ASCII letters and digits
 # How the tokenizers that ``WordCache`` takes apart normalise and split, as their files say.
 KIND = (
     {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -60,13 +63,13 @@ class WordCache:
     A tokenizer of ``KIND`` normalises, then splits at white space and between letters or digits and punctuation before it
     merges; so a text's ids are those of its words in turn (cut at ASCII white space only), and a word's are
     those of its lower-case core and of the punctuation behind it, if the normalised core ends in a letter or
-    digit. Words and cores are looked up; each unseen core is encoded once, many to a call. A tokenizer of another kind
-    is given whole texts.
+    digit. Texts are cut into words and words into these parts by Arrow, many texts to a call; distinct parts are looked
+    up, and each unseen part is encoded once, many to a call. A tokenizer of another kind is given whole texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -74,30 +77,35 @@ class WordCache:
         self.by_word = (parts.get("normalizer"), parts.get("pre_tokenizer"), parts["model"].get("end_of_word_suffix")) == KIND and not any(
             t.lstrip or t.rstrip or t.single_word or t.normalized or b"<" not in t.content.encode() or t.content.split() != [t.content]
             for t in self.tokenizer.get_added_tokens_decoder().values())
+        # words of a-z are what normalising and splitting leave as they are: the same merges without these two
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)  # ids that end a word
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _encode(self, parts: list[bytes]) -> None:
-        """Put the ids of ``parts`` into the core cache."""
-        cores = self.cores
-        plain = [w for w in parts if w.isalpha()]
-        other = []
+        self.cache: dict[bytes, bytes] = {}
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Put the ids of ``parts`` into the cache."""
+        cache, plain, letters, other = self.cache, [], [], []
         for w in parts:
-            if not w.isalpha():
-                (plain if not w.isascii() and w.decode("utf-8", "replace").isalpha() else other).append(w)
-        for i in range(0, len(plain), 2048):  # letters only: one word to the tokenizer, and one closing id
-            chunk = plain[i:i + 2048]
-            text = b" ".join(chunk).decode("utf-8", "replace")
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            data, cut = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(cut) != len(chunk) or cut[-1] != len(data):
-                other.extend(chunk)
-                continue
-            cores.update(zip(chunk, map(data.__getitem__, map(slice, [0, *cut], cut))))
+            if w.isalpha() and w.islower():
+                plain.append(w)
+            elif w.isalpha() or (not w.isascii() and w.decode("utf-8", "replace").isalpha()):
+                letters.append(w)
+            else:
+                other.append(w)
+        for tokenizer, words in ((self.merges, plain), (self.tokenizer, letters)):  # letters only: one word to the tokenizer, and one closing id
+            for i in range(0, len(words), 2048):
+                chunk = words[i:i + 2048]
+                text = b" ".join(chunk).decode("utf-8", "replace")
+                ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                data, cut = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+                if len(cut) != len(chunk) or cut[-1] != len(data):
+                    other.extend(chunk)
+                    continue
+                cache.update(zip(chunk, map(data.__getitem__, map(slice, [0, *cut], cut))))
         for w in other:
-            cores[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+            cache[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _ends_in_letter(self, core: bytes) -> bool:
         """Whether the normalised core ends in a letter: what normalising leaves last may be a mark, which would stay
@@ -105,45 +113,63 @@ class WordCache:
         t = core.decode("utf-8", "replace")
         return t[-1].isalpha() and self.tokenizer.normalizer.normalize_str(t)[-1:].isalpha()
 
-    def _learn(self, unseen: set[bytes]) -> None:
-        """Put the ids of ``unseen`` words into the word cache."""
-        cores = self.cores
-        if len(cores) > CACHE_WORDS:
-            cores.clear()
+    def _parts(self, words: pa.Array) -> pa.Array:
+        """Two parts of every word in turn, the lower-case core and the punctuation behind it; or the word and nothing."""
+        strings = words.view(pa.large_string())
+        special = pc.match_substring(strings, "<").to_numpy(zero_copy_only=False)  # maybe a special token
         # ASCII words may be lower-cased here; in others normalising comes first: a small letter may take a mark that the large one leaves
-        known = [w for w in unseen if w.isascii() and b"<" not in w]
-        parts = [(c, w[len(c):]) if len(c) != len(w) and c[-1:].isalnum() else (w, b"")
-                 for w in b" ".join(known).lower().split(b" ") for c in (w.rstrip(TAIL),)] if known else []
-        if len(known) != len(unseen):
-            for w in unseen:
-                if b"<" in w:  # maybe a special token
-                    known.append(w)
-                    parts.append((w, b""))
-                elif not w.isascii():
-                    known.append(w)
-                    c = w.rstrip(TAIL)
-                    apart = len(c) != len(w) and c and (self._ends_in_letter(c) if c[-1] >= 128 else c[-1:].isalnum())
-                    parts.append((c, w[len(c):]) if apart else (w, b""))
-        wanted = set(itertools.chain.from_iterable(parts)).difference(cores)
-        wanted.discard(b"")
-        self._encode(list(wanted))
-        self.words.update(zip(known, [cores[c] + cores[t] if t else cores[c] for c, t in parts]))
-        for w in [x for x in wanted if len(x) > CACHED_WORD]:
-            del cores[w]
+        fixed = special | ~pc.string_is_ascii(strings).to_numpy(zero_copy_only=False)
+        begin = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[begin[0]:begin[-1]]
+        begin = begin - begin[0]
+        size = np.diff(begin)
+        large = (data >= ord("A")) & (data <= ord("Z")) & ~np.repeat(fixed, size)
+        data = np.where(large, data + 32, data)
+        core = pc.binary_length(pc.ascii_rtrim(strings, TAIL.decode())).to_numpy(zero_copy_only=False)
+        apart = np.flatnonzero((core > 0) & (core < size) & ~special)
+        last = data[begin[apart] + core[apart] - 1]
+        ends = ALNUM[last]
+        for k in np.flatnonzero(last >= 128).tolist():
+            at = begin[apart[k]]
+            ends[k] = self._ends_in_letter(data[at:at + core[apart[k]]].tobytes())
+        cut = begin[1:].copy()
+        cut[apart[ends]] = (begin[:-1] + core)[apart[ends]]
+        edges = np.append(np.column_stack([begin[:-1], cut]).ravel(), begin[-1:])
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * len(words), [None, pa.py_buffer(edges), pa.py_buffer(data)])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return [np.array(self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-        split = [t.split() for t in texts]
-        every = set().union(*split)
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        self._learn(every.difference(self.words))
-        get = self.words.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        for w in [x for x in every if len(x) > CACHED_WORD]:
-            del self.words[w]
-        return out
+        words, places, begin = distinct_words(pa.array(texts, pa.large_binary()))
+        if not len(places):
+            return [b""] * len(texts)
+        coded = self._parts(words).dictionary_encode()
+        parts, cache = as_words(coded.dictionary), self.cache
+        if len(cache) > CACHE_PARTS:
+            cache.clear()
+        self._learn([p for p in parts if p not in cache])
+        found = list(map(cache.__getitem__, parts))
+        for p in [p for p in parts if len(p) > CACHED_PART]:
+            del cache[p]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(spread(np.frombuffer(b"".join(found), "<u4"), size, which)), "<u4")  # of the distinct words
+        size = size[which].reshape(-1, 2).sum(1)
+        total = np.cumsum(size[places])
+        ends = [4 * int(total[k - 1]) if k else 0 for k in begin.tolist()]
+        del total
+        data = memoryview(b"".join(spread(ids, size, places)))
+        return [bytes(data[a:z]) for a, z in zip(ends, ends[1:])]
+
+
+def spread(values: np.ndarray, size: np.ndarray, which: np.ndarray) -> Iterator[np.ndarray]:
+    """``values`` holds runs of ``size`` values, one behind the other: the runs numbered ``which``, one behind the other,
+    in arrays of ``PLACES`` runs."""
+    first = np.cumsum(size) - size
+    for k in range(0, len(which), PLACES):
+        at = which[k:k + PLACES]
+        n = size[at]
+        yield values[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 @functools.lru_cache(maxsize=2)
@@ -160,23 +186,15 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
         part, numbers, cache = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), word_cache(tokenizer)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
-            i = 0
-            while i < len(ids):
-                j, size = i, 0  # documents of about 1 MB at a time
-                chunk = []
-                while j < len(ids) and (j == i or size < 1 << 20):
-                    chunk.append(texts[j].as_py())
-                    size += len(chunk[-1])
-                    j += 1
+            for i, j in groups(pc.binary_length(texts).to_pylist(), GROUP):
                 rows = []
-                for doc_id, data in zip(ids[i:j], cache.encode(chunk)):
+                for doc_id, data in zip(ids[i:j], cache.encode(texts[i:j].to_pylist())):
                     data += closing
                     n = len(data) // 4
                     for k, start in enumerate(range(0, n, capacity)):
                         length = min(capacity, n - start)
                         rows.append((doc_id, k, start, length, zlib.crc32(data[4 * start:4 * (start + length)]), part, int(numbers[length])))
                         numbers[length] += 1
-                i = j
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))],
