@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from tests_llm_tools import docs_of, table_rows  # noqa: F401
 from vulnlake.llm import near_dedup as nd
@@ -106,6 +108,35 @@ def test_odd_sketches_never_rule_out_a_pair_at_the_threshold():
     assert worst <= nd.most_odd_bits() < int(np.bitwise_count((u ^ v).view(np.uint64)).sum())
 
 
+def test_sets_of_sliced_columns_equal_those_of_single_texts():
+    texts = [b"", b" ", b"One two", b"one TWO three four five", b"\xff\xfe x\x1cy \xc3", "É é É é É é É".encode(), b" a b\x0bc d a b c d a b c d ", b"x"]
+    sets = nd.sets_of
+    whole = sets(pa.array(texts, pa.binary()))
+    assert [len(s) for s in whole] == [len(shingles(t.decode("latin-1").replace("\x85", "?").replace("\xa0", "?"))) for t in texts]
+    for a in range(len(texts)):
+        for z in range(a, len(texts) + 1):
+            got_ = sets(pa.array([b"before", *texts], pa.binary())[1 + a:1 + z])
+            assert len(got_) == z - a and all(map(np.array_equal, got_, whole[a:z]))
+    named = [x for s in whole for x in s.tolist()]
+    assert len(set(named)) == len({x for t in texts for x in shingles(t.decode("latin-1").replace("\x85", "?").replace("\xa0", "?"))})
+
+
+def test_words_of_a_text_are_no_objects():
+    """The cost of a gigabyte: a text's words are split, looked up and mixed as arrays, and so are the samples of a batch."""
+    text = b"".join(b"word%d " % (k % 900) for k in range(400_000))
+    column = pa.array([text], pa.binary())
+    sets = nd.sets_of
+    sets(column)
+    tracemalloc.start()
+    assert len(sets(column)[0]) == 900
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400_000 * 45
+    minima = np.stack([nd.samples(s) for s in sets(pa.array([b"a b c d e f", b"g h i j k", b"a b c d e f"], pa.binary()))])
+    assert np.array_equal(nd.band_keys(minima), [nd.band_keys(m) for m in minima])
+    assert np.array_equal(nd.odd_sketch(minima), [nd.odd_sketch(m) for m in minima])
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 430)] + [(500, 900 + k) for k in range(50)]

@@ -28,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, map_batches, slices, stored, table, text_or_empty
+from .common import as_words, components, distinct_words, groups, map_batches, slices, stored, table, text_or_empty
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 48, 6
@@ -44,78 +45,94 @@ _rng = np.random.default_rng(_SEED)
 _MULT = _rng.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 _PIECE = 4096  # shingles sampled at once
+_CELLS = 1 << 15  # their samples that are computed at once, about
+GROUP = 2 << 20  # bytes of texts whose words are mixed at once
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = h ^ (h >> np.uint64(30))
-        h = h * np.uint64(0xBF58476D1CE4E5B9)
-        h = h ^ (h >> np.uint64(27))
-        h = h * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(31))
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(27)
+        h *= np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        return h
 
 
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    hashed = hashlib.blake2b
+    return np.frombuffer(b"".join([hashed(w, digest_size=8).digest() for w in words]), "<u8")
 
 
-class ShingleSets:
-    """Sorted distinct shingle hashes of a text; word hashes are cached, the cache is emptied when full."""
-
-    def __init__(self, most: int = 100_000):
-        self.cache: dict[bytes, int] = {}
-        self.most = most
-
-    def __call__(self, text: bytes, width: int = SHINGLE) -> np.ndarray:
-        words = text.lower().split()  # bytes: lower-cases A-Z only, splits at x20 and x09-x0D
-        if not words:
-            return np.zeros(0, np.uint64)
-        cache = self.cache
-        if len(cache) > self.most:
-            cache.clear()
-        for w in set(words).difference(cache):
-            cache[w] = _word_hash(w)
-        h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-        n = max(1, len(h) - width + 1)
-        out = np.full(n, len(words) if len(words) < width else width, np.uint64)
-        with np.errstate(over="ignore"):
-            for k in range(min(width, len(h))):
-                out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n])
-        return np.unique(out)
+def _shingles(h: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of ``words`` word hashes."""
+    n = len(h) - words + 1
+    out = np.full(n, words, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(words):
+            out *= np.uint64(0x9E3779B97F4A7C15)
+            out += h[k:k + n]
+            out = _mix(out)
+    return out
+
+
+def sets_of(texts: pa.Array, width: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text of a binary array. In groups of about ``GROUP`` bytes words are split,
+    the distinct ones hashed, and all mixed as arrays."""
+    out = []
+    for i, j in groups(pc.binary_length(texts).to_pylist(), GROUP):
+        words, places, begin = distinct_words(texts[i:j], lower=True)  # lower-cases A-Z only, splits at x20 and x09-x0D
+        h = _word_hashes(as_words(words))[places]
+        full = _shingles(h, width) if len(h) >= width else None  # the runs that cross from text to text are not read
+        for a, z in zip(begin[:-1].tolist(), begin[1:].tolist()):
+            s = full[a:z - width + 1] if z - a >= width else _shingles(h[a:z], z - a) if z > a else np.zeros(0, np.uint64)
+            s = np.sort(s)
+            same = s[1:] == s[:-1]
+            out.append(s[np.append(True, ~same)] if same.any() else s)
+    return out
 
 
 def samples(shingles: np.ndarray) -> np.ndarray:
     """``BANDS * ROWS`` MinHash samples (uint32) of a non-empty set."""
     x = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
     best = np.full(len(_MULT), 0xFFFFFFFF, np.uint32)
+    step = max(16, _CELLS // min(len(x), _PIECE))
+    h, shifted = (np.empty((step, min(len(x), _PIECE)), np.uint32) for _ in range(2))
     with np.errstate(over="ignore"):
         for i in range(0, len(x), _PIECE):
             part = x[i:i + _PIECE]
-            for j in range(0, len(_MULT), 16):
-                h = part[None, :] * _MULT[j:j + 16, None] + _ADD[j:j + 16, None]
-                h ^= h >> np.uint32(15)
-                h *= np.uint32(0x2C1B3C6D)
-                h ^= h >> np.uint32(13)
-                np.minimum(best[j:j + 16], h.min(1), out=best[j:j + 16])
+            for j in range(0, len(_MULT), step):
+                mult = _MULT[j:j + step, None]
+                a, b = h[:len(mult), :len(part)], shifted[:len(mult), :len(part)]
+                np.multiply(part[None, :], mult, out=a)
+                a += _ADD[j:j + step, None]
+                np.right_shift(a, np.uint32(15), out=b)
+                a ^= b
+                a *= np.uint32(0x2C1B3C6D)
+                np.right_shift(a, np.uint32(13), out=b)
+                a ^= b
+                np.minimum(best[j:j + step], a.min(1), out=best[j:j + step])
     return best
 
 
 def band_keys(minima: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; the band's number is part of it."""
-    rows = minima.reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    """One 64-bit key per band, for each row of samples; the band's number is part of it."""
+    rows = minima.reshape(*minima.shape[:-1], BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:-1])
     with np.errstate(over="ignore"):
         for k in range(ROWS):
-            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
+            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[..., k])
     return key.view(np.int64)
 
 
 def odd_sketch(minima: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the (sample number, sample) pairs, as int64 words."""
+    """Parity bitmap of the (sample number, sample) pairs, as int64 words, for each row of samples."""
+    rows = minima.reshape(-1, minima.shape[-1])
     with np.errstate(over="ignore"):
-        at = _mix(np.arange(len(minima), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + minima) % np.uint64(SKETCH_BITS)
-    bits = (np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
-    return np.packbits(bits).view(np.int64)
+        at = _mix(np.arange(rows.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rows) % np.uint64(SKETCH_BITS)
+    at = at.astype(np.int64) + np.arange(len(rows))[:, None] * SKETCH_BITS
+    bits = (np.bincount(at.ravel(), minlength=len(rows) * SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(bits).view(np.int64).reshape(*minima.shape[:-1], -1)
 
 
 def most_odd_bits(percent: int = PERCENT) -> int:
@@ -131,23 +148,17 @@ def most_odd_bits(percent: int = PERCENT) -> int:
 def sketches(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` -> ``(doc_id, n, digest, bands, sketch)``; digest names the shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = ShingleSets()
         seen: dict[bytes, tuple] = {}
         for b in slices(batches):
-            n, digest, bands, sketch = [], [], [], []
+            got = sets_of(b.column(1))
+            digest = [hashlib.blake2b(s, digest_size=16).digest() if len(s) else None for s in got]
             if len(seen) > 10_000:
                 seen.clear()
-            for t in b.column(1):
-                s = sets(t.as_py())
-                n.append(len(s))
-                key = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                digest.append(key)
-                if key is not None and key not in seen:
-                    m = samples(s)
-                    seen[key] = (band_keys(m), odd_sketch(m))
-                a, o = seen[key] if key is not None else (None, None)
-                bands.append(a)
-                sketch.append(o)
+            new = {key: s for key, s in zip(digest, got) if key is not None and key not in seen}
+            if new:
+                minima = np.stack(list(map(samples, new.values())))
+                seen.update(zip(new, zip(band_keys(minima), odd_sketch(minima))))
+            n, bands, sketch = map(len, got), *([seen[key][k] if key is not None else None for key in digest] for k in range(2))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
                  pa.array(sketch, pa.list_(pa.int64()))], ["doc_id", "n", "digest", "bands", "sketch"])
@@ -159,9 +170,8 @@ def sketches(docs: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """``(id, text)`` -> ``(id, n, shingles)``, the set as packed 64-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = ShingleSets()
         for b in slices(batches):
-            got = [sets(t.as_py()) for t in b.column(1)]
+            got = sets_of(b.column(1))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(map(len, got), pa.int64()), pa.array([s.tobytes() for s in got], pa.binary())], ["id", "n", "shingles"])
 
