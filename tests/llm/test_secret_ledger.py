@@ -114,3 +114,31 @@ def test_redaction_merges_spans_and_keeps_the_rest(spark, docs_of, tmp_dir):
     out = {r.doc_id: r.text for r in redact(docs, f"{tmp_dir}/ledger").collect()}
     assert out == {1: "a [SECRET] b", 2: "clean é", 3: None, 4: "[SECRET] é [SECRET]"}
     assert redact(docs, f"{tmp_dir}/ledger").columns == docs.columns
+
+
+def test_redaction_moves_only_texts_with_findings(spark, tmp_dir):
+    """Texts without findings stay in the partition in which they are read, also where no table is small enough to be broadcast."""
+    rows = spark.range(0, 400, 1, 4).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 7, F.concat(F.lit("token=abcdefgh"), "id")).otherwise(F.concat(F.lit("clean text "), "id")).alias("text"),
+        F.spark_partition_id().alias("before"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    given = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        out = redact(rows, f"{tmp_dir}/ledger").withColumn("after", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(limit, given)
+    assert {r.doc_id: r.text for r in out} == {i: "[SECRET]" if i % 50 == 7 else f"clean text {i}" for i in range(400)} and len(out) == 400
+    places = {(r.before, r.after) for r in out if r.text != "[SECRET]"}
+    assert len(places) == len({after for _, after in places}) == 4
+
+
+def test_texts_that_share_a_short_key_with_a_finding_stay_whole(spark, docs_of, tmp_dir, monkeypatch):
+    rows = [(i % 7, t) for i, t in enumerate([None, "", "clean é", "clean é", plant, plant, "token=abcdefgh1 x", None] * 3)] + [(None, plant), (None, None)]
+    docs = docs_of(rows, extra=("hit_key", "blob", "HIT_KEY_"))
+    want = sorted(((i, t and t.replace("token=abcdefgh1", "[SECRET]").replace(plant, "x [SECRET] y [SECRET]")) for i, t in rows), key=repr)
+    for n, keys in enumerate((1, 2, 1 << 21)):
+        monkeypatch.setattr("vulnlake.llm.secret_ledger.HIT_KEYS", keys)
+        out = redact(docs, f"{tmp_dir}/ledger{n}")
+        assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == want
+        assert out.columns == docs.columns and all(r.hit_key == "clash hit_key" for r in out.collect())

@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, map_batches, scratch_path, slices, table, text_or_empty
+from .common import free_name, map_batches, scratch_path, slices, stored, table, text_or_empty
 
 # The base rules (kind, pattern, group whose length counts, least length), in listed order.
 BASE_RULES = (
@@ -41,6 +41,7 @@ RULES = BASE_RULES + EXTRA_RULES
 RULE_VERSION = "3"
 SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 LEDGER_SCHEMA = f"blob string, rule_version string, spans {SPANS}"
+HIT_KEYS = 1 << 21  # short keys of the blobs with findings, broadcast by ``redact``: about 70 MB if all occur
 
 
 def find_secrets(text: str, rules=RULES) -> list[tuple[str, int, int]]:
@@ -106,11 +107,14 @@ def findings(versions: DataFrame, ledger: DataFrame, path_col: str, text_col: st
 
 def redact(docs: DataFrame, ledger_path: str, mark: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span (overlapping ones merged) replaced by ``mark``; other columns stay. Only texts with
-    findings leave the JVM."""
+    findings are shuffled and leave the JVM, and those that share a short key with one of them are shuffled with them: the
+    distinct keys, at most ``HIT_KEYS``, are broadcast, so all other texts stay where they are read. ``docs`` is read for each part."""
     ledger = update_ledger(docs, ledger_path, text_col)
-    blob, starts, ends = (free_name(docs, c) for c in ("blob", "starts", "ends"))
-    hits = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select(
-        F.col("blob").alias(blob), F.col("spans.start").alias(starts), F.col("spans.end").alias(ends))
+    blob, key, starts, ends = (free_name(docs, c) for c in ("blob", "hit_key", "starts", "ends"))
+    hits = stored(ledger.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select(
+        F.col("blob").alias(blob), F.col("spans.start").alias(starts), F.col("spans.end").alias(ends)), "secret-hits")
+    short = F.pmod(F.xxhash64(blob), F.lit(HIT_KEYS))
+    keys = F.broadcast(hits.select(short.alias(key)).distinct())
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
@@ -126,10 +130,12 @@ def redact(docs: DataFrame, ledger_path: str, mark: str = "[SECRET]", text_col:
             out.append(None if text is None else "".join(parts) + text[at:])
         return pd.Series(out, dtype=object)
 
-    found = docs.withColumn(blob, address(text_col)).join(hits, blob, "left")
+    addressed = docs.withColumn(blob, address(text_col)).withColumn(key, short)
+    found = addressed.join(keys, key, "left_semi").join(hits, blob, "left")
     hit = F.col(starts).isNotNull()
     clean = cut(F.when(hit, F.col(text_col)), F.col(starts), F.col(ends))
-    return found.withColumn(text_col, F.when(hit, clean).otherwise(F.col(text_col))).select(*docs.columns)
+    found = found.withColumn(text_col, F.when(hit, clean).otherwise(F.col(text_col)))
+    return found.select(*docs.columns).union(addressed.join(keys, key, "left_anti").select(*docs.columns))
 
 
 def secret_report(docs: DataFrame, ledger_path: str) -> DataFrame:
