@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from tokenizers import Tokenizer
 
@@ -39,6 +41,25 @@ def test_edge_texts_with_any_first_tier(docs_of, tokenizer, entries):
     assert got == {i: truth(tokenizer, t) for i, t in TEXTS.items()}
 
 
+@pytest.mark.parametrize("held", [3, 200_000])
+def test_the_first_tier_is_counted_over_every_text(spark, monkeypatch, held):
+    """Words of late rows and of any task count, those between special strings as they are looked up."""
+    monkeypatch.setattr(T, "COUNTED", held)
+    texts = [f"early{k % 9} word" for k in range(600)] + ["late"] * 700 + ["b<|endoftext|>b"] * 500 + ["y" * 65] * 2000 + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    lengths, want = T.Lengths(T.default_tokenizer()), Counter()
+    for t in texts:
+        want.update(w for part in (t or "").split("<|endoftext|>") for piece in lengths.words(part) for w in piece if len(w) <= T.CACHED)
+    for tasks in (1, 130):
+        chosen = []
+        for entries in (1, 2, 3, 7, 99):
+            got = T.frequent_lengths(docs.repartition(tasks), T.default_tokenizer(), entries=entries)
+            assert sorted((want[w] for w in got), reverse=True) == sorted(want.values(), reverse=True)[:entries]
+            assert list(got.values()) == lengths.encode(list(got))
+            chosen.append(set(got))
+        assert chosen[0] == {"b"} and chosen == sorted(chosen, key=len) and all(a <= b for a, b in zip(chosen, chosen[1:]))
+
+
 def test_repeated_rows_null_ids_and_empty_tables(docs_of):
     rows = T.count_tokens(docs_of([(1, "a b"), (1, "a b"), (None, "a b c")])).collect()
     assert sorted((r.doc_id is None, r.n_tokens) for r in rows) == [(False, 2), (False, 2), (True, 3)]
